@@ -2,7 +2,7 @@
 
 from pulse.operators.ingest import (  # noqa: F401
     catch_up, chunk_posts, dedup_key, dedup_posts, fetch_report, high_water, latest_n,
-    low_volume_streaks, normalize_posts, recent, search, since_id,
+    low_volume_streaks, normalize_posts, recent, rejected_posts, search, since_id, stamp_ingest,
 )
 from pulse.operators.prefix import running  # noqa: F401
 from pulse.operators.scoring import (  # noqa: F401

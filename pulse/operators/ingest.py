@@ -72,6 +72,21 @@ def normalize_posts(raw: DataFrame, fallback_time=None, keep: list[str] | None =
     return out.filter(F.col("id").isNotNull())
 
 
+def rejected_posts(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The raw posts clean-up drops, with a ``reason``: ``no_id`` (id and tweet_id
+    null, empty or 0).  The reference lost such rows silently (or the whole
+    batch, on a bad id); here they are a table of their own."""
+    return (raw.filter(post_id(raw).isNull())
+            .select(*(keep or []), *[c for c in ("id", "tweet_id") if c in raw.columns],
+                    F.lit("no_id").alias("reason")))
+
+
+def stamp_ingest(df: DataFrame, column: str = "fetched_at", now=None) -> DataFrame:
+    """Add the ingest time (``current_timestamp()`` unless ``now`` is given)."""
+    t = F.current_timestamp() if now is None else (now if isinstance(now, Column) else F.lit(now))
+    return df.withColumn(column, t)
+
+
 def numeric_id(id_col="id") -> Column:
     """Post id as a number (ids compare as numbers: as text ``'9' > '10'``)."""
     return F.expr(f"try_cast({id_col} as bigint)") if isinstance(id_col, str) else id_col.try_cast("bigint")

@@ -45,12 +45,9 @@ def read_lexicon(spark: SparkSession, path: str, fmt: str = "parquet", **options
                      F.col("polarity_hundredths").cast("long").alias("polarity_hundredths"))
 
 
-def _lexicon_side(lexicon: DataFrame, broadcast_max_rows: int) -> DataFrame:
-    lex = lexicon.select("word", "polarity_hundredths")
+def _lexicon_fits(lexicon: DataFrame, broadcast_max_rows: int) -> bool:
     # size check on the lexicon alone (a small action), never on the texts
-    if lex.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows:
-        return F.broadcast(lex)
-    return lex
+    return lexicon.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
 
 
 def tokens(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -67,12 +64,23 @@ def lexicon_polarity(texts: DataFrame, lexicon: DataFrame, key: str = "doc_id",
     Identical texts under one key score the same as one copy (sum and hits scale
     together), so ``key`` needs to identify a text, not a row.
     """
-    lex = _lexicon_side(lexicon, broadcast_max_rows)
-    matched = (tokens(texts, key, text)
-               .join(lex, F.col("token") == lex["word"], "left")
-               .groupBy(key)
-               .agg(F.count("polarity_hundredths").alias("hits"),
-                    F.coalesce(F.sum("polarity_hundredths"), F.lit(0)).cast("long").alias("polarity_sum")))
+    lex = lexicon.select("word", "polarity_hundredths")
+    if _lexicon_fits(lex, broadcast_max_rows):
+        # explode -> broadcast probe -> partial aggregate, all in one stage
+        matched = (tokens(texts, key, text)
+                   .join(F.broadcast(lex), F.col("token") == lex["word"], "left")
+                   .groupBy(key)
+                   .agg(F.count("polarity_hundredths").alias("hits"),
+                        F.coalesce(F.sum("polarity_hundredths"), F.lit(0)).cast("long").alias("polarity_sum")))
+    else:
+        # lexicon too big to broadcast: count each (text, token) first so a word
+        # repeated in a text crosses the shuffle once, then join on the token
+        counts = tokens(texts, key, text).groupBy(key, "token").agg(F.count(F.lit(1)).alias("_n"))
+        v = F.col("polarity_hundredths")
+        matched = (counts.join(lex, counts["token"] == lex["word"], "left")
+                   .groupBy(key)
+                   .agg(F.coalesce(F.sum(F.when(v.isNotNull(), F.col("_n"))), F.lit(0)).cast("long").alias("hits"),
+                        F.coalesce(F.sum(F.col("_n") * v), F.lit(0)).cast("long").alias("polarity_sum")))
     polarity = (F.when(F.col("hits") > 0,
                        F.col("polarity_sum").cast("double") / (F.col("hits") * HUNDREDTHS).cast("double"))
                 .otherwise(F.lit(0.0)))

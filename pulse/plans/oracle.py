@@ -289,6 +289,10 @@ FROM posts p LEFT JOIN documents d ON p.doc_id = d.doc_id""",
     + """SELECT page, pos, id, tweet_id, text, full_text, username, screen_name, created_at, "timestamp" FROM raw""",
     "normalize_posts": _with(_POSTS, _RAW, _CLEAN)
     + """SELECT id, created_at, text, username, "timestamp" FROM clean""",
+    "rejected_posts": _with(_POSTS, _RAW)
+    + """SELECT page, pos, id, tweet_id, 'no_id' AS reason FROM raw
+WHERE coalesce(nullif(id, ''), nullif(tweet_id, '')) IS NULL
+   OR coalesce(nullif(id, ''), nullif(tweet_id, '')) = '0'""",
     "cap_posts": _with(_POSTS, _RAW, _CLEAN) + "SELECT page, pos, id, username FROM clean WHERE pos < 5",
     "parse_event_time": _with(_POSTS, _RAW, _CLEAN) + """SELECT id, created_at, "timestamp" FROM clean""",
     "since_id": _with(_POSTS, _POLLS)

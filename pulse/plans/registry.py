@@ -205,7 +205,7 @@ def _recent_posts(spark, sf):
     top = views.recent_posts(scored_posts(spark, sf, "wide"), newest_event(spark, sf), SPAN_ALL,
                              columns=["username", "sentiment_label", "polarity", "sentiment_score",
                                       "timestamp", "doc_id"])
-    top = attach_text(spark, sf, top)
+    top = attach_text(spark, sf, top, bounded_rows=views.RECENT_POSTS_LIMIT)
     return top.select("id", "username", "text", "sentiment_label", _r6("polarity").alias("polarity"),
                       "sentiment_score", "timestamp")
 
@@ -307,6 +307,12 @@ def _normalize_posts(spark, sf):
     return ingest.normalize_posts(_api_raw(spark, sf))
 
 
+@_register("rejected_posts")
+def _rejected_posts(spark, sf):
+    """The raw posts dropped for a missing id, kept as their own output."""
+    return ingest.rejected_posts(_api_raw(spark, sf), keep=["page", "pos"])
+
+
 @_register("cap_posts")
 def _cap_posts(spark, sf):
     """Only the first 5 posts of each response, capped before clean-up."""

@@ -9,6 +9,18 @@ from pyspark.sql import SparkSession
 
 UTC = "UTC"
 
+# Broadcast only what has been measured: the planner's static estimate of a
+# parquet text column comes from compressed file sizes and can be far too low,
+# so static auto-broadcast is off; AQE still turns a join into a broadcast when
+# the shuffled side's measured size is under its threshold.  Explicit
+# broadcasts are used only behind a row-count check or a LIMIT.
+SCALE_DEFAULTS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+}
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "pulse") -> SparkSession:
@@ -29,6 +41,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("PULSE_DRIVER_MEMORY", "8g"))
     )
+    for key, value in SCALE_DEFAULTS.items():
+        builder = builder.config(key, value)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()

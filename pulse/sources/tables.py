@@ -56,12 +56,21 @@ def posts_view(spark: SparkSession, sf_dir: str, with_text: bool = False,
     return posts
 
 
-def attach_text(spark: SparkSession, sf_dir: str, df: DataFrame, on: str = "doc_id") -> DataFrame:
+def attach_text(spark: SparkSession, sf_dir: str, df: DataFrame, on: str = "doc_id",
+                bounded_rows: int | None = None) -> DataFrame:
     """Join the document text to rows carrying ``doc_id``.  Call it as late as
     possible (after filters and limits) so texts are not shuffled for rows that
-    are dropped later."""
+    are dropped later.
+
+    ``bounded_rows``: the caller's proven bound on ``df`` (a LIMIT); such a side
+    is broadcast and the texts are read without a shuffle.  Otherwise both sides
+    shuffle on ``doc_id`` (AQE splits a hot document's partition).
+    """
     texts = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    return df.join(texts, df[on] == texts["doc_id"], "left").drop(texts["doc_id"])
+    left = F.broadcast(df) if bounded_rows is not None and bounded_rows <= 100_000 else df
+    joined = texts.join(left, texts["doc_id"] == left[on], "right") if left is not df else \
+        df.join(texts, df[on] == texts["doc_id"], "left")
+    return joined.drop(texts["doc_id"])
 
 
 def overlapping_polls(spark: SparkSession, sf_dir: str, with_text: bool = False,

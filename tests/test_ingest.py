@@ -113,3 +113,14 @@ def test_fetch_report_and_streaks(spark):
         assert r.total_posts == total and r.held == min(total, 1000) and r.credits == n * 15
         assert r.streak == streak
         assert r.poll_seconds == (min(60, 5 * 2 ** (streak // 3)) if streak else 5)
+
+
+def test_rejects_and_stamp(spark):
+    import json
+    from pulse.sources.lines import unwrap_envelope
+    lines = spark.createDataFrame([(json.dumps({"data": [{"id": "1"}, {"id": ""}, {"tweet_id": "0"}, {}]}),)],
+                                  "value string")
+    raw = unwrap_envelope(lines)
+    assert sorted(r.pos for r in ingest.rejected_posts(raw, keep=["pos"]).collect()) == [1, 2, 3]
+    stamped = ingest.stamp_ingest(raw, now=T0).select("fetched_at").distinct().collect()
+    assert [r.fetched_at for r in stamped] == [T0]
