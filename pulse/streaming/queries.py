@@ -86,3 +86,41 @@ def dedup_stream(posts: DataFrame, ttl: str = DEDUP_TTL, key=None, ts: str = "ti
     return (posts.withColumn("dedup_key", k)
             .withWatermark(ts, ttl)
             .dropDuplicatesWithinWatermark(["dedup_key"]))
+
+
+def start_dashboard(spark: SparkSession, source: str, scorer, out_root: str, rule: str = "wide",
+                    watermark: str = WATERMARK_DASHBOARD, size: str = "10 seconds", slide: str = "5 seconds",
+                    late: str = "drop", trigger: dict | None = None, fmt: str = "text",
+                    max_files_per_trigger: int | None = None, name: str = "dashboard", **source_options):
+    """Start the dashboard's two named queries over one scored post stream:
+
+    - ``<name>_rows``: every scored post, appended to ``out_root/raw_tweets``;
+    - ``<name>_windows``: window x band counts and means.  ``late="drop"`` appends
+      finished windows to ``out_root/windowed_aggregates``; ``late="keep"``
+      rewrites that table with the complete result every batch.
+
+    Each query has its own checkpoint under the shared checkpoint folder, so both
+    resume after a restart.  The dashboard views (``pulse.operators.views``) then
+    run as batch queries over the two tables.  Returns the started queries.
+    """
+    from pulse.streaming.sinks import to_table, trigger_options, write_complete
+
+    trigger = trigger or trigger_options("2 seconds")
+
+    def scored_posts():
+        posts = post_stream(spark, source, fmt=fmt, max_files_per_trigger=max_files_per_trigger,
+                            **source_options)
+        return scored_stream(posts, scorer, rule=rule)
+
+    rows = to_table(scored_posts(), f"{name}_rows", "append", trigger, fmt="parquet",
+                    path=f"{out_root}/raw_tweets")
+    windows = windowed_stream(scored_posts(), size, slide, watermark)
+    windows = windows.select(F.col("window.start").alias("window_start"),
+                             F.col("window.end").alias("window_end"),
+                             "sentiment_label", "tweet_count", "avg_sentiment")
+    if output_mode(late) == "append":
+        win = to_table(windows, f"{name}_windows", "append", trigger, fmt="parquet",
+                       path=f"{out_root}/windowed_aggregates")
+    else:
+        win = write_complete(windows, f"{out_root}/windowed_aggregates", f"{name}_windows", trigger)
+    return [rows, win]

@@ -153,3 +153,29 @@ def test_stream_equals_batch_and_lexicon_batches(spark, scratch):
     w_stream = windowed_sentiment(streamed.withColumn("timestamp", F.col("timestamp")), order=None)
     w_batch = windowed_sentiment(batch_scored, order=None)
     assert sorted(tuple(r) for r in w_stream.collect()) == sorted(tuple(r) for r in w_batch.collect())
+
+
+def test_dashboard_queries(spark, scratch):
+    from pulse.operators import views
+    from pulse.streaming import start_dashboard, stop_all
+    src, out = os.path.join(scratch, "in"), os.path.join(scratch, "out")
+    batches = [[{"id": str(i), "text": "good" if i % 2 else "bad", "username": f"u{i}",
+                 "timestamp": f"2024-01-01T00:00:{2 * i:02d}Z"}] for i in range(8)]
+    write_batches(src, batches)
+    scorer = lambda t: 0.8 if t == "good" else -0.8
+    for late in ("drop", "keep"):
+        target = os.path.join(out, late)
+        qs = start_dashboard(spark, src, scorer, target, late=late, max_files_per_trigger=2,
+                             trigger=trigger_options(available_now=True), name=f"dash_{late}")
+        for q in qs:
+            _run(q)
+        stop_all(qs)
+        rows = spark.read.parquet(f"{target}/raw_tweets")
+        assert rows.count() == 8
+        wins = spark.read.parquet(f"{target}/windowed_aggregates")
+        total = wins.agg(F.sum("tweet_count")).first()[0] or 0
+        # append mode emits only windows the watermark (15 s behind 00:00:14) has passed
+        assert total == (16 if late == "keep" else 0)
+        stats = views.overall_stats(rows, dt.datetime(2024, 1, 1, 0, 0, 20)).collect()
+        assert {(r.sentiment_label, r.tweet_count) for r in stats} == {
+            ("VERY_POSITIVE", 4), ("VERY_NEGATIVE", 4), (None, 8)}
