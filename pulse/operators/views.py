@@ -82,17 +82,31 @@ def latest_windows(windowed: DataFrame, n: int = LATEST_WINDOWS, label: str = "s
                       fixed(F.col("avg_sentiment"), 3).alias("avg_text"))
 
 
-def overall_stats(scored: DataFrame, as_of, span: str = SPAN, ts: str = "timestamp",
-                  label: str = "sentiment_label", score: str = "sentiment_score") -> DataFrame:
+def _n(weight: str | None) -> Column:
+    return F.lit(1).cast("long") if weight is None else F.col(weight)
+
+
+def _rows(scored: DataFrame, as_of, span, ts: str) -> DataFrame:
+    return in_span(scored, as_of, span, ts) if as_of is not None and span else scored
+
+
+def overall_stats(scored: DataFrame, as_of, span: str | None = SPAN, ts: str = "timestamp",
+                  label: str = "sentiment_label", score: str = "sentiment_score",
+                  weight: str | None = None) -> DataFrame:
     """Per band and in total over the span: ``sentiment_label`` (null on the total
     row), ``is_total``, ``tweet_count``, ``avg_sentiment``.
 
     One pass with grouping sets ((band), ()).  The reference read the total from
-    the first band's row; this gives the true total.
+    the first band's row; this gives the true total.  ``weight``: a column of
+    post counts, for rows that already stand for several posts (e.g. posts
+    counted per document before joining the document's score); with
+    ``as_of=None`` the rows are taken as already inside the span.
     """
-    return (in_span(scored, as_of, span, ts)
+    n = _n(weight)
+    return (_rows(scored, as_of, span, ts)
             .rollup(label)
-            .agg(F.count(F.lit(1)).alias("tweet_count"), F.avg(score).alias("avg_sentiment"),
+            .agg(F.sum(n).alias("tweet_count"),
+                 (F.sum(n * F.col(score)) / F.sum(F.when(F.col(score).isNotNull(), n))).alias("avg_sentiment"),
                  F.grouping(label).cast("boolean").alias("is_total")))
 
 
@@ -110,19 +124,20 @@ def throughput(scored: DataFrame, as_of, start, span: str | None = SPAN, ts: str
 
 
 def positive_negative(scored: DataFrame, as_of=None, span: str | None = SPAN, ts: str = "timestamp",
-                      label: str = "sentiment_label") -> DataFrame:
+                      label: str = "sentiment_label", weight: str | None = None) -> DataFrame:
     """One row: ``positive`` (POSITIVE + VERY_POSITIVE) and ``negative`` counts; 0 if absent."""
-    rows = in_span(scored, as_of, span, ts) if as_of is not None and span else scored
-    return rows.agg(F.count_if(F.col(label).isin(POSITIVE, VERY_POSITIVE)).alias("positive"),
-                    F.count_if(F.col(label).isin(NEGATIVE, VERY_NEGATIVE)).alias("negative"))
+    n = _n(weight)
+    lbl = F.col(label)
+    return _rows(scored, as_of, span, ts).agg(
+        F.coalesce(F.sum(F.when(lbl.isin(POSITIVE, VERY_POSITIVE), n)), F.lit(0)).cast("long").alias("positive"),
+        F.coalesce(F.sum(F.when(lbl.isin(NEGATIVE, VERY_NEGATIVE), n)), F.lit(0)).cast("long").alias("negative"))
 
 
 def distribution(scored: DataFrame, as_of=None, span: str | None = SPAN, ts: str = "timestamp",
-                 label: str = "sentiment_label") -> DataFrame:
+                 label: str = "sentiment_label", weight: str | None = None) -> DataFrame:
     """``sentiment_label, tweet_count``, largest first; rows without a band left out."""
-    rows = in_span(scored, as_of, span, ts) if as_of is not None and span else scored
-    return (rows.filter(F.col(label).isNotNull()).groupBy(label)
-            .agg(F.count(F.lit(1)).alias("tweet_count"))
+    return (_rows(scored, as_of, span, ts).filter(F.col(label).isNotNull()).groupBy(label)
+            .agg(F.sum(_n(weight)).cast("long").alias("tweet_count"))
             .orderBy(F.col("tweet_count").desc(), F.col(label).asc()))
 
 

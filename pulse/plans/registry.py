@@ -171,18 +171,27 @@ def _late_report(spark, sf):
 
 # ---------------------------------------------------------------- views
 
+def _span_counts_by_doc(spark, sf, rule="wide"):
+    """Posts of the span counted per document, then given the document's score:
+    the aggregate runs before the join, so the join sees one row per document
+    instead of one per post (a band total needs only the count per band)."""
+    posts = views.in_span(posts_view(spark, sf), newest_event(spark, sf), SPAN_ALL)
+    per_doc = posts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    scores = doc_scores(spark, sf, rule).select("doc_id", "sentiment_label", "sentiment_score")
+    return per_doc.join(scores, "doc_id", "left")
+
+
 @_register("overall_stats")
 def _overall_stats(spark, sf):
     """A4/A5: per band and total, over the span before the newest event."""
-    o = views.overall_stats(scored_posts(spark, sf, "wide"), newest_event(spark, sf), SPAN_ALL)
+    o = views.overall_stats(_span_counts_by_doc(spark, sf), None, None, weight="n")
     return o.select("sentiment_label", "is_total", "tweet_count", _r6("avg_sentiment").alias("avg_sentiment"))
 
 
 @_register("throughput")
 def _throughput(spark, sf):
-    """Posts per second between the oldest and newest event."""
-    t = views.throughput(scored_posts(spark, sf, "wide"), newest_event(spark, sf), oldest_event(spark, sf),
-                         SPAN_ALL)
+    """Posts per second between the oldest and newest event (no score needed)."""
+    t = views.throughput(posts_view(spark, sf), newest_event(spark, sf), oldest_event(spark, sf), SPAN_ALL)
     return t.select("total_tweets", _r6("elapsed_seconds").alias("elapsed_seconds"),
                     _r6("tweets_per_second").alias("tweets_per_second"))
 
@@ -190,13 +199,13 @@ def _throughput(spark, sf):
 @_register("positive_negative")
 def _positive_negative(spark, sf):
     """Positive and negative counts over the span."""
-    return views.positive_negative(scored_posts(spark, sf, "wide"), newest_event(spark, sf), SPAN_ALL)
+    return views.positive_negative(_span_counts_by_doc(spark, sf), weight="n")
 
 
 @_register("distribution")
 def _distribution(spark, sf):
     """Count per band over the span."""
-    return views.distribution(scored_posts(spark, sf, "wide"), newest_event(spark, sf), SPAN_ALL)
+    return views.distribution(_span_counts_by_doc(spark, sf), weight="n")
 
 
 @_register("recent_posts")

@@ -114,3 +114,19 @@ def test_late_report_brute_force(spark):
                 late += 1
             newest = ts if newest is None else max(newest, ts)
         assert got[feed] == (len(seq), len(seq) - late, late)
+
+
+def test_weighted_views_equal_row_views(spark):
+    now = T0 + dt.timedelta(minutes=10)
+    groups = [("d1", "POSITIVE", 0.6, 3), ("d2", "NEGATIVE", -0.6, 2), ("d3", "VERY_POSITIVE", 1.0, 4),
+              ("d4", "NEUTRAL", 0.0, 1)]
+    weighted = spark.createDataFrame([(d, l, s, n) for d, l, s, n in groups],
+                                     "doc_id string, sentiment_label string, sentiment_score double, n long")
+    rows = _scored(spark, [(f"{d}-{i}", "u", now, l, s, 0.0) for d, l, s, n in groups for i in range(n)])
+
+    def norm(df):
+        return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect()),
+                      key=str)
+    assert norm(views.overall_stats(weighted, None, None, weight="n")) == norm(views.overall_stats(rows, now))
+    assert norm(views.distribution(weighted, weight="n")) == norm(views.distribution(rows, now))
+    assert norm(views.positive_negative(weighted, weight="n")) == norm(views.positive_negative(rows, now))
