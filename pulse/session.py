@@ -61,13 +61,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage-cutting tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster's shared folder).  Only when
-    it is unset - local tests - a fresh folder under the system temp dir is
-    chosen and written back to the session so later calls agree.
+    it is unset on a local master (tests) is a fresh folder under the system temp
+    dir chosen and written back to the session so later calls agree; on a
+    cluster an unset folder is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor and the driver share "
+                             "(a machine-local folder does not survive the loss of that machine)")
         root = tempfile.mkdtemp(prefix="pulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
