@@ -82,7 +82,8 @@ def late_report(posts: DataFrame, delay: str = "30 seconds", feed: str = "feed",
     so a feed holding a third of all rows is still spread over many tasks.
     Output: ``feed, rows, on_time, late, max_lateness_seconds``.
     """
-    delay_us = F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00' + INTERVAL {delay})")
+    # the epoch instant plus the delay, read back in microseconds (no session zone involved)
+    delay_us = F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {delay})")
     base = posts.select(F.col(feed).alias("feed"), F.col(arrival).alias("_arr"), F.col(tie).alias("_tie"),
                         F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"))
     blk = F.floor(F.col("_arr") / F.lit(block_size))

@@ -77,14 +77,17 @@ def unwrap_envelope(lines: DataFrame, value: str = "value", cap: int | None = No
     reference's per-request slice did.
     """
     keep = keep or []
-    env = F.from_json(F.col(value), ENVELOPE_SCHEMA)
+    # parse once: the envelope and the key test become columns, so the plan does
+    # not repeat the JSON parse in each expression (or in an inferred filter)
     has_tweets = F.coalesce(F.array_contains(F.json_object_keys(F.col(value)), F.lit(ENVELOPE_KEYS[0])),
                             F.lit(False))
-    posts = F.when(has_tweets, env[ENVELOPE_KEYS[0]]).otherwise(env[ENVELOPE_KEYS[1]])
+    parsed = lines.select(*keep, F.from_json(F.col(value), ENVELOPE_SCHEMA).alias("_env"),
+                          has_tweets.alias("_has"))
+    posts = F.when(F.col("_has"), F.col("_env")[ENVELOPE_KEYS[0]]).otherwise(F.col("_env")[ENVELOPE_KEYS[1]])
     if cap is not None:
         posts = cap_posts(posts, cap)
-    return (lines.select(*keep, posts.alias("_posts"))
-            .select(*keep, F.posexplode("_posts").alias("pos", "_raw"))
+    return (parsed.select(*keep, F.posexplode_outer(posts).alias("pos", "_raw"))
+            .filter(F.col("pos").isNotNull())
             .select(*keep, "pos", "_raw.*"))
 
 
