@@ -24,13 +24,13 @@ SPAN_ALL = "30 days"
 # ------------------------------------------------------------------------------
 
 
-def test_lexicon(spark: SparkSession) -> DataFrame:
+def fixture_lexicon(spark: SparkSession) -> DataFrame:
     return lexicon_frame(spark, TEST_LEXICON)
 
 
 def doc_scores(spark: SparkSession, sf_dir: str, rule: str = "strict") -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    return score_documents(docs, test_lexicon(spark), rule)
+    return score_documents(docs, fixture_lexicon(spark), rule)
 
 
 def scored_posts(spark: SparkSession, sf_dir: str, rule: str = "wide") -> DataFrame:
