@@ -279,8 +279,9 @@ FROM scored_strict s LEFT JOIN documents d ON s.doc_id = d.doc_id""",
     + f"""SELECT id, {_AGE_MIN} AS age_minutes, {_AGE_SEC} AS age_seconds, {_AGE_TEXT} AS age FROM posts""",
     # ------------------------------------------------------------ lines and ingest
     "to_lines": _with(_POSTS)
-    + """SELECT p.id, to_json({'id': p.id, 'created_at': p.created_at, 'text': d.text, 'username': p.username,
-                         'timestamp': CAST(p."timestamp" AS VARCHAR)}) AS value
+    + """SELECT p.id, CAST(to_json({'id': p.id, 'created_at': p.created_at, 'text': d.text,
+                              'username': p.username, 'timestamp': CAST(p."timestamp" AS VARCHAR)}) AS VARCHAR)
+       AS value
 FROM posts p LEFT JOIN documents d ON p.doc_id = d.doc_id""",
     "parse_posts": _with(_POSTS)
     + """SELECT p.id, p.created_at, d.text, p.username, p."timestamp"

@@ -139,7 +139,8 @@ def _window_samples(spark, sf):
     """A2: newest 3 texts of each 1 h / 30 min window x band; texts joined after sampling."""
     s = windows.window_samples(scored_posts(spark, sf, "strict"), "1 hour", "30 minutes", n=3)
     s = attach_text(spark, sf, s)
-    return s.select(*_window_cols(s), "sentiment_label", "sample_rank", "id", "text")
+    return s.select(*_window_cols(s), "sentiment_label", F.col("sample_rank").cast("long").alias("sample_rank"),
+                    "id", "text")
 
 
 @_register("trend")
@@ -306,7 +307,8 @@ def _api_raw(spark, sf, cap=None):
 def _unwrap_envelope(spark, sf):
     """API response lines -> raw posts with their field-name variants."""
     raw = _api_raw(spark, sf)
-    return raw.select("page", "pos", "id", "tweet_id", "text", "full_text", "username",
+    return raw.select("page", F.col("pos").cast("long").alias("pos"), "id", "tweet_id", "text", "full_text",
+                      "username",
                       F.col("user.screen_name").alias("screen_name"), "created_at", "timestamp")
 
 
@@ -319,14 +321,15 @@ def _normalize_posts(spark, sf):
 @_register("rejected_posts")
 def _rejected_posts(spark, sf):
     """The raw posts dropped for a missing id, kept as their own output."""
-    return ingest.rejected_posts(_api_raw(spark, sf), keep=["page", "pos"])
+    raw = _api_raw(spark, sf).withColumn("pos", F.col("pos").cast("long"))
+    return ingest.rejected_posts(raw, keep=["page", "pos"])
 
 
 @_register("cap_posts")
 def _cap_posts(spark, sf):
     """Only the first 5 posts of each response, capped before clean-up."""
     return ingest.normalize_posts(_api_raw(spark, sf, cap=5), keep=["page", "pos"]).select(
-        "page", "pos", "id", "username")
+        "page", F.col("pos").cast("long").alias("pos"), "id", "username")
 
 
 @_register("parse_event_time")
