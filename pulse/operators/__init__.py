@@ -10,7 +10,7 @@ from pulse.operators.scoring import (  # noqa: F401
     with_bands, with_scorer,
 )
 from pulse.operators.views import (  # noqa: F401
-    distribution, latest_windows, overall_stats, positive_negative, post_list, posts_in_span,
+    distribution, kpis, latest_windows, overall_stats, positive_negative, post_list, posts_in_span,
     recent_posts, throughput, windowed_stats,
 )
 from pulse.operators.windows import (  # noqa: F401

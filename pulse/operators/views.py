@@ -152,3 +152,26 @@ def post_list(posts: DataFrame, as_of, n: int = POST_LIST_LIMIT, ts: str = "time
         headline(emoji(F.col(label), "dots"), F.col(username), F.col(label), F.col(score)).alias("headline"),
         age_text(F.col(ts), _as_of(as_of)).alias("age"),
     )
+
+
+def kpis(scored: DataFrame, as_of, start, span: str | None = SPAN, ts: str = "timestamp",
+         label: str = "sentiment_label", score: str = "sentiment_score", weight: str | None = None) -> DataFrame:
+    """The dashboard's metric row in one aggregate pass: ``total_tweets``,
+    ``avg_sentiment`` and its 3-decimal text, ``tweets_per_second`` (posts of the
+    span / seconds since ``start``) and its 1-decimal text, ``positive``,
+    ``negative``.  The mean is over all posts of the span (the reference showed the
+    first band's mean)."""
+    n = _n(weight)
+    lbl = F.col(label)
+    elapsed = (F.unix_micros(_as_of(as_of).cast("timestamp")) -
+               F.unix_micros(_as_of(start).cast("timestamp"))) / F.lit(1e6)
+    agg = _rows(scored, as_of if span else None, span, ts).agg(
+        F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("total_tweets"),
+        (F.sum(n * F.col(score)) / F.sum(F.when(F.col(score).isNotNull(), n))).alias("avg_sentiment"),
+        F.coalesce(F.sum(F.when(lbl.isin(POSITIVE, VERY_POSITIVE), n)), F.lit(0)).cast("long").alias("positive"),
+        F.coalesce(F.sum(F.when(lbl.isin(NEGATIVE, VERY_NEGATIVE), n)), F.lit(0)).cast("long").alias("negative"))
+    tps = F.when(elapsed > 0, F.col("total_tweets") / elapsed).otherwise(F.lit(0.0))
+    return agg.select(
+        "total_tweets", "avg_sentiment",
+        fixed(F.coalesce(F.col("avg_sentiment"), F.lit(0.0)), 3).alias("avg_text"),
+        tps.alias("tweets_per_second"), fixed(tps, 1).alias("tps_text"), "positive", "negative")

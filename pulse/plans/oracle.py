@@ -233,6 +233,18 @@ FROM scored_wide WHERE {_SPAN} GROUP BY GROUPING SETS ((sentiment_label), ())"""
 FROM (SELECT count(*) AS total_tweets,
              (epoch_us({ASOF}) - epoch_us((SELECT min(ts) FROM events))) / 1e6 AS elapsed
       FROM scored_wide WHERE {_SPAN})""",
+    "kpis": _with(*_POST_CTES, _scored("wide"))
+    + f""", k AS (
+  SELECT count(*) AS total_tweets, avg(sentiment_score) AS avg_sentiment,
+         count(*) FILTER (WHERE sentiment_label IN ('POSITIVE', 'VERY_POSITIVE')) AS positive,
+         count(*) FILTER (WHERE sentiment_label IN ('NEGATIVE', 'VERY_NEGATIVE')) AS negative,
+         (epoch_us({ASOF}) - epoch_us((SELECT min(ts) FROM events))) / 1e6 AS elapsed
+  FROM scored_wide WHERE {_SPAN}),
+k2 AS (SELECT *, CASE WHEN elapsed > 0 THEN total_tweets / elapsed ELSE 0.0 END AS tps FROM k)
+SELECT total_tweets, (round(avg_sentiment, 6) + 0.0) AS avg_sentiment,
+       {fmt('coalesce(avg_sentiment, 0.0)', 3)} AS avg_text,
+       (round(tps, 6) + 0.0) AS tweets_per_second, {fmt('tps', 1)} AS tps_text, positive, negative
+FROM k2""",
     "positive_negative": _with(*_POST_CTES, _scored("wide"))
     + f"""SELECT count(*) FILTER (WHERE sentiment_label IN ('POSITIVE', 'VERY_POSITIVE')) AS positive,
        count(*) FILTER (WHERE sentiment_label IN ('NEGATIVE', 'VERY_NEGATIVE')) AS negative

@@ -197,6 +197,15 @@ def _throughput(spark, sf):
                     _r6("tweets_per_second").alias("tweets_per_second"))
 
 
+@_register("kpis")
+def _kpis(spark, sf):
+    """The dashboard's metric row over the span, posts per second since the oldest event."""
+    k = views.kpis(_span_counts_by_doc(spark, sf), newest_event(spark, sf), oldest_event(spark, sf), None,
+                   weight="n")
+    return k.select("total_tweets", _r6("avg_sentiment").alias("avg_sentiment"), "avg_text",
+                    _r6("tweets_per_second").alias("tweets_per_second"), "tps_text", "positive", "negative")
+
+
 @_register("positive_negative")
 def _positive_negative(spark, sf):
     """Positive and negative counts over the span."""

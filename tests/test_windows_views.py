@@ -130,3 +130,8 @@ def test_weighted_views_equal_row_views(spark):
     assert norm(views.overall_stats(weighted, None, None, weight="n")) == norm(views.overall_stats(rows, now))
     assert norm(views.distribution(weighted, weight="n")) == norm(views.distribution(rows, now))
     assert norm(views.positive_negative(weighted, weight="n")) == norm(views.positive_negative(rows, now))
+    start = now - dt.timedelta(seconds=20)
+    k = views.kpis(weighted, now, start, None, weight="n").first()
+    assert norm(views.kpis(weighted, now, start, None, weight="n")) == norm(views.kpis(rows, now, start))
+    assert (k.total_tweets, k.positive, k.negative, k.tps_text) == (10, 7, 2, "0.5")
+    assert k.avg_text == "0.460"
