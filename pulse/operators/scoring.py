@@ -45,7 +45,7 @@ def read_lexicon(spark: SparkSession, path: str, fmt: str = "parquet", **options
                      F.col("polarity_hundredths").cast("long").alias("polarity_hundredths"))
 
 
-def _lexicon_fits(lexicon: DataFrame, broadcast_max_rows: int) -> bool:
+def lexicon_fits(lexicon: DataFrame, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     # size check on the lexicon alone (a small action), never on the texts
     return lexicon.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
 
@@ -56,16 +56,17 @@ def tokens(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
 
 
 def lexicon_polarity(texts: DataFrame, lexicon: DataFrame, key: str = "doc_id", text: str = "text",
-                     broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                     broadcast_max_rows: int = BROADCAST_MAX_ROWS, broadcast: bool | None = None) -> DataFrame:
     """Per ``key``: ``hits`` (matched tokens), ``polarity_sum`` (hundredths) and
     ``polarity`` = mean matched value in [-1, 1]; 0.0 when nothing matches or the
     text is null.  Every key of ``texts`` gets a row.
 
     Identical texts under one key score the same as one copy (sum and hits scale
-    together), so ``key`` needs to identify a text, not a row.
+    together), so ``key`` needs to identify a text, not a row.  ``broadcast``:
+    a decision already taken (e.g. once per stream) instead of the row check.
     """
     lex = lexicon.select("word", "polarity_hundredths")
-    if _lexicon_fits(lex, broadcast_max_rows):
+    if broadcast if broadcast is not None else lexicon_fits(lex, broadcast_max_rows):
         # explode -> broadcast probe -> partial aggregate, all in one stage
         matched = (tokens(texts, key, text)
                    .join(F.broadcast(lex), F.col("token") == lex["word"], "left")
@@ -94,9 +95,10 @@ def with_bands(df: DataFrame, rule: str = "strict", polarity: str = "polarity")
 
 
 def score_documents(docs: DataFrame, lexicon: DataFrame, rule: str = "strict", key: str = "doc_id",
-                    text: str = "text", broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                    text: str = "text", broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+                    broadcast: bool | None = None) -> DataFrame:
     """``key, hits, polarity_sum, polarity, sentiment_label, sentiment_score`` per document."""
-    return with_bands(lexicon_polarity(docs, lexicon, key, text, broadcast_max_rows), rule)
+    return with_bands(lexicon_polarity(docs, lexicon, key, text, broadcast_max_rows, broadcast), rule)
 
 
 def attach_scores(posts: DataFrame, doc_scores: DataFrame, on: str = "doc_id") -> DataFrame:
@@ -116,10 +118,10 @@ def attach_scores(posts: DataFrame, doc_scores: DataFrame, on: str = "doc_id") -
 
 
 def score_texts(df: DataFrame, lexicon: DataFrame, key: str, text: str = "text", rule: str = "strict",
-                broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                broadcast_max_rows: int = BROADCAST_MAX_ROWS, broadcast: bool | None = None) -> DataFrame:
     """Score rows that carry their own text (e.g. one micro-batch): polarity per
     ``key``, joined back to the rows."""
-    scores = score_documents(df.select(key, text), lexicon, rule, key, text, broadcast_max_rows)
+    scores = score_documents(df.select(key, text), lexicon, rule, key, text, broadcast_max_rows, broadcast)
     return attach_scores(df, scores.drop("hits", "polarity_sum"), on=key)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse.operators.ingest import DEDUP_TTL, dedup_key
-from pulse.operators.scoring import score_texts, with_scorer
+from pulse.operators.scoring import lexicon_fits, score_texts, with_scorer
 from pulse.sources.lines import parse_posts, read_lines
 from pulse.streaming.sinks import checkpoint_for, write_batches
 
@@ -51,8 +51,10 @@ def score_batches(posts: DataFrame, lexicon: DataFrame, path: str, name: str, ru
     """Lexicon scoring of each micro-batch (a join + aggregate, which would be
     stateful inside the stream), written to ``path/batch=<id>`` so a replayed
     batch overwrites its own folder."""
+    fits = lexicon_fits(lexicon)  # decided once for the life of the query
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        scored = score_texts(batch, lexicon, key=key, rule=rule)
+        scored = score_texts(batch, lexicon, key=key, rule=rule, broadcast=fits)
         scored.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
     return write_batches(posts, run, name, trigger=trigger,
                          checkpoint=checkpoint or checkpoint_for(posts.sparkSession, name))
