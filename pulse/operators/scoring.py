@@ -34,8 +34,17 @@ BROADCAST_MAX_ROWS = 2_000_000   # ~2 M words x ~40 bytes stays well under 100 M
 
 
 def lexicon_frame(spark: SparkSession, entries: Iterable[tuple[str, int]]) -> DataFrame:
-    """A lexicon DataFrame (``word``, ``polarity_hundredths``) from pairs."""
-    return spark.createDataFrame([(w, int(v)) for w, v in entries], LEXICON_SCHEMA)
+    """A small inline lexicon DataFrame (``word``, ``polarity_hundredths``) from pairs.
+
+    Built as a SQL ``VALUES`` relation, so it is a JVM-side local table (no Python
+    RDD behind it).  Large lexicons belong in a table: ``read_lexicon``.
+    """
+    pairs = [(str(w), int(v)) for w, v in entries]
+    if not pairs:
+        return spark.createDataFrame([], LEXICON_SCHEMA)
+    values = ", ".join("('{}', {})".format(w.replace("'", "''"), v) for w, v in pairs)
+    return spark.sql(f"SELECT CAST(word AS STRING) AS word, CAST(p AS BIGINT) AS polarity_hundredths "
+                     f"FROM VALUES {values} AS lex(word, p)")
 
 
 def read_lexicon(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
