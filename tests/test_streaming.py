@@ -179,3 +179,16 @@ def test_dashboard_queries(spark, scratch):
         stats = views.overall_stats(rows, dt.datetime(2024, 1, 1, 0, 0, 20)).collect()
         assert {(r.sentiment_label, r.tweet_count) for r in stats} == {
             ("VERY_POSITIVE", 4), ("VERY_NEGATIVE", 4), (None, 8)}
+
+
+def test_console_and_empty_batches_skipped(spark, scratch):
+    from pulse.streaming import console, write_batches as start_batches
+    src = os.path.join(scratch, "in")
+    write_batches(src, [[{"id": str(i), "text": "x", "timestamp": "2024-01-01T00:00:00Z"}] for i in range(3)])
+    once = trigger_options(available_now=True)
+    posts = post_stream(spark, src, max_files_per_trigger=1)
+    _run(console(posts, "console_rows", mode="append", rows=5, trigger=once))
+    seen = []
+    only_two = post_stream(spark, src, max_files_per_trigger=1).filter(F.col("id") != "1")
+    _run(start_batches(only_two, lambda df, bid: seen.append((bid, df.count())), "skip_empty", trigger=once))
+    assert sorted(seen) == [(0, 1), (2, 1)]  # batch 1 had no rows and was skipped
