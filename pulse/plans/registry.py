@@ -220,22 +220,23 @@ def _distribution(spark, sf):
 
 @_register("recent_posts")
 def _recent_posts(spark, sf):
-    """V1: newest 50 posts of the span; texts joined after the top-k."""
+    """V1: newest 50 posts of the span; texts joined after the top-k (a broadcast of 50 rows)."""
     top = views.recent_posts(scored_posts(spark, sf, "wide"), newest_event(spark, sf), SPAN_ALL,
                              columns=["username", "sentiment_label", "polarity", "sentiment_score",
                                       "timestamp", "doc_id"])
     top = attach_text(spark, sf, top, bounded_rows=views.RECENT_POSTS_LIMIT)
     return top.select("id", "username", "text", "sentiment_label", _r6("polarity").alias("polarity"),
-                      "sentiment_score", "timestamp")
+                      "sentiment_score", "timestamp").orderBy(F.col("timestamp").desc(), F.col("id").desc())
 
 
 @_register("posts_in_span")
 def _posts_in_span(spark, sf):
-    """V2: every post of the span with its text."""
-    rows = views.posts_in_span(scored_posts(spark, sf, "wide"), newest_event(spark, sf), SPAN_ALL,
-                               columns=["username", "sentiment_label", "polarity", "sentiment_score",
-                                        "timestamp", "doc_id"])
-    rows = attach_text(spark, sf, rows)
+    """V2: every post of the span with its text, newest first.  The span filter is
+    pushed below the text join; the one sort runs on the joined rows."""
+    rows = attach_text(spark, sf, scored_posts(spark, sf, "wide"))
+    rows = views.posts_in_span(rows, newest_event(spark, sf), SPAN_ALL,
+                               columns=["username", "text", "sentiment_label", "polarity", "sentiment_score",
+                                        "timestamp"])
     return rows.select("id", "username", "text", "sentiment_label", _r6("polarity").alias("polarity"),
                        "sentiment_score", "timestamp")
 
