@@ -126,3 +126,30 @@ def start_dashboard(spark: SparkSession, source: str, scorer, out_root: str, rul
     else:
         win = write_complete(windows, f"{out_root}/windowed_aggregates", f"{name}_windows", trigger)
     return [rows, win]
+
+
+def since_id_stream(posts: DataFrame, out_path: str, marks_path: str, name: str, start_mark: int | None = None,
+                    id_col: str = "id", trigger: dict | None = None, checkpoint: str | None = None):
+    """Keep only posts whose id is above the high-water mark of all earlier
+    batches (ids compared as numbers), and move the mark.
+
+    The mark is a small table: batch ``b`` writes ``marks_path/batch=b`` with the
+    new mark, and reads its own starting mark as the largest mark of the batches
+    before ``b`` (a scalar subquery, nothing collected).  A replayed batch reads
+    the same mark and overwrites its own folders, so output stays exactly-once.
+    Repeats inside one batch are all kept, as the reference's mark moved only
+    after a whole response.
+    """
+    from pulse.operators.ingest import high_water, since_id
+
+    spark = posts.sparkSession
+    # the table must exist before the first batch reads it: batch -1 holds the start mark
+    spark.createDataFrame([(start_mark,)], "hwm long").write.mode("overwrite").parquet(f"{marks_path}/batch=-1")
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        marks = spark.read.parquet(marks_path)
+        prev = marks.filter(F.col("batch") < F.lit(batch_id)).select(F.max("hwm")).scalar()
+        since_id(batch, prev, id_col).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        high_water(batch, prev, id_col).write.mode("overwrite").parquet(f"{marks_path}/batch={batch_id}")
+    return write_batches(posts, run, name, trigger=trigger,
+                         checkpoint=checkpoint or checkpoint_for(spark, name))

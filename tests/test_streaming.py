@@ -192,3 +192,15 @@ def test_console_and_empty_batches_skipped(spark, scratch):
     only_two = post_stream(spark, src, max_files_per_trigger=1).filter(F.col("id") != "1")
     _run(start_batches(only_two, lambda df, bid: seen.append((bid, df.count())), "skip_empty", trigger=once))
     assert sorted(seen) == [(0, 1), (2, 1)]  # batch 1 had no rows and was skipped
+
+
+def test_since_id_stream_moves_the_mark(spark, scratch):
+    from pulse.streaming import since_id_stream
+    src, out, marks = (os.path.join(scratch, d) for d in ("in", "out", "marks"))
+    ids = [["5", "3", "9"], ["7", "10", "2", "10"], ["11", "x"], ["4"]]
+    write_batches(src, [[{"id": i, "text": "t", "timestamp": "2024-01-01T00:00:00Z"} for i in b] for b in ids])
+    posts = post_stream(spark, src, max_files_per_trigger=1)
+    _run(since_id_stream(posts, out, marks, "since_id_stream", trigger=trigger_options(available_now=True)))
+    got = sorted((r.batch, r.id) for r in spark.read.parquet(out).collect())
+    assert got == [(0, "3"), (0, "5"), (0, "9"), (1, "10"), (1, "10"), (2, "11")]
+    assert spark.read.parquet(marks).agg(F.max("hwm")).first()[0] == 11
