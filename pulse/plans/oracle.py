@@ -72,6 +72,13 @@ def fmt(x: str, d: int) -> str:
             f"AS VARCHAR) END)")
 
 
+def r6(x: str) -> str:
+    """Round to 6 places as Spark does for a double: half-up on its shortest
+    decimal form (DuckDB's own round works on the binary value, so a tie such as
+    -0.0640625 would go the other way); ``+ 0.0`` turns -0.0 into 0.0."""
+    return f"(CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), 6) AS DOUBLE) + 0.0)"
+
+
 def _scored(rule: str) -> str:
     return f"""scored_{rule} AS (
   SELECT p.*, s.polarity, {band('s.polarity', rule)} AS sentiment_label,
@@ -172,12 +179,12 @@ WHERE regexp_matches(lower(d.text), '{_SEARCH_RE}') AND NOT coalesce(starts_with
 ORACLE: dict[str, str] = {
     # ------------------------------------------------------------ scoring
     "polarity": _with(*_SCORE_CTES)
-    + "SELECT doc_id, hits, polarity_sum, (round(polarity, 6) + 0.0) AS polarity FROM dscore",
+    + "SELECT doc_id, hits, polarity_sum, polarity FROM dscore",
     "label_strict": _with(*_SCORE_CTES)
-    + f"SELECT doc_id, (round(polarity, 6) + 0.0) AS polarity, {band('polarity', 'strict')} AS sentiment_label, "
+    + f"SELECT doc_id, polarity, {band('polarity', 'strict')} AS sentiment_label, "
       f"{band_score('polarity', 'strict')} AS sentiment_score FROM dscore",
     "label_wide": _with(*_SCORE_CTES)
-    + f"SELECT doc_id, (round(polarity, 6) + 0.0) AS polarity, {band('polarity', 'wide')} AS sentiment_label, "
+    + f"SELECT doc_id, polarity, {band('polarity', 'wide')} AS sentiment_label, "
       f"{band_score('polarity', 'wide')} AS sentiment_score FROM dscore",
     "emoji": _with(*_SCORE_CTES)
     + f"""SELECT doc_id, sentiment_label AS strict_label, {_FACE} AS face, {_DISPLAY} AS display,
@@ -185,14 +192,14 @@ ORACLE: dict[str, str] = {
 FROM (SELECT doc_id, {band('polarity', 'strict')} AS sentiment_label, {band('polarity', 'wide')} AS wide_label
       FROM dscore)""",
     "plugin_scorer": _with(*_SCORE_CTES)
-    + f"SELECT doc_id, (round(polarity, 6) + 0.0) AS polarity, {band('polarity', 'strict')} AS sentiment_label, "
+    + f"SELECT doc_id, polarity, {band('polarity', 'strict')} AS sentiment_label, "
       f"{band_score('polarity', 'strict')} AS sentiment_score, unscored FROM dscore",
     # ------------------------------------------------------------ windows
     "windowed_sentiment": _with(*_POST_CTES, _scored("strict"), _windowed("w", "scored_strict", 10, 5))
-    + "SELECT window_start, window_end, sentiment_label, tweet_count, (round(avg_sentiment, 6) + 0.0) AS avg_sentiment "
+    + f"SELECT window_start, window_end, sentiment_label, tweet_count, {r6('avg_sentiment')} AS avg_sentiment "
       "FROM w",
     "windowed_sentiment_hourly": _with(*_POST_CTES, _scored("strict"), _windowed("w", "scored_strict", 3600, 1800))
-    + "SELECT window_start, window_end, sentiment_label, tweet_count, (round(avg_sentiment, 6) + 0.0) AS avg_sentiment "
+    + f"SELECT window_start, window_end, sentiment_label, tweet_count, {r6('avg_sentiment')} AS avg_sentiment "
       "FROM w",
     "window_samples": _with(*_POST_CTES, _scored("strict"), _sliding("wr", "scored_strict", 3600, 1800))
     + """SELECT s.window_start, s.window_end, s.sentiment_label, s.sample_rank, s.id, d.text
@@ -201,12 +208,12 @@ FROM (SELECT wr.*, row_number() OVER (PARTITION BY window_start, sentiment_label
 LEFT JOIN documents d ON s.doc_id = d.doc_id
 WHERE s.sample_rank <= 3""",
     "trend": _with(*_POST_CTES, _scored("wide"))
-    + """SELECT time_bucket(INTERVAL '10 seconds', "timestamp", TIMESTAMP '1970-01-01 00:00:00') AS bucket_start,
-       (round(avg(sentiment_score), 6) + 0.0) AS avg_sentiment, count(*) AS tweet_count
+    + f"""SELECT time_bucket(INTERVAL '10 seconds', "timestamp", TIMESTAMP '1970-01-01 00:00:00') AS bucket_start,
+       {r6('avg(sentiment_score)')} AS avg_sentiment, count(*) AS tweet_count
 FROM scored_wide WHERE "timestamp" IS NOT NULL GROUP BY 1""",
     "trend_hourly": _with(*_POST_CTES, _scored("wide"))
-    + """SELECT time_bucket(INTERVAL '1 hour', "timestamp", TIMESTAMP '1970-01-01 00:00:00') AS bucket_start,
-       (round(avg(sentiment_score), 6) + 0.0) AS avg_sentiment, count(*) AS tweet_count
+    + f"""SELECT time_bucket(INTERVAL '1 hour', "timestamp", TIMESTAMP '1970-01-01 00:00:00') AS bucket_start,
+       {r6('avg(sentiment_score)')} AS avg_sentiment, count(*) AS tweet_count
 FROM scored_wide WHERE "timestamp" IS NOT NULL GROUP BY 1""",
     "window_series": _with(*_POST_CTES, _scored("wide"), _windowed("w", "scored_wide", 10, 5))
     + "SELECT window_start, sentiment_label, tweet_count FROM w",
@@ -225,11 +232,11 @@ FROM lat GROUP BY feed""",
     # ------------------------------------------------------------ views
     "overall_stats": _with(*_POST_CTES, _scored("wide"))
     + f"""SELECT sentiment_label, grouping(sentiment_label) = 1 AS is_total, count(*) AS tweet_count,
-       (round(avg(sentiment_score), 6) + 0.0) AS avg_sentiment
+       {r6('avg(sentiment_score)')} AS avg_sentiment
 FROM scored_wide WHERE {_SPAN} GROUP BY GROUPING SETS ((sentiment_label), ())""",
     "throughput": _with(*_POST_CTES, _scored("wide"))
-    + f"""SELECT total_tweets, (round(elapsed, 6) + 0.0) AS elapsed_seconds,
-       (round(CASE WHEN elapsed > 0 THEN total_tweets / elapsed ELSE 0.0 END, 6) + 0.0) AS tweets_per_second
+    + f"""SELECT total_tweets, {r6('elapsed')} AS elapsed_seconds,
+       {r6('CASE WHEN elapsed > 0 THEN total_tweets / elapsed ELSE 0.0 END')} AS tweets_per_second
 FROM (SELECT count(*) AS total_tweets,
              (epoch_us({ASOF}) - epoch_us((SELECT min(ts) FROM events))) / 1e6 AS elapsed
       FROM scored_wide WHERE {_SPAN})""",
@@ -241,9 +248,9 @@ FROM (SELECT count(*) AS total_tweets,
          (epoch_us({ASOF}) - epoch_us((SELECT min(ts) FROM events))) / 1e6 AS elapsed
   FROM scored_wide WHERE {_SPAN}),
 k2 AS (SELECT *, CASE WHEN elapsed > 0 THEN total_tweets / elapsed ELSE 0.0 END AS tps FROM k)
-SELECT total_tweets, (round(avg_sentiment, 6) + 0.0) AS avg_sentiment,
+SELECT total_tweets, {r6('avg_sentiment')} AS avg_sentiment,
        {fmt('coalesce(avg_sentiment, 0.0)', 3)} AS avg_text,
-       (round(tps, 6) + 0.0) AS tweets_per_second, {fmt('tps', 1)} AS tps_text, positive, negative
+       {r6('tps')} AS tweets_per_second, {fmt('tps', 1)} AS tps_text, positive, negative
 FROM k2""",
     "positive_negative": _with(*_POST_CTES, _scored("wide"))
     + f"""SELECT count(*) FILTER (WHERE sentiment_label IN ('POSITIVE', 'VERY_POSITIVE')) AS positive,
@@ -253,18 +260,18 @@ FROM scored_wide WHERE {_SPAN}""",
     + f"""SELECT sentiment_label, count(*) AS tweet_count FROM scored_wide
 WHERE {_SPAN} AND sentiment_label IS NOT NULL GROUP BY sentiment_label""",
     "recent_posts": _with(*_POST_CTES, _scored("wide"))
-    + f"""SELECT s.id, s.username, d.text, s.sentiment_label, (round(s.polarity, 6) + 0.0) AS polarity,
+    + f"""SELECT s.id, s.username, d.text, s.sentiment_label, s.polarity,
        s.sentiment_score, s."timestamp"
 FROM scored_wide s LEFT JOIN documents d ON s.doc_id = d.doc_id
 WHERE {_SPAN.replace('"timestamp"', 's."timestamp"')}
 ORDER BY s."timestamp" DESC, s.id DESC LIMIT 50""",
     "posts_in_span": _with(*_POST_CTES, _scored("wide"))
-    + f"""SELECT s.id, s.username, d.text, s.sentiment_label, (round(s.polarity, 6) + 0.0) AS polarity,
+    + f"""SELECT s.id, s.username, d.text, s.sentiment_label, s.polarity,
        s.sentiment_score, s."timestamp"
 FROM scored_wide s LEFT JOIN documents d ON s.doc_id = d.doc_id
 WHERE {_SPAN.replace('"timestamp"', 's."timestamp"')}""",
     "windowed_stats": _with(*_POST_CTES, _scored("wide"), _windowed("w", "scored_wide", 10, 5))
-    + f"""SELECT window_start, window_end, sentiment_label, tweet_count, (round(avg_sentiment, 6) + 0.0) AS avg_sentiment
+    + f"""SELECT window_start, window_end, sentiment_label, tweet_count, {r6('avg_sentiment')} AS avg_sentiment
 FROM w WHERE window_start >= {ASOF} - {SPAN_SQL}
 ORDER BY window_start DESC, sentiment_label ASC LIMIT 30""",
     "latest_windows": _with(*_POST_CTES, _scored("strict"), _windowed("w", "scored_strict", 10, 5))

@@ -64,21 +64,21 @@ def _window_cols(df: DataFrame) -> list[Column]:
 def _polarity(spark, sf):
     """Lexicon polarity per document, 0.0 without a match."""
     s = doc_scores(spark, sf)
-    return s.select("doc_id", "hits", "polarity_sum", _r6("polarity").alias("polarity"))
+    return s.select("doc_id", "hits", "polarity_sum", "polarity")
 
 
 @_register("label_strict")
 def _label_strict(spark, sf):
     """Strict bands and scores."""
     s = doc_scores(spark, sf, "strict")
-    return s.select("doc_id", _r6("polarity").alias("polarity"), "sentiment_label", "sentiment_score")
+    return s.select("doc_id", "polarity", "sentiment_label", "sentiment_score")
 
 
 @_register("label_wide")
 def _label_wide(spark, sf):
     """wide bands and scores."""
     s = doc_scores(spark, sf, "wide")
-    return s.select("doc_id", _r6("polarity").alias("polarity"), "sentiment_label", "sentiment_score")
+    return s.select("doc_id", "polarity", "sentiment_label", "sentiment_score")
 
 
 @_register("emoji")
@@ -107,7 +107,7 @@ def _plugin_scorer(spark, sf):
     """A user scorer (here a Python lexicon scorer) through one pandas UDF."""
     docs = read_table(spark, sf, "documents", "doc_id", "text")
     out = with_scorer(docs, _python_lexicon_scorer(), rule="strict")
-    return out.select("doc_id", _r6("polarity").alias("polarity"), "sentiment_label", "sentiment_score",
+    return out.select("doc_id", "polarity", "sentiment_label", "sentiment_score",
                       "unscored")
 
 
@@ -225,7 +225,7 @@ def _recent_posts(spark, sf):
                              columns=["username", "sentiment_label", "polarity", "sentiment_score",
                                       "timestamp", "doc_id"])
     top = attach_text(spark, sf, top, bounded_rows=views.RECENT_POSTS_LIMIT)
-    return top.select("id", "username", "text", "sentiment_label", _r6("polarity").alias("polarity"),
+    return top.select("id", "username", "text", "sentiment_label", "polarity",
                       "sentiment_score", "timestamp").orderBy(F.col("timestamp").desc(), F.col("id").desc())
 
 
@@ -237,7 +237,7 @@ def _posts_in_span(spark, sf):
     rows = views.posts_in_span(rows, newest_event(spark, sf), SPAN_ALL,
                                columns=["username", "text", "sentiment_label", "polarity", "sentiment_score",
                                         "timestamp"])
-    return rows.select("id", "username", "text", "sentiment_label", _r6("polarity").alias("polarity"),
+    return rows.select("id", "username", "text", "sentiment_label", "polarity",
                        "sentiment_score", "timestamp")
 
 
