@@ -66,9 +66,11 @@ def tokens(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
 
 def lexicon_polarity(texts: DataFrame, lexicon: DataFrame, key: str = "doc_id", text: str = "text",
                      broadcast_max_rows: int = BROADCAST_MAX_ROWS, broadcast: bool | None = None) -> DataFrame:
-    """Per ``key``: ``hits`` (matched tokens), ``polarity_sum`` (hundredths) and
-    ``polarity`` = mean matched value in [-1, 1]; 0.0 when nothing matches or the
-    text is null.  Every key of ``texts`` gets a row.
+    """Per ``key``: ``hits`` (matched tokens), ``polarity_sum`` (hundredths),
+    ``polarity`` = mean matched value in [-1, 1] (0.0 when nothing matches or the
+    text is null) and ``unscored`` (the text was null: nothing could be scored,
+    kept visible rather than hidden in the neutral band).  Every key of
+    ``texts`` gets a row.
 
     Identical texts under one key score the same as one copy (sum and hits scale
     together), so ``key`` needs to identify a text, not a row.  ``broadcast``:
@@ -81,7 +83,8 @@ def lexicon_polarity(texts: DataFrame, lexicon: DataFrame, key: str = "doc_id",
                    .join(F.broadcast(lex), F.col("token") == lex["word"], "left")
                    .groupBy(key)
                    .agg(F.count("polarity_hundredths").alias("hits"),
-                        F.coalesce(F.sum("polarity_hundredths"), F.lit(0)).cast("long").alias("polarity_sum")))
+                        F.coalesce(F.sum("polarity_hundredths"), F.lit(0)).cast("long").alias("polarity_sum"),
+                        F.max(F.col("token").isNull()).alias("unscored")))
     else:
         # lexicon too big to broadcast: count each (text, token) first so a word
         # repeated in a text crosses the shuffle once, then join on the token
@@ -90,11 +93,12 @@ def lexicon_polarity(texts: DataFrame, lexicon: DataFrame, key: str = "doc_id",
         matched = (counts.join(lex, counts["token"] == lex["word"], "left")
                    .groupBy(key)
                    .agg(F.coalesce(F.sum(F.when(v.isNotNull(), F.col("_n"))), F.lit(0)).cast("long").alias("hits"),
-                        F.coalesce(F.sum(F.col("_n") * v), F.lit(0)).cast("long").alias("polarity_sum")))
+                        F.coalesce(F.sum(F.col("_n") * v), F.lit(0)).cast("long").alias("polarity_sum"),
+                        F.max(counts["token"].isNull()).alias("unscored")))
     polarity = (F.when(F.col("hits") > 0,
                        F.col("polarity_sum").cast("double") / (F.col("hits") * HUNDREDTHS).cast("double"))
                 .otherwise(F.lit(0.0)))
-    return matched.select(key, "hits", "polarity_sum", polarity.alias("polarity"))
+    return matched.select(key, "hits", "polarity_sum", polarity.alias("polarity"), "unscored")
 
 
 def with_bands(df: DataFrame, rule: str = "strict", polarity: str = "polarity") -> DataFrame:
@@ -131,7 +135,7 @@ def score_texts(df: DataFrame, lexicon: DataFrame, key: str, text: str = "text",
     """Score rows that carry their own text (e.g. one micro-batch): polarity per
     ``key``, joined back to the rows."""
     scores = score_documents(df.select(key, text), lexicon, rule, key, text, broadcast_max_rows, broadcast)
-    return attach_scores(df, scores.drop("hits", "polarity_sum"), on=key)
+    return attach_scores(df, scores.drop("hits", "polarity_sum", "unscored"), on=key)
 
 
 def with_scorer(df: DataFrame, fn: Callable[[str], float], text: str = "text", rule: str = "strict") -> DataFrame:

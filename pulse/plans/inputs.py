@@ -35,7 +35,7 @@ def doc_scores(spark: SparkSession, sf_dir: str, rule: str = "strict") -> DataFr
 
 def scored_posts(spark: SparkSession, sf_dir: str, rule: str = "wide") -> DataFrame:
     """Posts view + ``polarity, sentiment_label, sentiment_score`` (no text)."""
-    scores = doc_scores(spark, sf_dir, rule).drop("hits", "polarity_sum")
+    scores = doc_scores(spark, sf_dir, rule).drop("hits", "polarity_sum", "unscored")
     return attach_scores(posts_view(spark, sf_dir), scores)
 
 

@@ -179,7 +179,7 @@ WHERE regexp_matches(lower(d.text), '{_SEARCH_RE}') AND NOT coalesce(starts_with
 ORACLE: dict[str, str] = {
     # ------------------------------------------------------------ scoring
     "polarity": _with(*_SCORE_CTES)
-    + "SELECT doc_id, hits, polarity_sum, polarity FROM dscore",
+    + "SELECT doc_id, hits, polarity_sum, polarity, unscored FROM dscore",
     "label_strict": _with(*_SCORE_CTES)
     + f"SELECT doc_id, polarity, {band('polarity', 'strict')} AS sentiment_label, "
       f"{band_score('polarity', 'strict')} AS sentiment_score FROM dscore",

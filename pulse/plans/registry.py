@@ -64,7 +64,7 @@ def _window_cols(df: DataFrame) -> list[Column]:
 def _polarity(spark, sf):
     """Lexicon polarity per document, 0.0 without a match."""
     s = doc_scores(spark, sf)
-    return s.select("doc_id", "hits", "polarity_sum", "polarity")
+    return s.select("doc_id", "hits", "polarity_sum", "polarity", "unscored")
 
 
 @_register("label_strict")

@@ -9,8 +9,9 @@ def test_lexicon_polarity(spark):
         "doc_id long, text string")
     lex = lexicon_frame(spark, LEX)
     for cap in (10, 0):  # broadcast path and shuffle path agree
-        got = {r.doc_id: (r.hits, r.polarity_sum, r.polarity)
-               for r in lexicon_polarity(docs, lex, broadcast_max_rows=cap).collect()}
+        rows = lexicon_polarity(docs, lex, broadcast_max_rows=cap).collect()
+        assert {r.doc_id for r in rows if r.unscored} == {3}
+        got = {r.doc_id: (r.hits, r.polarity_sum, r.polarity) for r in rows}
         assert got[1] == (3, 100, 100 / 300)
         assert got[2] == (0, 0, 0.0) and got[3] == (0, 0, 0.0)
         assert got[4] == (1, 10, 0.1)
