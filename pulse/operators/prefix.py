@@ -46,17 +46,19 @@ def running(df: DataFrame, value: Column | str, how: str, order: list, block: Co
 
     base = df.withColumn("_blk", block_c).withColumn("_val", value_c)
 
-    per_block = base.groupBy(*partition, "_blk").agg(_AGG[agg]("_val").alias("_bagg"))
+    # running value inside each block (one shuffle of the rows, on (partition, block))
+    within = (Window.partitionBy(*partition, "_blk").orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
+    rows = base.withColumn("_in", _AGG[agg]("_val").over(within))
+    # block totals from the same partitioned rows: no second pass over the input
+    per_block = rows.groupBy(*partition, "_blk").agg(_AGG[agg]("_val").alias("_bagg"))
     across = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     if partition:
         across = across.partitionBy(*partition)
     carry = per_block.select(*partition, "_blk", _AGG[agg]("_bagg").over(across).alias("_carry"))
 
-    within = (Window.partitionBy(*partition, "_blk").orderBy(*order)
-              .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
-    rows = base.withColumn("_in", _AGG[agg]("_val").over(within))
     joined = rows.join(carry, [*partition, "_blk"], "left")
     result = _combine(agg, F.col("_carry"), F.col("_in"))
-    if how in ("count", "sum"):
-        result = result.cast("long") if how == "count" else result
+    if how == "count":
+        result = result.cast("long")
     return joined.withColumn(out, result).drop("_blk", "_val", "_in", "_carry")
