@@ -35,3 +35,15 @@ def test_plugin_scorer_faults_are_flagged(spark):
            for r in with_scorer(df, scorer, rule="wide").collect()}
     assert got["a"] == (0.3, False, "POSITIVE")
     assert got["b"] == (0.0, True, "NEUTRAL") and got["c"] == (0.0, True, "NEUTRAL")
+
+
+def test_read_lexicon_from_a_table(spark, scratch):
+    import os
+    from pulse.operators.scoring import read_lexicon
+    path = os.path.join(scratch, "lexicon.csv")
+    with open(path, "w") as f:
+        f.write("word,polarity_hundredths\nGood,80\nbad,-60\n")
+    lex = read_lexicon(spark, path, fmt="csv", header="true")
+    assert sorted(tuple(r) for r in lex.collect()) == [("bad", -60), ("good", 80)]
+    docs = spark.createDataFrame([(1, "good good bad")], "doc_id long, text string")
+    assert lexicon_polarity(docs, lex).first().polarity_sum == 100
