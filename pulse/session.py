@@ -19,6 +19,9 @@ SCALE_DEFAULTS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # texts go to a plug-in scorer in Arrow batches: 2,000 rows of at most a few
+    # hundred KB each keeps a batch well inside a Python worker's memory
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
