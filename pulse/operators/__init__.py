@@ -14,5 +14,5 @@ from pulse.operators.views import (  # noqa: F401
     recent_posts, throughput, windowed_stats,
 )
 from pulse.operators.windows import (  # noqa: F401
-    late_report, sample_lists, trend, window_samples, window_series, windowed_sentiment,
+    late_report, sample_lists, trend, window_samples, window_series, windowed_sentiment, windowed_with_samples,
 )

@@ -96,3 +96,15 @@ def late_report(posts: DataFrame, delay: str = "30 seconds", feed: str = "feed",
                  F.count_if(~F.coalesce(F.col("_late_us") > delay_us, F.lit(False))).alias("on_time"),
                  F.count_if(F.coalesce(F.col("_late_us") > delay_us, F.lit(False))).alias("late"),
                  (F.max(F.greatest(F.col("_late_us"), F.lit(0))) / F.lit(1e6)).alias("max_lateness_seconds")))
+
+
+def windowed_with_samples(scored: DataFrame, size: str = WINDOW_SIZE, slide: str = WINDOW_SLIDE,
+                          n: int = SAMPLE_TEXTS, ts: str = "timestamp", label: str = "sentiment_label",
+                          score: str = "sentiment_score", text: str = "text", tie: str = "id") -> DataFrame:
+    """The reference's window row - ``window, sentiment_label, tweet_count,
+    avg_sentiment, sample_tweets`` - with ``sample_tweets`` holding the newest
+    ``n`` texts instead of every text: counts come from the partial aggregate,
+    samples from the per-task group limit, joined on (window, band)."""
+    counts = windowed_sentiment(scored, size, slide, ts, label, score, order=None)
+    samples = sample_lists(window_samples(scored, size, slide, n, ts, label, tie), text, label)
+    return counts.join(samples, ["window", label], "left")

@@ -135,3 +135,12 @@ def test_weighted_views_equal_row_views(spark):
     assert norm(views.kpis(weighted, now, start, None, weight="n")) == norm(views.kpis(rows, now, start))
     assert (k.total_tweets, k.positive, k.negative, k.tps_text) == (10, 7, 2, "0.5")
     assert k.avg_text == "0.460"
+
+
+def test_windowed_with_samples(spark):
+    rows = [(str(i), "u", T0 + dt.timedelta(seconds=i), "NEUTRAL", 0.0, 0.0) for i in range(6)]
+    df = _scored(spark, rows).withColumn("text", F.concat(F.lit("t"), "id"))
+    out = {r.window.start: (r.tweet_count, r.sample_tweets)
+           for r in windows.windowed_with_samples(df, "10 seconds", "5 seconds", n=2).collect()}
+    assert out[T0] == (6, ["t5", "t4"])
+    assert out[T0 + dt.timedelta(seconds=5)] == (1, ["t5"])
