@@ -6,7 +6,7 @@ from pulse.operators.ingest import (  # noqa: F401
 )
 from pulse.operators.prefix import running  # noqa: F401
 from pulse.operators.scoring import (  # noqa: F401
-    attach_scores, lexicon_frame, lexicon_polarity, read_lexicon, score_documents, score_texts,
+    attach_scores, lexicon_frame, lexicon_polarity, lexicon_scorer, read_lexicon, score_documents, score_texts,
     with_bands, with_scorer,
 )
 from pulse.operators.views import (  # noqa: F401

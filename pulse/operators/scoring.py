@@ -138,6 +138,22 @@ def score_texts(df: DataFrame, lexicon: DataFrame, key: str, text: str = "text",
     return attach_scores(df, scores.drop("hits", "polarity_sum", "unscored"), on=key)
 
 
+def lexicon_scorer(entries: Iterable[tuple[str, int]]) -> Callable[[str], float]:
+    """A ``str -> float`` scorer with the same result as ``lexicon_polarity`` (same
+    tokens, same mean of hundredths), for ``with_scorer`` / streams, where the
+    join-and-aggregate form would need state.  Meant for lexicons that fit in a
+    Python dict on every executor; larger ones use the join in batch."""
+    import re
+
+    table = {str(w): int(v) for w, v in entries}
+    split = re.compile(TOKEN_PATTERN).split
+
+    def score_text(text: str) -> float:
+        vals = [table[w] for w in split(text.lower()) if w in table]
+        return sum(vals) / (HUNDREDTHS * len(vals)) if vals else 0.0
+    return score_text
+
+
 def with_scorer(df: DataFrame, fn: Callable[[str], float], text: str = "text", rule: str = "strict") -> DataFrame:
     """Score each text with a user function ``str -> float`` (e.g. an outside
     sentiment library) in one Arrow-batched pandas UDF, then band it natively.

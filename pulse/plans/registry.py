@@ -8,7 +8,6 @@ rounded to 6 places and times are returned as TIMESTAMP_NTZ (UTC wall clock).
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +17,7 @@ from pyspark.sql.types import TimestampType
 from pulse.functions.sentiment import display_label, emoji, label
 from pulse.functions.text import age_parts, age_text, card_line, fixed, short_time
 from pulse.operators import ingest, views, windows
-from pulse.operators.scoring import with_scorer
+from pulse.operators.scoring import lexicon_scorer, with_scorer
 from pulse.plans.inputs import (
     SPAN_ALL, TEST_LEXICON, doc_scores, event_count, newest_event, oldest_event, scored_posts,
 )
@@ -92,21 +91,11 @@ def _emoji(spark, sf):
                     emoji(wide, "dots").alias("dot"))
 
 
-def _python_lexicon_scorer():
-    table = dict(TEST_LEXICON)
-    split = re.compile("[^a-z]+").split
-
-    def fn(text: str) -> float:
-        vals = [table[w] for w in split(text.lower()) if w in table]
-        return sum(vals) / (100 * len(vals)) if vals else 0.0
-    return fn
-
-
 @_register("plugin_scorer")
 def _plugin_scorer(spark, sf):
-    """A user scorer (here a Python lexicon scorer) through one pandas UDF."""
+    """A plug-in scorer (the lexicon as a Python scorer) through one pandas UDF."""
     docs = read_table(spark, sf, "documents", "doc_id", "text")
-    out = with_scorer(docs, _python_lexicon_scorer(), rule="strict")
+    out = with_scorer(docs, lexicon_scorer(TEST_LEXICON), rule="strict")
     return out.select("doc_id", "polarity", "sentiment_label", "sentiment_score",
                       "unscored")
 

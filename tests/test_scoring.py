@@ -47,3 +47,12 @@ def test_read_lexicon_from_a_table(spark, scratch):
     assert sorted(tuple(r) for r in lex.collect()) == [("bad", -60), ("good", 80)]
     docs = spark.createDataFrame([(1, "good good bad")], "doc_id long, text string")
     assert lexicon_polarity(docs, lex).first().polarity_sum == 100
+
+
+def test_python_lexicon_scorer_equals_the_join(spark):
+    from pulse.operators.scoring import lexicon_scorer
+    texts = ["Good, good and BAD!", "nothing here", "ok", "good2bad", "élan goodé bad", "", "OK ok Ok"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    joined = {r.doc_id: r.polarity for r in lexicon_polarity(docs, lexicon_frame(spark, LEX)).collect()}
+    fn = lexicon_scorer(LEX)
+    assert {i: fn(t) for i, t in enumerate(texts)} == joined
