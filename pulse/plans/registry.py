@@ -123,6 +123,13 @@ def _windowed_sentiment_hourly(spark, sf):
     return _windowed_out(_windowed(spark, sf, "strict", "1 hour", "30 minutes"))
 
 
+@_register("windowed_sentiment_panes")
+def _windowed_sentiment_panes(spark, sf):
+    """A1 with 1 h windows sliding by 10 min: six windows per post, computed from
+    10-minute pane aggregates instead of six copies of every row."""
+    return _windowed_out(_windowed(spark, sf, "strict", "1 hour", "10 minutes"))
+
+
 @_register("window_samples")
 def _window_samples(spark, sf):
     """A2: newest 3 texts of each 1 h / 30 min window x band; texts joined after sampling."""

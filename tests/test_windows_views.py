@@ -144,3 +144,21 @@ def test_windowed_with_samples(spark):
            for r in windows.windowed_with_samples(df, "10 seconds", "5 seconds", n=2).collect()}
     assert out[T0] == (6, ["t5", "t4"])
     assert out[T0 + dt.timedelta(seconds=5)] == (1, ["t5"])
+
+
+def test_panes_equal_plain_windows(spark):
+    import random
+    rnd = random.Random(5)
+    rows = [(str(i), "u", T0 + dt.timedelta(seconds=rnd.randint(0, 4000)), rnd.choice(["A", "B"]),
+             rnd.choice([0.6, -0.6, 0.0, None]), 0.0) for i in range(600)]
+    rows.append(("n", "u", None, "A", 0.6, 0.0))
+    df = _scored(spark, rows)
+    for size, slide in (("10 seconds", "5 seconds"), ("1 minute", "10 seconds"), ("1 hour", "5 minutes")):
+        a = windows.windowed_sentiment(df, size, slide, order=None, panes=True)
+        b = windows.windowed_sentiment(df, size, slide, order=None, panes=False)
+        assert a.schema.simpleString() == b.schema.simpleString()
+
+        def rows_of(x):
+            return sorted((r.window.start, r.window.end, r.sentiment_label, r.tweet_count,
+                           None if r.avg_sentiment is None else round(r.avg_sentiment, 9)) for r in x.collect())
+        assert rows_of(a) == rows_of(b), (size, slide)
