@@ -76,15 +76,34 @@ def _windowed_by_panes(scored: DataFrame, size_s: int, slide_s: int, ts: str, la
 
 def window_samples(scored: DataFrame, size: str = WINDOW_SIZE, slide: str = WINDOW_SLIDE,
                    n: int = SAMPLE_TEXTS, ts: str = "timestamp", label: str = "sentiment_label",
-                   tie: str = "id") -> DataFrame:
+                   tie: str = "id", panes: bool | None = None) -> DataFrame:
     """The newest ``n`` rows of each (window, band), with ``sample_rank`` 1..n.
 
     ``row_number() <= n`` is planned with a per-task group limit before the
     shuffle, so at most ``n`` rows per group and task move, however hot a window
-    is.  Attach texts afterwards (only the sampled rows need them).
+    is.  With ``panes`` (default when size/slide > 2) each slide-sized pane keeps
+    its newest ``n`` first and only those rows are copied into their windows: a
+    window's newest ``n`` are among its panes' newest ``n``.  Attach texts
+    afterwards (only the sampled rows need them).
     """
-    expanded = scored.select(F.window(F.col(ts), size, slide).alias("window"), *scored.columns)
-    w = Window.partitionBy("window", label).orderBy(F.col(ts).desc(), F.col(tie).desc())
+    size_s, slide_s = interval_seconds(size), interval_seconds(slide)
+    can_pane = size_s is not None and slide_s and size_s % slide_s == 0
+    if panes is None:
+        panes = bool(can_pane and size_s // slide_s > 2)
+    newest = [F.col(ts).desc(), F.col(tie).desc()]
+    if panes and can_pane:
+        pane = F.window(F.col(ts), f"{slide_s} seconds")["start"]
+        in_pane = Window.partitionBy("_pane", label).orderBy(*newest)
+        top = (scored.withColumn("_pane", pane).withColumn("_r", F.row_number().over(in_pane))
+               .filter(F.col("_r") <= F.lit(int(n))))
+        k = F.explode(F.sequence(F.lit(0), F.lit(size_s // slide_s - 1))).alias("_k")
+        start = F.col("_pane") - F.make_dt_interval(secs=F.col("_k") * F.lit(slide_s))
+        expanded = (top.select("*", k)
+                    .select(F.struct(start.alias("start"), (start + F.make_dt_interval(secs=F.lit(size_s)))
+                                     .alias("end")).alias("window"), *scored.columns))
+    else:
+        expanded = scored.select(F.window(F.col(ts), size, slide).alias("window"), *scored.columns)
+    w = Window.partitionBy("window", label).orderBy(*newest)
     return (expanded.withColumn("sample_rank", F.row_number().over(w))
             .filter(F.col("sample_rank") <= F.lit(int(n))))
 

@@ -162,3 +162,18 @@ def test_panes_equal_plain_windows(spark):
             return sorted((r.window.start, r.window.end, r.sentiment_label, r.tweet_count,
                            None if r.avg_sentiment is None else round(r.avg_sentiment, 9)) for r in x.collect())
         assert rows_of(a) == rows_of(b), (size, slide)
+
+
+def test_pane_samples_equal_plain_samples(spark):
+    import random
+    rnd = random.Random(9)
+    rows = [(str(i), "u", T0 + dt.timedelta(seconds=rnd.randint(0, 3000)), rnd.choice(["A", "B"]), 0.0, 0.0)
+            for i in range(500)]
+    df = _scored(spark, rows)
+    for size, slide in (("1 minute", "10 seconds"), ("10 minutes", "1 minute")):
+        a = windows.window_samples(df, size, slide, 3, panes=True)
+        b = windows.window_samples(df, size, slide, 3, panes=False)
+
+        def rows_of(x):
+            return sorted((r.window.start, r.sentiment_label, r.sample_rank, r.id) for r in x.collect())
+        assert rows_of(a) == rows_of(b)
