@@ -30,6 +30,9 @@ def read_lines(spark: SparkSession, path: str | None = None, fmt: str = "text",
     to bound a micro-batch); ``fmt="kafka"`` reads a topic (pass
     ``kafka.bootstrap.servers`` / ``subscribe``; ``maxOffsetsPerTrigger`` bounds a
     batch).  Both sources are replayable, which the checkpointed queries rely on.
+    Kafka needs the connector on the classpath (``spark-submit --packages
+    org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>``); it is not
+    bundled with PySpark.
     """
     reader = spark.readStream if stream else spark.read
     reader = reader.format(fmt).options(**options)
