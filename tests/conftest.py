@@ -15,7 +15,7 @@ def spark():
     from pyspark.sql import SparkSession
 
     ckpt = tempfile.mkdtemp(prefix="pulse-test-ckpt-")
-    s = (SparkSession.builder.master("local[*]")
+    s = (SparkSession.builder.master(os.environ.get("PULSE_TEST_MASTER", "local[*]"))
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
