@@ -62,15 +62,23 @@ def score_batches(posts: DataFrame, lexicon: DataFrame, path: str, name: str, ru
 
 def windowed_stream(scored: DataFrame, size: str = "10 seconds", slide: str = "5 seconds",
                     watermark: str | None = WATERMARK_WINDOWED, ts: str = "timestamp",
-                    label: str = "sentiment_label", score: str = "sentiment_score") -> DataFrame:
+                    label: str = "sentiment_label", score: str = "sentiment_score",
+                    order: str | None = None) -> DataFrame:
     """Sliding window x band with count and mean, over a watermarked stream.
 
     State per window is a count and a sum (not the texts), so it stays small;
     with append/update output the watermark also evicts finished windows.
+    ``order`` (``"asc"`` / ``"desc"`` by window) is for complete output only,
+    where Spark can sort the whole result of each batch.
     """
     src = scored.withWatermark(ts, watermark) if watermark else scored
-    return (src.groupBy(F.window(F.col(ts), size, slide).alias("window"), F.col(label))
-            .agg(F.count(F.lit(1)).alias("tweet_count"), F.avg(score).alias("avg_sentiment")))
+    out = (src.groupBy(F.window(F.col(ts), size, slide).alias("window"), F.col(label))
+           .agg(F.count(F.lit(1)).alias("tweet_count"), F.avg(score).alias("avg_sentiment")))
+    if order == "asc":
+        out = out.orderBy(F.col("window").asc())
+    elif order == "desc":
+        out = out.orderBy(F.col("window").desc())
+    return out
 
 
 def output_mode(late: str) -> str:

@@ -76,6 +76,12 @@ def test_late_rows_append_vs_complete(spark, scratch):
         (T0 + dt.timedelta(minutes=10, seconds=-5), 2), (T0 + dt.timedelta(minutes=10), 2),
         (T0 + dt.timedelta(minutes=20, seconds=-5), 1), (T0 + dt.timedelta(minutes=20), 1)]
 
+    posts = post_stream(spark, src, max_files_per_trigger=1)
+    _run(to_table(windowed_stream(_neutral(posts), watermark="30 seconds", order="desc"), "late_sorted",
+                  output_mode("keep"), once))
+    starts = [r.window.start for r in spark.sql("SELECT * FROM late_sorted").collect()]
+    assert starts == sorted(starts, reverse=True) and len(starts) == 6
+
     posts = post_stream(spark, src, watermark="30 seconds", max_files_per_trigger=1)
     _run(to_table(_neutral(posts), "late_rows", "append", once))
     assert sorted(r.id for r in spark.sql("SELECT id FROM late_rows").collect()) == \
