@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators: scoring, ingest, windows, views, prefix scans."""
 
 from pulse.operators.ingest import (  # noqa: F401
-    catch_up, chunk_posts, dedup_key, dedup_posts, fetch_report, high_water, latest_n,
+    catch_up, chunk_posts, chunk_rows, dedup_key, dedup_posts, fetch_report, high_water, latest_n,
     low_volume_streaks, normalize_posts, recent, rejected_posts, search, since_id, stamp_ingest,
 )
 from pulse.operators.prefix import running  # noqa: F401

@@ -172,6 +172,23 @@ def recent(posts: DataFrame, limit: int = RECENT_LIMIT, ts: str = "timestamp", t
     return latest_n(posts, limit, ts, tie).orderBy(F.col(ts).asc_nulls_first(), F.col(tie).asc())
 
 
+def chunk_rows(df: DataFrame, size: int = CHUNK_SIZE, partition: list[str] | None = None,
+               order: list | None = None, block=None) -> DataFrame:
+    """Consecutive chunks of ``size`` rows in ``order`` within each ``partition``
+    value: adds ``pos`` (1-based place) and ``chunk`` (0-based chunk number).
+
+    The place is a blocked running count: ``block`` (non-decreasing along
+    ``order``, e.g. a minute, or ``turn div 1000``) bounds what one task sorts,
+    so a partition value holding a third of all rows is still spread out.
+    ``order`` must be a total order within a partition value.
+    """
+    order = [F.col(c) if isinstance(c, str) else c for c in (order or [])]
+    blk = F.lit(0) if block is None else (F.col(block) if isinstance(block, str) else block)
+    ranked = running(df, F.lit(1), "count", order, blk, partition=list(partition or []), inclusive=True,
+                     out="pos")
+    return ranked.withColumn("chunk", F.floor((F.col("pos") - 1) / F.lit(size)).cast("long"))
+
+
 def chunk_posts(posts: DataFrame, size: int = CHUNK_SIZE, ts: str = "timestamp", tie: str = "id",
                 every: str = "1 hour", block: str = "1 minute") -> DataFrame:
     """Consecutive chunks of ``size`` posts, in time order, restarting every ``every``.
@@ -183,9 +200,7 @@ def chunk_posts(posts: DataFrame, size: int = CHUNK_SIZE, ts: str = "timestamp",
     bucket = F.window(F.col(ts), every)["start"]
     sub = F.window(F.col(ts), block)["start"]
     base = posts.filter(F.col(ts).isNotNull()).withColumn("chunk_start", bucket).withColumn("_sub", sub)
-    ranked = running(base, F.lit(1), "count", [F.col(ts), F.col(tie)], "_sub",
-                     partition=["chunk_start"], inclusive=True, out="pos")
-    return ranked.drop("_sub").withColumn("chunk", F.floor((F.col("pos") - 1) / F.lit(size)).cast("long"))
+    return chunk_rows(base, size, ["chunk_start"], [ts, tie], "_sub").drop("_sub")
 
 
 def fetch_report(posts: DataFrame, every: str = "1 hour", ts: str = "timestamp", block: str = "1 day") -> DataFrame:

@@ -342,6 +342,12 @@ FROM (SELECT id, time_bucket(INTERVAL '1 hour', "timestamp", TIMESTAMP '1970-01-
                                                          TIMESTAMP '1970-01-01 00:00:00')
                                 ORDER BY "timestamp", id) AS pos
       FROM posts WHERE "timestamp" IS NOT NULL)""",
+    "conversation_chunks": """SELECT conv_id, turn, role, pos, (pos - 1) // 5 AS chunk
+FROM (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos
+      FROM conversations)""",
+    "conversation_previews": """SELECT conv_id, turn, role, substring(coalesce(text, ''), 1, 80) || '...' AS preview,
+       CAST(length(text) AS BIGINT) AS n_chars
+FROM conversations""",
     "fetch_report": _with(_POSTS, _REPORT)
     + """SELECT interval_start, posts, credits, total_posts, total_posts * 15 AS total_credits,
        least(total_posts, 1000) AS held FROM report_run""",

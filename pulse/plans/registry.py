@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from pulse.functions.sentiment import display_label, emoji, label
-from pulse.functions.text import age_parts, age_text, card_line, fixed, short_time
+from pulse.functions.text import age_parts, age_text, card_line, fixed, preview, short_time
 from pulse.operators import ingest, views, windows
 from pulse.operators.scoring import lexicon_scorer, with_scorer
 from pulse.plans.inputs import (
@@ -431,6 +431,22 @@ def _chunk_posts(spark, sf):
     return ingest.chunk_posts(posts_view(spark, sf)).select("id", "chunk_start", "pos", "chunk")
 
 
+@_register("conversation_chunks")
+def _conversation_chunks(spark, sf):
+    """I15 on conversations: chunks of 5 consecutive turns within each conversation."""
+    conv = read_table(spark, sf, "conversations", "conv_id", "turn", "role")
+    out = ingest.chunk_rows(conv, 5, ["conv_id"], ["turn"], F.floor(F.col("turn") / F.lit(1000)))
+    return out.select("conv_id", "turn", "role", "pos", "chunk")
+
+
+@_register("conversation_previews")
+def _conversation_previews(spark, sf):
+    """F7 on conversations: 80-character preview of every turn, and its full length."""
+    conv = read_table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
+    return conv.select("conv_id", "turn", "role", preview("text").alias("preview"),
+                       F.length("text").cast("long").alias("n_chars"))
+
+
 def _report(spark, sf):
     return ingest.fetch_report(posts_view(spark, sf), "1 hour")
 
