@@ -124,3 +124,16 @@ def test_rejects_and_stamp(spark):
     assert sorted(r.pos for r in ingest.rejected_posts(raw, keep=["pos"]).collect()) == [1, 2, 3]
     stamped = ingest.stamp_ingest(raw, now=T0).select("fetched_at").distinct().collect()
     assert [r.fetched_at for r in stamped] == [T0]
+
+
+def test_chunk_rows_hot_key(spark):
+    rows = [("hot", t) for t in range(900)] + [(f"c{i % 50}", i) for i in range(1800)]
+    df = spark.createDataFrame(rows, "k string, turn long")
+    out = ingest.chunk_rows(df, 5, ["k"], ["turn"], F.floor(F.col("turn") / F.lit(37)))
+    got = {(r.k, r.turn): (r.pos, r.chunk) for r in out.collect()}
+    by_key = {}
+    for k, t in rows:
+        by_key.setdefault(k, []).append(t)
+    for k, turns in by_key.items():
+        for place, t in enumerate(sorted(turns), start=1):
+            assert got[(k, t)] == (place, (place - 1) // 5)
