@@ -210,3 +210,19 @@ def test_since_id_stream_moves_the_mark(spark, scratch):
     got = sorted((r.batch, r.id) for r in spark.read.parquet(out).collect())
     assert got == [(0, "3"), (0, "5"), (0, "9"), (1, "10"), (1, "10"), (2, "11")]
     assert spark.read.parquet(marks).agg(F.max("hwm")).first()[0] == 11
+
+
+def test_late_row_right_after_the_advance_still_counts(spark, scratch):
+    """Spark applies a new watermark from the batch after next: without batch 2 the
+    late row comes one batch after the advance and is still counted."""
+    src = os.path.join(scratch, "in")
+    write_batches(src, [b for i, b in enumerate(LATE_BATCHES) if i != 2])
+    posts = post_stream(spark, src, max_files_per_trigger=1)
+    q = _run(to_table(windowed_stream(_neutral(posts), watermark="30 seconds"), "late_lag",
+                      output_mode("drop"), trigger_options(available_now=True)))
+    assert _windows(spark, "late_lag") == [
+        (T0 - dt.timedelta(seconds=5), 2), (T0, 2),
+        (T0 + dt.timedelta(minutes=10, seconds=-5), 1), (T0 + dt.timedelta(minutes=10), 1)]
+    dropped = sum(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
+                  if p.get("stateOperators"))
+    assert dropped == 0
