@@ -199,6 +199,9 @@ FROM (SELECT doc_id, {band('polarity', 'strict')} AS sentiment_label, {band('pol
     + f"SELECT window_start, window_end, sentiment_label, tweet_count, {r6('avg_sentiment')} AS avg_sentiment "
       "FROM w",
     "windowed_sentiment_hourly": _with(*_POST_CTES, _scored("strict"), _windowed("w", "scored_strict", 3600, 1800))
+    + f"SELECT window_start, window_end, sentiment_label, tweet_count, {r6('avg_sentiment')} AS avg_sentiment "
+      "FROM w",
+    "stream_windowed_sentiment": _with(*_POST_CTES, _scored("strict"), _windowed("w", "scored_strict", 10, 5))
     + f"SELECT window_start, window_end, sentiment_label, tweet_count, {r6('avg_sentiment')} AS avg_sentiment "
       "FROM w",
     "windowed_sentiment_panes": _with(*_POST_CTES, _scored("strict"), _windowed("w", "scored_strict", 3600, 600))

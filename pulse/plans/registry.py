@@ -130,6 +130,37 @@ def _windowed_sentiment_panes(spark, sf):
     return _windowed_out(_windowed(spark, sf, "strict", "1 hour", "10 minutes"))
 
 
+@_register("stream_windowed_sentiment")
+def _stream_windowed_sentiment(spark, sf):
+    """The flagship windows computed by a Structured Streaming query.
+
+    The posts (whole texts) are written as JSON lines under the session's
+    checkpoint folder; a file stream (2 files per micro-batch) parses them, scores
+    them with the lexicon as a plug-in scorer, and keeps 10 s / 5 s windows in
+    complete mode (late rows kept), rewriting a parquet table each batch.  The
+    stored table must equal the batch query ``windowed_sentiment``.
+    """
+    import uuid
+
+    from pulse.session import checkpoint_root
+    from pulse.streaming import post_stream, scored_stream, stop_all, trigger_options, windowed_stream
+    from pulse.streaming.sinks import write_complete
+
+    root = f"{checkpoint_root(spark)}/registry/stream_windowed_{uuid.uuid4().hex}"
+    to_lines(posts_view(spark, sf, with_text=True)).repartition(8).write.text(f"{root}/lines")
+    posts = post_stream(spark, f"{root}/lines", max_files_per_trigger=2)
+    scored = scored_stream(posts, lexicon_scorer(TEST_LEXICON), rule="strict")
+    windows_ = windowed_stream(scored, windows.WINDOW_SIZE, windows.WINDOW_SLIDE, watermark="30 seconds")
+    q = write_complete(windows_, f"{root}/windows", f"stream_windowed_{uuid.uuid4().hex[:8]}",
+                       trigger_options(available_now=True), checkpoint=f"{root}/checkpoint")
+    try:
+        q.processAllAvailable()
+        q.awaitTermination(600)
+    finally:
+        stop_all([q])
+    return _windowed_out(spark.read.parquet(f"{root}/windows"))
+
+
 @_register("window_samples")
 def _window_samples(spark, sf):
     """A2: newest 3 texts of each 1 h / 30 min window x band; texts joined after sampling."""
