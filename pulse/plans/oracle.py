@@ -204,6 +204,8 @@ FROM (SELECT doc_id, {band('polarity', 'strict')} AS sentiment_label, {band('pol
     "stream_windowed_sentiment": _with(*_POST_CTES, _scored("strict"), _windowed("w", "scored_strict", 10, 5))
     + f"SELECT window_start, window_end, sentiment_label, tweet_count, {r6('avg_sentiment')} AS avg_sentiment "
       "FROM w",
+    "stream_scored_posts": _with(*_POST_CTES, _scored("strict"))
+    + "SELECT id, polarity, sentiment_label, sentiment_score FROM scored_strict",
     "windowed_sentiment_panes": _with(*_POST_CTES, _scored("strict"), _windowed("w", "scored_strict", 3600, 600))
     + f"SELECT window_start, window_end, sentiment_label, tweet_count, {r6('avg_sentiment')} AS avg_sentiment "
       "FROM w",

@@ -161,6 +161,31 @@ def _stream_windowed_sentiment(spark, sf):
     return _windowed_out(spark.read.parquet(f"{root}/windows"))
 
 
+@_register("stream_scored_posts")
+def _stream_scored_posts(spark, sf):
+    """S4, F1 in a stream: the posts as a file stream, scored per micro-batch by the
+    lexicon join (``score_batches``), each batch written to its own folder.  The
+    stored rows must equal every post with its document's score."""
+    import uuid
+
+    from pulse.operators.scoring import lexicon_frame
+    from pulse.session import checkpoint_root
+    from pulse.streaming import post_stream, score_batches, stop_all, trigger_options
+
+    root = f"{checkpoint_root(spark)}/registry/stream_scored_{uuid.uuid4().hex}"
+    to_lines(posts_view(spark, sf, with_text=True)).repartition(8).write.text(f"{root}/lines")
+    posts = post_stream(spark, f"{root}/lines", max_files_per_trigger=2)
+    q = score_batches(posts, lexicon_frame(spark, TEST_LEXICON), f"{root}/scored",
+                      f"stream_scored_{uuid.uuid4().hex[:8]}", rule="strict",
+                      trigger=trigger_options(available_now=True), checkpoint=f"{root}/checkpoint")
+    try:
+        q.processAllAvailable()
+        q.awaitTermination(600)
+    finally:
+        stop_all([q])
+    return spark.read.parquet(f"{root}/scored").select("id", "polarity", "sentiment_label", "sentiment_score")
+
+
 @_register("window_samples")
 def _window_samples(spark, sf):
     """A2: newest 3 texts of each 1 h / 30 min window x band; texts joined after sampling."""
