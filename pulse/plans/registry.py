@@ -4,6 +4,11 @@ They run the library's operators over the whole test tables (no id subsets, no
 row caps; limits appear only where the top-k is the feature).  Output columns
 are aliased to the names used by the SQL in ``pulse.plans.oracle``; means are
 rounded to 6 places and times are returned as TIMESTAMP_NTZ (UTC wall clock).
+
+Two keys run real Structured Streaming queries (``stream_windowed_sentiment``,
+``stream_scored_posts``): they write the posts as JSON lines under the
+session's checkpoint folder, drain them with an ``availableNow`` trigger, and
+return the stored result, which must equal the same SQL as the batch form.
 """
 
 from __future__ import annotations
