@@ -120,10 +120,11 @@ def dedup_posts(posts: DataFrame, key: Column | str | None = None, arrival: str
                 tie_break: str | None = "id") -> DataFrame:
     """Keep the first arrival of each key (default key: ``dedup_key(id, text)``).
 
-    Batch form of the reference's seen-key memory.  It is a hash aggregate
-    (``min_by`` on the arrival), not a window, so a key repeated in a third of
-    all rows is collapsed map-side before the shuffle instead of landing whole
-    in one task.  Running it twice changes nothing.  The reference forgets a key
+    Batch form of the reference's seen-key memory.  It is an aggregate
+    (``min_by`` on the arrival; Spark plans it as a sort aggregate with a partial
+    step in each task), not a window, so a key repeated in a third of all rows
+    is collapsed map-side before the shuffle instead of landing whole in one
+    task.  Running it twice changes nothing.  The reference forgets a key
     after one hour of wall time; on stored rows every repeat is dropped.  The
     streaming form is ``pulse.streaming.dedup_stream`` (event-time TTL).
     """
