@@ -109,7 +109,7 @@ def write_updates(df: DataFrame, path: str, name: str, trigger: dict | None = No
 
 def read_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Newest value per key of a ``write_updates`` table (``max_by`` on the batch id,
-    a hash aggregate: no key is gathered whole)."""
+    an aggregate with a partial step per task: no key is gathered whole)."""
     df = spark.read.parquet(path)
     cols = [c for c in df.columns if c != "batch" and c not in keys]
     return (df.groupBy(*keys)
