@@ -137,7 +137,8 @@ def start_dashboard(spark: SparkSession, source: str, scorer, out_root: str, rul
 
 
 def since_id_stream(posts: DataFrame, out_path: str, marks_path: str, name: str, start_mark: int | None = None,
-                    id_col: str = "id", trigger: dict | None = None, checkpoint: str | None = None):
+                    id_col: str = "id", trigger: dict | None = None, checkpoint: str | None = None,
+                    dedup_in_batch: bool = True):
     """Keep only posts whose id is above the high-water mark of all earlier
     batches (ids compared as numbers), and move the mark.
 
@@ -145,8 +146,9 @@ def since_id_stream(posts: DataFrame, out_path: str, marks_path: str, name: str,
     new mark, and reads its own starting mark as the largest mark of the batches
     before ``b`` (a scalar subquery, nothing collected).  A replayed batch reads
     the same mark and overwrites its own folders, so output stays exactly-once.
-    Repeats inside one batch are all kept, as the reference's mark moved only
-    after a whole response.
+    The reference's mark moved only after a whole response, so repeats inside
+    one response got through; ``dedup_in_batch`` (default) keeps one row per id
+    within a micro-batch instead (``dedup_in_batch=False`` keeps them all).
     """
     from pulse.operators.ingest import high_water, since_id
 
@@ -157,7 +159,10 @@ def since_id_stream(posts: DataFrame, out_path: str, marks_path: str, name: str,
     def run(batch: DataFrame, batch_id: int) -> None:
         marks = spark.read.parquet(marks_path)
         prev = marks.filter(F.col("batch") < F.lit(batch_id)).select(F.max("hwm")).scalar()
-        since_id(batch, prev, id_col).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        kept = since_id(batch, prev, id_col)
+        if dedup_in_batch:
+            kept = kept.dropDuplicates([id_col])
+        kept.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
         high_water(batch, prev, id_col).write.mode("overwrite").parquet(f"{marks_path}/batch={batch_id}")
     return write_batches(posts, run, name, trigger=trigger,
                          checkpoint=checkpoint or checkpoint_for(spark, name))
