@@ -52,7 +52,8 @@ def normalize_posts(raw: DataFrame, fallback_time=None, keep: list[str] | None =
     ``user.screen_name`` (else ``unknown``), ``created_at`` / ``timestamp``.
     Rows without an id (null, ``""`` or ``0``) are dropped.  ``timestamp`` is the
     parsed event time, else ``fallback_time`` (the reference used the wall clock;
-    with no fallback it stays null and the row is kept).
+    with no fallback it stays null and the row is kept).  With a fallback, a
+    ``time_fallback`` column flags the rows whose time is the fallback.
     """
     cols = set(raw.columns)
 
@@ -61,6 +62,8 @@ def normalize_posts(raw: DataFrame, fallback_time=None, keep: list[str] | None =
 
     screen_name = F.col("user.screen_name") if "user" in cols else F.lit(None).cast("string")
     created = time_text(field("created_at"), field("timestamp"))
+    flag = [] if fallback_time is None else [
+        parse_event_time(created).isNull().alias("time_fallback")]
     out = raw.select(
         *(keep or []),
         post_id(raw).alias("id"),
@@ -68,6 +71,7 @@ def normalize_posts(raw: DataFrame, fallback_time=None, keep: list[str] | None =
         F.coalesce(_blank_to_null(field("text")), field("full_text"), F.lit("")).alias("text"),
         F.coalesce(_blank_to_null(field("username")), screen_name, F.lit(UNKNOWN_USER)).alias("username"),
         parse_event_time(created, None, fallback_time).alias("timestamp"),
+        *flag,
     )
     return out.filter(F.col("id").isNotNull())
 

@@ -82,3 +82,13 @@ def test_lines_round_trip(spark):
     assert back[0].text == 'he said "hi"\nbye'
     assert back[0].timestamp.replace(tzinfo=None) == dt.datetime(2024, 1, 1, 0, 0, 7, 179575)
     assert back[1].id == "2" and back[1].text is None
+
+
+def test_fallback_time_is_flagged(spark):
+    lines = _lines(spark, [{"data": [{"id": "1", "created_at": "2024-01-01T00:00:01Z"},
+                                     {"id": "2", "created_at": "garbage"}]}])
+    fb = dt.datetime(2030, 1, 1)
+    from pyspark.sql import functions as F
+    rows = {r.id: r for r in normalize_posts(unwrap_envelope(lines), fallback_time=F.lit(fb)).collect()}
+    assert rows["1"].time_fallback is False and rows["2"].time_fallback is True
+    assert rows["2"].timestamp.replace(tzinfo=None) == fb
