@@ -36,7 +36,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(cpus, 1) * 2, app_name="pulse-bench")
+    # stage and task times without the web UI: BENCH_EVENT_LOG=<scratch folder> writes Spark's event log
+    log_dir = os.environ.get("BENCH_EVENT_LOG")
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir} if log_dir else None
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(cpus, 1) * 2, app_name="pulse-bench",
+                          extra=extra)
     # warm the JVM (class loading, codegen, Python workers) once on the smallest
     # tables, outside the timings; every timed query then runs on sf_dir cold data
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")

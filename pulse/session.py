@@ -26,7 +26,7 @@ SCALE_DEFAULTS = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "pulse") -> SparkSession:
+                  app_name: str = "pulse", extra: dict | None = None) -> SparkSession:
     """A session for tests, the bench and local runs.
 
     On a cluster the session comes from ``spark-submit``; only the settings the
@@ -44,7 +44,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("PULSE_DRIVER_MEMORY", "8g"))
     )
-    for key, value in SCALE_DEFAULTS.items():
+    for key, value in {**SCALE_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(key, value)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
