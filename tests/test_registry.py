@@ -6,7 +6,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.conftest import SF_SMALL
-from tools.oracle_check import TABLES, rows_of
+from tools.oracle_check import FAMILY, TABLES, rows_of
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +29,10 @@ def test_query_matches_sql(spark, duck, name):
     res = duck.execute(oracle_sql()[name])
     d_cols, d_rows = [d[0] for d in res.description], res.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
+    s_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    d_types = {d[0]: str(d[1]) for d in res.description}
+    assert {c: FAMILY.get(s_types[c], s_types[c]) for c in s_cols} == \
+        {c: FAMILY.get(d_types[c], d_types[c]) for c in s_cols}
     assert len(s_rows) == len(d_rows)
     assert rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
 
