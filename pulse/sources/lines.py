@@ -55,6 +55,20 @@ def parse_posts(lines: DataFrame, value: str = "value", keep: list[str] | None =
             .select(*keep, "_post.*"))
 
 
+def reject_lines(lines: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """Lines that are not a JSON object (``from_json`` in permissive mode keeps
+    the raw text of a malformed record in a corrupt-record column), with
+    ``reason = "not_json"``.  ``parse_posts`` turns such lines into all-null rows;
+    this is the side output that keeps them visible."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    schema = StructType(POST_SCHEMA.fields + [StructField("_corrupt", StringType(), True)])
+    parsed = F.from_json(F.col(value), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    return (lines.select(*(keep or []), F.col(value), parsed["_corrupt"].alias("_bad"))
+            .filter(F.col("_bad").isNotNull() | F.col(value).isNull() | (F.trim(F.col(value)) == F.lit("")))
+            .select(*(keep or []), F.col(value), F.lit("not_json").alias("reason")))
+
+
 def _time_as_text(c: Column, dtype) -> Column:
     if isinstance(dtype, (TimestampType, TimestampNTZType)):
         return c.cast("string")

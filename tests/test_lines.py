@@ -92,3 +92,10 @@ def test_fallback_time_is_flagged(spark):
     rows = {r.id: r for r in normalize_posts(unwrap_envelope(lines), fallback_time=F.lit(fb)).collect()}
     assert rows["1"].time_fallback is False and rows["2"].time_fallback is True
     assert rows["2"].timestamp.replace(tzinfo=None) == fb
+
+
+def test_reject_lines(spark):
+    from pulse.sources.lines import reject_lines
+    lines = _lines(spark, [{"id": "1"}, "not json", "", "{}", '{"id": 2', "[1, 2]"])
+    bad = sorted(r.value for r in reject_lines(lines).collect())
+    assert bad == sorted(["not json", "", '{"id": 2', "[1, 2]"])  # an array is not a post either
