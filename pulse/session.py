@@ -12,8 +12,9 @@ UTC = "UTC"
 # Broadcast only what has been measured: the planner's static estimate of a
 # parquet text column comes from compressed file sizes and can be far too low,
 # so static auto-broadcast is off; AQE still turns a join into a broadcast when
-# the shuffled side's measured size is under its threshold.  Explicit
-# broadcasts are used only behind a row-count check or a LIMIT.
+# the build side is a shuffle stage whose measured size is under its threshold
+# (a side computed on top of a stage has no run-time size and stays a shuffle
+# join).  Explicit broadcasts are used only behind a row-count check or a LIMIT.
 SCALE_DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
