@@ -114,12 +114,17 @@ def score_documents(docs: DataFrame, lexicon: DataFrame, rule: str = "strict", k
     return with_bands(lexicon_polarity(docs, lexicon, key, text, broadcast_max_rows, broadcast), rule)
 
 
-def attach_scores(posts: DataFrame, doc_scores: DataFrame, on: str = "doc_id") -> DataFrame:
+def attach_scores(posts: DataFrame, doc_scores: DataFrame, on: str = "doc_id",
+                  broadcast_scores: bool = False) -> DataFrame:
     """Join per-document scores to posts that reference a document.  Both sides
-    are narrow; AQE turns the join into a broadcast at run time when the score
-    side turns out small, and splits skewed ``doc_id`` partitions otherwise."""
+    are narrow.  ``broadcast_scores``: the caller has checked the number of
+    documents (one score row each) against a bound, so the scores are broadcast
+    and the posts are not shuffled; otherwise both sides shuffle on ``doc_id``
+    and AQE splits skewed partitions (a document shown by very many posts)."""
     cols = [c for c in ("polarity", "sentiment_label", "sentiment_score") if c in doc_scores.columns]
     scores = doc_scores.select(F.col(on).alias("_sk"), *cols)
+    if broadcast_scores:
+        scores = F.broadcast(scores)
     joined = posts.join(scores, posts[on] == scores["_sk"], "left").drop("_sk")
     # a post whose document is missing is scored like an empty text
     return joined.select(

@@ -33,10 +33,23 @@ def doc_scores(spark: SparkSession, sf_dir: str, rule: str = "strict") -> DataFr
     return score_documents(docs, fixture_lexicon(spark), rule)
 
 
+# one score row per document (about 50 bytes): broadcast up to a million documents
+SCORE_BROADCAST_MAX_DOCS = 1_000_000
+
+
+def scores_fit(spark: SparkSession, sf_dir: str, max_docs: int = SCORE_BROADCAST_MAX_DOCS) -> bool:
+    """The per-document scores are small enough to broadcast: a row count of the
+    documents table (parquet metadata), checked on the driver."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id")
+    return docs.limit(max_docs + 1).count() <= max_docs
+
+
 def scored_posts(spark: SparkSession, sf_dir: str, rule: str = "wide") -> DataFrame:
-    """Posts view + ``polarity, sentiment_label, sentiment_score`` (no text)."""
+    """Posts view + ``polarity, sentiment_label, sentiment_score`` (no text).  The
+    scores are broadcast when the document count allows it (a proven bound: one
+    row per document); beyond it the join shuffles on ``doc_id``."""
     scores = doc_scores(spark, sf_dir, rule).drop("hits", "polarity_sum", "unscored")
-    return attach_scores(posts_view(spark, sf_dir), scores)
+    return attach_scores(posts_view(spark, sf_dir), scores, broadcast_scores=scores_fit(spark, sf_dir))
 
 
 def newest_event(spark: SparkSession, sf_dir: str):
