@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.best_fit import pack_documents
+from llm.boosted import fit, score_documents
+from llm.quality_rules import judge_documents
 from llm.shared import fresh_path
 from llm.token_files import token_digests, write_tokens
 
@@ -26,8 +28,19 @@ def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op9_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op10_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op7_best_fit": op7_best_fit,
+    "op9_boosted_quality": op9_boosted_quality,
+    "op10_adaptive_rules": op10_adaptive_rules,
 }
 ORACLE: dict[str, str] = {}
