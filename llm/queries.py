@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from llm.best_fit import pack_documents
 from llm.boosted import fit, score_documents
+from llm.near_dedup import near_duplicates
 from llm.quality_rules import judge_documents
 from llm.shared import fresh_path
 from llm.token_files import token_digests, write_tokens
@@ -24,6 +25,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, path)
 
 
+def op4_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -39,6 +44,7 @@ def op10_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op4_minhash_bayes": op4_minhash_bayes,
     "op7_best_fit": op7_best_fit,
     "op9_boosted_quality": op9_boosted_quality,
     "op10_adaptive_rules": op10_adaptive_rules,
