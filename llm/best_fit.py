@@ -80,9 +80,10 @@ def best_fit(sizes: list[int], capacity: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pack_group(frames, level: int, capacity: int):
-    rows = pd.concat(list(frames), ignore_index=True)
-    if rows.empty:
+    frames = [f for f in frames if len(f)]
+    if not frames:
         return
+    rows = pd.concat(frames, ignore_index=True)
     if level == 0:
         rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True], ignore_index=True)
         item, offset, sizes = np.arange(len(rows)), np.zeros(len(rows), np.int64), rows["length"].to_numpy()
