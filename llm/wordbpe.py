@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
 ID = "<u4"                        # ids as little-endian unsigned 32-bit integers
-KEEP_CHUNKS, KEEP_PIECES, LONGEST = 400_000, 300_000, 48   # entries of the memories, characters of an entry
+KEEP_CHUNKS, KEEP_PIECES = 1_000_000, 700_000     # entries of the memories (about 200 bytes each)
+KEEP_SHARE, LONGEST = 0.4, 48                     # share that stays when one is full, characters of an entry
 
 # --- fixed values: the file's pre-token pattern for lower-case Latin text without white space ---
 LETTERS = "a-zß-öø-ÿ"
@@ -24,6 +26,11 @@ PLAIN = "[!-~À-ÖØ-öø-ÿ]+"
 # ------------------------------------------------------------------------------------------------
 
 
+def _thinned(memory: dict[str, bytes], most: int) -> dict[str, bytes]:
+    """A full memory keeps its oldest entries: frequent words are met early."""
+    return memory if len(memory) <= most else dict(islice(memory.items(), int(most * KEEP_SHARE)))
+
+
 class WordEncoder:
     """``encode(texts)`` gives each text's ids as bytes, equal to the library's on the whole text."""
 
@@ -50,33 +57,43 @@ class WordEncoder:
         return {p: data[cut[i]:cut[i + 1]] for i, p in enumerate(new)}
 
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        lines = {c: c.split("\n") for c in chunks}
-        cut = {}
-        for part in set().union(*lines.values()) if lines else ():
-            cut[part] = self.split(part.lower()) if "<|" not in part and self.plain(part) else None
-        new = [p for p in set().union(*(x for x in cut.values() if x)) if p not in self.pieces]
-        found = self._encode_pieces(new) if new else {}
-        if len(self.pieces) + len(found) > KEEP_PIECES:
-            found = {**{p: self.pieces[p] for x in cut.values() if x for p in x if p in self.pieces}, **found}
-            self.pieces = {}
-        self.pieces.update(found)
-        part_ids = {part: b"".join(map(self.pieces.__getitem__, x)) if x else self.whole(part) if part else b""
-                    for part, x in cut.items()}
-        return {c: b"".join(map(part_ids.__getitem__, parts)) for c, parts in lines.items()}
+        """The ids of chunks not met before: line feeds cut a chunk into parts, plain parts into pre-tokens."""
+        out, cut, pieces = {}, {}, self.pieces
+        for c in chunks:
+            if self.plain(c) and "<|" not in c:
+                cut[c] = self.split(c.lower())
+            elif "\n" in c:
+                out[c] = None
+                for part in c.split("\n"):
+                    if part not in cut:
+                        cut[part] = self.split(part.lower()) if self.plain(part) and "<|" not in part else None
+            else:
+                cut[c] = None
+        new = [p for p in set().union(*(x for x in cut.values() if x)) if p not in pieces]
+        if new:
+            pieces.update(self._encode_pieces(new))
+        look = pieces.__getitem__
+        ids = {c: b"".join(map(look, x)) if x else self.whole(c) if c else b"" for c, x in cut.items()}
+        for c in out:
+            out[c] = b"".join(map(ids.__getitem__, c.split("\n")))
+        for p in [p for p in new if len(p) > LONGEST]:
+            del pieces[p]
+        self.pieces = _thinned(pieces, KEEP_PIECES)
+        ids.update(out)
+        return ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The id bytes of each text (null: none)."""
         cut = [t.split(" ") if t else [] for t in texts]
         known = self.chunks
-        learned = self._learn([c for c in set().union(*cut) if c not in known]) if cut else {}
-        extra = {c: b for c, b in learned.items() if len(c) > LONGEST}
-        known.update((c, b) for c, b in learned.items() if len(c) <= LONGEST)
-        look = known.__getitem__ if not extra else lambda c: extra[c] if c in extra else known[c]
+        new = [c for c in set().union(*cut) if c not in known]
+        if new:
+            known.update(self._learn(new))
+        look = known.__getitem__
         out = [b"".join(map(look, x)) for x in cut]
-        if len(known) > KEEP_CHUNKS:
-            self.chunks = {"": b""}
-        for p in [p for p in self.pieces if len(p) > LONGEST] if len(extra) else ():
-            del self.pieces[p]
+        for c in [c for c in new if len(c) > LONGEST]:
+            del known[c]
+        self.chunks = _thinned(known, KEEP_CHUNKS)
         return out
 
 
