@@ -9,6 +9,7 @@ from llm.best_fit import pack_documents
 from llm.boosted import fit, score_documents
 from llm.near_dedup import near_duplicates
 from llm.quality_rules import judge_documents
+from llm.rotation_codes import near_embeddings
 from llm.shared import fresh_path
 from llm.token_files import token_digests, write_tokens
 
@@ -25,6 +26,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, path)
 
 
+def op3_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def op4_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ def op10_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op3_rotation_codes": op3_rotation_codes,
     "op4_minhash_bayes": op4_minhash_bayes,
     "op7_best_fit": op7_best_fit,
     "op9_boosted_quality": op9_boosted_quality,
