@@ -16,8 +16,8 @@ from itertools import islice
 import numpy as np
 
 ID = "<u4"                        # ids as little-endian unsigned 32-bit integers
-KEEP_CHUNKS, KEEP_PIECES = 1_000_000, 700_000     # entries of the memories (about 200 bytes each)
-KEEP_SHARE, LONGEST = 0.4, 48                     # share that stays when one is full, characters of an entry
+KEEP_CHUNKS, KEEP_PIECES = 450_000, 300_000       # entries of the memories (about 200 bytes each)
+KEEP_SHARE, LONGEST = 0.5, 48                     # share that stays when one is full, characters of an entry
 
 # --- fixed values: the file's pre-token pattern for lower-case Latin text without white space ---
 LETTERS = "a-zß-öø-ÿ"
