@@ -34,11 +34,14 @@ BROADCAST_GROUPS = 100_000    # groups whose limits are broadcast (about 100 byt
 STATS_TYPE = "struct<" + ", ".join(f"{s}: bigint" for s in STATS) + ">"
 
 
-@F.pandas_udf(STATS_TYPE)
-def _stats(texts: pd.Series) -> pd.DataFrame:
+def _count(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([text_stats(t) for t in texts], columns=STATS, dtype="int64")
 
 
+def _stats(text: Column) -> Column:
+    return F.pandas_udf(_count, STATS_TYPE)(text.cast("string"))
+
+
 def _new_name(df: DataFrame, name: str) -> str:
     taken = {c.lower() for c in df.columns}
     while name.lower() in taken:
@@ -140,7 +143,7 @@ def judge_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", la
     counts are a table in the shared folder, read for the sketches and again for the verdicts."""
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{lang}`").alias("lang"),
-                       F.col(f"`{source}`").alias("source"), _stats(F.col(f"`{text}`").cast("string")).alias("q"))
+                       F.col(f"`{source}`").alias("source"), _stats(F.col(f"`{text}`")).alias("q"))
     rows = stored(rows, "text-stats")
     lim = stored(limits(quantile_sketch(rows, ["lang", "source"], "q"), "lang", "source", least, reach), "limits")
     joined, name = _join_limits(rows, lim, "lang", "source")
@@ -154,9 +157,9 @@ def quality_filter(docs: DataFrame, text: str = "text", lang: str = "lang", sour
     one for the verdicts, so that nothing but whole rows that stay is written."""
     bounded_batches(docs.sparkSession)
     only = docs.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{source}`").alias("source"),
-                       _stats(F.col(f"`{text}`").cast("string")).alias("q"))
+                       _stats(F.col(f"`{text}`")).alias("q"))
     lim = stored(limits(quantile_sketch(only, ["lang", "source"], "q"), "lang", "source", least, reach), "limits")
     q = _new_name(docs, "_q")
-    joined, name = _join_limits(docs.withColumn(q, _stats(F.col(f"`{text}`").cast("string"))),
+    joined, name = _join_limits(docs.withColumn(q, _stats(F.col(f"`{text}`"))),
                                 lim.withColumnsRenamed({"lang": lang, "source": source}), lang, source)
     return joined.filter(~base_failed(q) & _inside(q, name)).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from llm.best_fit import pack_documents
 from llm.boosted import fit, score_documents
 from llm.near_dedup import near_duplicates
 from llm.quality_rules import judge_documents
+from llm.rank_bpe import round_trip
+from llm.rollups import Rollup, changes, quarter_tokens, word_tokens
 from llm.rotation_codes import near_embeddings
 from llm.shared import fresh_path
 from llm.token_files import token_digests, write_tokens
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +30,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, path)
 
 
+def op2_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
+
+
 def op3_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_embeddings(table(spark, sf_dir, "embeddings"))
 
@@ -38,6 +46,24 @@ def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op8_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after five batches over all documents: words of every text; a second tokenizer version; revised counts
+    (every tenth document loses the words of one character) and moved sources (German ones); deletes (every
+    seventh document, both versions); and the third batch sent again, which changes nothing."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    store = Rollup(spark, fresh_path(spark, "rollup"))
+    store.apply(0, changes(docs, "words", word_tokens()))
+    store.apply(1, changes(docs, "quarters", quarter_tokens()))
+    longer = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]{2,}")), F.lit(0))
+    revised = (changes(docs.filter("doc_id % 10 = 3"), "words", longer)
+               .unionByName(changes(docs.filter("lang = 'de'"), "quarters", quarter_tokens(), F.concat(F.lit("moved-"), "source"))))
+    store.apply(2, revised)
+    gone = docs.filter("doc_id % 7 = 0")
+    store.apply(3, changes(gone, "words", F.lit(0), delete=True).unionByName(changes(gone, "quarters", F.lit(0), delete=True)))
+    store.apply(2, revised)
+    return store.totals()
+
+
 def op9_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
@@ -49,10 +75,27 @@ def op10_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_rank_bpe": op2_rank_bpe,
     "op3_rotation_codes": op3_rotation_codes,
     "op4_minhash_bayes": op4_minhash_bayes,
     "op7_best_fit": op7_best_fit,
+    "op8_token_rollups": op8_token_rollups,
     "op9_boosted_quality": op9_boosted_quality,
     "op10_adaptive_rules": op10_adaptive_rules,
 }
-ORACLE: dict[str, str] = {}
+OP8_SQL = """
+WITH live AS (SELECT * FROM documents WHERE doc_id % 7 <> 0),
+counts AS (
+  SELECT source, lang, 'words' AS version,
+         CASE WHEN doc_id % 10 = 3 THEN len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]{2,}'))
+              ELSE len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) END AS tokens
+  FROM live
+  UNION ALL
+  SELECT CASE WHEN lang = 'de' THEN 'moved-' || source ELSE source END, lang, 'quarters',
+         (length(coalesce(text, '')) + 3) // 4
+  FROM live)
+SELECT source, lang, version, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens
+FROM counts GROUP BY source, lang, version
+"""
+
+ORACLE: dict[str, str] = {"op8_token_rollups": OP8_SQL}
