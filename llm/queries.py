@@ -10,6 +10,7 @@ from llm.best_fit import pack_documents
 from llm.boosted import fit, score_documents
 from llm.chat_windows import chat_windows, window_digests
 from llm.near_dedup import near_duplicates
+from llm.oracles import ORACLE  # noqa: F401
 from llm.quality_rules import judge_documents
 from llm.rank_bpe import round_trip
 from llm.rollups import Rollup, changes, quarter_tokens, word_tokens
@@ -105,19 +106,3 @@ QUERIES = {
     "op9_boosted_quality": op9_boosted_quality,
     "op10_adaptive_rules": op10_adaptive_rules,
 }
-OP8_SQL = """
-WITH live AS (SELECT * FROM documents WHERE doc_id % 7 <> 0),
-counts AS (
-  SELECT source, lang, 'words' AS version,
-         CASE WHEN doc_id % 10 = 3 THEN len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]{2,}'))
-              ELSE len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) END AS tokens
-  FROM live
-  UNION ALL
-  SELECT CASE WHEN lang = 'de' THEN 'moved-' || source ELSE source END, lang, 'quarters',
-         (length(coalesce(text, '')) + 3) // 4
-  FROM live)
-SELECT source, lang, version, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens
-FROM counts GROUP BY source, lang, version
-"""
-
-ORACLE: dict[str, str] = {"op8_token_rollups": OP8_SQL}
