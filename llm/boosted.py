@@ -42,7 +42,7 @@ def features(text: str | None) -> list[float]:
 
 
 def feature_matrix(texts) -> np.ndarray:
-    return np.asarray([features(t) for t in texts], np.float64).reshape(len(texts), -1)
+    return np.asarray([features(t) for t in texts], np.float64) if len(texts) else np.empty((0, len(features(None))))
 
 
 @dataclass
@@ -124,7 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     rows = (docs.select(F.col(f"`{key}`").cast("long").alias("_k"), F.col(f"`{text}`").cast("string").alias("_t"))
             .join(F.broadcast(sample), "_k").select("_k", "_y", vector("_t").alias("_x"), F.crc32("_t").alias("_c")))
     found = sorted(rows.collect(), key=lambda r: (r["_k"], r["_c"] or 0))
-    x = np.asarray([r["_x"] for r in found], np.float64).reshape(len(found), -1)
+    x = np.asarray([r["_x"] for r in found], np.float64) if found else feature_matrix([])
     return train(x, np.asarray([r["_y"] for r in found], np.float64))
 
 
