@@ -10,6 +10,7 @@ marks) is handed to the library as a whole chunk.
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 from itertools import islice
 
@@ -23,9 +24,14 @@ KEEP_SHARE, LONGEST = 0.5, 48                     # share that stays when one is
 LETTERS = "a-zß-öø-ÿ"
 PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+"
 PLAIN = "[!-~À-ÖØ-öø-ÿ]+"
+#: the byte-level alphabet: printable Latin-1 bytes are their own letters, the others follow from 256 on in order
+OWN_LETTERS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 # ------------------------------------------------------------------------------------------------
 
 
+BYTE_LETTERS = {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(OWN_LETTERS)))}
+
+
 def _thinned(memory: dict[str, bytes], most: int) -> dict[str, bytes]:
     """A full memory keeps its oldest entries: frequent words are met early."""
     return memory if len(memory) <= most else dict(islice(memory.items(), int(most * KEEP_SHARE)))
@@ -41,6 +47,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         self.chunks: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {}
         self.plain = re.compile(PLAIN).fullmatch
@@ -49,12 +56,10 @@ class WordEncoder:
     def whole(self, text: str) -> bytes:
         return np.asarray(self.library.encode(text, add_special_tokens=False).ids, ID).tobytes()
 
-    def _encode_pieces(self, new: list[str]) -> dict[str, bytes]:
-        """One call for many pre-tokens, a space between them; ``word_ids`` tells them apart."""
-        got = self.library.encode(" ".join(new), add_special_tokens=False)
-        data = np.asarray(got.ids, ID).tobytes()
-        cut = (np.searchsorted(np.asarray(got.word_ids), np.arange(len(new) + 1)) * 4).tolist()
-        return {p: data[cut[i]:cut[i + 1]] for i, p in enumerate(new)}
+    def _encode_piece(self, piece: str) -> bytes:
+        """A pre-token straight through the library's merge model, in the model's letters for bytes."""
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
         """The ids of chunks not met before: line feeds cut a chunk into parts, plain parts into pre-tokens."""
@@ -71,7 +76,7 @@ class WordEncoder:
                 cut[c] = None
         new = [p for p in set().union(*(x for x in cut.values() if x)) if p not in pieces]
         if new:
-            pieces.update(self._encode_pieces(new))
+            pieces.update((p, self._encode_piece(p)) for p in new)
         look = pieces.__getitem__
         ids = {c: b"".join(map(look, x)) if x else self.whole(c) if c else b"" for c, x in cut.items()}
         for c in out:
