@@ -32,8 +32,7 @@ def main():
     landing, out = sys.argv[1], sys.argv[2]
     seconds = int(sys.argv[3]) if len(sys.argv) > 3 else 30
     spark = build_session()
-    queries = start_dashboard(spark, landing, toy_scorer, out, late="drop",
-                              trigger=trigger_options("2 seconds"), max_files_per_trigger=10)
+    queries = start_dashboard(spark, landing, toy_scorer, out, trigger=trigger_options("2 seconds"), max_files_per_trigger=10)
     try:
         time.sleep(seconds)
     finally:

@@ -7,12 +7,13 @@ from pulse.operators.ingest import (  # noqa: F401
 from pulse.operators.prefix import running  # noqa: F401
 from pulse.operators.scoring import (  # noqa: F401
     attach_scores, lexicon_frame, lexicon_polarity, lexicon_scorer, read_lexicon, score_documents, score_texts,
-    with_bands, with_scorer,
+    with_bands, with_batch_scorer, with_scorer,
 )
 from pulse.operators.views import (  # noqa: F401
     distribution, kpis, latest_windows, overall_stats, positive_negative, post_list, posts_in_span,
     recent_posts, throughput, windowed_stats,
 )
 from pulse.operators.windows import (  # noqa: F401
-    late_report, sample_lists, trend, window_samples, window_series, windowed_sentiment, windowed_with_samples,
+    late_report, sample_lists, trend, window_samples, window_series, window_texts, windowed_sentiment,
+    windowed_with_samples,
 )

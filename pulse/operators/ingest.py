@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pulse.functions.timeparse import parse_event_time, time_text
 from pulse.operators.prefix import running
+from pulse.session import stored
 
 # --- fixed values (must equal the reference) ---------------------------------
 UNKNOWN_USER = "unknown"
@@ -26,6 +27,7 @@ LOW_POLLS_PER_STEP = 3           # interval doubles every 3 consecutive low poll
 SEARCH_TERMS = ("AI", "Grok", "Elon Musk")
 SEARCH_LANG = "en"
 REPOST_PREFIX = "RT @"
+ID_NUMBER = "decimal(38,0)"      # ids may be wider than 64 bits
 # ------------------------------------------------------------------------------
 
 
@@ -38,10 +40,13 @@ def _blank_to_null(c: Column) -> Column:
 
 
 def post_id(raw: DataFrame) -> Column:
-    """First non-empty of ``id`` / ``tweet_id``; an id of ``0`` counts as missing."""
+    """First of ``id`` / ``tweet_id`` that is not null, empty or ``0``.
+
+    Each field is tested on its own, so an id of 0 falls through to ``tweet_id``.
+    Ids are read from JSON as text, where the number 0 and the string ``"0"`` look
+    the same; both count as missing (the reference kept the string)."""
     cols = [c for c in ("id", "tweet_id") if c in raw.columns]
-    ident = F.coalesce(*[_blank_to_null(F.col(c)) for c in cols])
-    return F.when(ident == F.lit("0"), F.lit(None).cast("string")).otherwise(ident)
+    return F.coalesce(*[F.nullif(_blank_to_null(F.col(c)), F.lit("0")) for c in cols])
 
 
 def normalize_posts(raw: DataFrame, fallback_time=None, keep: list[str] | None = None) -> DataFrame:
@@ -77,12 +82,16 @@ def normalize_posts(raw: DataFrame, fallback_time=None, keep: list[str] | None =
 
 
 def rejected_posts(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """The raw posts clean-up drops, with a ``reason``: ``no_id`` (id and tweet_id
-    null, empty or 0).  The reference lost such rows silently (or the whole
-    batch, on a bad id); here they are a table of their own."""
-    return (raw.filter(post_id(raw).isNull())
+    """The raw posts that fall out later, with a ``reason``: ``no_id`` (id and
+    tweet_id null, empty or 0: clean-up drops them) and ``bad_id`` (the id is no
+    whole number of up to 38 digits: clean-up keeps them, id marks pass them over).
+    The reference lost such rows silently (or the whole batch, on a bad id); here
+    they are a table of their own."""
+    ident = post_id(raw)
+    reason = F.when(ident.isNull(), "no_id").when(numeric_id(ident).isNull(), "bad_id")
+    return (raw.withColumn("_reason", reason).filter(F.col("_reason").isNotNull())
             .select(*(keep or []), *[c for c in ("id", "tweet_id") if c in raw.columns],
-                    F.lit("no_id").alias("reason")))
+                    F.col("_reason").alias("reason")))
 
 
 def stamp_ingest(df: DataFrame, column: str = "fetched_at", now=None) -> DataFrame:
@@ -92,20 +101,22 @@ def stamp_ingest(df: DataFrame, column: str = "fetched_at", now=None) -> DataFra
 
 
 def numeric_id(id_col="id") -> Column:
-    """Post id as a number (ids compare as numbers: as text ``'9' > '10'``)."""
-    return F.expr(f"try_cast({id_col} as bigint)") if isinstance(id_col, str) else id_col.try_cast("bigint")
+    """Post id as a whole number of up to 38 digits (ids compare as numbers: as
+    text ``'9' > '10'``); null for any other text (``rejected_posts`` lists those)."""
+    c = _col(id_col).cast("string")
+    return F.when(c.rlike(r"^[+-]?[0-9]+$"), c.try_cast(ID_NUMBER))
 
 
 def since_id(posts: DataFrame, mark, id_col: str = "id") -> DataFrame:
     """Posts whose id is above the high-water mark ``mark`` (a number, a column or
     a scalar subquery), compared as numbers.  A null mark keeps everything."""
     m = mark if isinstance(mark, Column) else F.lit(mark)
-    return posts.filter(m.isNull() | (numeric_id(id_col) > m.cast("long")))
+    return posts.filter(m.isNull() | (numeric_id(id_col) > m.cast(ID_NUMBER)))
 
 
 def high_water(posts: DataFrame, prev=None, id_col: str = "id") -> DataFrame:
-    """One row, ``hwm`` = max(previous mark, largest numeric id)."""
-    p = prev if isinstance(prev, Column) else F.lit(prev).cast("long")
+    """One row, ``hwm`` = max(previous mark, largest numeric id), as ``ID_NUMBER``."""
+    p = (prev if isinstance(prev, Column) else F.lit(prev)).cast(ID_NUMBER)
     return posts.agg(F.greatest(F.max(numeric_id(id_col)), p).alias("hwm"))
 
 
@@ -121,19 +132,28 @@ def dedup_key(id_col="id", text="text") -> Column:
 
 
 def dedup_posts(posts: DataFrame, key: Column | str | None = None, arrival: str = "arrival",
-                tie_break: str | None = "id") -> DataFrame:
+                tie_break: str | None = "id", ttl: str | None = None, seen: str = "timestamp") -> DataFrame:
     """Keep the first arrival of each key (default key: ``dedup_key(id, text)``).
 
+    With ``ttl`` (``DEDUP_TTL`` is the reference's hour) a key is forgotten again: a
+    copy is also kept when the last copy *kept* was seen (column ``seen``) at least
+    ``ttl`` before it.  Copies without a ``seen`` time count as seen first.
+    Kept copies are found a generation at a time: each round takes, per key, the
+    first copy past the last one's ttl - an aggregate with a partial step, so a hot
+    key is collapsed map-side - and drops the rest, so rounds work on ever fewer
+    rows.  Rounds are tables in the shared folder.
+
     Batch form of the reference's seen-key memory.  It is an aggregate
     (``min_by`` on the arrival; Spark plans it as a sort aggregate with a partial
     step in each task), not a window, so a key repeated in a third of all rows
     is collapsed map-side before the shuffle instead of landing whole in one
-    task.  Running it twice changes nothing.  The reference forgets a key
-    after one hour of wall time; on stored rows every repeat is dropped.  The
-    streaming form is ``pulse.streaming.dedup_stream`` (event-time TTL).
+    task.  Running it twice changes nothing.  Without ``ttl`` every repeat is dropped.
+    The streaming form is ``pulse.streaming.dedup_stream`` (event-time TTL).
     """
     k = dedup_key() if key is None else _col(key)
     cols = posts.columns
+    if ttl is not None:
+        return _dedup_with_ttl(posts, k, arrival, tie_break, ttl, seen)
     order = F.struct(F.col(arrival), *([F.col(tie_break)] if tie_break else []))
     return (posts.withColumn("_key", k)
             .groupBy("_key")
@@ -141,8 +161,34 @@ def dedup_posts(posts: DataFrame, key: Column | str | None = None, arrival: str
             .select("_first.*"))
 
 
+def _dedup_with_ttl(posts: DataFrame, key: Column, arrival: str, tie_break: str | None, ttl: str, seen: str) -> DataFrame:
+    cols = posts.columns
+    row = F.struct(*[F.col(c) for c in cols])
+    at = F.unix_micros(F.col(seen).cast("timestamp"))
+    order = F.struct(at, F.col(arrival), *([F.col(tie_break)] if tie_break else []))
+    ttl_us = F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {ttl})")
+    left = posts.select(key.alias("_key"), row.alias("_row"), order.alias("_order"), at.alias("_at"))
+    kept = []
+    while True:
+        first = stored(left.groupBy("_key").agg(F.min_by(F.struct("_row", "_at"), F.col("_order")).alias("_f"))
+                       .select("_key", F.col("_f._row").alias("_row"), F.col("_f._at").alias("_last")), "dedup")
+        kept.append(first.select("_row"))
+        last = first.select(F.col("_key").alias("_k"), "_last")
+        # copies the last one kept does not cover; a key not seen at a time (null) covers nothing later
+        left = stored(left.join(last, left["_key"].eqNullSafe(last["_k"]))
+                      .filter(F.col("_at") >= F.coalesce(F.col("_last") + ttl_us, F.lit(-(1 << 62))))
+                      .filter(F.col("_at").isNotNull())
+                      .select("_key", "_row", "_order", "_at"), "dedup-left")
+        if left.isEmpty():
+            break
+    out = kept[0]
+    for x in kept[1:]:
+        out = out.unionByName(x)
+    return out.select("_row.*")
+
+
 def search_predicate(text="text", terms=SEARCH_TERMS, lang_col="lang", lang: str | None = SEARCH_LANG,
-                     exclude_reposts: bool = True) -> Column:
+                     exclude_reposts: bool = True, repost_prefix: str = REPOST_PREFIX) -> Column:
     """Any of ``terms`` as a whole phrase in any case (bounded by a non ``[a-z0-9]``
     character or the text edge), in language ``lang``, not a repost (``RT @``)."""
     import re
@@ -153,15 +199,15 @@ def search_predicate(text="text", terms=SEARCH_TERMS, lang_col="lang", lang: str
     if lang is not None:
         cond = cond & (_col(lang_col) == F.lit(lang))
     if exclude_reposts:
-        cond = cond & ~F.coalesce(t.startswith(REPOST_PREFIX), F.lit(False))
+        cond = cond & ~F.coalesce(t.startswith(repost_prefix), F.lit(False))
     return cond
 
 
 def search(posts: DataFrame, terms=SEARCH_TERMS, lang: str | None = SEARCH_LANG,
            exclude_reposts: bool = True, text: str = "text", lang_col: str = "lang",
-           newest_first: bool = False, ts: str = "timestamp") -> DataFrame:
+           newest_first: bool = False, ts: str = "timestamp", repost_prefix: str = REPOST_PREFIX) -> DataFrame:
     """The search the remote API ran, as a filter (pushed into the scan's stage)."""
-    out = posts.filter(search_predicate(text, terms, lang_col, lang, exclude_reposts))
+    out = posts.filter(search_predicate(text, terms, lang_col, lang, exclude_reposts, repost_prefix))
     return out.orderBy(F.col(ts).desc_nulls_last()) if newest_first else out
 
 
@@ -177,8 +223,7 @@ def recent(posts: DataFrame, limit: int = RECENT_LIMIT, ts: str = "timestamp", t
     return latest_n(posts, limit, ts, tie).orderBy(F.col(ts).asc_nulls_first(), F.col(tie).asc())
 
 
-def chunk_rows(df: DataFrame, size: int = CHUNK_SIZE, partition: list[str] | None = None,
-               order: list | None = None, block=None) -> DataFrame:
+def chunk_rows(df: DataFrame, size: int, partition: list[str] | None, order: list, block) -> DataFrame:
     """Consecutive chunks of ``size`` rows in ``order`` within each ``partition``
     value: adds ``pos`` (1-based place) and ``chunk`` (0-based chunk number).
 
@@ -187,13 +232,20 @@ def chunk_rows(df: DataFrame, size: int = CHUNK_SIZE, partition: list[str] | Non
     so a partition value holding a third of all rows is still spread out.
     ``order`` must be a total order within a partition value.
     """
-    order = [F.col(c) if isinstance(c, str) else c for c in (order or [])]
-    blk = F.lit(0) if block is None else (F.col(block) if isinstance(block, str) else block)
-    ranked = running(df, F.lit(1), "count", order, blk, partition=list(partition or []), inclusive=True,
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
+    ranked = running(df, F.lit(1), "count", order, _col(block), partition=list(partition or []), inclusive=True,
                      out="pos")
     return ranked.withColumn("chunk", F.floor((F.col("pos") - 1) / F.lit(size)).cast("long"))
 
 
+def _bucket(posts: DataFrame, ts: str, every: str) -> Column:
+    """Start of the epoch-aligned ``every`` bucket of ``ts``, in its type; null for a null time
+    (``F.window`` would drop the row)."""
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    width = F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {every})")
+    return F.timestamp_micros(us - F.pmod(us, width)).cast(posts.schema[ts].dataType)
+
+
 def chunk_posts(posts: DataFrame, size: int = CHUNK_SIZE, ts: str = "timestamp", tie: str = "id",
                 every: str = "1 hour", block: str = "1 minute") -> DataFrame:
     """Consecutive chunks of ``size`` posts, in time order, restarting every ``every``.
@@ -202,43 +254,45 @@ def chunk_posts(posts: DataFrame, size: int = CHUNK_SIZE, ts: str = "timestamp",
     ``chunk`` (0-based chunk number in it).  The place is a blocked running count
     (blocks of ``block``), so no task holds a whole bucket.  A minute block keeps
     the carry table small (60 rows per hour); pass ``"1 second"`` when single
-    minutes are expected to be very hot.
+    minutes are expected to be very hot.  Posts without a time are chunked too, in
+    a null bucket of their own, by ``tie``.
     """
-    bucket = F.window(F.col(ts), every)["start"]
-    sub = F.window(F.col(ts), block)["start"]
-    base = posts.filter(F.col(ts).isNotNull()).withColumn("chunk_start", bucket).withColumn("_sub", sub)
+    bucket, sub = _bucket(posts, ts, every), _bucket(posts, ts, block)
+    base = posts.withColumn("chunk_start", bucket).withColumn("_sub", sub)
     return chunk_rows(base, size, ["chunk_start"], [ts, tie], "_sub").drop("_sub")
 
 
 def fetch_report(posts: DataFrame, every: str = "1 hour", ts: str = "timestamp", block: str = "1 day") -> DataFrame:
     """Per ``every`` interval: ``posts``, ``credits`` (15 per post), running
     ``total_posts`` / ``total_credits`` and ``held`` = min(total, 1000) (the
-    recent cache).  The running totals are a blocked prefix sum over intervals."""
-    per = (posts.filter(F.col(ts).isNotNull())
-           .groupBy(F.window(F.col(ts), every)["start"].alias("interval_start"))
+    recent cache).  The running totals are a blocked prefix sum over intervals.
+    Posts without a time are counted in a null interval, which comes first."""
+    per = (posts
+           .groupBy(_bucket(posts, ts, every).alias("interval_start"))
            .agg(F.count(F.lit(1)).alias("posts")))
     per = per.withColumn("credits", F.col("posts") * F.lit(CREDITS_PER_POST))
-    blk = F.window(F.col("interval_start"), block)["start"]
-    rep = running(per, "posts", "sum", [F.col("interval_start")], blk, out="total_posts")
+    blk = _bucket(per, "interval_start", block)
+    rep = running(per, "posts", "sum", [F.col("interval_start").asc_nulls_first()], blk, out="total_posts")
     return (rep.withColumn("total_credits", F.col("total_posts") * F.lit(CREDITS_PER_POST))
             .withColumn("held", F.least(F.col("total_posts"), F.lit(HELD_MAX))))
 
 
 def low_volume_streaks(report: DataFrame, threshold: int = LOW_VOLUME_THRESHOLD, n: str = "posts",
                        order: str = "interval_start", block: str = "1 day") -> DataFrame:
-    """Adaptive polling as an analysis of a fetch report.
+    """Runs of low intervals in a fetch report.
 
     An interval with fewer than ``threshold`` posts extends the low streak, a full
     one resets it; intervals without posts are absent and leave it as it is.
-    ``poll_seconds`` = min(60, 5 * 2^(streak div 3)), 5 after a reset.  The streak
+    ``poll_seconds`` = min(60, 5 * 2^(streak div 3)), 5 after a reset, is the back-off
+    that the reference's polling would have reached.  The streak
     is (low intervals so far) - (low intervals so far at the last reset), two
     blocked prefix passes.
     """
-    blk = F.window(F.col(order), block)["start"]
+    blk = _bucket(report, order, block)
     r = report.withColumn("is_low", F.col(n) < F.lit(threshold))
-    r = running(r, F.col("is_low").cast("long"), "sum", [F.col(order)], blk, out="_lows")
+    r = running(r, F.col("is_low").cast("long"), "sum", [F.col(order).asc_nulls_first()], blk, out="_lows")
     r = r.withColumn("_at_reset", F.when(~F.col("is_low"), F.col("_lows")))
-    r = running(r, "_at_reset", "max", [F.col(order)], blk, out="_last_reset")
+    r = running(r, "_at_reset", "max", [F.col(order).asc_nulls_first()], blk, out="_last_reset")
     streak = (F.col("_lows") - F.coalesce(F.col("_last_reset"), F.lit(0))).cast("long")
     step = F.floor(streak / F.lit(LOW_POLLS_PER_STEP))
     poll = F.least(F.lit(POLL_MAX_SECONDS).cast("double"),

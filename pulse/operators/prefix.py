@@ -10,8 +10,13 @@ minute, a day).  Running values are then
   + running value inside the block  (a window partitioned by (p, block))
 
 so each task holds one block, and only one row per block is ever windowed
-across blocks.  The carry table is joined back on (p, block); AQE makes that a
-broadcast when it is small at run time.
+across blocks.  The carry table is joined back on (p, block), null partition
+values and blocks included; AQE makes that a broadcast when it is small at run
+time.
+
+The block totals are a second, narrow pass over the input (only ``partition``,
+``block`` and ``value`` are read).  Over stored tables that is a column-pruned
+scan; hand in a stored table where the input is costly to compute.
 """
 
 from __future__ import annotations
@@ -35,7 +40,7 @@ def running(df: DataFrame, value: Column | str, how: str, order: list, block: Co
     """Add ``out`` = running ``how`` (sum | max | min | count) of ``value`` along
     ``order`` within ``partition``; ``inclusive`` includes the current row.
 
-    ``block`` must be non-decreasing along ``order`` within a partition; ``order``
+    ``block`` must be non-decreasing along ``order`` within a partition (null first); ``order``
     must be a total order (add a unique tie-break).  ``how="count"`` counts rows
     (``value`` ignored).
     """
@@ -50,14 +55,19 @@ def running(df: DataFrame, value: Column | str, how: str, order: list, block: Co
     within = (Window.partitionBy(*partition, "_blk").orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
     rows = base.withColumn("_in", _AGG[agg]("_val").over(within))
-    # block totals from the same partitioned rows: no second pass over the input
-    per_block = rows.groupBy(*partition, "_blk").agg(_AGG[agg]("_val").alias("_bagg"))
-    across = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    per_block = base.groupBy(*partition, "_blk").agg(_AGG[agg]("_val").alias("_bagg"))
+    across = Window.orderBy(F.col("_blk").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     if partition:
         across = across.partitionBy(*partition)
-    carry = per_block.select(*partition, "_blk", _AGG[agg]("_bagg").over(across).alias("_carry"))
+    names = [f"_p{i}" for i in range(len(partition))]
+    carry = per_block.select(*[F.col(p).alias(n) for p, n in zip(partition, names)], F.col("_blk").alias("_cblk"),
+                             _AGG[agg]("_bagg").over(across).alias("_carry"))
 
-    joined = rows.join(carry, [*partition, "_blk"], "left")
+    # null partition values and blocks carry like any other
+    on = F.col("_blk").eqNullSafe(F.col("_cblk"))
+    for p, n in zip(partition, names):
+        on = on & F.col(p).eqNullSafe(F.col(n))
+    joined = rows.join(carry, on, "left").drop("_cblk", *names)
     result = _combine(agg, F.col("_carry"), F.col("_in"))
     if how == "count":
         result = result.cast("long")

@@ -56,7 +56,7 @@ def read_lexicon(spark: SparkSession, path: str, fmt: str = "parquet", **options
 
 def lexicon_fits(lexicon: DataFrame, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     # size check on the lexicon alone (a small action), never on the texts
-    return lexicon.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
+    return lexicon.count() <= broadcast_max_rows
 
 
 def tokens(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -88,13 +88,16 @@ def lexicon_polarity(texts: DataFrame, lexicon: DataFrame, key: str = "doc_id",
     else:
         # lexicon too big to broadcast: count each (text, token) first so a word
         # repeated in a text crosses the shuffle once, then join on the token
-        counts = tokens(texts, key, text).groupBy(key, "token").agg(F.count(F.lit(1)).alias("_n"))
+        # (the empty token, one for each text's edge, and null texts never reach the join)
+        counts = (tokens(texts, key, text).filter("token <> ''")
+                  .groupBy(key, "token").agg(F.count(F.lit(1)).alias("_n")))
         v = F.col("polarity_hundredths")
-        matched = (counts.join(lex, counts["token"] == lex["word"], "left")
-                   .groupBy(key)
-                   .agg(F.coalesce(F.sum(F.when(v.isNotNull(), F.col("_n"))), F.lit(0)).cast("long").alias("hits"),
-                        F.coalesce(F.sum(F.col("_n") * v), F.lit(0)).cast("long").alias("polarity_sum"),
-                        F.max(counts["token"].isNull()).alias("unscored")))
+        found = (counts.join(lex, counts["token"] == lex["word"])
+                 .groupBy(F.col(key).alias("_fk")).agg(F.sum("_n").alias("_hits"), F.sum(F.col("_n") * v).alias("_sum")))
+        keys = texts.groupBy(key).agg(F.max(F.col(text).isNull()).alias("unscored"))
+        matched = (keys.join(found, F.col(key).eqNullSafe(F.col("_fk")), "left")
+                   .select(key, F.coalesce("_hits", F.lit(0)).cast("long").alias("hits"),
+                           F.coalesce("_sum", F.lit(0)).cast("long").alias("polarity_sum"), "unscored"))
     polarity = (F.when(F.col("hits") > 0,
                        F.col("polarity_sum").cast("double") / (F.col("hits") * HUNDREDTHS).cast("double"))
                 .otherwise(F.lit(0.0)))
@@ -121,26 +124,31 @@ def attach_scores(posts: DataFrame, doc_scores: DataFrame, on: str = "doc_id",
     documents (one score row each) against a bound, so the scores are broadcast
     and the posts are not shuffled; otherwise both sides shuffle on ``doc_id``
     and AQE splits skewed partitions (a document shown by very many posts)."""
-    cols = [c for c in ("polarity", "sentiment_label", "sentiment_score") if c in doc_scores.columns]
+    cols = [c for c in ("polarity", "sentiment_label", "sentiment_score", "unscored") if c in doc_scores.columns]
     scores = doc_scores.select(F.col(on).alias("_sk"), *cols)
     if broadcast_scores:
         scores = F.broadcast(scores)
     joined = posts.join(scores, posts[on] == scores["_sk"], "left").drop("_sk")
-    # a post whose document is missing is scored like an empty text
+    # a post whose document is missing is scored like a null text: neutral, and flagged
     return joined.select(
         *[c for c in posts.columns],
-        F.coalesce(F.col("polarity"), F.lit(0.0)).alias("polarity"),
         *[F.coalesce(F.col(c), F.lit(d)).alias(c) for c, d in
-          (("sentiment_label", "NEUTRAL"), ("sentiment_score", 0.0)) if c in cols],
+          (("polarity", 0.0), ("sentiment_label", "NEUTRAL"), ("sentiment_score", 0.0), ("unscored", True)) if c in cols],
     )
 
 
-def score_texts(df: DataFrame, lexicon: DataFrame, key: str, text: str = "text", rule: str = "strict",
+def score_texts(df: DataFrame, lexicon: DataFrame, text: str = "text", rule: str = "strict",
                 broadcast_max_rows: int = BROADCAST_MAX_ROWS, broadcast: bool | None = None) -> DataFrame:
-    """Score rows that carry their own text (e.g. one micro-batch): polarity per
-    ``key``, joined back to the rows."""
-    scores = score_documents(df.select(key, text), lexicon, rule, key, text, broadcast_max_rows, broadcast)
-    return attach_scores(df, scores.drop("hits", "polarity_sum", "unscored"), on=key)
+    """Score rows that carry their own text (e.g. one micro-batch).  Each *text* is
+    scored once, under a digest of the whole text (null has its own), and the score
+    joined back, so rows that share a ``key`` but not a text keep their own scores and
+    rows without a key are scored too.  Adds ``polarity, sentiment_label,
+    sentiment_score, unscored``."""
+    digest = F.coalesce(F.sha2(F.col(text), 256), F.lit("null"))
+    rows = df.withColumn("_digest", digest)
+    texts = rows.groupBy("_digest").agg(F.first(text).alias(text))
+    scores = score_documents(texts, lexicon, rule, "_digest", text, broadcast_max_rows, broadcast)
+    return attach_scores(rows, scores.drop("hits", "polarity_sum"), on="_digest").drop("_digest")
 
 
 def lexicon_scorer(entries: Iterable[tuple[str, int]]) -> Callable[[str], float]:
@@ -159,6 +167,36 @@ def lexicon_scorer(entries: Iterable[tuple[str, int]]) -> Callable[[str], float]
     return score_text
 
 
+def with_batch_scorer(df: DataFrame, load: Callable[[], Callable[[pd.Series], pd.Series]], text: str = "text",
+                      rule: str = "strict") -> DataFrame:
+    """Score texts with a model that takes whole batches.
+
+    ``load`` runs once in each Python worker and returns a function from a Series of texts
+    (never null) to a Series of polarities, so a model is loaded once and sees Arrow
+    batches.  Null texts, and texts of a batch on which it fails, get polarity 0.0 and
+    ``unscored = true``.
+    """
+    held: list = []
+
+    def _score(s: pd.Series) -> pd.Series:
+        out = pd.Series(float("nan"), index=s.index, dtype="float64")
+        there = s.notna()
+        if there.any():
+            try:
+                if not held:
+                    held.append(load())
+                out[there] = pd.Series(held[0](s[there])).astype("float64").to_numpy()
+            except Exception:  # noqa: BLE001 - a scorer fault marks its rows, never the query
+                pass
+        return out
+
+    raw = F.pandas_udf(_score, "double")(F.col(text))
+    out = df.withColumn("_p", F.nanvl(raw, F.lit(None).cast("double")))
+    out = out.withColumn("unscored", F.col("_p").isNull()).withColumn(
+        "polarity", F.coalesce(F.col("_p"), F.lit(0.0))).drop("_p")
+    return with_bands(out, rule)
+
+
 def with_scorer(df: DataFrame, fn: Callable[[str], float], text: str = "text", rule: str = "strict") -> DataFrame:
     """Score each text with a user function ``str -> float`` (e.g. an outside
     sentiment library) in one Arrow-batched pandas UDF, then band it natively.

@@ -26,6 +26,15 @@ def interval_seconds(text: str) -> int | None:
     return int(m.group(1)) * _UNIT_SECONDS[m.group(2)] if m else None
 
 
+def _use_panes(panes: bool | None, size: str, slide: str) -> bool:
+    """Panes by default when size/slide > 2; asked for, they need size a multiple of slide."""
+    size_s, slide_s = interval_seconds(size), interval_seconds(slide)
+    can = bool(size_s and slide_s and size_s % slide_s == 0)
+    if panes and not can:
+        raise ValueError(f"panes need a size that is a multiple of the slide, not {size!r} and {slide!r}")
+    return can and size_s // slide_s > 2 if panes is None else panes
+
+
 def windowed_sentiment(scored: DataFrame, size: str = WINDOW_SIZE, slide: str = WINDOW_SLIDE,
                        ts: str = "timestamp", label: str = "sentiment_label",
                        score: str = "sentiment_score", order: str | None = "asc",
@@ -45,10 +54,8 @@ def windowed_sentiment(scored: DataFrame, size: str = WINDOW_SIZE, slide: str =
     copies each row 60 times the plain way); needs size a multiple of slide.
     """
     size_s, slide_s = interval_seconds(size), interval_seconds(slide)
-    can_pane = size_s is not None and slide_s and size_s % slide_s == 0
-    if panes is None:
-        panes = bool(can_pane and size_s // slide_s > 2)
-    if panes and can_pane:
+    panes = _use_panes(panes, size, slide)
+    if panes:
         out = _windowed_by_panes(scored, size_s, slide_s, ts, label, score)
     else:
         out = (scored.groupBy(F.window(F.col(ts), size, slide).alias("window"), F.col(label).alias(label))
@@ -87,11 +94,9 @@ def window_samples(scored: DataFrame, size: str = WINDOW_SIZE, slide: str = WIND
     afterwards (only the sampled rows need them).
     """
     size_s, slide_s = interval_seconds(size), interval_seconds(slide)
-    can_pane = size_s is not None and slide_s and size_s % slide_s == 0
-    if panes is None:
-        panes = bool(can_pane and size_s // slide_s > 2)
+    panes = _use_panes(panes, size, slide)
     newest = [F.col(ts).desc(), F.col(tie).desc()]
-    if panes and can_pane:
+    if panes:
         pane = F.window(F.col(ts), f"{slide_s} seconds")["start"]
         in_pane = Window.partitionBy("_pane", label).orderBy(*newest)
         top = (scored.withColumn("_pane", pane).withColumn("_r", F.row_number().over(in_pane))
@@ -108,6 +113,16 @@ def window_samples(scored: DataFrame, size: str = WINDOW_SIZE, slide: str = WIND
             .filter(F.col("sample_rank") <= F.lit(int(n))))
 
 
+def window_texts(scored: DataFrame, size: str = WINDOW_SIZE, slide: str = WINDOW_SLIDE, ts: str = "timestamp",
+                 label: str = "sentiment_label", columns: tuple[str, ...] = ("id", "text")) -> DataFrame:
+    """Every row of each (window, band), in long form: ``window, sentiment_label`` and ``columns``.
+
+    The reference gathered all texts of a window into one list; the same rows are given
+    here one by one, so no window is ever put together in a task.  ``window_samples``
+    is the bounded variant.  Rows without a time are in no window."""
+    return scored.select(F.window(F.col(ts), size, slide).alias("window"), F.col(label), *columns)
+
+
 def sample_lists(samples: DataFrame, text: str = "text", label: str = "sentiment_label") -> DataFrame:
     """``window, sentiment_label, sample_tweets`` (array, newest first) from ``window_samples``;
     each list has at most ``n`` entries."""
@@ -130,20 +145,28 @@ def window_series(windowed: DataFrame, label: str = "sentiment_label") -> DataFr
 
 
 def late_report(posts: DataFrame, delay: str = "30 seconds", feed: str = "feed", arrival: str = "arrival",
-                ts: str = "timestamp", tie: str = "id", block_size: int = 100_000) -> DataFrame:
+                ts: str = "timestamp", tie: str = "id", block_size: int | None = None,
+                block_rows: int = 100_000) -> DataFrame:
     """On-time and late rows per feed, the batch view of a watermark.
 
     A row's lateness is the newest event time that arrived before it in the
     feed (arrival order, ties by id) minus its own time; it is late when that
     exceeds ``delay``.  The running max is blocked by ``arrival div block_size``
-    so a feed holding a third of all rows is still spread over many tasks.
+    so a feed holding a third of all rows is still spread over many tasks.  The
+    width (in units of ``arrival``) comes from the data unless given: the span of
+    arrivals over their number, times ``block_rows``, as a scalar subquery.
     Output: ``feed, rows, on_time, late, max_lateness_seconds``.
     """
     # the epoch instant plus the delay, read back in microseconds (no session zone involved)
     delay_us = F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {delay})")
     base = posts.select(F.col(feed).alias("feed"), F.col(arrival).alias("_arr"), F.col(tie).alias("_tie"),
                         F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"))
-    blk = F.floor(F.col("_arr") / F.lit(block_size))
+    if block_size is None:
+        span = (F.max(arrival) - F.min(arrival) + 1).cast("double")
+        width = posts.select(F.greatest(F.ceil(span / F.count(arrival) * F.lit(block_rows)), F.lit(1))).scalar()
+    else:
+        width = F.lit(block_size)
+    blk = F.floor(F.col("_arr") / width)
     scanned = running(base, "_us", "max", [F.col("_arr"), F.col("_tie")], blk,
                       partition=["feed"], inclusive=False, out="_prev")
     lateness = F.col("_prev") - F.col("_us")
@@ -164,4 +187,6 @@ def windowed_with_samples(scored: DataFrame, size: str = WINDOW_SIZE, slide: str
     samples from the per-task group limit, joined on (window, band)."""
     counts = windowed_sentiment(scored, size, slide, ts, label, score, order=None)
     samples = sample_lists(window_samples(scored, size, slide, n, ts, label, tie), text, label)
-    return counts.join(samples, ["window", label], "left")
+    samples = samples.select(F.col("window").alias("_w"), F.col(label).alias("_l"), "sample_tweets")
+    on = (F.col("window") == F.col("_w")) & F.col(label).eqNullSafe(F.col("_l"))
+    return counts.join(samples, on, "left").drop("_w", "_l")

@@ -7,6 +7,8 @@ them, after their filters and limits.
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ TEST_LEXICON = [
 ]
 # registered spans end at the newest event and cover the whole 30-day tables
 SPAN_ALL = "30 days"
+SPANS = {"": SPAN_ALL, "_7d": "7 days", "_5m": "5 minutes"}     # the last two cut
 # ------------------------------------------------------------------------------
 
 
@@ -33,15 +36,18 @@ def doc_scores(spark: SparkSession, sf_dir: str, rule: str = "strict") -> DataFr
     return score_documents(docs, fixture_lexicon(spark), rule)
 
 
+_DOC_COUNTS: WeakKeyDictionary = WeakKeyDictionary()
 # one score row per document (about 50 bytes): broadcast up to a million documents
 SCORE_BROADCAST_MAX_DOCS = 1_000_000
 
 
 def scores_fit(spark: SparkSession, sf_dir: str, max_docs: int = SCORE_BROADCAST_MAX_DOCS) -> bool:
-    """The per-document scores are small enough to broadcast: a row count of the
-    documents table (parquet metadata), checked on the driver."""
-    docs = read_table(spark, sf_dir, "documents", "doc_id")
-    return docs.limit(max_docs + 1).count() <= max_docs
+    """The per-document scores are small enough to broadcast: a count of the
+    documents table (one number per task), taken once for each table and session."""
+    seen = _DOC_COUNTS.setdefault(spark, {})
+    if sf_dir not in seen:
+        seen[sf_dir] = read_table(spark, sf_dir, "documents", "doc_id").count()
+    return seen[sf_dir] <= max_docs
 
 
 def scored_posts(spark: SparkSession, sf_dir: str, rule: str = "wide") -> DataFrame:

@@ -9,7 +9,7 @@ form of the double).
 
 from __future__ import annotations
 
-from pulse.plans.inputs import TEST_LEXICON
+from pulse.plans.inputs import SPANS, TEST_LEXICON
 
 SPAN_SQL = "INTERVAL '30 days'"
 ASOF = "(SELECT max(ts) FROM events)"
@@ -372,3 +372,64 @@ SELECT interval_start, posts, is_low, CAST(n_low - coalesce(at_reset, 0) AS BIGI
          AS poll_seconds
 FROM marks""",
 }
+
+
+SPAN_QUERIES = ["overall_stats", "throughput", "kpis", "positive_negative", "distribution", "recent_posts", "posts_in_span",
+                "windowed_stats", "post_list"]
+for _name in SPAN_QUERIES:
+    for _suffix, _span in SPANS.items():
+        ORACLE[_name + _suffix] = ORACLE[_name].replace(SPAN_SQL, f"INTERVAL '{_span}'")
+
+_QUARTER = "(SELECT count(*) FROM events) * {} // 4"
+_LATE_SQL = ORACLE["late_report"]
+
+ORACLE |= {
+    "window_texts": _with(*_POST_CTES, _scored("strict"), _sliding("wr", "scored_strict", 3600, 1800))
+    + """SELECT window_start, window_end, sentiment_label, wr.id, md5(d.text) AS text_md5
+FROM wr LEFT JOIN documents d ON wr.doc_id = d.doc_id""",
+    "late_report_null_feed": _LATE_SQL.replace("SELECT event_type AS feed,", "SELECT nullif(event_type, 'view') AS feed,")
+    .replace("PARTITION BY event_type", "PARTITION BY nullif(event_type, 'view')"),
+    "search_phrase": _search_sql("en").replace(_SEARCH_RE, "(^|[^a-z0-9])(of the|thatin)([^a-z0-9]|$)").replace("'RT @'", "'The '"),
+    "dedup_posts_ttl": """WITH RECURSIVE copies AS (
+  SELECT event_id, ts AS seen, 0 AS arrival FROM events
+  UNION ALL SELECT event_id, ts + to_minutes(m), k FROM events JOIN (VALUES (0, 1, 1), (1, 50, 2), (2, 120, 3), (4, 120, 3),
+    (3, 50, 4), (4, 50, 4), (3, 110, 5), (4, 110, 5)) AS c(r, m, k) ON event_id % 10 = r),
+kept(event_id, seen, arrival) AS (
+  SELECT event_id, seen, arrival FROM copies WHERE arrival = 0
+  UNION ALL
+  SELECT event_id, seen, arrival FROM (
+    SELECT c.*, row_number() OVER (PARTITION BY c.event_id ORDER BY c.seen, c.arrival) AS r
+    FROM kept JOIN copies c ON c.event_id = kept.event_id AND c.seen >= kept.seen + INTERVAL '1 hour') WHERE r = 1)
+SELECT CAST(event_id AS VARCHAR) AS id, seen, CAST(arrival AS BIGINT) AS arrival FROM kept""",
+    "odd_ids": """SELECT event_id, CASE event_id % 6 WHEN 0 THEN '7' || event_id WHEN 2 THEN '99999999999999999999' || event_id
+       ELSE CAST(event_id AS VARCHAR) END AS id FROM events
+WHERE CASE event_id % 6 WHEN 0 THEN CAST('7' || event_id AS HUGEINT) WHEN 2 THEN CAST('99999999999999999999' || event_id AS HUGEINT)
+      WHEN 5 THEN event_id END > (SELECT count(*) // 2 FROM events)""",
+    "odd_ids_rejected": """SELECT event_id, CASE event_id % 6 WHEN 1 THEN 'bad_id' ELSE 'no_id' END AS reason FROM events
+WHERE event_id % 6 IN (1, 3, 4)""",
+    "odd_times": """SELECT CAST(event_id + 1 AS VARCHAR) AS id, CASE event_id % 5 WHEN 2 THEN date_trunc('day', ts) WHEN 4 THEN date_trunc('second', ts) END
+       AS "timestamp" FROM events""",
+    "chunks_and_report_without_time": """WITH p AS (SELECT CASE WHEN event_id % 7 <> 0 THEN time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01 00:00:00') END AS h
+  FROM events), g AS (SELECT h, count(*) AS n FROM p GROUP BY h)
+SELECT h AS chunk_start, n AS posts, (n - 1) // 5 AS last_chunk, n AS reported,
+       CAST(sum(n) OVER (ORDER BY h NULLS FIRST) AS BIGINT) AS total_posts FROM g""",
+    "shared_id_scores": _with(*_SCORE_CTES)
+    + f"""SELECT doc_id, id, polarity, {band('polarity', 'strict')} AS sentiment_label, unscored
+FROM (SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id // 2 AS VARCHAR) END AS id,
+             CASE WHEN doc_id % 11 = 0 THEN 0.0 ELSE polarity END AS polarity, doc_id % 11 = 0 OR unscored AS unscored FROM dscore)""",
+    "unscored_posts": _with(*_POST_CTES)
+    + f"""SELECT sentiment_label, unscored, count(*) AS posts FROM (
+  SELECT CASE WHEN event_id % 9 = 0 THEN 'NEUTRAL' ELSE {band('polarity', 'wide')} END AS sentiment_label,
+         event_id % 9 = 0 OR unscored AS unscored FROM posts JOIN dscore USING (doc_id)) GROUP BY ALL""",
+    "stream_since_id": f"""SELECT CAST(event_id AS VARCHAR) AS id, ts AS "timestamp" FROM events
+WHERE (event_id >= {_QUARTER.format(1)} AND event_id < {_QUARTER.format(2)}) OR event_id >= {_QUARTER.format(3)}""",
+    "stream_dedup": """SELECT CAST(event_id AS VARCHAR) AS id, 'user_' || user_id AS username, ts AS "timestamp" FROM events""",
+    "stream_restart": f"""SELECT time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01 00:00:00') AS window_start,
+       substring('user_' || user_id, 1, 6) AS sentiment_label, count(*) AS tweet_count,
+       {r6("avg(CAST(length('user_' || user_id) AS DOUBLE))")} AS avg_sentiment FROM events GROUP BY 1, 2""",
+    "stream_append_late": """WITH mid AS (SELECT date_trunc('day', min(ts) + (max(ts) - min(ts)) / 2) AS m, max(ts) AS top FROM events),
+later AS (SELECT ts FROM events, mid WHERE ts >= m UNION ALL SELECT ts FROM events, mid WHERE ts >= m AND event_id % 50 = 0)
+SELECT time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01 00:00:00') AS window_start, count(*) AS tweet_count
+FROM later, mid GROUP BY 1, top HAVING time_bucket(INTERVAL '1 hour', any_value(ts), TIMESTAMP '1970-01-01 00:00:00') + INTERVAL '1 hour'
+  <= top - INTERVAL '1 hour'""",
+}

@@ -22,9 +22,9 @@ from pyspark.sql.types import TimestampType
 from pulse.functions.sentiment import display_label, emoji, label
 from pulse.functions.text import age_parts, age_text, card_line, fixed, preview, short_time
 from pulse.operators import ingest, views, windows
-from pulse.operators.scoring import lexicon_scorer, with_scorer
+from pulse.operators.scoring import attach_scores, lexicon_scorer, with_scorer
 from pulse.plans.inputs import (
-    SPAN_ALL, TEST_LEXICON, doc_scores, event_count, newest_event, oldest_event, scored_posts,
+    SPAN_ALL, SPANS, TEST_LEXICON, doc_scores, event_count, newest_event, oldest_event, scored_posts,
 )
 from pulse.session import ensure_utc
 from pulse.sources.lines import api_lines, parse_posts, to_lines, unwrap_envelope
@@ -46,6 +46,18 @@ def _register(name: str):
     return deco
 
 
+def _register_spans(name: str):
+    """The query over the whole table (``name``) and over spans that cut (``name_7d``, ``name_5m``)."""
+    def deco(fn):
+        for suffix, span in SPANS.items():
+            def of_span(spark, sf, span=span):
+                return fn(spark, sf, span)
+            of_span.__doc__ = fn.__doc__
+            _register(name + suffix)(of_span)
+        return fn
+    return deco
+
+
 def _ntz(df: DataFrame) -> DataFrame:
     """Session-zone timestamps as UTC wall-clock TIMESTAMP_NTZ (the session is UTC)."""
     cols = [F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, TimestampType)
@@ -135,35 +147,60 @@ def _windowed_sentiment_panes(spark, sf):
     return _windowed_out(_windowed(spark, sf, "strict", "1 hour", "10 minutes"))
 
 
-@_register("stream_windowed_sentiment")
-def _stream_windowed_sentiment(spark, sf):
-    """The flagship windows computed by a Structured Streaming query.
-
-    The posts (whole texts) are written as JSON lines under the session's
-    checkpoint folder; a file stream (2 files per micro-batch) parses them, scores
-    them with the lexicon as a plug-in scorer, and keeps 10 s / 5 s windows in
-    complete mode (late rows kept), rewriting a parquet table each batch.  The
-    stored table must equal the batch query ``windowed_sentiment``.
-    """
+def _stream_root(spark, name):
     import uuid
 
     from pulse.session import checkpoint_root
-    from pulse.streaming import post_stream, scored_stream, stop_all, trigger_options, windowed_stream
-    from pulse.streaming.sinks import write_complete
 
-    root = f"{checkpoint_root(spark)}/registry/stream_windowed_{uuid.uuid4().hex}"
-    to_lines(posts_view(spark, sf, with_text=True)).repartition(8).write.text(f"{root}/lines")
-    posts = post_stream(spark, f"{root}/lines", max_files_per_trigger=2)
-    scored = scored_stream(posts, lexicon_scorer(TEST_LEXICON), rule="strict")
-    windows_ = windowed_stream(scored, windows.WINDOW_SIZE, windows.WINDOW_SLIDE, watermark="30 seconds")
-    q = write_complete(windows_, f"{root}/windows", f"stream_windowed_{uuid.uuid4().hex[:8]}",
-                       trigger_options(available_now=True), checkpoint=f"{root}/checkpoint")
+    tag = uuid.uuid4().hex
+    return f"{checkpoint_root(spark)}/registry/{name}-{tag}", f"{name}_{tag[:8]}"
+
+
+def _finish(q):
+    """Wait until an availableNow query has drained its source; a failure is raised, never cut short."""
     try:
-        q.processAllAvailable()
-        q.awaitTermination(600)
+        q.awaitTermination()
     finally:
-        stop_all([q])
-    return _windowed_out(spark.read.parquet(f"{root}/windows"))
+        q.stop()
+
+
+def _write_lines(spark, sf, root, posts=None):
+    """The posts as JSON lines, in files of about an eighth of them (more files where more tasks write)."""
+    posts = posts_view(spark, sf, with_text=True) if posts is None else posts
+    per_file = (read_table(spark, sf, "events", "event_id").count() + 7) // 8 or 1
+    to_lines(posts).write.option("maxRecordsPerFile", per_file).text(f"{root}/lines")
+
+
+def _scored_table(spark, sf, root, name):
+    """Posts as a file stream, scored once per micro-batch by the lexicon join, into ``root/scored``."""
+    from pulse.operators.scoring import lexicon_frame
+    from pulse.streaming import post_stream, score_batches, trigger_options
+
+    posts = post_stream(spark, f"{root}/lines", max_files_per_trigger=2)
+    _finish(score_batches(posts, lexicon_frame(spark, TEST_LEXICON), f"{root}/scored", f"{name}_rows", rule="strict",
+                          trigger=trigger_options(available_now=True), checkpoint=f"{root}/checkpoint-rows"))
+    return spark.read.parquet(f"{root}/scored")
+
+
+@_register("stream_windowed_sentiment")
+def _stream_windowed_sentiment(spark, sf):
+    """The flagship windows computed by Structured Streaming.
+
+    Whole posts arrive as JSON lines; one stream parses and scores them (native lexicon
+    join, each text once) into a table; a second stream reads that table and keeps
+    10 s / 5 s windows in update mode without a watermark, so late rows count and only
+    changed windows are written.  The table must equal ``windowed_sentiment``.
+    """
+    from pulse.streaming import read_updates, scored_windows, trigger_options, write_updates
+
+    root, name = _stream_root(spark, "stream_windowed")
+    _write_lines(spark, sf, root)
+    scored = _scored_table(spark, sf, root, name)
+    w = scored_windows(spark, f"{root}/scored", scored.schema, windows.WINDOW_SIZE, windows.WINDOW_SLIDE, max_files_per_trigger=3)
+    _finish(write_updates(w, f"{root}/windows", f"{name}_windows", trigger_options(available_now=True),
+                          checkpoint=f"{root}/checkpoint-windows"))
+    out = read_updates(spark, f"{root}/windows", ["window_start", "window_end", "sentiment_label"])
+    return out.select("window_start", "window_end", "sentiment_label", "tweet_count", _r6("avg_sentiment").alias("avg_sentiment"))
 
 
 @_register("stream_scored_posts")
@@ -171,24 +208,92 @@ def _stream_scored_posts(spark, sf):
     """S4, F1 in a stream: the posts as a file stream, scored per micro-batch by the
     lexicon join (``score_batches``), each batch written to its own folder.  The
     stored rows must equal every post with its document's score."""
-    import uuid
-
-    from pulse.operators.scoring import lexicon_frame
-    from pulse.session import checkpoint_root
-    from pulse.streaming import post_stream, score_batches, stop_all, trigger_options
-
-    root = f"{checkpoint_root(spark)}/registry/stream_scored_{uuid.uuid4().hex}"
-    to_lines(posts_view(spark, sf, with_text=True)).repartition(8).write.text(f"{root}/lines")
-    posts = post_stream(spark, f"{root}/lines", max_files_per_trigger=2)
-    q = score_batches(posts, lexicon_frame(spark, TEST_LEXICON), f"{root}/scored",
-                      f"stream_scored_{uuid.uuid4().hex[:8]}", rule="strict",
-                      trigger=trigger_options(available_now=True), checkpoint=f"{root}/checkpoint")
-    try:
-        q.processAllAvailable()
-        q.awaitTermination(600)
-    finally:
-        stop_all([q])
-    return spark.read.parquet(f"{root}/scored").select("id", "polarity", "sentiment_label", "sentiment_score")
+    root, name = _stream_root(spark, "stream_scored")
+    _write_lines(spark, sf, root)
+    return _scored_table(spark, sf, root, name).select("id", "polarity", "sentiment_label", "sentiment_score")
+
+
+def _ordered_batches(spark, sf, root, parts):
+    """Posts as JSON-lines files that a stream reads one batch after the other: file times follow the
+    order of ``parts`` (filters on the posts)."""
+    import time
+
+    for part in parts:
+        to_lines(posts_view(spark, sf).withColumn("text", F.lit("t")).filter(part)).coalesce(1).write.mode("append").text(f"{root}/lines")
+        time.sleep(0.05)      # file times have milliseconds
+
+
+def _quarters(spark, sf):
+    n = read_table(spark, sf, "events", "event_id").count()
+    return [f"event_id >= {n * k // 4} AND event_id < {n * (k + 1) // 4}" for k in range(4)]
+
+
+@_register("stream_since_id")
+def _stream_since_id(spark, sf):
+    """I7-I9 in a stream: the mark moves with each batch.  Quarters of the posts by id arrive in the
+    order 2, 1, 4, 3, so the first and third quarter fall behind the mark."""
+    from pulse.streaming import post_stream, since_id_stream, trigger_options
+
+    root, name = _stream_root(spark, "stream_since")
+    q = _quarters(spark, sf)
+    _ordered_batches(spark, sf, root, [q[1], q[0], q[3], q[2]])
+    posts = post_stream(spark, f"{root}/lines", max_files_per_trigger=1)
+    _finish(since_id_stream(posts, f"{root}/out", f"{root}/marks", name, trigger=trigger_options(available_now=True), checkpoint=f"{root}/checkpoint"))
+    return spark.read.parquet(f"{root}/out").select("id", "timestamp")
+
+
+@_register("stream_dedup")
+def _stream_dedup(spark, sf):
+    """T6 in a stream: every post arrives twice, its second copy a quarter later; the
+    memory of 60 days of event time covers them all."""
+    from pulse.streaming import dedup_stream, post_stream, to_table, trigger_options
+
+    root, name = _stream_root(spark, "stream_dedup")
+    q = _quarters(spark, sf)
+    _ordered_batches(spark, sf, root, [q[0], f"({q[0]}) OR ({q[1]})", f"({q[1]}) OR ({q[2]})", f"({q[2]}) OR ({q[3]})", q[3]])
+    posts = post_stream(spark, f"{root}/lines", max_files_per_trigger=1)
+    _finish(to_table(dedup_stream(posts, ttl="60 days"), name, "append", trigger_options(available_now=True),
+                     checkpoint=f"{root}/checkpoint", fmt="parquet", path=f"{root}/out"))
+    return spark.read.parquet(f"{root}/out").select("id", "username", "timestamp")
+
+
+@_register("stream_restart")
+def _stream_restart(spark, sf):
+    """Hourly windows in update mode over a query that stops after half of the files and is started
+    again from its checkpoint; the changed windows of both runs, folded, equal the windows of all posts."""
+    from pulse.streaming import fold_updates, post_stream, read_updates, trigger_options, windowed_stream, write_updates
+
+    root, name = _stream_root(spark, "stream_restart")
+    q = _quarters(spark, sf)
+    for half in (q[:2], q[2:]):
+        _ordered_batches(spark, sf, root, half)
+        posts = post_stream(spark, f"{root}/lines", max_files_per_trigger=1)
+        scored = posts.withColumn("sentiment_label", F.col("username").substr(1, 6)).withColumn("sentiment_score", F.length("username").cast("double"))
+        w = windowed_stream(scored, "1 hour", "1 hour", None).select(
+            F.col("window.start").alias("window_start"), "sentiment_label", "tweet_count", "avg_sentiment")
+        _finish(write_updates(w, f"{root}/out", name, trigger_options(available_now=True), checkpoint=f"{root}/checkpoint"))
+        fold_updates(spark, f"{root}/out", ["window_start", "sentiment_label"], 1)
+    out = read_updates(spark, f"{root}/out", ["window_start", "sentiment_label"])
+    return out.select("window_start", "sentiment_label", "tweet_count", _r6("avg_sentiment").alias("avg_sentiment"))
+
+
+@_register("stream_append_late")
+def _stream_append_late(spark, sf):
+    """Append mode drops late rows.  Later half of the days first, then (after a batch that lets the new
+    watermark apply) the earlier half, all of it late; finished hourly windows are those of the later half that the
+    watermark has passed."""
+    from pulse.streaming import post_stream, to_table, trigger_options, windowed_stream
+
+    root, name = _stream_root(spark, "stream_append")
+    mid = read_table(spark, sf, "events", "ts").agg(F.min("ts").alias("a"), F.max("ts").alias("b")).select(
+        F.expr("date_trunc('DAY', a + (b - a) / 2)").cast("string").alias("m")).first()["m"]
+    late, new = f"timestamp < timestamp_ntz'{mid}'", f"timestamp >= timestamp_ntz'{mid}'"
+    _ordered_batches(spark, sf, root, [new, f"{new} AND event_id % 50 = 0", late])
+    posts = post_stream(spark, f"{root}/lines", max_files_per_trigger=1)
+    scored = posts.withColumn("sentiment_label", F.lit("all")).withColumn("sentiment_score", F.lit(1.0))
+    w = windowed_stream(scored, "1 hour", "1 hour", "1 hour").select(F.col("window.start").alias("window_start"), "tweet_count")
+    _finish(to_table(w, name, "append", trigger_options(available_now=True), checkpoint=f"{root}/checkpoint", fmt="parquet", path=f"{root}/out"))
+    return spark.read.parquet(f"{root}/out")
 
 
 @_register("window_samples")
@@ -200,6 +305,17 @@ def _window_samples(spark, sf):
                     "id", "text")
 
 
+@_register("window_texts")
+def _window_texts(spark, sf):
+    """A2: every text of each 1 h / 30 min window x band, in long form (a digest stands for each text)."""
+    docs = read_table(spark, sf, "documents", "doc_id", "text")
+    digests = docs.select(F.col("doc_id").alias("_d"), F.md5("text").alias("text_md5"))
+    rows = scored_posts(spark, sf, "strict")
+    rows = rows.join(digests, rows["doc_id"] == digests["_d"], "left")
+    t = windows.window_texts(rows, "1 hour", "30 minutes", columns=("id", "text_md5"))
+    return t.select(*_window_cols(t), "sentiment_label", "id", "text_md5")
+
+
 @_register("trend")
 def _trend(spark, sf):
     """Tumbling 10 s mean score."""
@@ -227,58 +343,66 @@ def _late_report(spark, sf):
     return windows.late_report(polls, "30 seconds", feed="event_type")
 
 
+@_register("late_report_null_feed")
+def _late_report_null_feed(spark, sf):
+    """T7 where a feed has no name: rows of a null feed are one feed, with blocks of 500 arrivals."""
+    polls = overlapping_polls(spark, sf, extra=("event_type",))
+    polls = polls.withColumn("feed", F.when(F.col("event_type") != "view", F.col("event_type")))
+    return windows.late_report(polls, "30 seconds", feed="feed", block_size=500)
+
+
 # ---------------------------------------------------------------- views
 
-def _span_counts_by_doc(spark, sf, rule="wide"):
+def _span_counts_by_doc(spark, sf, span, rule="wide"):
     """Posts of the span counted per document, then given the document's score:
     the aggregate runs before the join, so the join sees one row per document
     instead of one per post (a band total needs only the count per band)."""
-    posts = views.in_span(posts_view(spark, sf), newest_event(spark, sf), SPAN_ALL)
+    posts = views.in_span(posts_view(spark, sf), newest_event(spark, sf), span)
     per_doc = posts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    scores = doc_scores(spark, sf, rule).select("doc_id", "sentiment_label", "sentiment_score")
-    return per_doc.join(scores, "doc_id", "left")
+    # the same rule for a missing document as everywhere else
+    return attach_scores(per_doc, doc_scores(spark, sf, rule).drop("hits", "polarity_sum"))
 
 
-@_register("overall_stats")
-def _overall_stats(spark, sf):
+@_register_spans("overall_stats")
+def _overall_stats(spark, sf, span=SPAN_ALL):
     """A4/A5: per band and total, over the span before the newest event."""
-    o = views.overall_stats(_span_counts_by_doc(spark, sf), None, None, weight="n")
+    o = views.overall_stats(_span_counts_by_doc(spark, sf, span), None, None, weight="n")
     return o.select("sentiment_label", "is_total", "tweet_count", _r6("avg_sentiment").alias("avg_sentiment"))
 
 
-@_register("throughput")
-def _throughput(spark, sf):
+@_register_spans("throughput")
+def _throughput(spark, sf, span=SPAN_ALL):
     """Posts per second between the oldest and newest event (no score needed)."""
-    t = views.throughput(posts_view(spark, sf), newest_event(spark, sf), oldest_event(spark, sf), SPAN_ALL)
+    t = views.throughput(posts_view(spark, sf), newest_event(spark, sf), oldest_event(spark, sf), span)
     return t.select("total_tweets", _r6("elapsed_seconds").alias("elapsed_seconds"),
                     _r6("tweets_per_second").alias("tweets_per_second"))
 
 
-@_register("kpis")
-def _kpis(spark, sf):
+@_register_spans("kpis")
+def _kpis(spark, sf, span=SPAN_ALL):
     """The dashboard's metric row over the span, posts per second since the oldest event."""
-    k = views.kpis(_span_counts_by_doc(spark, sf), newest_event(spark, sf), oldest_event(spark, sf), None,
+    k = views.kpis(_span_counts_by_doc(spark, sf, span), newest_event(spark, sf), oldest_event(spark, sf), None,
                    weight="n")
     return k.select("total_tweets", _r6("avg_sentiment").alias("avg_sentiment"), "avg_text",
                     _r6("tweets_per_second").alias("tweets_per_second"), "tps_text", "positive", "negative")
 
 
-@_register("positive_negative")
-def _positive_negative(spark, sf):
+@_register_spans("positive_negative")
+def _positive_negative(spark, sf, span=SPAN_ALL):
     """Positive and negative counts over the span."""
-    return views.positive_negative(_span_counts_by_doc(spark, sf), weight="n")
+    return views.positive_negative(_span_counts_by_doc(spark, sf, span), weight="n")
 
 
-@_register("distribution")
-def _distribution(spark, sf):
+@_register_spans("distribution")
+def _distribution(spark, sf, span=SPAN_ALL):
     """Count per band over the span."""
-    return views.distribution(_span_counts_by_doc(spark, sf), weight="n")
+    return views.distribution(_span_counts_by_doc(spark, sf, span), weight="n")
 
 
-@_register("recent_posts")
-def _recent_posts(spark, sf):
+@_register_spans("recent_posts")
+def _recent_posts(spark, sf, span=SPAN_ALL):
     """V1: newest 50 posts of the span; texts joined after the top-k (a broadcast of 50 rows)."""
-    top = views.recent_posts(scored_posts(spark, sf, "wide"), newest_event(spark, sf), SPAN_ALL,
+    top = views.recent_posts(scored_posts(spark, sf, "wide"), newest_event(spark, sf), span,
                              columns=["username", "sentiment_label", "polarity", "sentiment_score",
                                       "timestamp", "doc_id"])
     top = attach_text(spark, sf, top, bounded_rows=views.RECENT_POSTS_LIMIT)
@@ -286,22 +410,22 @@ def _recent_posts(spark, sf):
                       "sentiment_score", "timestamp").orderBy(F.col("timestamp").desc(), F.col("id").desc())
 
 
-@_register("posts_in_span")
-def _posts_in_span(spark, sf):
+@_register_spans("posts_in_span")
+def _posts_in_span(spark, sf, span=SPAN_ALL):
     """V2: every post of the span with its text, newest first.  The span filter is
     pushed below the text join; the one sort runs on the joined rows."""
     rows = attach_text(spark, sf, scored_posts(spark, sf, "wide"))
-    rows = views.posts_in_span(rows, newest_event(spark, sf), SPAN_ALL,
+    rows = views.posts_in_span(rows, newest_event(spark, sf), span,
                                columns=["username", "text", "sentiment_label", "polarity", "sentiment_score",
                                         "timestamp"])
     return rows.select("id", "username", "text", "sentiment_label", "polarity",
                        "sentiment_score", "timestamp")
 
 
-@_register("windowed_stats")
-def _windowed_stats(spark, sf):
+@_register_spans("windowed_stats")
+def _windowed_stats(spark, sf, span=SPAN_ALL):
     """Newest 30 window rows of the span (dashboard windows, wide bands)."""
-    return views.windowed_stats(_windowed(spark, sf, "wide"), newest_event(spark, sf), SPAN_ALL).select(
+    return views.windowed_stats(_windowed(spark, sf, "wide"), newest_event(spark, sf), span).select(
         "window_start", "window_end", "sentiment_label", "tweet_count",
         _r6("avg_sentiment").alias("avg_sentiment"))
 
@@ -312,11 +436,11 @@ def _latest_windows(spark, sf):
     return views.latest_windows(_windowed(spark, sf, "strict"))
 
 
-@_register("post_list")
-def _post_list(spark, sf):
+@_register_spans("post_list")
+def _post_list(spark, sf, span=SPAN_ALL):
     """First 30 posts of the span with headline and age."""
     now = newest_event(spark, sf)
-    rows = views.posts_in_span(scored_posts(spark, sf, "wide"), now, SPAN_ALL,
+    rows = views.posts_in_span(scored_posts(spark, sf, "wide"), now, span,
                                columns=["username", "sentiment_label", "sentiment_score", "timestamp"])
     return views.post_list(rows, now).select("id", "timestamp", "headline", "age")
 
@@ -422,7 +546,8 @@ def _since_id(spark, sf):
 @_register("high_water")
 def _high_water(spark, sf):
     """I8: new mark = max(previous mark, largest id)."""
-    return ingest.high_water(_polls(spark, sf), _half_events(spark, sf))
+    mark = ingest.high_water(_polls(spark, sf), _half_events(spark, sf))
+    return mark.select(F.col("hwm").cast("long").alias("hwm"))
 
 
 @_register("catch_up")
@@ -454,9 +579,90 @@ def _dedup_posts(spark, sf):
     return d.select("id", "created_at", "username", "timestamp", "arrival")
 
 
-def _search(spark, sf, lang):
+@_register("dedup_posts_ttl")
+def _dedup_posts_ttl(spark, sf):
+    """I11 with the one-hour memory: copies seen 1 minute, 50 minutes, 2 hours, and 50 and 110 minutes after the first."""
+    posts = posts_view(spark, sf)
+    copies = [("event_id % 10 = 0", 1), ("event_id % 10 = 1", 50), ("event_id % 10 IN (2, 4)", 120),
+              ("event_id % 10 IN (3, 4)", 50), ("event_id % 10 IN (3, 4)", 110)]
+    seen = posts.withColumn("seen", F.col("timestamp")).withColumn("arrival", F.lit(0).cast("long"))
+    for k, (which, minutes) in enumerate(copies, 1):
+        seen = seen.unionByName(posts.filter(which).withColumn("seen", F.col("timestamp") + F.expr(f"INTERVAL {minutes} minutes"))
+                                .withColumn("arrival", F.lit(k).cast("long")))
+    return ingest.dedup_posts(seen, key="id", ttl=ingest.DEDUP_TTL, seen="seen").select("id", "seen", "arrival")
+
+
+def _odd_ids(spark, sf):
+    """Raw posts whose ids are 0, words, wider than 64 bits, missing, or plain numbers."""
+    e = read_table(spark, sf, "events", "event_id")
+    text = F.col("event_id").cast("string")
+    kind = F.col("event_id") % 6
+    return e.select(
+        "event_id",
+        F.when(kind == 0, "0").when(kind == 1, F.concat(F.lit("x"), text)).when(kind == 2, F.concat(F.lit("99999999999999999999"), text))
+        .when(kind == 3, F.lit("")).when(kind == 4, F.lit(None).cast("string")).otherwise(text).alias("id"),
+        F.when(kind == 0, F.concat(F.lit("7"), text)).when(kind == 3, "0").alias("tweet_id"))
+
+
+@_register("odd_ids")
+def _odd_ids_clean(spark, sf):
+    """A zero id falls through to tweet_id; numbers wider than 64 bits pass the mark; the rest is told apart."""
+    raw = _odd_ids(spark, sf)
+    clean = ingest.normalize_posts(raw, keep=["event_id"])
+    return ingest.since_id(clean, _half_events(spark, sf)).select("event_id", "id")
+
+
+@_register("odd_ids_rejected")
+def _odd_ids_rejected(spark, sf):
+    """Rows without an id and rows whose id is no number, each with its reason."""
+    return ingest.rejected_posts(_odd_ids(spark, sf), keep=["event_id"]).select("event_id", "reason")
+
+
+@_register("odd_times")
+def _odd_times(spark, sf):
+    """Dated texts parse; a bare time, a bare year and a broken text stay null and their posts stay."""
+    e = read_table(spark, sf, "events", "event_id", "ts")
+    kind = F.col("event_id") % 5
+    day = F.date_format("ts", "yyyy-MM-dd")
+    created = (F.when(kind == 0, F.date_format("ts", "HH:mm:ss")).when(kind == 1, F.date_format("ts", "yyyy")).when(kind == 2, day)
+               .when(kind == 3, F.concat(day, F.lit("T25:00:00Z"))).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")))
+    raw = e.select((F.col("event_id") + 1).cast("string").alias("id"), created.alias("created_at"))
+    return ingest.normalize_posts(raw).select("id", "timestamp")
+
+
+@_register("chunks_and_report_without_time")
+def _chunks_without_time(spark, sf):
+    """Posts without a time are chunked and counted in a null interval."""
+    posts = posts_view(spark, sf).withColumn("timestamp", F.when(F.col("event_id") % 7 != 0, F.col("timestamp")))
+    chunks = ingest.chunk_posts(posts).groupBy("chunk_start").agg(F.max("pos").alias("posts"), F.max("chunk").alias("last_chunk"))
+    report = ingest.fetch_report(posts).select(F.col("interval_start").alias("_i"), F.col("posts").alias("reported"), "total_posts")
+    return (chunks.join(report, F.col("chunk_start").eqNullSafe(F.col("_i")))
+            .select("chunk_start", "posts", "last_chunk", "reported", "total_posts"))
+
+
+@_register("shared_id_scores")
+def _shared_id_scores(spark, sf):
+    """Rows that share an id (or have none) keep their own text's score; missing texts are flagged."""
+    from pulse.operators.scoring import score_texts
+    from pulse.plans.inputs import fixture_lexicon
+
+    docs = read_table(spark, sf, "documents", "doc_id", "text")
+    rows = docs.select("doc_id", F.when(F.col("doc_id") % 5 != 0, F.floor(F.col("doc_id") / 2)).cast("string").alias("id"),
+                       F.when(F.col("doc_id") % 11 != 0, F.col("text")).alias("text"))
+    return score_texts(rows, fixture_lexicon(spark)).select("doc_id", "id", "polarity", "sentiment_label", "unscored")
+
+
+@_register("unscored_posts")
+def _unscored_posts(spark, sf):
+    """posts whose document is missing are neutral and flagged, in rows and in band counts alike."""
+    posts = posts_view(spark, sf).withColumn("doc_id", F.when(F.col("event_id") % 9 == 0, -1).otherwise(F.col("doc_id")))
+    rows = attach_scores(posts, doc_scores(spark, sf, "wide").drop("hits", "polarity_sum"))
+    return rows.groupBy("sentiment_label", "unscored").agg(F.count(F.lit(1)).alias("posts"))
+
+
+def _search(spark, sf, lang, **how):
     docs = read_table(spark, sf, "documents", "doc_id", "text", "lang")
-    hits = ingest.search(docs, lang=lang).select("doc_id")
+    hits = ingest.search(docs, lang=lang, **how).select("doc_id")
     p = posts_view(spark, sf)
     # filter the documents once, then keep the posts showing a matching document
     return p.join(hits, "doc_id", "left_semi").select("id", "username", "timestamp", "doc_id")
@@ -474,6 +680,12 @@ def _search_en(spark, sf):
     return _search(spark, sf, "en")
 
 
+@_register("search_phrase")
+def _search_phrase(spark, sf):
+    """I12 with terms that occur in the English documents, one of them of two words, and a repost prefix that occurs."""
+    return _search(spark, sf, "en", terms=("of the", "Thatin"), repost_prefix="The ")
+
+
 @_register("latest_n")
 def _latest_n(spark, sf):
     """The newest 1000 posts."""

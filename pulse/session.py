@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 UTC = "UTC"
 
@@ -80,3 +81,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a Parquet table under the shared folder and read back: what follows
+    starts from the files, so neither lineage nor lost executors bring earlier work back."""
+    path = f"{checkpoint_root(df.sparkSession)}/pulse-tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BOUNDED_ROWS = 1000     # rows of a LIMIT whose keys and texts are broadcast
 POST_COLUMNS = ["id", "created_at", "username", "timestamp", "event_id", "doc_id"]
 
 
@@ -62,15 +63,16 @@ def attach_text(spark: SparkSession, sf_dir: str, df: DataFrame, on: str = "doc_
     possible (after filters and limits) so texts are not shuffled for rows that
     are dropped later.
 
-    ``bounded_rows``: the caller's proven bound on ``df`` (a LIMIT); such a side
-    is broadcast and the texts are read without a shuffle.  Otherwise both sides
+    ``bounded_rows``: the caller's proven bound on ``df`` (a LIMIT); its keys are
+    broadcast to the texts' scan (a left semi join, which Spark can build on that
+    side), so only the texts of those rows leave the scan.  Otherwise both sides
     shuffle on ``doc_id`` (AQE splits a hot document's partition).
     """
-    texts = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    left = F.broadcast(df) if bounded_rows is not None and bounded_rows <= 100_000 else df
-    joined = texts.join(left, texts["doc_id"] == left[on], "right") if left is not df else \
-        df.join(texts, df[on] == texts["doc_id"], "left")
-    return joined.drop(texts["doc_id"])
+    texts = read_table(spark, sf_dir, "documents", "doc_id", "text").withColumnRenamed("doc_id", "_td")
+    if bounded_rows is not None and bounded_rows <= BOUNDED_ROWS:
+        keys = df.select(F.col(on).alias("_k"))
+        texts = F.broadcast(texts.join(F.broadcast(keys), F.col("_td") == F.col("_k"), "left_semi"))
+    return df.join(texts, df[on] == F.col("_td"), "left").drop("_td")
 
 
 def overlapping_polls(spark: SparkSession, sf_dir: str, with_text: bool = False,

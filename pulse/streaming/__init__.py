@@ -2,10 +2,10 @@
 sinks, triggers and the lifecycle of named queries."""
 
 from pulse.streaming.queries import (  # noqa: F401
-    dedup_stream, post_stream, score_batches, scored_stream, since_id_stream, start_dashboard, windowed_stream,
+    dedup_stream, post_stream, score_batches, scored_stream, scored_windows, since_id_stream, start_dashboard,
+    windowed_stream,
 )
 from pulse.streaming.sinks import (  # noqa: F401
-    checkpoint_for, console, read_updates, start_all, stop_all, to_table, trigger_options, write_batches,
-    write_complete,
-    write_updates,
+    checkpoint_for, console, dropped_rows, fold_updates, read_complete, read_updates, start_all, stop_all, to_table,
+    trigger_options, write_batches, write_complete, write_updates,
 )

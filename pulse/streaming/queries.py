@@ -1,11 +1,13 @@
 """Streaming queries: parsed posts, scoring, watermarked windows and dedup.
 
-Late data: ``late="drop"`` runs the windows in append (or update) mode, so a
-window is final once the watermark passes its end and rows behind the watermark
-are dropped (Spark applies the new watermark from the next batch on, so a late
-row in the batch right after the advance still counts).  ``late="keep"`` runs
-complete mode, which keeps every window for ever and so never drops a row -
-what the reference's complete-mode queries did, watermark or not.
+Late data: ``late="keep"`` (the default of the dashboard) keeps every window's
+state and so never drops a row, as the reference's complete-mode queries did,
+watermark or not: update mode without a watermark writes only the windows a batch
+changed, complete mode all of them.  ``late="drop"``, which has to be asked for,
+runs append mode: a window is final once the watermark passes its end, its state
+is evicted, and rows behind the watermark are dropped (Spark applies the new
+watermark from the next batch on, so a late row in the batch right after the
+advance still counts).
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.operators.ingest import DEDUP_TTL, dedup_key
+from pulse.operators.ingest import DEDUP_TTL, ID_NUMBER, dedup_key
 from pulse.operators.scoring import lexicon_fits, score_texts, with_scorer
 from pulse.sources.lines import parse_posts, read_lines
 from pulse.streaming.sinks import checkpoint_for, write_batches
@@ -47,14 +49,15 @@ def scored_stream(posts: DataFrame, scorer, rule: str = "strict") -> DataFrame:
 
 
 def score_batches(posts: DataFrame, lexicon: DataFrame, path: str, name: str, rule: str = "strict",
-                  key: str = "id", trigger: dict | None = None, checkpoint: str | None = None):
+                  text: str = "text", trigger: dict | None = None, checkpoint: str | None = None):
     """Lexicon scoring of each micro-batch (a join + aggregate, which would be
     stateful inside the stream), written to ``path/batch=<id>`` so a replayed
-    batch overwrites its own folder."""
+    batch overwrites its own folder.  Scores belong to texts, not ids: rows that share an id keep
+    their own, and ``unscored`` flags null texts."""
     fits = lexicon_fits(lexicon)  # decided once for the life of the query
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        scored = score_texts(batch, lexicon, key=key, rule=rule, broadcast=fits)
+        scored = score_texts(batch, lexicon, text=text, rule=rule, broadcast=fits)
         scored.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
     return write_batches(posts, run, name, trigger=trigger,
                          checkpoint=checkpoint or checkpoint_for(posts.sparkSession, name))
@@ -91,7 +94,12 @@ def output_mode(late: str) -> str:
 def dedup_stream(posts: DataFrame, ttl: str = DEDUP_TTL, key=None, ts: str = "timestamp") -> DataFrame:
     """Drop a post whose key was seen within ``ttl`` of event time (state is kept
     until the watermark passes the first copy's time + ttl).  Default key:
-    ``dedup_key(id, text)``."""
+    ``dedup_key(id, text)``.
+
+    The watermark trails the newest post by ``ttl``, which is also the lateness allowed:
+    a post first seen more than ``ttl`` behind the newest is dropped, as nothing is
+    remembered about its time any more; ``dropped_rows(query)`` counts those.  Where
+    such posts matter, store the stream and run ``dedup_posts(ttl=...)`` over the table."""
     k = dedup_key() if key is None else (F.col(key) if isinstance(key, str) else key)
     return (posts.withColumn("dedup_key", k)
             .withWatermark(ts, ttl)
@@ -100,42 +108,50 @@ def dedup_stream(posts: DataFrame, ttl: str = DEDUP_TTL, key=None, ts: str = "ti
 
 def start_dashboard(spark: SparkSession, source: str, scorer, out_root: str, rule: str = "wide",
                     watermark: str = WATERMARK_DASHBOARD, size: str = "10 seconds", slide: str = "5 seconds",
-                    late: str = "drop", trigger: dict | None = None, fmt: str = "text",
+                    late: str = "keep", trigger: dict | None = None, fmt: str = "text",
                     max_files_per_trigger: int | None = None, name: str = "dashboard", **source_options):
-    """Start the dashboard's two named queries over one scored post stream:
+    """Start the dashboard's two named queries:
 
-    - ``<name>_rows``: every scored post, appended to ``out_root/raw_tweets``;
-    - ``<name>_windows``: window x band counts and means.  ``late="drop"`` appends
-      finished windows to ``out_root/windowed_aggregates``; ``late="keep"``
-      rewrites that table with the complete result every batch.
+    - ``<name>_rows``: every post, parsed and scored once, appended to ``out_root/raw_tweets``;
+    - ``<name>_windows``: window x band counts and means over that table's rows.  ``late="keep"`` (default)
+      writes the windows each batch changes to ``out_root/windowed_aggregates`` (read them with
+      ``read_updates(..., ["window_start", "window_end", "sentiment_label"])``) and drops nothing;
+      ``late="drop"`` appends finished windows and drops rows behind the watermark, with bounded state.
 
     Each query has its own checkpoint under the shared checkpoint folder, so both
     resume after a restart.  The dashboard views (``pulse.operators.views``) then
-    run as batch queries over the two tables.  Returns the started queries.
+    run as batch queries over the two tables.  With an ``availableNow`` trigger the rows are drained
+    before the windows start.  Returns the started queries.
     """
-    from pulse.streaming.sinks import to_table, trigger_options, write_complete
+    from pulse.streaming.sinks import to_table, trigger_options, write_updates
 
+    if late not in ("keep", "drop"):
+        raise ValueError("late must be 'keep' or 'drop'")
     trigger = trigger or trigger_options("2 seconds")
-
-    def scored_posts():
-        posts = post_stream(spark, source, fmt=fmt, max_files_per_trigger=max_files_per_trigger,
-                            **source_options)
-        return scored_stream(posts, scorer, rule=rule)
-
-    rows = to_table(scored_posts(), f"{name}_rows", "append", trigger, fmt="parquet",
-                    path=f"{out_root}/raw_tweets")
-    windows = windowed_stream(scored_posts(), size, slide, watermark)
-    windows = windows.select(F.col("window.start").alias("window_start"),
-                             F.col("window.end").alias("window_end"),
-                             "sentiment_label", "tweet_count", "avg_sentiment")
-    if output_mode(late) == "append":
-        win = to_table(windows, f"{name}_windows", "append", trigger, fmt="parquet",
-                       path=f"{out_root}/windowed_aggregates")
+    posts = post_stream(spark, source, fmt=fmt, max_files_per_trigger=max_files_per_trigger, **source_options)
+    scored = scored_stream(posts, scorer, rule=rule)
+    rows = to_table(scored, f"{name}_rows", "append", trigger, fmt="parquet", path=f"{out_root}/raw_tweets")
+    if "availableNow" in trigger:
+        rows.awaitTermination()
+    windows = scored_windows(spark, f"{out_root}/raw_tweets", scored.schema, size, slide, watermark if late == "drop" else None)
+    if late == "drop":
+        win = to_table(windows, f"{name}_windows", "append", trigger, fmt="parquet", path=f"{out_root}/windowed_aggregates")
     else:
-        win = write_complete(windows, f"{out_root}/windowed_aggregates", f"{name}_windows", trigger)
+        win = write_updates(windows, f"{out_root}/windowed_aggregates", f"{name}_windows", trigger)
     return [rows, win]
 
 
+def scored_windows(spark: SparkSession, path: str, schema, size: str = "10 seconds", slide: str = "5 seconds",
+                   watermark: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The window stream over a stored table of scored rows: no parsing and no scoring again."""
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    windows = windowed_stream(reader.parquet(path), size, slide, watermark)
+    return windows.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+                          "sentiment_label", "tweet_count", "avg_sentiment")
+
+
 def since_id_stream(posts: DataFrame, out_path: str, marks_path: str, name: str, start_mark: int | None = None,
                     id_col: str = "id", trigger: dict | None = None, checkpoint: str | None = None,
                     dedup_in_batch: bool = True):
@@ -152,16 +168,21 @@ def since_id_stream(posts: DataFrame, out_path: str, marks_path: str, name: str,
     """
     from pulse.operators.ingest import high_water, since_id
 
+    from pulse.streaming.sinks import _finished
+
     spark = posts.sparkSession
-    # the table must exist before the first batch reads it: batch -1 holds the start mark
-    spark.createDataFrame([(start_mark,)], "hwm long").write.mode("overwrite").parquet(f"{marks_path}/batch=-1")
+    # the table must exist before the first batch reads it: batch -1 holds the start mark, as first given
+    if not _finished(spark, marks_path, "batch"):
+        (spark.range(1).select(F.lit(start_mark).cast(ID_NUMBER).alias("hwm"))
+         .write.mode("overwrite").parquet(f"{marks_path}/batch=-1"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
         marks = spark.read.parquet(marks_path)
         prev = marks.filter(F.col("batch") < F.lit(batch_id)).select(F.max("hwm")).scalar()
         kept = since_id(batch, prev, id_col)
-        if dedup_in_batch:
-            kept = kept.dropDuplicates([id_col])
+        if dedup_in_batch:      # the same row on every replay: the least in the order of all columns
+            row = F.struct(*kept.columns)
+            kept = kept.groupBy(F.col(id_col).alias("_id")).agg(F.min(row).alias("_row")).select("_row.*")
         kept.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
         high_water(batch, prev, id_col).write.mode("overwrite").parquet(f"{marks_path}/batch={batch_id}")
     return write_batches(posts, run, name, trigger=trigger,

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -53,25 +54,31 @@ def write_batches(df: DataFrame, fn: Callable[[DataFrame, int], None], name: str
 
     Emptiness is checked with ``isEmpty()`` (one row looked at), never ``count()``;
     ``fn`` should write a table keyed by ``batch_id`` so a replayed batch
-    overwrites instead of duplicating.
+    overwrites instead of duplicating.  The batch is persisted while ``fn`` runs, so
+    several actions on it parse (and score) its rows once; lost blocks are recomputed.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        fn(batch, batch_id)
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not batch.isEmpty():
+                fn(batch, batch_id)
+        finally:
+            batch.unpersist()
     return _writer(df, name, mode, trigger, checkpoint).foreachBatch(run).start()
 
 
 def to_table(df: DataFrame, name: str, mode: str = "append", trigger: dict | None = None,
-             checkpoint: str | None = None, fmt: str = "memory", path: str | None = None,
+             checkpoint: str | None = None, *, fmt: str, path: str | None = None,
              partition_by: Iterable[str] | None = None) -> StreamingQuery:
-    """A named, queryable result.
+    """A named, queryable result in a format that has to be named.
 
-    ``fmt="memory"`` keeps the result in the driver (tests and demos only: it is
-    not fault tolerant and grows with the output).  ``fmt="parquet"`` (or any
-    file format) appends to ``path``; ``fmt="table"`` appends to the catalog
-    table ``name``.  Complete mode needs ``memory`` or ``write_complete``.
+    ``fmt="parquet"`` (or any file format) appends to ``path``, which it needs;
+    ``fmt="table"`` appends to the catalog table ``name``; ``fmt="memory"`` keeps the
+    result in the driver (for tests: it is not fault tolerant and grows with the
+    output).  Complete mode needs ``memory`` or ``write_complete``.
     """
+    if fmt not in ("table", "memory") and not path:
+        raise ValueError(f"a {fmt} table needs a path")
     w = _writer(df, name, mode, trigger, checkpoint)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -90,12 +97,44 @@ def console(df: DataFrame, name: str, mode: str = "complete", rows: int = CONSOL
 
 def write_complete(df: DataFrame, path: str, name: str, trigger: dict | None = None,
                    checkpoint: str | None = None) -> StreamingQuery:
-    """Complete-mode result kept as a table: each batch overwrites ``path``."""
+    """Complete-mode result kept as a table: batch ``b`` writes ``path/version=b`` whole, and
+    ``read_complete`` reads the newest finished version, so readers never see a
+    missing or half-written table.  The version before the newest is kept, older ones go."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        for old in _finished(df.sparkSession, path, "version")[:-2]:
+            _delete(df.sparkSession, f"{path}/version={old}")
     return _writer(df, name, "complete", trigger, checkpoint).foreachBatch(run).start()
 
 
+def read_complete(spark: SparkSession, path: str) -> DataFrame:
+    """The newest finished version of a ``write_complete`` table."""
+    versions = _finished(spark, path, "version")
+    if not versions:
+        raise ValueError(f"no finished version under {path}")
+    return spark.read.parquet(f"{path}/version={versions[-1]}")
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _finished(spark: SparkSession, path: str, column: str) -> list[int]:
+    """Numbers of the ``column=<n>`` folders under ``path`` whose write has finished, ascending."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [(s.getPath().getName(), s.getPath().toString()) for s in fs.listStatus(p)]
+    return sorted(int(n.split("=")[1]) for n, full in names if n.startswith(f"{column}=")
+                  and fs.exists(_fs(spark, f"{full}/_SUCCESS")[1]))
+
+
 def write_updates(df: DataFrame, path: str, name: str, trigger: dict | None = None,
                   checkpoint: str | None = None) -> StreamingQuery:
     """Update-mode result as a table: the rows changed by batch ``b`` go to
@@ -117,6 +156,32 @@ def read_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
             .select(*keys, "_v.*"))
 
 
+def fold_updates(spark: SparkSession, path: str, keys: list[str], upto: int) -> None:
+    """Fold the batches up to ``upto`` of a ``write_updates`` table into one folder with the newest value
+    per key, so the number of folders stays bounded.  Run it as maintenance, for batches no
+    replay can touch any more.  The folded rows are written aside and finished first; an
+    interrupted fold is carried on by calling it again."""
+    aside = f"{path}/_fold-{upto}"
+    fs, done = _fs(spark, f"{aside}/_SUCCESS")
+    old = [b for b in _finished(spark, path, "batch") if b <= upto]
+    if not fs.exists(done):
+        if len(old) < 2:
+            return
+        folders = [f"{path}/batch={b}" for b in old]
+        df = spark.read.option("basePath", path).parquet(*folders)
+        cols = [c for c in df.columns if c != "batch" and c not in keys]
+        (df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col("batch")).alias("_v")).select(*keys, "_v.*")
+         .write.mode("overwrite").parquet(aside))
+    for b in old:
+        _delete(spark, f"{path}/batch={b}")
+    fs.rename(_fs(spark, aside)[1], _fs(spark, f"{path}/batch={upto}")[1])
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows the query's state operators have dropped as behind the watermark, over its recent progress."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in (p.get("stateOperators") or []))
+
+
 def start_all(starters: Iterable[Callable[[], StreamingQuery]]) -> list[StreamingQuery]:
     """Start several named queries over one source definition."""
     return [s() for s in starters]

@@ -91,3 +91,12 @@ def test_parse_event_time(spark):
                    dt.datetime(2018, 10, 10, 18, 19, 24)]
     fb = df.select(parse_event_time("c", None, F.lit(dt.datetime(2000, 1, 1))).cast("timestamp_ntz").alias("t"))
     assert [r.t for r in fb.collect()][4:6] == [dt.datetime(2000, 1, 1)] * 2
+
+
+def test_times_without_a_date_are_null(spark):
+    from pulse.functions.timeparse import parse_event_time
+
+    texts = ["12:30:00", "2018", "2018-03", "2018-03-04", "2018-03-04 05:06:07", "2018-03-04T05:06:07Z", "Wed Oct 10 20:19:24 +0000 2018", "x" * 70000, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.p for r in df.select("i", parse_event_time("t").alias("p")).collect()}
+    assert [i for i in got if got[i] is not None] == [3, 4, 5, 6]

@@ -137,3 +137,38 @@ def test_chunk_rows_hot_key(spark):
     for k, turns in by_key.items():
         for place, t in enumerate(sorted(turns), start=1):
             assert got[(k, t)] == (place, (place - 1) // 5)
+
+
+def test_ids_fall_through_field_by_field(spark):
+    df = spark.createDataFrame([("0", "77"), ("", "0"), (None, "5"), ("x9", None), ("99999999999999999999", None), ("1.5", None), ("0", None)],
+                               "id string, tweet_id string")
+    assert [r.id for r in ingest.normalize_posts(df).collect()] == ["77", "5", "x9", "99999999999999999999", "1.5"]
+    assert sorted((r.reason, r.id) for r in ingest.rejected_posts(df).collect()) == [
+        ("bad_id", "1.5"), ("bad_id", "x9"), ("no_id", ""), ("no_id", "0")]
+    posts = ingest.normalize_posts(df)
+    assert [r.id for r in ingest.since_id(posts, 70).collect()] == ["77", "99999999999999999999"]
+    assert ingest.high_water(posts).first().hwm == 99999999999999999999
+
+
+def test_null_keys_carry_over_blocks(spark):
+    df = spark.createDataFrame([(None if i % 2 else "a", i) for i in range(12)], "k string, turn long")
+    rows = ingest.chunk_rows(df, 2, ["k"], ["turn"], F.floor(F.col("turn") / F.lit(4))).orderBy("turn").collect()
+    assert [(r.k, r.pos, r.chunk) for r in rows if r.k is None] == [(None, p, (p - 1) // 2) for p in range(1, 7)]
+    assert [r.pos for r in rows if r.k == "a"] == list(range(1, 7))
+
+
+def test_dedup_ttl_counts_from_the_last_kept_copy(spark):
+    import datetime as dt
+    import random
+
+    rnd, t0 = random.Random(3), dt.datetime(2024, 1, 1)
+    rows = [(f"k{i % 4}" if i % 9 else None, t0 + dt.timedelta(minutes=rnd.randrange(0, 900)), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "id string, timestamp timestamp, arrival long")
+    want, last = [], {}
+    for k, at, i in sorted(rows, key=lambda r: (r[1], r[2])):
+        if k not in last or at - last[k] >= dt.timedelta(hours=1):
+            last[k] = at
+            want.append(i)
+    got = ingest.dedup_posts(df, key="id", ttl="1 hour").collect()
+    assert sorted(r.arrival for r in got) == sorted(want)
+    assert ingest.dedup_posts(df, key="id").count() == 5 and ingest.dedup_posts(df.limit(0), key="id", ttl="1 hour").count() == 0

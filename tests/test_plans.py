@@ -78,3 +78,18 @@ def test_hot_keys_stay_correct(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_recent_posts_shuffle_no_text_and_guards_count_plainly(spark):
+    """Only the texts of the top rows leave the scan: a semi join on broadcast keys, no exchange below it."""
+    import re
+
+    from pulse.plans import QUERIES
+    from tests.conftest import SF_SMALL
+
+    df = QUERIES["recent_posts"](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    for m in re.finditer(r"\(\d+\) (Exchange|ShuffleQueryStage)\nInput \[\d+\]: \[([^\]]*)\]", plan):
+        assert "text#" not in m[2], m[0]
+    assert "LeftSemi" in plan

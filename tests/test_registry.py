@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from pulse.plans import ORACLE, QUERIES
 from tests.conftest import SF_SMALL
 from tools.oracle_check import FAMILY, TABLES, rows_of
 
@@ -19,10 +20,10 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     df = queries()[name](spark, SF_SMALL)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]

@@ -21,7 +21,7 @@ def test_lexicon_polarity(spark):
 def test_score_texts_joins_back(spark):
     posts = spark.createDataFrame([("a", "good"), ("b", "bad bad"), ("c", "")], "id string, text string")
     got = {r.id: (r.sentiment_label, r.sentiment_score)
-           for r in score_texts(posts, lexicon_frame(spark, LEX), key="id").collect()}
+           for r in score_texts(posts, lexicon_frame(spark, LEX)).collect()}
     assert got == {"a": ("VERY_POSITIVE", 1.0), "b": ("VERY_NEGATIVE", -1.0), "c": ("NEUTRAL", 0.0)}
 
 
@@ -56,3 +56,33 @@ def test_python_lexicon_scorer_equals_the_join(spark):
     joined = {r.doc_id: r.polarity for r in lexicon_polarity(docs, lexicon_frame(spark, LEX)).collect()}
     fn = lexicon_scorer(LEX)
     assert {i: fn(t) for i, t in enumerate(texts)} == joined
+
+
+def test_scores_belong_to_texts_not_ids(spark):
+    from pulse.operators import lexicon_frame, score_texts
+
+    rows = spark.createDataFrame([("a", "good"), ("a", "bad"), (None, "good"), ("b", None), ("c", "good")], "id string, text string")
+    lex = lexicon_frame(spark, [("good", 80), ("bad", -60)])
+    for most in (100, 0):                                  # broadcast and shuffle join
+        got = sorted((str(r.id), str(r.text), r.polarity, r.unscored) for r in score_texts(rows, lex, broadcast_max_rows=most).collect())
+        assert got == [("None", "good", 0.8, False), ("a", "bad", -0.6, False), ("a", "good", 0.8, False), ("b", "None", 0.0, True), ("c", "good", 0.8, False)]
+
+
+def test_batch_scorer_loads_once_and_flags_faults(spark):
+    import pandas as pd
+
+    from pulse.operators import with_batch_scorer
+
+    def load():
+        def score(texts: pd.Series) -> pd.Series:
+            assert texts.notna().all()
+            if (texts == "fault").any():
+                raise RuntimeError("model fault")
+            return texts.str.len() / 10
+        return score
+
+    rows = spark.createDataFrame([("abc",), (None,), ("abcdef",)], "text string").coalesce(1)
+    got = [(r.text, r.polarity, r.unscored) for r in with_batch_scorer(rows, load).collect()]
+    assert got == [("abc", 0.3, False), (None, 0.0, True), ("abcdef", 0.6, False)]
+    bad = with_batch_scorer(spark.createDataFrame([("fault",)], "text string"), load).first()
+    assert bad.unscored and bad.sentiment_label == "NEUTRAL"

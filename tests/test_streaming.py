@@ -1,6 +1,8 @@
 import datetime as dt
 import json
 import os
+
+import pytest
 import time
 
 from pyspark.sql import functions as F
@@ -60,7 +62,7 @@ def test_late_rows_append_vs_complete(spark, scratch):
 
     posts = post_stream(spark, src, max_files_per_trigger=1)
     q1 = _run(to_table(windowed_stream(_neutral(posts), watermark="30 seconds"), "late_append",
-                       output_mode("drop"), once))
+                       output_mode("drop"), once, fmt="memory"))
     assert _windows(spark, "late_append") == [
         (T0 - dt.timedelta(seconds=5), 1), (T0, 1),
         (T0 + dt.timedelta(minutes=10, seconds=-5), 2), (T0 + dt.timedelta(minutes=10), 2)]
@@ -70,7 +72,7 @@ def test_late_rows_append_vs_complete(spark, scratch):
 
     posts = post_stream(spark, src, max_files_per_trigger=1)
     _run(to_table(windowed_stream(_neutral(posts), watermark="30 seconds"), "late_complete",
-                  output_mode("keep"), once))
+                  output_mode("keep"), once, fmt="memory"))
     assert _windows(spark, "late_complete") == [
         (T0 - dt.timedelta(seconds=5), 2), (T0, 2),
         (T0 + dt.timedelta(minutes=10, seconds=-5), 2), (T0 + dt.timedelta(minutes=10), 2),
@@ -78,12 +80,12 @@ def test_late_rows_append_vs_complete(spark, scratch):
 
     posts = post_stream(spark, src, max_files_per_trigger=1)
     _run(to_table(windowed_stream(_neutral(posts), watermark="30 seconds", order="desc"), "late_sorted",
-                  output_mode("keep"), once))
+                  output_mode("keep"), once, fmt="memory"))
     starts = [r.window.start for r in spark.sql("SELECT * FROM late_sorted").collect()]
     assert starts == sorted(starts, reverse=True) and len(starts) == 6
 
     posts = post_stream(spark, src, watermark="30 seconds", max_files_per_trigger=1)
-    _run(to_table(_neutral(posts), "late_rows", "append", once))
+    _run(to_table(_neutral(posts), "late_rows", "append", once, fmt="memory"))
     assert sorted(r.id for r in spark.sql("SELECT id FROM late_rows").collect()) == \
         ["a", "b", "c", "late", "n", "z"]
 
@@ -97,7 +99,8 @@ def test_dedup_stream(spark, scratch):
          {"id": "a", "text": "x", "timestamp": "2024-01-01T00:00:20Z"}],
     ])
     posts = post_stream(spark, src, max_files_per_trigger=1)
-    _run(to_table(dedup_stream(posts, key="id"), "dedup_out", "append", trigger_options(available_now=True)))
+    _run(to_table(dedup_stream(posts, key="id"), "dedup_out", "append", trigger_options(available_now=True),
+                  fmt="memory"))
     assert sorted(r.id for r in spark.sql("SELECT id FROM dedup_out").collect()) == ["a", "n"]
 
 
@@ -151,7 +154,7 @@ def test_stream_equals_batch_and_lexicon_batches(spark, scratch):
     streamed = spark.read.parquet(out)
     assert streamed.select("batch").distinct().count() == 3
     batch_lines = read_lines(spark, src, stream=False)
-    batch_scored = score_texts(parse_posts(batch_lines), lex, key="id")
+    batch_scored = score_texts(parse_posts(batch_lines), lex)
     key = ["id", "sentiment_label", "sentiment_score"]
     assert sorted(tuple(r) for r in streamed.select(*key).collect()) == \
         sorted(tuple(r) for r in batch_scored.select(*key).collect())
@@ -169,16 +172,17 @@ def test_dashboard_queries(spark, scratch):
                  "timestamp": f"2024-01-01T00:00:{2 * i:02d}Z"}] for i in range(8)]
     write_batches(src, batches)
     scorer = lambda t: 0.8 if t == "good" else -0.8
-    for late in ("drop", "keep"):
+    for late, asked in (("drop", {"late": "drop"}), ("keep", {})):     # keeping late rows is the default
         target = os.path.join(out, late)
-        qs = start_dashboard(spark, src, scorer, target, late=late, max_files_per_trigger=2,
+        qs = start_dashboard(spark, src, scorer, target, **asked, max_files_per_trigger=2,
                              trigger=trigger_options(available_now=True), name=f"dash_{late}")
         for q in qs:
             _run(q)
         stop_all(qs)
         rows = spark.read.parquet(f"{target}/raw_tweets")
         assert rows.count() == 8
-        wins = spark.read.parquet(f"{target}/windowed_aggregates")
+        wins = (read_updates(spark, f"{target}/windowed_aggregates", ["window_start", "window_end", "sentiment_label"])
+                if late == "keep" else spark.read.parquet(f"{target}/windowed_aggregates"))
         total = wins.agg(F.sum("tweet_count")).first()[0] or 0
         # append mode emits only windows the watermark (15 s behind 00:00:14) has passed
         assert total == (16 if late == "keep" else 0)
@@ -219,10 +223,63 @@ def test_late_row_right_after_the_advance_still_counts(spark, scratch):
     write_batches(src, [b for i, b in enumerate(LATE_BATCHES) if i != 2])
     posts = post_stream(spark, src, max_files_per_trigger=1)
     q = _run(to_table(windowed_stream(_neutral(posts), watermark="30 seconds"), "late_lag",
-                      output_mode("drop"), trigger_options(available_now=True)))
+                      output_mode("drop"), trigger_options(available_now=True), fmt="memory"))
     assert _windows(spark, "late_lag") == [
         (T0 - dt.timedelta(seconds=5), 2), (T0, 2),
         (T0 + dt.timedelta(minutes=10, seconds=-5), 1), (T0 + dt.timedelta(minutes=10), 1)]
     dropped = sum(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
                   if p.get("stateOperators"))
     assert dropped == 0
+
+
+def test_tables_need_a_format_and_a_path(spark, scratch):
+    src = os.path.join(scratch, "in")
+    write_batches(src, [[{"id": "1", "text": "x", "timestamp": "2024-01-01T00:00:00Z"}]])
+    posts = post_stream(spark, src)
+    with pytest.raises(ValueError, match="path"):
+        to_table(posts, "no_path", fmt="parquet")
+    with pytest.raises(TypeError):
+        to_table(posts, "no_format")
+
+
+def test_complete_tables_have_versions_and_readers_see_finished_ones(spark, scratch):
+    from pulse.streaming import read_complete, write_complete
+
+    src, out = os.path.join(scratch, "in"), os.path.join(scratch, "complete")
+    write_batches(src, [[{"id": str(i), "text": "x", "timestamp": f"2024-01-01T00:00:0{i}Z"}] for i in range(4)])
+    w = windowed_stream(_neutral(post_stream(spark, src, max_files_per_trigger=1)), watermark=None).select(
+        F.col("window.start").alias("window_start"), "tweet_count")
+    _run(write_complete(w, out, "versions", trigger_options(available_now=True), checkpoint=os.path.join(scratch, "c")))
+    assert sorted(d for d in os.listdir(out) if d.startswith("version=")) == ["version=2", "version=3"]
+    os.makedirs(os.path.join(out, "version=9"))                       # a write that never finished
+    assert sorted(r.tweet_count for r in read_complete(spark, out).collect()) == [4, 4]
+
+
+def test_folded_updates_read_the_same_and_an_interrupted_fold_carries_on(spark, scratch):
+    from pulse.streaming import fold_updates
+
+    out = os.path.join(scratch, "upd")
+    for batch, rows in enumerate([[("a", 1), ("b", 1)], [("b", 2)], [("c", 3)], [("a", 4)]]):
+        spark.createDataFrame(rows, "k string, v long").write.parquet(f"{out}/batch={batch}")
+    want = [("a", 4), ("b", 2), ("c", 3)]
+    fold_updates(spark, out, ["k"], 2)
+    assert sorted(d for d in os.listdir(out) if d.startswith("batch=")) == ["batch=2", "batch=3"]
+    assert sorted(map(tuple, read_updates(spark, out, ["k"]).collect())) == want
+    # finished aside, then stopped before the old folders went
+    read_updates(spark, out, ["k"]).write.parquet(f"{out}/_fold-3")
+    fold_updates(spark, out, ["k"], 3)
+    assert sorted(d for d in os.listdir(out) if "=" in d or "_fold" in d) == ["batch=3"]
+    assert sorted(map(tuple, read_updates(spark, out, ["k"]).collect())) == want
+
+
+def test_start_mark_is_written_once(spark, scratch):
+    from pulse.streaming import since_id_stream
+
+    src, out, marks, ckpt = (os.path.join(scratch, d) for d in ("in", "out", "marks", "ckpt"))
+    line = lambda i: [{"id": i, "text": "t", "timestamp": "2024-01-01T00:00:00Z"}]
+    write_batches(src, [line("6"), line("99999999999999999999")])
+    for start_mark in (5, 10 ** 30):                                 # the second call is a restart
+        posts = post_stream(spark, src, max_files_per_trigger=1)
+        _run(since_id_stream(posts, out, marks, "start_mark", start_mark=start_mark, trigger=trigger_options(available_now=True), checkpoint=ckpt))
+        write_batches(src, [line("7"), line("100000000000000000000")], start=2)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["100000000000000000000", "6", "99999999999999999999"]

@@ -177,3 +177,28 @@ def test_pane_samples_equal_plain_samples(spark):
         def rows_of(x):
             return sorted((r.window.start, r.sentiment_label, r.sample_rank, r.id) for r in x.collect())
         assert rows_of(a) == rows_of(b)
+
+
+def test_panes_need_a_multiple_of_the_slide(spark):
+    import pytest
+
+    from pulse.operators import window_samples, windowed_sentiment
+
+    df = spark.createDataFrame([], "id string, timestamp timestamp, sentiment_label string, sentiment_score double")
+    for fn in (windowed_sentiment, window_samples):
+        with pytest.raises(ValueError, match="multiple"):
+            fn(df, "10 seconds", "4 seconds", panes=True)
+
+
+def test_all_texts_of_a_window_and_a_null_band_keeps_its_samples(spark):
+    import datetime as dt
+
+    from pulse.operators import window_texts, windowed_with_samples
+
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(str(i), t0 + dt.timedelta(seconds=1), None if i < 5 else "POSITIVE", 0.5, f"t{i}") for i in range(9)] + [("n", None, "POSITIVE", 0.5, "no time")]
+    df = spark.createDataFrame(rows, "id string, timestamp timestamp, sentiment_label string, sentiment_score double, text string")
+    texts = window_texts(df).collect()
+    assert len(texts) == 18 and {r.text for r in texts} == {f"t{i}" for i in range(9)}
+    out = windowed_with_samples(df).collect()
+    assert {(r.sentiment_label, r.tweet_count, len(r.sample_tweets)) for r in out} == {(None, 5, 3), ("POSITIVE", 4, 3)}
