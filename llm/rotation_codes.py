@@ -7,7 +7,7 @@ product and its standard error.  A pair is recomputed exactly, in double precisi
 confidence bound reaches the threshold.
 
 1. Equal vectors are one class with a number of members.
-2. Candidates: sign bits under further rotations, ``r`` to a band.  ``r`` is the logarithm of the number of classes and two, so
+2. Candidates: sign bits under further rotations, ``r`` to a band.  ``r`` is the logarithm of the number of classes and four, so
    chance meetings in a band stay a fixed share at every size, and there are as many bands as a pair at the
    threshold needs to meet but for ``MISS``.
 3. Buckets of two classes or more are compared inside tasks, large ones in pairs of blocks of bounded size.  A link is
@@ -102,7 +102,7 @@ def band_keys(unit: np.ndarray, bits: int, bands: int) -> np.ndarray:
 
 def band_plan(n: int, cosine: float = COSINE, miss: float = MISS) -> tuple[int, int]:
     """Bits of a band and number of bands for ``n`` classes."""
-    bits = max(4, ceil(log2(max(n, 2))) + 2)
+    bits = max(4, ceil(log2(max(n, 2))) + 4)
     meet = (1 - acos(cosine) / pi) ** bits
     return bits, ceil(log(miss) / log(1 - meet))
 

@@ -155,7 +155,7 @@ def test_estimates_are_unbiased_and_bounds_hold():
     exact = np.einsum("ij,ij->i", x[a], x[b])
     upper = codes.upper(a, b)
     assert (upper >= exact).mean() > 0.9999
-    assert band_plan(10 ** 6)[0] == 22 and band_plan(1)[0] >= 4
+    assert band_plan(10 ** 6)[0] == 24 and band_plan(1)[0] >= 4
 
 
 def test_columns_of_the_input_do_not_clash(spark):
