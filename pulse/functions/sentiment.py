@@ -74,20 +74,6 @@ def score(p, rule: str = "strict") -> Column:
     return _band_chain(_col(p), rule, lambda b: b[2]).cast("double")
 
 
-def label_and_score(p, rule: str = "strict") -> tuple[Column, Column]:
-    return label(p, rule), score(p, rule)
-
-
-def score_of_label(lbl, rule: str = "strict") -> Column:
-    """Score of a band name (the score is a function of the label)."""
-    lbl = _col(lbl)
-    chain = None
-    for name, _cut, val in RULES[rule]:
-        cond = lbl == F.lit(name)
-        chain = F.when(cond, F.lit(val)) if chain is None else chain.when(cond, F.lit(val))
-    return chain.otherwise(F.lit(0.0)).cast("double")
-
-
 def display_label(lbl) -> Column:
     """Printer text of a band, e.g. ``🟢 POSITIVE``; unknown labels pass through."""
     lbl = _col(lbl)

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulse.functions.text import time_floor
 from pulse.operators.prefix import running
 
 # --- fixed values (must equal the reference) ---------------------------------
@@ -135,7 +136,7 @@ def trend(scored: DataFrame, every: str = TREND_EVERY, ts: str = "timestamp",
           score: str = "sentiment_score") -> DataFrame:
     """Tumbling ``every`` buckets: ``bucket_start, avg_sentiment, tweet_count``;
     rows without a time are left out and empty buckets are not filled."""
-    return (scored.groupBy(F.window(F.col(ts), every)["start"].alias("bucket_start"))
+    return (scored.groupBy(time_floor(ts, every).alias("bucket_start"))
             .agg(F.avg(score).alias("avg_sentiment"), F.count(F.lit(1)).alias("tweet_count")))
 
 

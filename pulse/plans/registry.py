@@ -23,12 +23,13 @@ from pulse.functions.sentiment import display_label, emoji, label
 from pulse.functions.text import age_parts, age_text, card_line, fixed, preview, short_time
 from pulse.operators import ingest, views, windows
 from pulse.operators.scoring import attach_scores, lexicon_scorer, with_scorer
+from pulse.plans.fixtures import api_lines, overlapping_polls
 from pulse.plans.inputs import (
     SPAN_ALL, SPANS, TEST_LEXICON, doc_scores, event_count, newest_event, oldest_event, scored_posts,
 )
 from pulse.session import ensure_utc
-from pulse.sources.lines import api_lines, parse_posts, to_lines, unwrap_envelope
-from pulse.sources.tables import attach_text, overlapping_polls, posts_view, read_table
+from pulse.sources.lines import parse_posts, to_lines, unwrap_envelope
+from pulse.sources.tables import attach_text, posts_view, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

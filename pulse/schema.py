@@ -6,7 +6,8 @@ from pyspark.sql.types import (
     ArrayType, LongType, StringType, StructField, StructType, TimestampType,
 )
 
-# One post on the wire: the reference's ``tweet_schema``.  All nullable.
+# --- fixed values (must equal the reference: the wire format) -----------------
+# One post on the wire.  All nullable.
 POST_SCHEMA = StructType([
     StructField("id", StringType(), True),
     StructField("created_at", StringType(), True),
@@ -34,9 +35,7 @@ ENVELOPE_SCHEMA = StructType([
     StructField("data", ArrayType(RAW_POST_SCHEMA), True),
 ])
 
-# Scored post, as kept in the ``raw_tweets`` table.
-SCORED_COLUMNS = ["id", "username", "text", "sentiment_label", "polarity",
-                  "sentiment_score", "timestamp"]
+# ------------------------------------------------------------------------------
 
 LEXICON_SCHEMA = StructType([
     StructField("word", StringType(), False),

@@ -111,47 +111,3 @@ def unwrap_envelope(lines: DataFrame, value: str = "value", cap: int | None = No
 def cap_posts(posts: Column, n: int) -> Column:
     """First ``n`` elements of a response's post array."""
     return F.slice(posts, 1, int(n))
-
-
-def api_lines(posts: DataFrame, variant: str = "event_type", page_size: int = 20) -> DataFrame:
-    """Posts written back as API responses, one JSON line per page of ``page_size``
-    posts (page = ``event_id div page_size``), for exercising the ingest path on
-    the test tables.  Even pages use the ``tweets`` key, odd pages ``data``; the
-    field names of each post follow its ``variant`` value:
-
-    - ``view``:     ``id, text, username, created_at`` (API time text)
-    - ``click``:    ``tweet_id, full_text, user.screen_name, created_at`` (API time text)
-    - ``signup``:   numeric ``id``, empty ``text`` and ``username`` with ``full_text``
-      and ``user.screen_name``, ISO ``timestamp`` with ``Z``
-    - ``purchase``: ``id, text, username``, ISO ``created_at`` with ``Z``
-    - other:        empty ``id`` (dropped by clean-up)
-
-    A page holds at most ``page_size`` posts, so the per-page list is bounded.
-    """
-    ts = F.col("timestamp")
-    api_time = F.date_format(ts, API_TIME_FORMAT)
-    iso_time = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    user = F.struct(F.col("username").alias("screen_name"))
-    v = F.col(variant)
-
-    def j(*cols):
-        return F.to_json(F.struct(*cols))
-
-    post_json = (
-        F.when(v == "view", j(F.col("id"), F.col("text"), F.col("username"), api_time.alias("created_at")))
-        .when(v == "click", j(F.col("id").alias("tweet_id"), F.col("text").alias("full_text"),
-                              user.alias("user"), api_time.alias("created_at")))
-        .when(v == "signup", j(F.col("event_id").alias("id"), F.lit("").alias("text"),
-                               F.col("text").alias("full_text"), F.lit("").alias("username"),
-                               user.alias("user"), iso_time.alias("timestamp")))
-        .when(v == "purchase", j(F.col("id"), F.col("text"), F.col("username"),
-                                 iso_time.alias("created_at")))
-        .otherwise(j(F.lit("").alias("id"), F.col("text"), F.col("username")))
-    )
-    page = F.floor(F.col("event_id") / F.lit(page_size)).cast("long")
-    grouped = (posts.select(page.alias("page"), F.col("event_id"), post_json.alias("post"))
-               .groupBy("page")
-               .agg(F.array_sort(F.collect_list(F.struct("event_id", "post"))).alias("_p")))
-    body = F.array_join(F.transform("_p", lambda s: s["post"]), ",")
-    key = F.when(F.col("page") % 2 == 0, F.lit(ENVELOPE_KEYS[0])).otherwise(F.lit(ENVELOPE_KEYS[1]))
-    return grouped.select("page", F.format_string('{"%s":[%s]}', key, body).alias("value"))

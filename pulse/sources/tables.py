@@ -73,16 +73,3 @@ def attach_text(spark: SparkSession, sf_dir: str, df: DataFrame, on: str = "doc_
         keys = df.select(F.col(on).alias("_k"))
         texts = F.broadcast(texts.join(F.broadcast(keys), F.col("_td") == F.col("_k"), "left_semi"))
     return df.join(texts, df[on] == F.col("_td"), "left").drop("_td")
-
-
-def overlapping_polls(spark: SparkSession, sf_dir: str, with_text: bool = False,
-                      repeat_every: int = 10, repeat_after: int = 15,
-                      extra: tuple[str, ...] = ()) -> DataFrame:
-    """Posts as successive polls return them: every post once with ``arrival =
-    event_id``, and every ``repeat_every``-th post again ``repeat_after`` arrivals
-    later (same id, text and time).  Input for dedup and high-water marks."""
-    posts = posts_view(spark, sf_dir, with_text=with_text, extra=extra)
-    first = posts.withColumn("arrival", F.col("event_id"))
-    again = (posts.filter(F.col("event_id") % repeat_every == 0)
-             .withColumn("arrival", F.col("event_id") + F.lit(repeat_after)))
-    return first.unionByName(again)

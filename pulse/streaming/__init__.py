@@ -6,6 +6,6 @@ from pulse.streaming.queries import (  # noqa: F401
     windowed_stream,
 )
 from pulse.streaming.sinks import (  # noqa: F401
-    checkpoint_for, console, dropped_rows, fold_updates, read_complete, read_updates, start_all, stop_all, to_table,
+    checkpoint_for, console, dropped_rows, fold_updates, read_complete, read_updates, stop_all, to_table,
     trigger_options, write_batches, write_complete, write_updates,
 )

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pulse.operators.ingest import DEDUP_TTL, ID_NUMBER, dedup_key
 from pulse.operators.scoring import lexicon_fits, score_texts, with_scorer
 from pulse.sources.lines import parse_posts, read_lines
-from pulse.streaming.sinks import checkpoint_for, write_batches
+from pulse.streaming.sinks import TRIGGER_DASHBOARD, checkpoint_for, write_batches
 
 # --- fixed values (must equal the reference) ---------------------------------
 WATERMARK_WINDOWED = "30 seconds"
@@ -127,7 +127,7 @@ def start_dashboard(spark: SparkSession, source: str, scorer, out_root: str, rul
 
     if late not in ("keep", "drop"):
         raise ValueError("late must be 'keep' or 'drop'")
-    trigger = trigger or trigger_options("2 seconds")
+    trigger = trigger or trigger_options(TRIGGER_DASHBOARD)
     posts = post_stream(spark, source, fmt=fmt, max_files_per_trigger=max_files_per_trigger, **source_options)
     scored = scored_stream(posts, scorer, rule=rule)
     rows = to_table(scored, f"{name}_rows", "append", trigger, fmt="parquet", path=f"{out_root}/raw_tweets")

@@ -182,11 +182,6 @@ def dropped_rows(query: StreamingQuery) -> int:
     return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in (p.get("stateOperators") or []))
 
 
-def start_all(starters: Iterable[Callable[[], StreamingQuery]]) -> list[StreamingQuery]:
-    """Start several named queries over one source definition."""
-    return [s() for s in starters]
-
-
 def stop_all(queries: Iterable[StreamingQuery] | None = None, spark: SparkSession | None = None) -> None:
     """Stop the given queries (or every active query of ``spark``)."""
     qs = list(queries) if queries is not None else (spark.streams.active if spark else [])

@@ -29,14 +29,6 @@ def test_band_edges(spark, rule, expected):
         assert (r.l, r.s) == expected[r.p], (rule, r.p)
 
 
-def test_score_is_function_of_label(spark):
-    df = spark.createDataFrame([(p,) for p in EDGES], "p double")
-    for rule in ("strict", "wide"):
-        rows = df.select(S.score("p", rule).alias("a"),
-                         S.score_of_label(S.label("p", rule), rule).alias("b")).collect()
-        assert all(r.a == r.b for r in rows)
-
-
 def test_emoji_and_display(spark):
     df = spark.createDataFrame([(l,) for l in S.LABELS + ["OTHER", None]], "l string")
     rows = {r.l: r for r in df.select("l", S.emoji("l", "faces").alias("f"), S.emoji("l", "dots").alias("d"),
