@@ -152,6 +152,21 @@ def _group_pairs(start: np.ndarray, size: np.ndarray, block: np.ndarray, across:
         row = stop
 
 
+def _joined(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``root`` (the least row of each row's group) after joining the groups of ``x`` and ``y``, all pairs at once: the
+    larger root of a pair hooks on to the smaller, and every row follows its root up."""
+    while True:
+        a, b = root[x], root[y]
+        apart = a != b
+        if not apart.any():
+            return root
+        x, y, a, b = x[apart], y[apart], a[apart], b[apart]
+        root = root.copy()
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+
+
 def compare(rows: pd.DataFrame, cosine: float, bits: int, bands: int) -> pd.DataFrame:
     """Whole groups of rows (sorted by group): ``node, links, root`` of the rows with links."""
     found = []
@@ -166,12 +181,6 @@ def compare(rows: pd.DataFrame, cosine: float, bits: int, bands: int) -> pd.Data
         across = (part["i"] != part["j"]).to_numpy()
         links, root = np.zeros(len(part), np.int64), np.arange(len(part))
         members, band = part["members"].to_numpy(), part["band"].to_numpy()
-
-        def top(i):
-            while root[i] != i:
-                root[i] = i = root[root[i]]
-            return i
-
         for x, y in _group_pairs(first, size, part["block"].to_numpy(), across):
             near = codes.upper(x, y) >= cosine
             x, y = x[near], y[near]
@@ -183,13 +192,9 @@ def compare(rows: pd.DataFrame, cosine: float, bits: int, bands: int) -> pd.Data
                 counted[a:a + 65_536] = same.argmax(axis=1) == band[x[a:a + 65_536]]
             np.add.at(links, x[counted], members[y[counted]])
             np.add.at(links, y[counted], members[x[counted]])
-            for a, b in zip(x.tolist(), y.tolist()):
-                a, b = top(a), top(b)
-                if a != b:
-                    root[max(a, b)] = min(a, b)
-        tops = np.asarray([top(i) for i in range(len(part))], np.int64)
-        some = (links > 0) | (tops != np.arange(len(part)))
-        found.append(pd.DataFrame({"node": part["node"][some], "links": links[some], "root": part["node"].to_numpy()[tops[some]]}))
+            root = _joined(root, x, y)
+        some = (links > 0) | (root != np.arange(len(part)))
+        found.append(pd.DataFrame({"node": part["node"][some], "links": links[some], "root": part["node"].to_numpy()[root[some]]}))
     return pd.concat(found, ignore_index=True)
 
 
