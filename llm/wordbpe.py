@@ -24,6 +24,7 @@ KEEP_SHARE, LONGEST = 0.5, 48                     # share that stays when one is
 LETTERS = "a-zß-öø-ÿ"
 PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+"
 PLAIN = "[!-~À-ÖØ-öø-ÿ]+"
+MARKS = ",.;:!?"                  # each a pre-token of its own after letters
 #: the byte-level alphabet: printable Latin-1 bytes are their own letters, the others follow from 256 on in order
 OWN_LETTERS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 # ------------------------------------------------------------------------------------------------
@@ -61,11 +62,15 @@ class WordEncoder:
         letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_LETTERS)
         return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
-    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
+    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
         """The ids of chunks not met before: line feeds cut a chunk into parts, plain parts into pre-tokens."""
         out, cut, pieces = {}, {}, self.pieces
         for c in chunks:
-            if self.plain(c) and "<|" not in c:
+            if c.isascii() and c.isalpha():                    # most chunks are a word, or a word and a mark
+                cut[c] = (c.lower(),)
+            elif c.isascii() and c[-1] in MARKS and c[:-1].isalpha():
+                cut[c] = (c[:-1].lower(), c[-1])
+            elif self.plain(c) and "<|" not in c:
                 cut[c] = self.split(c.lower())
             elif "\n" in c:
                 out[c] = None
@@ -74,7 +79,7 @@ class WordEncoder:
                         cut[part] = self.split(part.lower()) if self.plain(part) and "<|" not in part else None
             else:
                 cut[c] = None
-        new = [p for p in set().union(*(x for x in cut.values() if x)) if p not in pieces]
+        new = set().union(*(x for x in cut.values() if x)).difference(pieces)
         if new:
             pieces.update((p, self._encode_piece(p)) for p in new)
         look = pieces.__getitem__
@@ -91,7 +96,7 @@ class WordEncoder:
         """The id bytes of each text (null: none)."""
         cut = [t.split(" ") if t else [] for t in texts]
         known = self.chunks
-        new = [c for c in set().union(*cut) if c not in known]
+        new = set().union(*cut).difference(known)
         if new:
             known.update(self._learn(new))
         look = known.__getitem__
