@@ -27,7 +27,7 @@ from pulse.plans.fixtures import api_lines, overlapping_polls
 from pulse.plans.inputs import (
     SPAN_ALL, SPANS, TEST_LEXICON, doc_scores, event_count, newest_event, oldest_event, scored_posts,
 )
-from pulse.session import ensure_utc
+from pulse.session import ensure_utc, stored
 from pulse.sources.lines import parse_posts, to_lines, unwrap_envelope
 from pulse.sources.tables import attach_text, posts_view, read_table
 
@@ -299,9 +299,10 @@ def _stream_append_late(spark, sf):
 
 @_register("window_samples")
 def _window_samples(spark, sf):
-    """A2: newest 3 texts of each 1 h / 30 min window x band; texts joined after sampling."""
-    s = windows.window_samples(scored_posts(spark, sf, "strict"), "1 hour", "30 minutes", n=3)
-    s = attach_text(spark, sf, s)
+    """A2: newest 3 texts of each 1 h / 30 min window x band.  The samples are stored and counted, so that
+    only the texts of sampled documents leave the scan."""
+    s = stored(windows.window_samples(scored_posts(spark, sf, "strict"), "1 hour", "30 minutes", n=3), "window-samples")
+    s = attach_text(spark, sf, s, bounded_rows=s.count())
     return s.select(*_window_cols(s), "sentiment_label", F.col("sample_rank").cast("long").alias("sample_rank"),
                     "id", "text")
 

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BOUNDED_ROWS = 1000     # rows of a LIMIT whose keys and texts are broadcast
+BOUNDED_ROWS = 1000             # rows whose texts are broadcast
+BROADCAST_KEYS = 1_000_000      # rows whose keys (about 16 MB) are broadcast
 POST_COLUMNS = ["id", "created_at", "username", "timestamp", "event_id", "doc_id"]
 
 
@@ -63,13 +64,15 @@ def attach_text(spark: SparkSession, sf_dir: str, df: DataFrame, on: str = "doc_
     possible (after filters and limits) so texts are not shuffled for rows that
     are dropped later.
 
-    ``bounded_rows``: the caller's proven bound on ``df`` (a LIMIT); its keys are
-    broadcast to the texts' scan (a left semi join, which Spark can build on that
-    side), so only the texts of those rows leave the scan.  Otherwise both sides
-    shuffle on ``doc_id`` (AQE splits a hot document's partition).
+    ``bounded_rows``: the caller's proven bound on ``df`` (a LIMIT or a count); up to
+    ``BROADCAST_KEYS`` its keys are broadcast to the texts' scan (a left semi join,
+    which Spark can build on that side), so only the texts of those rows leave the
+    scan, and up to ``BOUNDED_ROWS`` those texts are broadcast in turn.  Otherwise both
+    sides shuffle on ``doc_id`` (AQE splits a hot document's partition).
     """
     texts = read_table(spark, sf_dir, "documents", "doc_id", "text").withColumnRenamed("doc_id", "_td")
-    if bounded_rows is not None and bounded_rows <= BOUNDED_ROWS:
-        keys = df.select(F.col(on).alias("_k"))
-        texts = F.broadcast(texts.join(F.broadcast(keys), F.col("_td") == F.col("_k"), "left_semi"))
+    if bounded_rows is not None and bounded_rows <= BROADCAST_KEYS:
+        keys = df.select(F.col(on).alias("_k")).distinct()
+        texts = texts.join(F.broadcast(keys), F.col("_td") == F.col("_k"), "left_semi")
+        texts = F.broadcast(texts) if bounded_rows <= BOUNDED_ROWS else texts
     return df.join(texts, df[on] == F.col("_td"), "left").drop("_td")
