@@ -39,7 +39,9 @@ def _count(texts: pd.Series) -> pd.DataFrame:
 
 
 def _stats(text: Column) -> Column:
-    return F.pandas_udf(_count, STATS_TYPE)(text.cast("string"))
+    """The counts of a text.  Declared not deterministic so that the optimizer evaluates it once, however many filters and
+    columns read its fields."""
+    return F.pandas_udf(_count, STATS_TYPE).asNondeterministic()(text.cast("string"))
 
 
 def _new_name(df: DataFrame, name: str) -> str:
