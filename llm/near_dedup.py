@@ -42,6 +42,7 @@ MISS = 1e-6                    # a pair this unlikely to be linked is dropped
 BATCH = 32                     # hashes compared at a time
 SMALL = 8                      # rows of a bucket whose open pairs are listed
 BLOCK_ROWS, BLOCK_SHINGLES = 2000, 2_000_000    # of one block of a large bucket
+BROADCAST_DROPPED = 4_000_000  # ids left out that are broadcast (about 100 MB); more are joined by shuffle
 BROADCAST_IDS = 1_000_000      # candidate ids that are broadcast (about 16 MB); more are joined by shuffle
 
 _rng = np.random.Generator(np.random.PCG64(75))
@@ -245,14 +246,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def dedup_filter(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component, with all its columns.  Only ids that occur in several rows have their
-    rows shuffled whole (the first in the order of the text stays)."""
-    found = stored(near_duplicates(docs, key, text).select(F.col(key).cast("long").alias("_id"), "kept"), "verdicts")
-    ids = found.filter("kept and _id is not null").groupBy("_id").agg((F.count(F.lit(1)) > 1).alias("_again"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    row = docs.select(F.struct(*columns).alias("_row"), F.col(f"`{key}`").cast("long").alias("_id"))
-    none = row.filter("_id is null").select("_row")
-    kept = row.join(ids, "_id")
-    once = kept.filter("not _again").select("_row")
-    again = (kept.filter("_again").groupBy("_id").agg(F.min_by("_row", F.struct(F.col(f"_row.`{text}`"))).alias("_row")).select("_row"))
-    return once.unionByName(none).unionByName(again).select("_row.*")
+    """One document of each component, with all its columns.  The ids to leave out are broadcast to one scan of the
+    documents, up to ``BROADCAST_DROPPED`` (counted); more are joined by shuffle.  Only ids that occur in several rows
+    have their rows shuffled whole (the first in the order of the text stays)."""
+    found = near_duplicates(docs, key, text).select(F.col(key).cast("long").alias("_id"), "kept")
+    aside = stored(found.filter("_id is not null").groupBy("_id")
+                   .agg(F.max("kept").alias("_kept"), (F.count(F.lit(1)) > 1).alias("_again"))
+                   .filter("not _kept or _again"), "aside")
+    few = aside.count() <= BROADCAST_DROPPED
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{key}`").cast("long").alias("_id"))
+    ids = aside.select("_id")
+    out = row.join(F.broadcast(ids) if few else ids, "_id", "left_anti").select("_row")
+    again = aside.filter("_kept and _again").select("_id")
+    if not again.isEmpty():
+        first = (row.join(F.broadcast(again) if few else again, "_id", "left_semi").groupBy("_id")
+                 .agg(F.min_by("_row", F.struct(F.col(f"_row.`{text}`"))).alias("_row")))
+        out = out.unionByName(first.select("_row"))
+    return out.select("_row.*")
