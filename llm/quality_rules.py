@@ -147,7 +147,8 @@ def judge_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", la
     rows = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{lang}`").alias("lang"),
                        F.col(f"`{source}`").alias("source"), _stats(F.col(f"`{text}`")).alias("q"))
     rows = stored(rows, "text-stats")
-    lim = stored(limits(quantile_sketch(rows, ["lang", "source"], "q"), "lang", "source", least, reach), "limits")
+    sketch = stored(quantile_sketch(rows, ["lang", "source"], "q"), "sketch")
+    lim = stored(limits(sketch, "lang", "source", least, reach), "limits")
     joined, name = _join_limits(rows, lim, "lang", "source")
     return joined.select(F.col("_key").alias(key), *[f"q.{s}" for s in STATS], base_failed("q").alias("base_failed"),
                          (~base_failed("q") & _inside("q", name)).alias("kept"))
@@ -160,7 +161,8 @@ def quality_filter(docs: DataFrame, text: str = "text", lang: str = "lang", sour
     bounded_batches(docs.sparkSession)
     only = docs.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{source}`").alias("source"),
                        _stats(F.col(f"`{text}`")).alias("q"))
-    lim = stored(limits(quantile_sketch(only, ["lang", "source"], "q"), "lang", "source", least, reach), "limits")
+    sketch = stored(quantile_sketch(only, ["lang", "source"], "q"), "sketch")
+    lim = stored(limits(sketch, "lang", "source", least, reach), "limits")
     q = _new_name(docs, "_q")
     joined, name = _join_limits(docs.withColumn(q, _stats(F.col(f"`{text}`"))),
                                 lim.withColumnsRenamed({"lang": lang, "source": source}), lang, source)
