@@ -49,6 +49,7 @@ def _pieces(batches, path: str, end_id: int, capacity: int):
                 [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
                  *(pa.array(c, pa.int64()) for c in cols[2:])],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
+    enc.rest()
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY,

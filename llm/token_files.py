@@ -62,6 +62,7 @@ def _encode(batches, path: str, end_id: int):
                 [keys.slice(a, b - a), pa.array(np.full(b - a, part, np.int32)), pa.array(at + ends - n),
                  pa.array(n), pa.ListArray.from_arrays(offsets, flat)], schema=schema)
             at += int(ends[-1])
+    enc.rest()
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, key: str = "doc_id",

@@ -17,8 +17,9 @@ from itertools import islice
 import numpy as np
 
 ID = "<u4"                        # ids as little-endian unsigned 32-bit integers
-KEEP_CHUNKS, KEEP_PIECES = 450_000, 300_000       # entries of the memories (about 200 bytes each)
-KEEP_SHARE, LONGEST = 0.5, 48                     # share that stays when one is full, characters of an entry
+KEEP_CHUNKS, KEEP_PIECES = 1_000_000, 700_000     # entries of the memories in a task (about 200 bytes each)
+REST_CHUNKS, REST_PIECES = 250_000, 150_000       # and between tasks, as a pool may hold more workers than run
+KEEP_SHARE, LONGEST = 0.4, 48                     # share that stays when one is full, characters of an entry
 
 # --- fixed values: the file's pre-token pattern for lower-case Latin text without white space ---
 LETTERS = "a-zß-öø-ÿ"
@@ -33,9 +34,9 @@ OWN_LETTERS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_LETTERS = {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(OWN_LETTERS)))}
 
 
-def _thinned(memory: dict[str, bytes], most: int) -> dict[str, bytes]:
+def _thinned(memory: dict[str, bytes], most: int, share: float | None = None) -> dict[str, bytes]:
     """A full memory keeps its oldest entries: frequent words are met early."""
-    return memory if len(memory) <= most else dict(islice(memory.items(), int(most * KEEP_SHARE)))
+    return memory if len(memory) <= most else dict(islice(memory.items(), int(most * (KEEP_SHARE if share is None else share))))
 
 
 class WordEncoder:
@@ -106,6 +107,10 @@ class WordEncoder:
         self.chunks = _thinned(known, KEEP_CHUNKS)
         return out
 
+    def rest(self) -> None:
+        """At the end of a task: an idle worker keeps only its oldest entries."""
+        self.chunks, self.pieces = _thinned(self.chunks, REST_CHUNKS, 1), _thinned(self.pieces, REST_PIECES, 1)
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
