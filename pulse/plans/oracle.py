@@ -424,6 +424,17 @@ FROM (SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id // 2 AS VARCHAR)
     "stream_since_id": f"""SELECT CAST(event_id AS VARCHAR) AS id, ts AS "timestamp" FROM events
 WHERE (event_id >= {_QUARTER.format(1)} AND event_id < {_QUARTER.format(2)}) OR event_id >= {_QUARTER.format(3)}""",
     "stream_dedup": """SELECT CAST(event_id AS VARCHAR) AS id, 'user_' || user_id AS username, ts AS "timestamp" FROM events""",
+    "stream_dedup_hour": _with(_POSTS)
+    + """, span AS (SELECT date_trunc('day', min(ts) + (max(ts) - min(ts)) / 2) AS m, max(ts) AS top FROM events),
+whole AS (SELECT p.event_id, p.id, username, "timestamp", coalesce(text, '') AS text, m, "timestamp" < top - INTERVAL '1 day' AS old
+          FROM posts p LEFT JOIN documents d ON p.doc_id = d.doc_id, span),
+kept AS (
+  SELECT id, username, "timestamp", text FROM whole
+  UNION ALL SELECT id, username, "timestamp" + INTERVAL '2 hours', text FROM whole WHERE event_id % 10 = 2 AND old
+  UNION ALL SELECT id, username, "timestamp" + INTERVAL '5 minutes', 'edited ' || text FROM whole WHERE event_id % 10 = 3 AND old
+  UNION ALL SELECT id, username, "timestamp" + INTERVAL '3 hours', text FROM whole
+    WHERE event_id % 10 = 5 AND old AND "timestamp" >= m)
+SELECT id, username, "timestamp", md5(text) AS text_md5 FROM kept""",
     "stream_restart": f"""SELECT time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01 00:00:00') AS window_start,
        substring('user_' || user_id, 1, 6) AS sentiment_label, count(*) AS tweet_count,
        {r6("avg(CAST(length('user_' || user_id) AS DOUBLE))")} AS avg_sentiment FROM events GROUP BY 1, 2""",

@@ -258,6 +258,35 @@ def _stream_dedup(spark, sf):
     return spark.read.parquet(f"{root}/out").select("id", "username", "timestamp")
 
 
+@_register("stream_dedup_hour")
+def _stream_dedup_hour(spark, sf):
+    """T6 in a stream, with the hour's memory over whole posts.  The later half of the days arrives first, so all of the
+    earlier half is late.  Some posts come again 50 minutes on (dropped), two hours on or edited (kept).  Then the late half
+    comes a second time, and the newest half hour (dropped), and posts three hours on, late again (kept).
+    Each part is written by many tasks and drained by a run of its own."""
+    from pulse.streaming import dedup_stream, post_stream, to_table, trigger_options
+
+    root, name = _stream_root(spark, "stream_dedup_hour")
+    span = read_table(spark, sf, "events", "ts").agg(F.min("ts").alias("a"), F.max("ts").alias("top")).select(
+        F.expr("date_trunc('DAY', a + (top - a) / 2)").cast("string").alias("m"), F.col("top").cast("string").alias("top")).first()
+    late, top = f"timestamp < timestamp_ntz'{span['m']}'", f"timestamp_ntz'{span['top']}'"
+    half = f"IF({late}, 2, 1)"
+    again = f"timestamp < {top} - INTERVAL 1 DAY AND event_id % 10"
+    copies = [("true", half, 0), (f"{again} = 1", half, 50), (f"{again} = 2", half, 120), (f"{again} = 3", half, 5),
+              (f"({late}) OR timestamp > {top} - INTERVAL 30 MINUTES", 3, 0), (f"NOT ({late}) AND {again} = 5", 3, 180)]
+    copies = ", ".join(f"IF({when}, named_struct('part', {part}, 'minutes', {minutes}), NULL)" for when, part, minutes in copies)
+    for part in (1, 2, 3):
+        sent = (posts_view(spark, sf).withColumn("copy", F.explode(F.expr(f"array_compact(array({copies}))"))).filter(F.col("copy.part") == part)
+                .withColumn("timestamp", F.expr("timestamp + make_dt_interval(0, 0, copy.minutes)")))
+        text = F.coalesce("text", F.lit(""))
+        sent = attach_text(spark, sf, sent).withColumn("text", F.when(F.col("copy.minutes") == 5, F.concat(F.lit("edited "), text)).otherwise(text))
+        to_lines(sent, ["id", "text", "username", "timestamp"]).write.mode("append").text(f"{root}/lines")
+        kept = dedup_stream(post_stream(spark, f"{root}/lines")).select("id", "username", "timestamp", F.md5("text").alias("text_md5"))
+        _finish(to_table(kept, name, "append", trigger_options(available_now=True), checkpoint=f"{root}/checkpoint",
+                         fmt="parquet", path=f"{root}/out"))
+    return spark.read.parquet(f"{root}/out")
+
+
 @_register("stream_restart")
 def _stream_restart(spark, sf):
     """Hourly windows in update mode over a query that stops after half of the files and is started

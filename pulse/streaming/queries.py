@@ -12,8 +12,13 @@ advance still counts).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType, DateType, NumericType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
+)
 
 from pulse.operators.ingest import DEDUP_TTL, ID_NUMBER, dedup_key
 from pulse.operators.scoring import lexicon_fits, score_texts, with_scorer
@@ -24,6 +29,10 @@ from pulse.streaming.sinks import TRIGGER_DASHBOARD, checkpoint_for, write_batch
 WATERMARK_WINDOWED = "30 seconds"
 WATERMARK_DASHBOARD = "15 seconds"
 # ------------------------------------------------------------------------------
+DEDUP_LATENESS = "1 hour"        # posts this far behind the newest still find every copy of the last TTL
+DEDUP_BUCKETS = 256              # groups of remembered keys; a checkpoint holds for one number
+NO_TIME = -(1 << 62)
+WATERMARK_MARK = "spark.watermarkDelayMs"
 
 
 def post_stream(spark: SparkSession, path: str | None = None, fmt: str = "text",
@@ -91,19 +100,101 @@ def output_mode(late: str) -> str:
     return "append" if late == "drop" else "complete"
 
 
-def dedup_stream(posts: DataFrame, ttl: str = DEDUP_TTL, key=None, ts: str = "timestamp") -> DataFrame:
-    """Drop a post whose key was seen within ``ttl`` of event time (state is kept
-    until the watermark passes the first copy's time + ttl).  Default key:
-    ``dedup_key(id, text)``.
+def dedup_stream(posts: DataFrame, ttl: str = DEDUP_TTL, key=None, ts: str = "timestamp",
+                 lateness: str = DEDUP_LATENESS) -> DataFrame:
+    """Drop a post if a copy *kept* of its key lies less than ``ttl`` of event time from it, before or after.
+    Default key: ``dedup_key(id, text)``.  No other post is dropped, however late it comes.
+
+    Each key remembers the times of its kept copies, each until the watermark (``lateness`` behind the newest
+    post) passes the copy's time + ``ttl``.  So repeats that come up to ``lateness`` behind the newest post are all found.
+    A post further behind is kept unless its key is still remembered, and is then remembered until
+    the watermark has moved on by ``ttl``; only a repeat that comes later than that gets through a second time.
+    A copy without a time is kept if nothing is remembered of its key, and hides no copy with a time (as in ``dedup_posts``).
 
-    The watermark trails the newest post by ``ttl``, which is also the lateness allowed:
-    a post first seen more than ``ttl`` behind the newest is dropped, as nothing is
-    remembered about its time any more; ``dropped_rows(query)`` counts those.  Where
-    such posts matter, store the stream and run ``dedup_posts(ttl=...)`` over the table."""
+    Append mode.  Times of the output carry no watermark: windows over it are a query of their own over
+    the stored rows, as in ``start_dashboard``.  Keys are remembered in ``DEDUP_BUCKETS`` groups by their hash: one call per
+    group and batch, whose memory is read and written whole.  All copies of a
+    key in a batch go to one task, which holds those that no earlier batch covers, one for each time.
+    """
     k = dedup_key() if key is None else (F.col(key) if isinstance(key, str) else key)
-    return (posts.withColumn("dedup_key", k)
-            .withWatermark(ts, ttl)
-            .dropDuplicatesWithinWatermark(["dedup_key"]))
+    spark, posts = posts.sparkSession, posts.withColumn("dedup_key", k)
+    as_text = {f.name for f in posts.schema.fields if isinstance(f.dataType, (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType))}
+
+    def packed(f):      # numbers and times travel as text: pandas would round or narrow some
+        c = F.col(f"`{f.name}`")
+        return (F.unix_micros(c) if isinstance(f.dataType, TimestampType) else c).cast("string") if f.name in as_text else c
+
+    def unpacked(f):
+        c = F.col(f"`{f.name}`")
+        return F.timestamp_micros(c.cast("long")) if isinstance(f.dataType, TimestampType) else c.cast(f.dataType) if f.name in as_text else c
+
+    fields = posts.schema.fields
+    text_key = F.coalesce(F.concat(F.lit("="), F.col("dedup_key").cast("string")), F.lit(""))
+    # Spark drops late rows by the column that carries the watermark's mark: here one of nulls, which are never late
+    rows = posts.withWatermark(ts, lateness).select(
+        *[packed(f).alias(f.name) for f in fields], text_key.alias("_key"), F.pmod(F.xxhash64(text_key), F.lit(DEDUP_BUCKETS)).alias("_bucket"),
+        F.coalesce(F.unix_micros(F.col(f"`{ts}`").cast("timestamp")), F.lit(NO_TIME)).alias("_at"),
+        F.lit(None).cast("timestamp").alias("_never_late", metadata={WATERMARK_MARK: _micros(spark, lateness) // 1000}))
+    out = StructType([StructField(f.name, StringType() if f.name in as_text else f.dataType) for f in fields])
+    kept = rows.groupBy("_bucket").applyInPandasWithState(_first_copies(_micros(spark, ttl), out.names), out, "memory string",
+                                                          "append", "EventTimeTimeout")
+    return kept.select(*[unpacked(f).alias(f.name) for f in fields])
+
+
+def _micros(spark: SparkSession, interval: str) -> int:
+    return spark.range(1).select(F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {interval})")).first()[0]
+
+
+def _first_copies(ttl_us: int, columns: list[str]):
+    """State function of ``dedup_stream``: per key the times of kept copies and when each is forgotten (0: not
+    said yet, as the watermark has not started)."""
+    def remember(state, memory):
+        now = state.getCurrentWatermarkMs() * 1000
+        left = {}
+        for key, copies in memory.items():
+            copies = [(t, until or (now and now + ttl_us)) for t, until in copies]
+            copies = [(t, until) for t, until in copies if until > now or not until]
+            if copies:
+                left[key] = copies
+        if not left:
+            state.remove()
+            return
+        state.update((json.dumps(left),))
+        first = min(until for copies in left.values() for _, until in copies)
+        state.setTimeoutTimestamp(max(first, now) // 1000 + 1)
+
+    def covered(copies, t):
+        return any(abs(t - k) < ttl_us for k, _ in copies) or (t == NO_TIME and len(copies) > 0)
+
+    def judge(bucket, frames, state):
+        import pandas as pd
+
+        memory = json.loads(state.get[0]) if state.exists else {}
+        if state.hasTimedOut:
+            remember(state, memory)
+            return
+        now = state.getCurrentWatermarkMs() * 1000
+        open_rows, seen = [], set()
+        for frame in frames:
+            at = []
+            for i, copy in enumerate(zip(frame["_key"].tolist(), frame["_at"].tolist())):
+                if copy not in seen and not covered(memory.get(copy[0], ()), copy[1]):
+                    seen.add(copy)
+                    at.append(i)
+            if at:
+                open_rows.append(frame.iloc[at])
+        if open_rows:
+            rows = pd.concat(open_rows, ignore_index=True)
+            keys, times, first = rows["_key"].tolist(), rows["_at"].tolist(), []
+            for i in sorted(range(len(times)), key=times.__getitem__):
+                copies, t = memory.setdefault(keys[i], []), times[i]
+                if not covered(copies, t):
+                    since = max(t, now)     # a post without a time, or behind the watermark, counts from now
+                    copies.append((t, since + ttl_us if since > 0 else 0))
+                    first.append(i)
+            yield rows.iloc[first][columns]
+        remember(state, memory)
+    return judge
 
 
 def start_dashboard(spark: SparkSession, source: str, scorer, out_root: str, rule: str = "wide",

@@ -104,6 +104,25 @@ def test_dedup_stream(spark, scratch):
     assert sorted(r.id for r in spark.sql("SELECT id FROM dedup_out").collect()) == ["a", "n"]
 
 
+def test_dedup_stream_keeps_late_posts_and_the_hour_of_each_key(spark, scratch):
+    def post(i, time, n=None):
+        return {"id": i, "text": "x", "timestamp": time and f"2024-01-01T{time}:00Z", "username": str(n)}
+
+    src, out, ckpt = (os.path.join(scratch, d) for d in ("in", "out", "ckpt"))
+    batches = [
+        [post("a", "12:50", 1), post("a", "12:00", 0), post("a", "13:00", 2), post("n", None, 0), post("n", None, 0)],
+        [post("late", "05:00", 0), post("late", "05:10", 1), post("late", "09:00", 2), post("n", None, 1)],   # first seen 8 hours behind
+        [post("late", "05:20", 3), post("a", "13:59", 3), post("a", "14:00", 4), post("b", "14:00", 0)],
+    ]
+    got = []
+    for i, rows in enumerate(batches):
+        write_batches(src, [rows], start=i)
+        _run(to_table(dedup_stream(post_stream(spark, src)), "dedup_late", "append", trigger_options(available_now=True),
+                      checkpoint=ckpt, fmt="parquet", path=out))
+        got.append(spark.read.parquet(out).select("id", "username").collect())
+    assert sorted(map(tuple, got[-1])) == [("a", "0"), ("a", "2"), ("a", "4"), ("b", "0"), ("late", "0"), ("late", "2"), ("n", "0")]
+
+
 def test_restart_from_checkpoint_no_duplicates(spark, scratch):
     src, out, ckpt = (os.path.join(scratch, d) for d in ("in", "out", "ckpt"))
     rows = [[{"id": str(i), "text": "x", "timestamp": f"2024-01-01T00:00:{i:02d}Z"}] for i in range(6)]
