@@ -12,8 +12,8 @@ How it scales: the URLs are cut into grams of ``ORDER + 1`` characters once; per
 shuffle.  The models are built from those distinct grams alone, an order at a time, and each gram ends up with one number, which
 joins the URLs' grams: broadcast if counted to be few, else by shuffle, where Spark splits very common grams.
 
-Defined cases: a null URL, or one without ``://``, has an empty host and path, fits no rule and is scored as the empty
-text; repeated rows are judged alike; with no URL decided by a rule, or all one way, the model of the missing side is uniform and the
+Defined cases: a null URL, or one without ``://``, has an empty host and path and fits no rule; the first is scored as the
+empty text, the second by its own characters; repeated rows are judged alike; with no URL decided by a rule, or all one way, the model of the missing side is uniform and the
 cut is 0; an empty table gives no rows; other columns are not read.
 """
 
@@ -96,26 +96,28 @@ def best_cut(decided: DataFrame) -> DataFrame:
     return best.select(F.coalesce(F.col("m.milli"), F.lit(0)).cast("long").alias("cut"))
 
 
-def judge_urls(pages: DataFrame, key: str = "page_id", url: str = "url", rules=RULES) -> DataFrame:
-    """``key, host, path, rule, verdict, score_milli`` of every row (the score in thousandths of a nat per character)."""
-    host, path = host_and_path(F.col(f"`{url}`").cast("string"))
-    rows = pages.select(F.col(f"`{key}`").alias("key"), host.alias("host"), path.alias("path"))
+def judge_urls(pages: DataFrame, key: str = "page_id", url: str = "url", rules=RULES, whole: bool = True) -> DataFrame:
+    """``key, host, path, rule, verdict, score_milli`` of every row (the score in thousandths of a nat per character).
+    The model reads the whole URL; with ``whole=False`` the host and path alone."""
+    given = F.col(f"`{url}`").cast("string")
+    host, path = host_and_path(given)
+    text = F.coalesce(given, F.lit("")) if whole else F.concat(host, path)
+    rows = pages.select(F.col(f"`{key}`").alias("key"), host.alias("host"), path.alias("path"), text.alias("text"))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
-    text = F.concat("host", "path")
     rows = stored(rows.withColumn("rule", rule).withColumn("said", verdict), "urls")
 
-    urls = rows.groupBy("host", "path", "said").agg(F.count(F.lit(1)).alias("rows"))
-    every = urls.select("rows", "said", F.explode(grams_of(text)).alias("gram"))
+    urls = rows.groupBy("text", "said").agg(F.count(F.lit(1)).alias("rows"))
+    every = urls.select("rows", "said", F.explode(grams_of(F.col("text"))).alias("gram"))
     a, b = (F.coalesce(F.sum(F.when(F.col("said") == s, F.col("rows"))), F.lit(0)) for s in ("allow", "block"))
     counts = stored(every.groupBy("gram").agg(a.alias("a"), b.alias("b")), "grams")
     ratios = stored(gram_ratios(counts), "ratios")
     known = F.broadcast(ratios) if ratios.count() <= BROADCAST_GRAMS else ratios
 
-    texts = rows.select("host", "path").distinct()
-    scores = stored(texts.select("host", "path", F.explode(grams_of(text)).alias("gram")).join(known, "gram")
-                    .groupBy("host", "path").agg(F.sum("micro").alias("total"), F.count(F.lit(1)).alias("n"))
-                    .select("host", "path", F.floor(F.col("total") / F.col("n") / (MICRO // MILLI)).alias("milli")), "scores")
-    scored = stored(rows.join(scores, ["host", "path"]), "scored")
+    texts = rows.select("text").distinct()
+    scores = stored(texts.select("text", F.explode(grams_of(F.col("text"))).alias("gram")).join(known, "gram")
+                    .groupBy("text").agg(F.sum("micro").alias("total"), F.count(F.lit(1)).alias("n"))
+                    .select("text", F.floor(F.col("total") / F.col("n") / (MICRO // MILLI)).alias("milli")), "scores")
+    scored = stored(rows.join(scores, "text"), "scored")
     cut = best_cut(scored.filter("said is not null").select(
         "milli", (F.col("said") == "allow").cast("long").alias("is_a"), (F.col("said") == "block").cast("long").alias("is_b")))
     judged = F.coalesce("said", F.when(F.col("milli") >= F.col("cut"), "allow").otherwise("block"))

@@ -136,6 +136,14 @@ def test_hosts_rules_and_verdicts(spark):
     assert judge_urls(empty_like(df)).count() == 0
 
 
+def test_the_model_reads_the_whole_url(spark):
+    rows = [(i, f"http://a.net/p?deal={i}") for i in range(60)] + [(100 + i, f"http://a.org/fr/p#study{i}") for i in range(60)]
+    rows += [(900, "http://b.edu/p?deal=1"), (901, "http://b.edu/p#study1"), (902, "deal=1 deal=2"), (903, "study1 study2"), (904, None)]
+    got = {r.page_id: r for r in judge_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert [got[i].verdict for i in (900, 901, 902, 903)] == ["block", "allow", "block", "allow"]
+    assert (got[900].host, got[900].path) == (got[901].host, got[901].path) == ("b.edu", "/p") and len({got[i].score_milli for i in (902, 903, 904)}) == 3
+
+
 def test_unruled_urls_go_with_the_side_they_resemble(spark):
     rows = [(i, f"http://shop{i % 7}.net/buy/cheap-{i}") for i in range(120)] + [(200 + i, f"http://uni{i % 5}.org/fr/text-{i}") for i in range(120)]
     rows += [(900, "http://shop3.biz/buy/cheap-7"), (901, "http://uni2.edu/fr/text-9")]
