@@ -173,21 +173,28 @@ def with_batch_scorer(df: DataFrame, load: Callable[[], Callable[[pd.Series], pd
 
     ``load`` runs once in each Python worker and returns a function from a Series of texts
     (never null) to a Series of polarities, so a model is loaded once and sees Arrow
-    batches.  Null texts, and texts of a batch on which it fails, get polarity 0.0 and
-    ``unscored = true``.
+    batches.  A batch on which it fails is tried again by halves, down to single texts: only null texts and
+    those that fail alone get polarity 0.0 and ``unscored = true``.  A failing ``load`` fails the query.
     """
     held: list = []
 
+    def _parts(texts: pd.Series) -> list[float]:
+        try:
+            got = pd.Series(held[0](texts)).astype("float64").tolist()
+            if len(got) == len(texts):
+                return got
+        except Exception:  # noqa: BLE001 - a scorer fault marks its texts, never the query
+            pass
+        half = len(texts) // 2
+        return _parts(texts.iloc[:half]) + _parts(texts.iloc[half:]) if half else [float("nan")]
+
     def _score(s: pd.Series) -> pd.Series:
         out = pd.Series(float("nan"), index=s.index, dtype="float64")
         there = s.notna()
         if there.any():
-            try:
-                if not held:
-                    held.append(load())
-                out[there] = pd.Series(held[0](s[there])).astype("float64").to_numpy()
-            except Exception:  # noqa: BLE001 - a scorer fault marks its rows, never the query
-                pass
+            if not held:
+                held.append(load())
+            out[there] = _parts(s[there])
         return out
 
     raw = F.pandas_udf(_score, "double")(F.col(text))

@@ -1,3 +1,5 @@
+import pytest
+
 from pulse.operators.scoring import lexicon_frame, lexicon_polarity, score_texts, with_scorer
 
 LEX = [("good", 80), ("bad", -60), ("ok", 10)]
@@ -86,3 +88,24 @@ def test_batch_scorer_loads_once_and_flags_faults(spark):
     assert got == [("abc", 0.3, False), (None, 0.0, True), ("abcdef", 0.6, False)]
     bad = with_batch_scorer(spark.createDataFrame([("fault",)], "text string"), load).first()
     assert bad.unscored and bad.sentiment_label == "NEUTRAL"
+
+
+def test_batch_scorer_fault_costs_only_its_text(spark):
+    from pulse.operators.scoring import with_batch_scorer
+
+    def load():
+        def score(texts):
+            if (texts == "fault").any():
+                raise RuntimeError("model fault")
+            return texts.str.len() / 10.0
+        return score
+
+    rows = spark.createDataFrame([(t,) for t in ["a", "bb", "fault", None, "ccc"]], "text string").coalesce(1)
+    got = {r.text: (r.polarity, r.unscored) for r in with_batch_scorer(rows, load).collect()}
+    assert got == {"a": (0.1, False), "bb": (0.2, False), "fault": (0.0, True), None: (0.0, True), "ccc": (0.3, False)}
+
+    def broken():
+        raise OSError("no model")
+
+    with pytest.raises(Exception, match="no model"):
+        with_batch_scorer(rows, broken).collect()
