@@ -16,6 +16,7 @@ from llm.rank_bpe import round_trip
 from llm.rollups import Rollup, changes, quarter_tokens, word_tokens
 from llm.rotation_codes import near_embeddings
 from llm.shared import fresh_path, stored
+from llm.substrings import remove_repeats
 from llm.token_files import token_digests, write_tokens
 from llm.url_model import judge_urls
 
@@ -99,6 +100,11 @@ def op10_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_rank_bpe": op2_rank_bpe,
@@ -110,6 +116,7 @@ QUERIES = {
     "op8_token_rollups": op8_token_rollups,
     "op9_boosted_quality": op9_boosted_quality,
     "op10_adaptive_rules": op10_adaptive_rules,
+    "op11_suffix_automata": op11_suffix_automata,
 }
 
 #: further jobs of the operators above
