@@ -13,6 +13,7 @@ from llm.near_dedup import near_duplicates
 from llm.oracles import ORACLE  # noqa: F401
 from llm.quality_rules import judge_documents
 from llm.rank_bpe import round_trip
+from llm.repair import damaged, repair_report
 from llm.rollups import Rollup, changes, quarter_tokens, word_tokens
 from llm.rotation_codes import near_embeddings
 from llm.shared import fresh_path, stored
@@ -105,6 +106,11 @@ def op11_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_coalescence_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair_report(damaged(conversations), conversations)
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_rank_bpe": op2_rank_bpe,
@@ -117,6 +123,7 @@ QUERIES = {
     "op9_boosted_quality": op9_boosted_quality,
     "op10_adaptive_rules": op10_adaptive_rules,
     "op11_suffix_automata": op11_suffix_automata,
+    "op12_coalescence_viterbi": op12_coalescence_viterbi,
 }
 
 #: further jobs of the operators above
