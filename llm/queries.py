@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from llm.best_fit import pack_documents
 from llm.boosted import fit, score_documents
 from llm.chat_windows import chat_windows, window_digests
+from llm.merkle import document_leaves, manifest_proofs
 from llm.near_dedup import near_duplicates
 from llm.oracles import ORACLE  # noqa: F401
 from llm.quality_rules import judge_documents
@@ -111,6 +112,13 @@ def op12_coalescence_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_report(damaged(conversations), conversations)
 
 
+def op13_merkle_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    proofs = manifest_proofs(document_leaves(table(spark, sf_dir, "documents"), tampered))
+    siblings = F.array_join(F.transform("proof", lambda step: step["digest"]), "")
+    return proofs.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_rank_bpe": op2_rank_bpe,
@@ -124,6 +132,7 @@ QUERIES = {
     "op10_adaptive_rules": op10_adaptive_rules,
     "op11_suffix_automata": op11_suffix_automata,
     "op12_coalescence_viterbi": op12_coalescence_viterbi,
+    "op13_merkle_descent": op13_merkle_descent,
 }
 
 #: further jobs of the operators above
