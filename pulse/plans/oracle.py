@@ -435,12 +435,11 @@ kept AS (
   UNION ALL SELECT id, username, "timestamp" + INTERVAL '3 hours', text FROM whole
     WHERE event_id % 10 = 5 AND old AND "timestamp" >= m)
 SELECT id, username, "timestamp", md5(text) AS text_md5 FROM kept""",
-    "stream_restart": f"""SELECT time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01 00:00:00') AS window_start,
-       substring('user_' || user_id, 1, 6) AS sentiment_label, count(*) AS tweet_count,
-       {r6("avg(CAST(length('user_' || user_id) AS DOUBLE))")} AS avg_sentiment FROM events GROUP BY 1, 2""",
-    "stream_append_late": """WITH mid AS (SELECT date_trunc('day', min(ts) + (max(ts) - min(ts)) / 2) AS m, max(ts) AS top FROM events),
-later AS (SELECT ts FROM events, mid WHERE ts >= m UNION ALL SELECT ts FROM events, mid WHERE ts >= m AND event_id % 50 = 0)
-SELECT time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01 00:00:00') AS window_start, count(*) AS tweet_count
-FROM later, mid GROUP BY 1, top HAVING time_bucket(INTERVAL '1 hour', any_value(ts), TIMESTAMP '1970-01-01 00:00:00') + INTERVAL '1 hour'
-  <= top - INTERVAL '1 hour'""",
+    "stream_restart": _with(*_POST_CTES, _scored("strict"), _windowed("w", "scored_strict", 3600, 3600))
+    + f"""SELECT window_start, sentiment_label, tweet_count, {r6("avg_sentiment")} AS avg_sentiment FROM w""",
+    "stream_append_late": _with(*_POST_CTES, _scored("strict"),
+                                """mid AS (SELECT date_trunc('day', min(ts) + (max(ts) - min(ts)) / 2) AS m, max(ts) AS top FROM events),
+later AS (SELECT s.* FROM scored_strict s, mid WHERE "timestamp" >= m)""", _windowed("w", "later", 3600, 3600))
+    + f"""SELECT window_start, sentiment_label, tweet_count, {r6("avg_sentiment")} AS avg_sentiment FROM w, mid
+WHERE window_end <= top - INTERVAL '1 hour'""",
 }

@@ -214,14 +214,23 @@ def _stream_scored_posts(spark, sf):
     return _scored_table(spark, sf, root, name).select("id", "polarity", "sentiment_label", "sentiment_score")
 
 
-def _ordered_batches(spark, sf, root, parts):
-    """Posts as JSON-lines files that a stream reads one batch after the other: file times follow the
-    order of ``parts`` (filters on the posts)."""
-    import time
-
+def _drained(spark, sf, root, parts, start, posts=None):
+    """Write each part (a filter on the posts) as JSON lines by many tasks and drain it with the queries of ``start()``, so that a
+    stream reads the parts one after the other."""
+    posts = posts_view(spark, sf) if posts is None else posts
     for part in parts:
-        to_lines(posts_view(spark, sf).withColumn("text", F.lit("t")).filter(part)).coalesce(1).write.mode("append").text(f"{root}/lines")
-        time.sleep(0.05)      # file times have milliseconds
+        to_lines(attach_text(spark, sf, posts.filter(part))).write.mode("append").text(f"{root}/lines")
+        for query in start():
+            _finish(query)
+
+
+def _scoring(spark, root, name):
+    """A query that scores new lines by the lexicon join into ``root/scored``."""
+    from pulse.operators.scoring import lexicon_frame
+    from pulse.streaming import post_stream, score_batches, trigger_options
+
+    return score_batches(post_stream(spark, f"{root}/lines"), lexicon_frame(spark, TEST_LEXICON), f"{root}/scored", f"{name}_rows", rule="strict",
+                         trigger=trigger_options(available_now=True), checkpoint=f"{root}/checkpoint-rows")
 
 
 def _quarters(spark, sf):
@@ -237,9 +246,9 @@ def _stream_since_id(spark, sf):
 
     root, name = _stream_root(spark, "stream_since")
     q = _quarters(spark, sf)
-    _ordered_batches(spark, sf, root, [q[1], q[0], q[3], q[2]])
-    posts = post_stream(spark, f"{root}/lines", max_files_per_trigger=1)
-    _finish(since_id_stream(posts, f"{root}/out", f"{root}/marks", name, trigger=trigger_options(available_now=True), checkpoint=f"{root}/checkpoint"))
+    _drained(spark, sf, root, [q[1], q[0], q[3], q[2]], lambda: [since_id_stream(
+        post_stream(spark, f"{root}/lines"), f"{root}/out", f"{root}/marks", name, trigger=trigger_options(available_now=True),
+        checkpoint=f"{root}/checkpoint")])
     return spark.read.parquet(f"{root}/out").select("id", "timestamp")
 
 
@@ -251,20 +260,19 @@ def _stream_dedup(spark, sf):
 
     root, name = _stream_root(spark, "stream_dedup")
     q = _quarters(spark, sf)
-    _ordered_batches(spark, sf, root, [q[0], f"({q[0]}) OR ({q[1]})", f"({q[1]}) OR ({q[2]})", f"({q[2]}) OR ({q[3]})", q[3]])
-    posts = post_stream(spark, f"{root}/lines", max_files_per_trigger=1)
-    _finish(to_table(dedup_stream(posts, ttl="60 days"), name, "append", trigger_options(available_now=True),
-                     checkpoint=f"{root}/checkpoint", fmt="parquet", path=f"{root}/out"))
+    _drained(spark, sf, root, [q[0], f"({q[0]}) OR ({q[1]})", f"({q[1]}) OR ({q[2]})", f"({q[2]}) OR ({q[3]})", q[3]], lambda: [to_table(
+        dedup_stream(post_stream(spark, f"{root}/lines"), ttl="60 days"), name, "append", trigger_options(available_now=True),
+        checkpoint=f"{root}/checkpoint", fmt="parquet", path=f"{root}/out")])
     return spark.read.parquet(f"{root}/out").select("id", "username", "timestamp")
 
 
 @_register("stream_dedup_hour")
 def _stream_dedup_hour(spark, sf):
-    """T6 in a stream, with the hour's memory over whole posts.  The later half of the days arrives first, so all of the
+    """T6 in a stream, with the hour's memory over whole posts (``dedup_tables``).  The later half of the days arrives first, so all of the
     earlier half is late.  Some posts come again 50 minutes on (dropped), two hours on or edited (kept).  Then the late half
     comes a second time, and the newest half hour (dropped), and posts three hours on, late again (kept).
     Each part is written by many tasks and drained by a run of its own."""
-    from pulse.streaming import dedup_stream, post_stream, to_table, trigger_options
+    from pulse.streaming import dedup_tables, kept_posts, post_stream, trigger_options
 
     root, name = _stream_root(spark, "stream_dedup_hour")
     span = read_table(spark, sf, "events", "ts").agg(F.min("ts").alias("a"), F.max("ts").alias("top")).select(
@@ -281,49 +289,51 @@ def _stream_dedup_hour(spark, sf):
         text = F.coalesce("text", F.lit(""))
         sent = attach_text(spark, sf, sent).withColumn("text", F.when(F.col("copy.minutes") == 5, F.concat(F.lit("edited "), text)).otherwise(text))
         to_lines(sent, ["id", "text", "username", "timestamp"]).write.mode("append").text(f"{root}/lines")
-        kept = dedup_stream(post_stream(spark, f"{root}/lines")).select("id", "username", "timestamp", F.md5("text").alias("text_md5"))
-        _finish(to_table(kept, name, "append", trigger_options(available_now=True), checkpoint=f"{root}/checkpoint",
-                         fmt="parquet", path=f"{root}/out"))
-    return spark.read.parquet(f"{root}/out")
+        for query in dedup_tables(post_stream(spark, f"{root}/lines"), root, name, trigger=trigger_options(available_now=True)):
+            _finish(query)
+    return kept_posts(spark, root).select("id", "username", "timestamp", F.md5("text").alias("text_md5"))
 
 
 @_register("stream_restart")
 def _stream_restart(spark, sf):
-    """Hourly windows in update mode over a query that stops after half of the files and is started
-    again from its checkpoint; the changed windows of both runs, folded, equal the windows of all posts."""
-    from pulse.streaming import fold_updates, post_stream, read_updates, trigger_options, windowed_stream, write_updates
+    """Hourly windows x band in update mode over scored rows, by queries that stop after half of the posts and are
+    started again from their checkpoints; the changed windows of both runs, folded, equal the windows of all posts."""
+    from pulse.streaming import fold_updates, read_updates, scored_windows, trigger_options, write_updates
 
     root, name = _stream_root(spark, "stream_restart")
+    keys = ["window_start", "window_end", "sentiment_label"]
     q = _quarters(spark, sf)
-    for half in (q[:2], q[2:]):
-        _ordered_batches(spark, sf, root, half)
-        posts = post_stream(spark, f"{root}/lines", max_files_per_trigger=1)
-        scored = posts.withColumn("sentiment_label", F.col("username").substr(1, 6)).withColumn("sentiment_score", F.length("username").cast("double"))
-        w = windowed_stream(scored, "1 hour", "1 hour", None).select(
-            F.col("window.start").alias("window_start"), "sentiment_label", "tweet_count", "avg_sentiment")
-        _finish(write_updates(w, f"{root}/out", name, trigger_options(available_now=True), checkpoint=f"{root}/checkpoint"))
-        fold_updates(spark, f"{root}/out", ["window_start", "sentiment_label"], 1)
-    out = read_updates(spark, f"{root}/out", ["window_start", "sentiment_label"])
+
+    def start():
+        yield _scoring(spark, root, name)
+        w = scored_windows(spark, f"{root}/scored", spark.read.parquet(f"{root}/scored").schema, "1 hour", "1 hour")
+        yield write_updates(w, f"{root}/out", name, trigger_options(available_now=True), checkpoint=f"{root}/checkpoint")
+
+    for half in (f"({q[0]}) OR ({q[1]})", f"({q[2]}) OR ({q[3]})"):
+        _drained(spark, sf, root, [half], start)
+        fold_updates(spark, f"{root}/out", keys, 1)
+    out = read_updates(spark, f"{root}/out", keys)
     return out.select("window_start", "sentiment_label", "tweet_count", _r6("avg_sentiment").alias("avg_sentiment"))
 
 
 @_register("stream_append_late")
 def _stream_append_late(spark, sf):
-    """Append mode drops late rows.  Later half of the days first, then (after a batch that lets the new
-    watermark apply) the earlier half, all of it late; finished hourly windows are those of the later half that the
-    watermark has passed."""
-    from pulse.streaming import post_stream, to_table, trigger_options, windowed_stream
+    """Append mode drops late rows.  Later half of the days first, then the earlier half, all of it behind the
+    watermark; finished hourly windows x band are those of the later half that the watermark has passed."""
+    from pulse.streaming import scored_windows, to_table, trigger_options
 
     root, name = _stream_root(spark, "stream_append")
     mid = read_table(spark, sf, "events", "ts").agg(F.min("ts").alias("a"), F.max("ts").alias("b")).select(
         F.expr("date_trunc('DAY', a + (b - a) / 2)").cast("string").alias("m")).first()["m"]
     late, new = f"timestamp < timestamp_ntz'{mid}'", f"timestamp >= timestamp_ntz'{mid}'"
-    _ordered_batches(spark, sf, root, [new, f"{new} AND event_id % 50 = 0", late])
-    posts = post_stream(spark, f"{root}/lines", max_files_per_trigger=1)
-    scored = posts.withColumn("sentiment_label", F.lit("all")).withColumn("sentiment_score", F.lit(1.0))
-    w = windowed_stream(scored, "1 hour", "1 hour", "1 hour").select(F.col("window.start").alias("window_start"), "tweet_count")
-    _finish(to_table(w, name, "append", trigger_options(available_now=True), checkpoint=f"{root}/checkpoint", fmt="parquet", path=f"{root}/out"))
-    return spark.read.parquet(f"{root}/out")
+
+    def start():
+        yield _scoring(spark, root, name)
+        w = scored_windows(spark, f"{root}/scored", spark.read.parquet(f"{root}/scored").schema, "1 hour", "1 hour", "1 hour")
+        yield to_table(w, name, "append", trigger_options(available_now=True), checkpoint=f"{root}/checkpoint", fmt="parquet", path=f"{root}/out")
+
+    _drained(spark, sf, root, [new, late], start)
+    return spark.read.parquet(f"{root}/out").select("window_start", "sentiment_label", "tweet_count", _r6("avg_sentiment").alias("avg_sentiment"))
 
 
 @_register("window_samples")

@@ -2,7 +2,7 @@
 sinks, triggers and the lifecycle of named queries."""
 
 from pulse.streaming.queries import (  # noqa: F401
-    dedup_stream, post_stream, score_batches, scored_stream, scored_windows, since_id_stream, start_dashboard,
+    dedup_stream, dedup_tables, kept_posts, post_stream, score_batches, scored_stream, scored_windows, since_id_stream, start_dashboard,
     windowed_stream,
 )
 from pulse.streaming.sinks import (  # noqa: F401

@@ -12,10 +12,9 @@ advance still counts).
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import (
     BooleanType, DateType, NumericType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
 )
@@ -30,9 +29,7 @@ WATERMARK_WINDOWED = "30 seconds"
 WATERMARK_DASHBOARD = "15 seconds"
 # ------------------------------------------------------------------------------
 DEDUP_LATENESS = "1 hour"        # posts this far behind the newest still find every copy of the last TTL
-DEDUP_BUCKETS = 256              # groups of remembered keys; a checkpoint holds for one number
 NO_TIME = -(1 << 62)
-WATERMARK_MARK = "spark.watermarkDelayMs"
 
 
 def post_stream(spark: SparkSession, path: str | None = None, fmt: str = "text",
@@ -101,26 +98,30 @@ def output_mode(late: str) -> str:
 
 
 def dedup_stream(posts: DataFrame, ttl: str = DEDUP_TTL, key=None, ts: str = "timestamp",
-                 lateness: str = DEDUP_LATENESS) -> DataFrame:
+                 lateness: str = DEDUP_LATENESS, columns: list[str] | None = None) -> DataFrame:
     """Drop a post if a copy *kept* of its key lies less than ``ttl`` of event time from it, before or after.
     Default key: ``dedup_key(id, text)``.  No other post is dropped, however late it comes.
 
-    Each key remembers the times of its kept copies, each until the watermark (``lateness`` behind the newest
-    post) passes the copy's time + ``ttl``.  So repeats that come up to ``lateness`` behind the newest post are all found.
-    A post further behind is kept unless its key is still remembered, and is then remembered until
-    the watermark has moved on by ``ttl``; only a repeat that comes later than that gets through a second time.
+    Each key has state of its own: the times of its kept copies, each until the watermark (``lateness`` behind the newest
+    post) passes the copy's time + ``ttl``, when a timer of the key forgets it.  So a batch reads and writes the state of its own
+    keys and of those that expire, whatever else is remembered, and repeats that come up to ``lateness`` behind the newest post are
+    all found.  A post further behind is kept unless its key is still remembered, and is then remembered until the
+    watermark has moved on by ``ttl``; only a repeat that comes later than that gets through a second time.
     A copy without a time is kept if nothing is remembered of its key, and hides no copy with a time (as in ``dedup_posts``).
 
-    Append mode.  Times of the output carry no watermark: windows over it are a query of their own over
-    the stored rows, as in ``start_dashboard``.  Keys are remembered in ``DEDUP_BUCKETS`` groups by their hash: one call per
-    group and batch, whose memory is read and written whole.  All copies of a
+    ``columns`` (default: all) are those of the result; no others leave the JVM.  ``dedup_tables`` passes a row id alone.
+    Append mode; keyed state needs the RocksDB state store, which ``keyed_state`` sets for the session.  Times of the output carry no
+    watermark: windows over it are a query of their own over the stored rows, as in ``start_dashboard``.  All copies of a
     key in a batch go to one task, which holds those that no earlier batch covers, one for each time.
     """
     k = dedup_key() if key is None else (F.col(key) if isinstance(key, str) else key)
-    spark, posts = posts.sparkSession, posts.withColumn("dedup_key", k)
-    as_text = {f.name for f in posts.schema.fields if isinstance(f.dataType, (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType))}
+    spark = posts.sparkSession
+    keyed_state(spark)
+    fields = [f for f in posts.schema.fields if columns is None or f.name in columns]
+    posts = posts.withColumn("dedup_key", k)
+    as_text = {f.name for f in fields if isinstance(f.dataType, (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType))}
 
-    def packed(f):      # numbers and times travel as text: pandas would round or narrow some
+    def packed(f):      # numbers and times travel as text, so that Python rounds none
         c = F.col(f"`{f.name}`")
         return (F.unix_micros(c) if isinstance(f.dataType, TimestampType) else c).cast("string") if f.name in as_text else c
 
@@ -128,73 +129,101 @@ def dedup_stream(posts: DataFrame, ttl: str = DEDUP_TTL, key=None, ts: str = "ti
         c = F.col(f"`{f.name}`")
         return F.timestamp_micros(c.cast("long")) if isinstance(f.dataType, TimestampType) else c.cast(f.dataType) if f.name in as_text else c
 
-    fields = posts.schema.fields
-    text_key = F.coalesce(F.concat(F.lit("="), F.col("dedup_key").cast("string")), F.lit(""))
-    # Spark drops late rows by the column that carries the watermark's mark: here one of nulls, which are never late
-    rows = posts.withWatermark(ts, lateness).select(
-        *[packed(f).alias(f.name) for f in fields], text_key.alias("_key"), F.pmod(F.xxhash64(text_key), F.lit(DEDUP_BUCKETS)).alias("_bucket"),
-        F.coalesce(F.unix_micros(F.col(f"`{ts}`").cast("timestamp")), F.lit(NO_TIME)).alias("_at"),
-        F.lit(None).cast("timestamp").alias("_never_late", metadata={WATERMARK_MARK: _micros(spark, lateness) // 1000}))
+    # Spark drops rows that are late by the watermark's column.  A row's time moves the watermark in a copy of the row,
+    # which goes no further; the row itself has no time there, and so is never late.
+    at = F.col(f"`{ts}`").cast("timestamp")
+    none = F.lit(None).cast("timestamp")
+    rows = (posts.select(
+        *[packed(f).alias(f.name) for f in fields], F.coalesce(F.concat(F.lit("="), F.col("dedup_key").cast("string")), F.lit("")).alias("_key"),
+        F.coalesce(F.unix_micros(at), F.lit(NO_TIME)).alias("_at"),
+        F.explode(F.when(at.isNull(), F.array(none)).otherwise(F.array(none, at))).alias("_clock"))
+        .withWatermark("_clock", lateness).filter("_clock IS NULL"))
     out = StructType([StructField(f.name, StringType() if f.name in as_text else f.dataType) for f in fields])
-    kept = rows.groupBy("_bucket").applyInPandasWithState(_first_copies(_micros(spark, ttl), out.names), out, "memory string",
-                                                          "append", "EventTimeTimeout")
+    kept = rows.groupBy("_key").transformWithState(FirstCopies(_micros(spark, ttl), out.names), out, "append", "EventTime")
     return kept.select(*[unpacked(f).alias(f.name) for f in fields])
 
 
+def keyed_state(spark: SparkSession) -> None:
+    """State of each key apart, in RocksDB; a checkpoint gets the changes of a batch, not the whole store."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def _micros(spark: SparkSession, interval: str) -> int:
     return spark.range(1).select(F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {interval})")).first()[0]
 
 
-def _first_copies(ttl_us: int, columns: list[str]):
-    """State function of ``dedup_stream``: per key the times of kept copies and when each is forgotten (0: not
-    said yet, as the watermark has not started)."""
-    def remember(state, memory):
-        now = state.getCurrentWatermarkMs() * 1000
-        left = {}
-        for key, copies in memory.items():
-            copies = [(t, until or (now and now + ttl_us)) for t, until in copies]
-            copies = [(t, until) for t, until in copies if until > now or not until]
-            if copies:
-                left[key] = copies
-        if not left:
-            state.remove()
-            return
-        state.update((json.dumps(left),))
-        first = min(until for copies in left.values() for _, until in copies)
-        state.setTimeoutTimestamp(max(first, now) // 1000 + 1)
-
-    def covered(copies, t):
-        return any(abs(t - k) < ttl_us for k, _ in copies) or (t == NO_TIME and len(copies) > 0)
-
-    def judge(bucket, frames, state):
-        import pandas as pd
-
-        memory = json.loads(state.get[0]) if state.exists else {}
-        if state.hasTimedOut:
-            remember(state, memory)
-            return
-        now = state.getCurrentWatermarkMs() * 1000
-        open_rows, seen = [], set()
-        for frame in frames:
-            at = []
-            for i, copy in enumerate(zip(frame["_key"].tolist(), frame["_at"].tolist())):
-                if copy not in seen and not covered(memory.get(copy[0], ()), copy[1]):
-                    seen.add(copy)
-                    at.append(i)
-            if at:
-                open_rows.append(frame.iloc[at])
-        if open_rows:
-            rows = pd.concat(open_rows, ignore_index=True)
-            keys, times, first = rows["_key"].tolist(), rows["_at"].tolist(), []
-            for i in sorted(range(len(times)), key=times.__getitem__):
-                copies, t = memory.setdefault(keys[i], []), times[i]
-                if not covered(copies, t):
-                    since = max(t, now)     # a post without a time, or behind the watermark, counts from now
-                    copies.append((t, since + ttl_us if since > 0 else 0))
-                    first.append(i)
-            yield rows.iloc[first][columns]
-        remember(state, memory)
-    return judge
+class FirstCopies(StatefulProcessor):
+    """State of ``dedup_stream`` for a key: ``at``, the time of a kept copy, and ``until``, when it is forgotten (0: not said yet, as
+    the watermark has not started)."""
+
+    def __init__(self, ttl_us: int, columns: list[str]):
+        self.ttl, self.columns = ttl_us, columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.copies = handle.getListState("copies", "at long, until long")
+
+    def _covered(self, copies, t: int) -> bool:
+        return any(abs(t - k) < self.ttl for k, _ in copies) or (t == NO_TIME and len(copies) > 0)
+
+    def handleInputRows(self, key, rows, timerValues):
+        now = max(timerValues.getCurrentWatermarkInMs(), 0) * 1000
+        copies = [(c[0], c[1]) for c in self.copies.get()] if self.copies.exists() else []
+        first: dict[int, Row] = {}
+        for row in rows:
+            if row["_at"] not in first and not self._covered(copies, row["_at"]):
+                first[row["_at"]] = row
+        for t in sorted(first):
+            if not self._covered(copies, t):
+                since = max(t, now)             # a post without a time, or behind the watermark, counts from now
+                until = since + self.ttl if since > 0 else 0
+                copies.append((t, until))
+                self.copies.appendValue((t, until))
+                self.handle.registerTimer(max(until, now) // 1000 + 1)
+                yield Row(*self.columns)(*[first[t][c] for c in self.columns])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        left, again = [], []
+        for t, until in (list(self.copies.get()) if self.copies.exists() else []):
+            if not until:
+                until = now + self.ttl
+                again.append(until)
+            if until > now:
+                left.append((t, until))
+        if left:
+            self.copies.put(left)
+        else:
+            self.copies.clear()
+        for until in again:
+            self.handle.registerTimer(until // 1000 + 1)
+        return iter([])
+
+
+def dedup_tables(posts: DataFrame, root: str, name: str, ttl: str = DEDUP_TTL, key=None, ts: str = "timestamp",
+                 lateness: str = DEDUP_LATENESS, trigger: dict | None = None):
+    """``dedup_stream`` for whole posts at scale: ``<name>_posts`` appends every post once, with a ``row_id``, to ``root/posts``, and
+    ``<name>_kept`` reads key, time and row id of that table alone and appends the row ids kept to ``root/kept``.  Texts neither
+    cross a shuffle nor reach Python.  ``kept_posts`` joins the two.  Both resume from checkpoints under
+    ``root``; with an ``availableNow`` trigger the posts are drained first.  Returns the started queries."""
+    from pulse.streaming.sinks import to_table
+
+    spark = posts.sparkSession
+    k = dedup_key() if key is None else (F.col(key) if isinstance(key, str) else key)
+    whole = posts.withColumn("dedup_key", k).withColumn("row_id", F.expr("uuid()"))
+    first = to_table(whole, f"{name}_posts", "append", trigger, f"{root}/checkpoint-posts", fmt="parquet", path=f"{root}/posts")
+    if "availableNow" in (trigger or {}):
+        first.awaitTermination()
+    narrow = spark.readStream.schema(whole.schema).parquet(f"{root}/posts").select("row_id", "dedup_key", ts)
+    kept = dedup_stream(narrow, ttl, "dedup_key", ts, lateness, columns=["row_id"])
+    return [first, to_table(kept, f"{name}_kept", "append", trigger, f"{root}/checkpoint-kept", fmt="parquet", path=f"{root}/kept")]
+
+
+def kept_posts(spark: SparkSession, root: str) -> DataFrame:
+    """The posts that ``dedup_tables`` kept."""
+    kept = spark.read.parquet(f"{root}/kept").select("row_id")
+    return spark.read.parquet(f"{root}/posts").join(kept, "row_id", "left_semi").drop("row_id", "dedup_key")
 
 
 def start_dashboard(spark: SparkSession, source: str, scorer, out_root: str, rule: str = "wide",

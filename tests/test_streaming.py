@@ -11,7 +11,7 @@ from pulse.operators.scoring import lexicon_frame, score_texts
 from pulse.operators.windows import windowed_sentiment
 from pulse.sources.lines import parse_posts, read_lines
 from pulse.streaming import (
-    dedup_stream, post_stream, read_updates, score_batches, scored_stream, to_table, trigger_options,
+    dedup_stream, dedup_tables, kept_posts, post_stream, read_updates, score_batches, scored_stream, to_table, trigger_options,
     windowed_stream, write_updates,
 )
 from pulse.streaming.queries import output_mode
@@ -123,6 +123,25 @@ def test_dedup_stream_keeps_late_posts_and_the_hour_of_each_key(spark, scratch):
     assert sorted(map(tuple, got[-1])) == [("a", "0"), ("a", "2"), ("a", "4"), ("b", "0"), ("late", "0"), ("late", "2"), ("n", "0")]
 
 
+def test_dedup_tables_and_state_that_grows_with_the_batch(spark, scratch):
+    """Whole posts come back; a batch writes the state of its own keys, however many are remembered."""
+    src, root = os.path.join(scratch, "in"), os.path.join(scratch, "tables")
+    hour = [{"id": f"k{i}", "text": f"text {i}", "timestamp": f"2024-01-01T00:{i // 60:02d}:{i % 60:02d}Z"} for i in range(600)]
+    later = [{**hour[5], "timestamp": "2024-01-01T00:20:00Z"}, {**hour[6], "timestamp": "2024-01-01T01:00:06Z"},
+             {"id": "new", "text": "y", "timestamp": None}, {"id": "k7", "text": None, "timestamp": "2024-01-01T00:00:07Z"}]
+    written = []
+    for i, rows in enumerate((hour, later)):
+        write_batches(src, [rows], start=i)
+        queries = dedup_tables(post_stream(spark, src), root, "tables", trigger=trigger_options(available_now=True))
+        for q in queries:
+            _run(q)
+        written.append(max(op["numRowsUpdated"] for p in queries[1].recentProgress for op in p["stateOperators"]))
+    got = kept_posts(spark, root).select("id", "text", "username").collect()
+    assert sorted((r.id, r.text or "") for r in got) == sorted(
+        [(r["id"], r["text"]) for r in hour] + [("k6", "text 6"), ("new", "y"), ("k7", "")])
+    assert written[0] >= 600 and written[1] <= 3 * len(later)
+
+
 def test_restart_from_checkpoint_no_duplicates(spark, scratch):
     src, out, ckpt = (os.path.join(scratch, d) for d in ("in", "out", "ckpt"))
     rows = [[{"id": str(i), "text": "x", "timestamp": f"2024-01-01T00:00:{i:02d}Z"}] for i in range(6)]
