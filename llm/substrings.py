@@ -267,19 +267,23 @@ def _passages(batches, shards: int, hot: np.ndarray):
     yield from found.take()
 
 
-WINDOWS = "shard long, text binary, ids array<long>, rows array<long>, starts array<int>"
+WINDOWS = "unit long, shard long, text binary, ids array<long>, rows array<long>, starts array<int>"
 
 
 def _hot_windows(batches, shards: int, hot: np.ndarray):
-    """Single windows of frequent marks, each once a task with the places where it was seen."""
+    """Single windows of frequent marks, each once a unit (what a task holds at once) with the places where it was seen."""
     seen: dict[bytes, tuple] = {}
+    unit = TaskContext.get().partitionId() << 32
 
     def take():
+        nonlocal unit
         ids, rows, starts = zip(*seen.values()) if seen else ((), (), ())
         shard = [xxhash.xxh3_64_intdigest(w) % shards for w in seen]
+        unit += 1
         return pa.RecordBatch.from_arrays(
-            [pa.array(shard, pa.int64()), pa.array(seen.keys(), pa.binary()), pa.array(ids, pa.list_(pa.int64())),
-             pa.array(rows, pa.list_(pa.int64())), pa.array(starts, pa.list_(pa.int32()))], names=["shard", "text", "ids", "rows", "starts"])
+            [pa.array([unit] * len(seen), pa.int64()), pa.array(shard, pa.int64()), pa.array(seen.keys(), pa.binary()),
+             pa.array(ids, pa.list_(pa.int64())), pa.array(rows, pa.list_(pa.int64())), pa.array(starts, pa.list_(pa.int32()))],
+            names=["unit", "shard", "text", "ids", "rows", "starts"])
 
     for batch in batches:
         keys, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -426,6 +430,23 @@ def _shard_firsts(group: pa.Table) -> pa.Table:
                      "first": pa.array([machine.firsts(words, WINDOW)[0] for words in cut.values()], pa.int64())})
 
 
+def _window_spans(group: pa.Table) -> pa.Table:
+    """A unit's windows with an earlier first document, joined to spans."""
+    columns = [pa.concat_arrays(group.column(c).chunks) for c in ("ids", "rows", "starts")]
+    n = np.diff(columns[0].offsets.to_numpy())
+    first = np.repeat(group.column("first").to_numpy(), n)
+    key, row, start = (c.flatten().to_numpy() for c in columns)
+    gone = first < key
+    key, row, start = key[gone], row[gone], start[gone]
+    order = np.lexsort((start, key, row))
+    key, row, start = key[order], row[order], start[order]
+    apart = (row[1:] != row[:-1]) | (key[1:] != key[:-1]) | (start[1:] > start[:-1] + WINDOW)
+    begin = np.flatnonzero(np.concatenate([[True], apart])[:len(row)])
+    end = np.append(begin[1:], len(row)) - 1
+    return pa.Table.from_arrays([pa.array(row[begin]), pa.array(key[begin]), pa.array(start[begin], pa.int32()),
+                                 pa.array(start[end[:len(begin)]] - start[begin] + WINDOW, pa.int32())], schema=SPANS)
+
+
 def _kept(batches):
     shape = pa.list_(pa.struct([("start", pa.int64()), ("size", pa.int64())]))
     for batch in batches:
@@ -468,7 +489,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hot
     hot_marks = np.sort(np.asarray([r[0] for r in frequent], np.int64).view(np.uint64))
 
     by_row = hits.filter("row IS NOT NULL").groupBy("row").agg(F.collect_list("mark").alias("marks"))
-    passages = (rows.join(by_row, "row").select("id", "row", "text", "marks").filter("id IS NOT NULL")
+    passages = (rows.join(by_row, "row").select("id", "row", "text", "marks")      # no row without an id has marks
                 .mapInArrow(lambda it: _passages(it, shards, hot_marks), _Passages.SCHEMA))
     spans = passages.groupBy("shard").applyInArrow(_shard_spans, "row long, id long, start int, size int")
     if len(hot_marks):
@@ -476,10 +497,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hot
                          "windows", compression="zstd")
         firsts = (windows.select("shard", "text", F.array_min("ids").alias("id")).groupBy("shard", "text").agg(F.min("id").alias("id"))
                   .groupBy("shard").applyInArrow(_shard_firsts, "text binary, first long"))
-        seen = (windows.join(firsts, "text").filter(F.array_max("ids") > F.col("first"))
-                .select("first", F.explode(F.arrays_zip("ids", "rows", "starts")).alias("at")).filter("at.ids > first"))
-        spans = spans.unionByName(seen.select(F.col("at.rows").alias("row"), F.col("at.ids").alias("id"),
-                                              F.col("at.starts").alias("start"), F.lit(WINDOW).alias("size")))
+        seen = windows.join(firsts, "text").filter(F.array_max("ids") > F.col("first")).select("unit", "ids", "rows", "starts", "first")
+        spans = spans.unionByName(seen.groupBy("unit").applyInArrow(_window_spans, "row long, id long, start int, size int"))
     by_row = spans.groupBy("row").agg(F.collect_set(F.struct("id", "start", "size")).alias("spans"))
     done = rows.join(by_row, "row", "left").select("id", "text", "spans").mapInArrow(
         _kept, "id long, n_words long, n_removed long, kept string, spans array<struct<start:long,size:long>>")
