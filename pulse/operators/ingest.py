@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulse.functions.timeparse import parse_event_time, time_text
-from pulse.operators.prefix import running
+from pulse.operators.prefix import BLOCK_ROWS, equal_depth, running
 from pulse.session import stored
 
 # --- fixed values (must equal the reference) ---------------------------------
@@ -138,10 +138,11 @@ def dedup_posts(posts: DataFrame, key: Column | str | None = None, arrival: str
     With ``ttl`` (``DEDUP_TTL`` is the reference's hour) a key is forgotten again: a
     copy is also kept when the last copy *kept* was seen (column ``seen``) at least
     ``ttl`` before it.  Copies without a ``seen`` time count as seen first.
-    Kept copies are found a generation at a time: each round takes, per key, the
-    first copy past the last one's ttl - an aggregate with a partial step, so a hot
-    key is collapsed map-side - and drops the rest, so rounds work on ever fewer
-    rows.  Rounds are tables in the shared folder.
+    Kept copies are found by pointer doubling: a blocked scan gives every copy its
+    next one (the first of its key ``ttl`` or more after it), then each round doubles
+    the length of the steps and of the chain that starts at the key's first copy, so a key with n kept
+    copies takes log2(n) rounds.  Keys whose copies all lie within one ``ttl`` need none.
+    Rounds join row numbers only, as tables in the shared folder; the rows are read again at the end.
 
     Batch form of the reference's seen-key memory.  It is an aggregate
     (``min_by`` on the arrival; Spark plans it as a sort aggregate with a partial
@@ -162,29 +163,48 @@ def dedup_posts(posts: DataFrame, key: Column | str | None = None, arrival: str
 
 
 def _dedup_with_ttl(posts: DataFrame, key: Column, arrival: str, tie_break: str | None, ttl: str, seen: str) -> DataFrame:
-    cols = posts.columns
-    row = F.struct(*[F.col(c) for c in cols])
-    at = F.unix_micros(F.col(seen).cast("timestamp"))
-    order = F.struct(at, F.col(arrival), *([F.col(tie_break)] if tie_break else []))
+    spark = posts.sparkSession
     ttl_us = F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {ttl})")
-    left = posts.select(key.alias("_key"), row.alias("_row"), order.alias("_order"), at.alias("_at"))
-    kept = []
-    while True:
-        first = stored(left.groupBy("_key").agg(F.min_by(F.struct("_row", "_at"), F.col("_order")).alias("_f"))
-                       .select("_key", F.col("_f._row").alias("_row"), F.col("_f._at").alias("_last")), "dedup")
-        kept.append(first.select("_row"))
-        last = first.select(F.col("_key").alias("_k"), "_last")
-        # copies the last one kept does not cover; a key not seen at a time (null) covers nothing later
-        left = stored(left.join(last, left["_key"].eqNullSafe(last["_k"]))
-                      .filter(F.col("_at") >= F.coalesce(F.col("_last") + ttl_us, F.lit(-(1 << 62))))
-                      .filter(F.col("_at").isNotNull())
-                      .select("_key", "_row", "_order", "_at"), "dedup-left")
-        if left.isEmpty():
-            break
-    out = kept[0]
-    for x in kept[1:]:
-        out = out.unionByName(x)
-    return out.select("_row.*")
+    rows = stored(posts.select(
+        F.struct(*[F.col(f"`{c}`") for c in posts.columns]).alias("_row"), F.coalesce(F.concat(F.lit("="), key.cast("string")), F.lit("")).alias("_key"),
+        F.unix_micros(F.col(seen).cast("timestamp")).alias("_at"),
+        F.struct(F.col(arrival), *([F.col(tie_break)] if tie_break else [])).alias("_order"),
+        F.monotonically_increasing_id().alias("_id")), "dedup-rows")
+    narrow = rows.select("_key", "_at", "_order", "_id")
+    place = F.struct("_at", "_order", "_id")
+    keys = stored(narrow.groupBy("_key").agg(
+        F.min(place).alias("first"), F.min(F.when(F.col("_at").isNotNull(), place)).alias("timed"), F.max("_at").alias("last")), "dedup-keys")
+    # the first copy of each key, and the first with a time where that is another
+    starts = keys.select(F.explode(F.array_distinct(F.array_compact(F.array("first._id", "timed._id")))).alias("_id"))
+    busy = keys.filter(F.col("last") >= F.col("timed._at") + ttl_us).select("_key")
+    copies = stored(narrow.filter("_at IS NOT NULL").join(busy, "_key", "left_semi"), "dedup-copies")
+    kept = [stored(starts, "dedup-kept")]
+    step = _next_copies(copies, ttl_us)
+    while not step.isEmpty():
+        known = kept[0]
+        for k in kept[1:]:
+            known = known.unionByName(k)
+        kept.append(stored(known.join(step, known["_id"] == step["a"]).select(F.col("b").alias("_id")), "dedup-kept"))
+        on = step.select(F.col("a").alias("_m"), F.col("b").alias("c"))
+        step = stored(step.join(on, F.col("b") == F.col("_m")).select("a", F.col("c").alias("b")), "dedup-step")
+    known = kept[0]
+    for k in kept[1:]:
+        known = known.unionByName(k)
+    return rows.join(known, "_id", "left_semi").select("_row.*")
+
+
+def _next_copies(copies: DataFrame, ttl_us: Column) -> DataFrame:
+    """``a, b``: each copy and the first of its key at least ``ttl`` after it.  Copies and the times at which they are forgotten are
+    sorted into one sequence, where the copy after a forgetting is the least place behind it."""
+    ends = copies.select("_key", (F.col("_at") + ttl_us).alias("_t"), F.lit(0).alias("_copy"), F.lit(None).cast(copies.schema["_order"].dataType).alias("_order"), "_id")
+    both = ends.unionByName(copies.select("_key", F.col("_at").alias("_t"), F.lit(1).alias("_copy"), "_order", "_id"))
+    by = ["_key", "_t", "_copy", "_order", "_id"]
+    total = copies.count()
+    parts = max(1, -(-2 * total // BLOCK_ROWS))
+    placed = stored(both.repartitionByRange(parts, *by).sortWithinPartitions(*by).withColumn("_seq", F.monotonically_increasing_id())
+                    .withColumn("_blk", -F.shiftright("_seq", 33)), "dedup-places")
+    ahead = running(placed, F.when(F.col("_copy") == 1, F.struct("_seq", "_id")), "min", [F.col("_seq").desc()], "_blk", partition=["_key"], out="_next")
+    return stored(ahead.filter("_copy = 0 AND _next IS NOT NULL").select(F.col("_id").alias("a"), F.col("_next._id").alias("b")), "dedup-step")
 
 
 def search_predicate(text="text", terms=SEARCH_TERMS, lang_col="lang", lang: str | None = SEARCH_LANG,
@@ -223,16 +243,20 @@ def recent(posts: DataFrame, limit: int = RECENT_LIMIT, ts: str = "timestamp", t
     return latest_n(posts, limit, ts, tie).orderBy(F.col(ts).asc_nulls_first(), F.col(tie).asc())
 
 
-def chunk_rows(df: DataFrame, size: int, partition: list[str] | None, order: list, block) -> DataFrame:
+def chunk_rows(df: DataFrame, size: int, partition: list[str] | None, order: list, block=None,
+               block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Consecutive chunks of ``size`` rows in ``order`` within each ``partition``
     value: adds ``pos`` (1-based place) and ``chunk`` (0-based chunk number).
 
-    The place is a blocked running count: ``block`` (non-decreasing along
-    ``order``, e.g. a minute, or ``turn div 1000``) bounds what one task sorts,
-    so a partition value holding a third of all rows is still spread out.
+    The place is a blocked running count, so a partition value holding a third of all rows is still spread
+    out: by blocks of about ``block_rows`` rows (``equal_depth``), or by ``block`` (non-decreasing along
+    ``order``, e.g. a minute, or ``turn div 1000``) where that is given.
     ``order`` must be a total order within a partition value.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order]
+    if block is None:
+        df = equal_depth(df, order, partition, block_rows, out="_depth")
+        return chunk_rows(df, size, partition, order, "_depth").drop("_depth")
     ranked = running(df, F.lit(1), "count", order, _col(block), partition=list(partition or []), inclusive=True,
                      out="pos")
     return ranked.withColumn("chunk", F.floor((F.col("pos") - 1) / F.lit(size)).cast("long"))
@@ -247,19 +271,18 @@ def _bucket(posts: DataFrame, ts: str, every: str) -> Column:
 
 
 def chunk_posts(posts: DataFrame, size: int = CHUNK_SIZE, ts: str = "timestamp", tie: str = "id",
-                every: str = "1 hour", block: str = "1 minute") -> DataFrame:
+                every: str = "1 hour", block: str | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Consecutive chunks of ``size`` posts, in time order, restarting every ``every``.
 
     Adds ``chunk_start`` (the ``every`` bucket), ``pos`` (1-based place in it) and
-    ``chunk`` (0-based chunk number in it).  The place is a blocked running count
-    (blocks of ``block``), so no task holds a whole bucket.  A minute block keeps
-    the carry table small (60 rows per hour); pass ``"1 second"`` when single
-    minutes are expected to be very hot.  Posts without a time are chunked too, in
-    a null bucket of their own, by ``tie``.
+    ``chunk`` (0-based chunk number in it).  The place is a blocked running count, so no task holds a whole bucket, however
+    bursty: blocks of about ``block_rows`` rows, or of a time ``block`` (e.g. ``"1 minute"``) where that is given.
+    Posts without a time are chunked too, in a null bucket of their own, by ``tie``.
     """
-    bucket, sub = _bucket(posts, ts, every), _bucket(posts, ts, block)
-    base = posts.withColumn("chunk_start", bucket).withColumn("_sub", sub)
-    return chunk_rows(base, size, ["chunk_start"], [ts, tie], "_sub").drop("_sub")
+    base = posts.withColumn("chunk_start", _bucket(posts, ts, every))
+    if block is None:
+        return chunk_rows(base, size, ["chunk_start"], [ts, tie], block_rows=block_rows)
+    return chunk_rows(base.withColumn("_sub", _bucket(posts, ts, block)), size, ["chunk_start"], [ts, tie], "_sub").drop("_sub")
 
 
 def fetch_report(posts: DataFrame, every: str = "1 hour", ts: str = "timestamp", block: str = "1 day") -> DataFrame:

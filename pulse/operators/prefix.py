@@ -4,7 +4,7 @@ A window ``partitionBy(p).orderBy(o).rowsBetween(unboundedPreceding, ...)`` puts
 whole partition in one task; when ``p`` is empty, or one value of ``p`` holds a
 third of the rows, that task holds all of it.  Here the sequence is cut into
 blocks by a column that never decreases along the order (an arrival range, a
-minute, a day).  Running values are then
+minute, a day, or ``equal_depth``'s blocks of a set number of rows).  Running values are then
 
     carry-in of the block  (a running value over the small per-block aggregate)
   + running value inside the block  (a window partitioned by (p, block))
@@ -24,6 +24,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulse.session import stored
+
+BLOCK_ROWS = 200_000      # rows of an equal-depth block, about
+
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
@@ -35,6 +39,22 @@ def _combine(how: str, a: Column, b: Column) -> Column:
     return F.least(a, b)
 
 
+def equal_depth(df: DataFrame, order: list, partition: list[str] | None = None, rows: int = BLOCK_ROWS,
+                out: str = "_depth") -> DataFrame:
+    """``df`` with ``out``, a block number for ``running``: blocks of about ``rows`` rows (never twice as many, but for what
+    sampling misses), however the order's values are spread.
+
+    The edges are the quantiles that Spark samples for a range partitioning of ``partition`` and ``order`` (a total order), so a
+    burst gets as many blocks as it has rows for.  The numbered rows are a stored table, so every later pass sees the same
+    edges.  Up to ``rows`` rows are one block, without a table of their own."""
+    total = df.count()
+    if total <= rows:
+        return df.withColumn(out, F.lit(0))
+    by = [F.col(p).asc_nulls_first() for p in partition or []] + [F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order]
+    parts = -(-4 * total // (3 * rows))         # a third more than needed, as sampled edges are not exact
+    return stored(df.repartitionByRange(parts, *by).withColumn(out, F.spark_partition_id()), "blocks")
+
+
 def running(df: DataFrame, value: Column | str, how: str, order: list, block: Column | str,
             partition: list[str] | None = None, inclusive: bool = True, out: str = "running") -> DataFrame:
     """Add ``out`` = running ``how`` (sum | max | min | count) of ``value`` along

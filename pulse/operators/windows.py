@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulse.functions.text import time_floor
-from pulse.operators.prefix import running
+from pulse.operators.prefix import BLOCK_ROWS, equal_depth, running
 
 # --- fixed values (must equal the reference) ---------------------------------
 WINDOW_SIZE = "10 seconds"
@@ -147,29 +147,27 @@ def window_series(windowed: DataFrame, label: str = "sentiment_label") -> DataFr
 
 def late_report(posts: DataFrame, delay: str = "30 seconds", feed: str = "feed", arrival: str = "arrival",
                 ts: str = "timestamp", tie: str = "id", block_size: int | None = None,
-                block_rows: int = 100_000) -> DataFrame:
+                block_rows: int = BLOCK_ROWS) -> DataFrame:
     """On-time and late rows per feed, the batch view of a watermark.
 
     A row's lateness is the newest event time that arrived before it in the
     feed (arrival order, ties by id) minus its own time; it is late when that
-    exceeds ``delay``.  The running max is blocked by ``arrival div block_size``
-    so a feed holding a third of all rows is still spread over many tasks.  The
-    width (in units of ``arrival``) comes from the data unless given: the span of
-    arrivals over their number, times ``block_rows``, as a scalar subquery.
+    exceeds ``delay``.  The running max is blocked, so a feed holding a third of all rows, or a burst of
+    arrivals, is still spread over many tasks: by blocks of about ``block_rows`` rows (``equal_depth``), or
+    by ``arrival div block_size`` where that is given.
     Output: ``feed, rows, on_time, late, max_lateness_seconds``.
     """
     # the epoch instant plus the delay, read back in microseconds (no session zone involved)
     delay_us = F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {delay})")
     base = posts.select(F.col(feed).alias("feed"), F.col(arrival).alias("_arr"), F.col(tie).alias("_tie"),
                         F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"))
+    order = [F.col("_arr"), F.col("_tie")]
     if block_size is None:
-        span = (F.max(arrival) - F.min(arrival) + 1).cast("double")
-        width = posts.select(F.greatest(F.ceil(span / F.count(arrival) * F.lit(block_rows)), F.lit(1))).scalar()
+        # equal rows in all columns are alike, so any of them may come first
+        base, blk = equal_depth(base, [*order, "_us"], ["feed"], block_rows), F.col("_depth")
     else:
-        width = F.lit(block_size)
-    blk = F.floor(F.col("_arr") / width)
-    scanned = running(base, "_us", "max", [F.col("_arr"), F.col("_tie")], blk,
-                      partition=["feed"], inclusive=False, out="_prev")
+        blk = F.floor(F.col("_arr") / F.lit(block_size))
+    scanned = running(base, "_us", "max", order, blk, partition=["feed"], inclusive=False, out="_prev")
     lateness = F.col("_prev") - F.col("_us")
     flagged = scanned.select("feed", lateness.alias("_late_us"))
     return (flagged.groupBy("feed")

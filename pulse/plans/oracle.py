@@ -401,6 +401,15 @@ kept(event_id, seen, arrival) AS (
     SELECT c.*, row_number() OVER (PARTITION BY c.event_id ORDER BY c.seen, c.arrival) AS r
     FROM kept JOIN copies c ON c.event_id = kept.event_id AND c.seen >= kept.seen + INTERVAL '1 hour') WHERE r = 1)
 SELECT CAST(event_id AS VARCHAR) AS id, seen, CAST(arrival AS BIGINT) AS arrival FROM kept""",
+    "dedup_posts_ttl_hot": """WITH RECURSIVE hot AS (SELECT event_id, ts FROM events WHERE event_id % 3 = 0),
+kept(event_id, ts) AS (
+  SELECT * FROM (SELECT event_id, ts FROM hot ORDER BY ts, event_id LIMIT 1)
+  UNION ALL
+  SELECT n.event_id, n.ts FROM (SELECT arg_min(h.event_id, (h.ts, h.event_id)) AS event_id, min(h.ts) AS ts
+                                FROM kept k JOIN hot h ON h.ts >= k.ts + INTERVAL '1 hour') n WHERE n.ts IS NOT NULL)
+SELECT CAST(event_id AS VARCHAR) AS id, ts AS "timestamp" FROM kept
+UNION ALL SELECT CAST(event_id AS VARCHAR), ts FROM events WHERE event_id % 3 <> 0""",
+    "late_report_burst": _LATE_SQL.replace("ORDER BY arrival", "ORDER BY CASE WHEN event_id % 10 = 0 THEN arrival * 1000 ELSE arrival END"),
     "odd_ids": """SELECT event_id, CASE event_id % 6 WHEN 0 THEN '7' || event_id WHEN 2 THEN '99999999999999999999' || event_id
        ELSE CAST(event_id AS VARCHAR) END AS id FROM events
 WHERE CASE event_id % 6 WHEN 0 THEN CAST('7' || event_id AS HUGEINT) WHEN 2 THEN CAST('99999999999999999999' || event_id AS HUGEINT)

@@ -633,6 +633,22 @@ def _dedup_posts_ttl(spark, sf):
     return ingest.dedup_posts(seen, key="id", ttl=ingest.DEDUP_TTL, seen="seen").select("id", "seen", "arrival")
 
 
+@_register("dedup_posts_ttl_hot")
+def _dedup_posts_ttl_hot(spark, sf):
+    """I11 with the one-hour memory where a third of all posts share one key: about one post an hour of it is kept."""
+    posts = posts_view(spark, sf).withColumn("arrival", F.col("event_id"))
+    key = F.when(F.col("event_id") % 3 == 0, "hot").otherwise(F.col("id"))
+    return ingest.dedup_posts(posts, key=key, ttl=ingest.DEDUP_TTL).select("id", "timestamp")
+
+
+@_register("late_report_burst")
+def _late_report_burst(spark, sf):
+    """T7 with nine tenths of the arrivals in a hundredth of the span, in blocks of 5,000 rows by quantiles."""
+    polls = overlapping_polls(spark, sf, extra=("event_type",))
+    polls = polls.withColumn("arrival", F.when(F.col("event_id") % 10 == 0, F.col("arrival") * 1000).otherwise(F.col("arrival")))
+    return windows.late_report(polls, "30 seconds", feed="event_type", block_rows=5_000)
+
+
 def _odd_ids(spark, sf):
     """Raw posts whose ids are 0, words, wider than 64 bits, missing, or plain numbers."""
     e = read_table(spark, sf, "events", "event_id")
