@@ -452,3 +452,26 @@ later AS (SELECT s.* FROM scored_strict s, mid WHERE "timestamp" >= m)""", _wind
     + f"""SELECT window_start, sentiment_label, tweet_count, {r6("avg_sentiment")} AS avg_sentiment FROM w, mid
 WHERE window_end <= top - INTERVAL '1 hour'""",
 }
+
+_TOKENS = "list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '')"
+
+ORACLE |= {
+    "stream_window_samples": ORACLE["window_samples"],
+    "stream_latest_n": ORACLE["latest_n"],
+    "stream_recent": ORACLE["recent"],
+    "store_kpis_5m": ORACLE["kpis_5m"],
+    "store_kpis_7d": ORACLE["kpis_7d"],
+    "store_overall_stats_7d": ORACLE["overall_stats_7d"],
+    "store_distribution_5m": ORACLE["distribution_5m"],
+    "store_recent_posts_7d": ORACLE["recent_posts_7d"],
+    "stream_scored_once": ORACLE["stream_scored_posts"],
+    "batch_scorer": ORACLE["plugin_scorer"],
+    "windowed_sentiment_newest_first": ORACLE["windowed_sentiment"],
+    "stream_rows_watermark": _with(_POSTS)
+    + """SELECT p.id, "timestamp", CAST(length(text) AS BIGINT) AS n_chars FROM posts p LEFT JOIN documents d ON p.doc_id = d.doc_id""",
+    "term_matches": f"""WITH t AS (SELECT lang, {_TOKENS} AS t FROM documents),
+terms AS (SELECT DISTINCT term FROM (SELECT t[3] AS term FROM t UNION ALL SELECT concat_ws(' ', t[4], t[5]) FROM t WHERE lang = 'fr') WHERE length(term) > 1)
+SELECT doc_id, count(*) AS terms FROM documents, terms
+WHERE regexp_matches(lower(text), '(^|[^a-z0-9])' || term || '([^a-z0-9]|$)') GROUP BY doc_id""",
+    "search_terms": ORACLE["search_phrase"],
+}

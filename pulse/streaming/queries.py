@@ -279,8 +279,8 @@ def since_id_stream(posts: DataFrame, out_path: str, marks_path: str, name: str,
     batches (ids compared as numbers), and move the mark.
 
     The mark is a small table: batch ``b`` writes ``marks_path/batch=b`` with the
-    new mark, and reads its own starting mark as the largest mark of the batches
-    before ``b`` (a scalar subquery, nothing collected).  A replayed batch reads
+    new mark, and starts from the newest one before it (a scalar subquery, nothing
+    collected).  The last two are kept: a replayed batch reads
     the same mark and overwrites its own folders, so output stays exactly-once.
     The reference's mark moved only after a whole response, so repeats inside
     one response got through; ``dedup_in_batch`` (default) keeps one row per id
@@ -288,7 +288,7 @@ def since_id_stream(posts: DataFrame, out_path: str, marks_path: str, name: str,
     """
     from pulse.operators.ingest import high_water, since_id
 
-    from pulse.streaming.sinks import _finished
+    from pulse.streaming.sinks import _delete, _finished
 
     spark = posts.sparkSession
     # the table must exist before the first batch reads it: batch -1 holds the start mark, as first given
@@ -297,13 +297,15 @@ def since_id_stream(posts: DataFrame, out_path: str, marks_path: str, name: str,
          .write.mode("overwrite").parquet(f"{marks_path}/batch=-1"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        marks = spark.read.parquet(marks_path)
-        prev = marks.filter(F.col("batch") < F.lit(batch_id)).select(F.max("hwm")).scalar()
+        before = [b for b in _finished(spark, marks_path, "batch") if b < batch_id]
+        prev = spark.read.parquet(f"{marks_path}/batch={before[-1]}").select(F.max("hwm")).scalar()
         kept = since_id(batch, prev, id_col)
         if dedup_in_batch:      # the same row on every replay: the least in the order of all columns
             row = F.struct(*kept.columns)
             kept = kept.groupBy(F.col(id_col).alias("_id")).agg(F.min(row).alias("_row")).select("_row.*")
         kept.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
         high_water(batch, prev, id_col).write.mode("overwrite").parquet(f"{marks_path}/batch={batch_id}")
+        for b in before[:-1]:
+            _delete(spark, f"{marks_path}/batch={b}")
     return write_batches(posts, run, name, trigger=trigger,
                          checkpoint=checkpoint or checkpoint_for(spark, name))

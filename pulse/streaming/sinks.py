@@ -140,41 +140,66 @@ def write_updates(df: DataFrame, path: str, name: str, trigger: dict | None = No
     """Update-mode result as a table: the rows changed by batch ``b`` go to
     ``path/batch=b`` (overwritten on replay).  Read with ``read_updates``."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.persist(StorageLevel.MEMORY_AND_DISK)     # two actions, one pass through the state
+        try:
+            if not batch.isEmpty():
+                batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
     return _writer(df, name, "update", trigger, checkpoint).foreachBatch(run).start()
 
 
 def read_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Newest value per key of a ``write_updates`` table (``max_by`` on the batch id,
-    an aggregate with a partial step per task: no key is gathered whole)."""
-    df = spark.read.parquet(path)
+    an aggregate with a partial step per task: no key is gathered whole).  The folders are the newest finished fold
+    and the finished batches after it."""
+    df = _live(spark, path)
+    if df is None:
+        raise ValueError(f"no finished batch under {path}")
     cols = [c for c in df.columns if c != "batch" and c not in keys]
     return (df.groupBy(*keys)
             .agg(F.max_by(F.struct(*cols), F.col("batch")).alias("_v"))
             .select(*keys, "_v.*"))
 
 
+def _folds(path: str) -> str:
+    return f"{path}/_folds"
+
+
+def _live(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame | None:
+    folds = [f for f in _finished(spark, _folds(path), "upto") if upto is None or f <= upto]
+    batches = [b for b in _finished(spark, path, "batch") if (not folds or b > folds[-1]) and (upto is None or b <= upto)]
+    parts = [spark.read.parquet(f"{_folds(path)}/upto={folds[-1]}")] if folds else []
+    if batches:
+        parts.append(spark.read.option("basePath", path).parquet(*[f"{path}/batch={b}" for b in batches]))
+    if not parts:
+        return None
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def fold_updates(spark: SparkSession, path: str, keys: list[str], upto: int) -> None:
     """Fold the batches up to ``upto`` of a ``write_updates`` table into one folder with the newest value
     per key, so the number of folders stays bounded.  Run it as maintenance, for batches no
-    replay can touch any more.  The folded rows are written aside and finished first; an
-    interrupted fold is carried on by calling it again."""
-    aside = f"{path}/_fold-{upto}"
-    fs, done = _fs(spark, f"{aside}/_SUCCESS")
-    old = [b for b in _finished(spark, path, "batch") if b <= upto]
-    if not fs.exists(done):
-        if len(old) < 2:
-            return
-        folders = [f"{path}/batch={b}" for b in old]
-        df = spark.read.option("basePath", path).parquet(*folders)
-        cols = [c for c in df.columns if c != "batch" and c not in keys]
-        (df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col("batch")).alias("_v")).select(*keys, "_v.*")
-         .write.mode("overwrite").parquet(aside))
-    for b in old:
-        _delete(spark, f"{path}/batch={b}")
-    fs.rename(_fs(spark, aside)[1], _fs(spark, f"{path}/batch={upto}")[1])
+    replay can touch any more.
+
+    The fold counts from the moment its ``_SUCCESS`` file is there, which is the last thing written, and what it replaces goes
+    only with the next fold: a reader that has listed its folders before finds them all.  An interrupted fold is written anew by
+    the next call."""
+    old = _finished(spark, _folds(path), "upto")
+    batches = [b for b in _finished(spark, path, "batch") if b <= upto]
+    if not [b for b in batches if not old or b > old[-1]]:
+        return
+    upto = batches[-1]
+    df = _live(spark, path, upto)
+    cols = [c for c in df.columns if c != "batch" and c not in keys]
+    row = F.struct(*cols, F.col("batch").cast("int").alias("batch"))
+    (df.groupBy(*keys).agg(F.max_by(row, F.col("batch")).alias("_v")).select(*keys, "_v.*")
+     .write.mode("overwrite").parquet(f"{_folds(path)}/upto={upto}"))
+    for f in old[:-1]:
+        _delete(spark, f"{_folds(path)}/upto={f}")
+    for b in batches:
+        if old and b <= old[-1]:
+            _delete(spark, f"{path}/batch={b}")
 
 
 def dropped_rows(query: StreamingQuery) -> int:

@@ -293,20 +293,31 @@ def test_complete_tables_have_versions_and_readers_see_finished_ones(spark, scra
     assert sorted(r.tweet_count for r in read_complete(spark, out).collect()) == [4, 4]
 
 
-def test_folded_updates_read_the_same_and_an_interrupted_fold_carries_on(spark, scratch):
+def test_folds_replace_batches_under_a_reader(spark, scratch):
     from pulse.streaming import fold_updates
 
     out = os.path.join(scratch, "upd")
-    for batch, rows in enumerate([[("a", 1), ("b", 1)], [("b", 2)], [("c", 3)], [("a", 4)]]):
+
+    def put(batch, rows):
         spark.createDataFrame(rows, "k string, v long").write.parquet(f"{out}/batch={batch}")
-    want = [("a", 4), ("b", 2), ("c", 3)]
+
+    def folders():
+        return sorted(d for d in os.listdir(out) if "=" in d), sorted(os.listdir(f"{out}/_folds"))
+
+    for batch, rows in enumerate([[("a", 1), ("b", 1)], [("b", 2)], [("c", 3)]]):
+        put(batch, rows)
+    reader = read_updates(spark, out, ["k"])                          # has listed the batches
     fold_updates(spark, out, ["k"], 2)
-    assert sorted(d for d in os.listdir(out) if d.startswith("batch=")) == ["batch=2", "batch=3"]
+    put(3, [("a", 4)])
+    assert folders() == (["batch=0", "batch=1", "batch=2", "batch=3"], ["upto=2"])
+    assert sorted(map(tuple, reader.collect())) == [("a", 1), ("b", 2), ("c", 3)]
+    want = [("a", 4), ("b", 2), ("c", 3)]
+    assert sorted(map(tuple, read_updates(spark, out, ["k"]).collect())) == want
+    os.makedirs(f"{out}/_folds/upto=3")                               # a fold that never finished
     assert sorted(map(tuple, read_updates(spark, out, ["k"]).collect())) == want
-    # finished aside, then stopped before the old folders went
-    read_updates(spark, out, ["k"]).write.parquet(f"{out}/_fold-3")
     fold_updates(spark, out, ["k"], 3)
-    assert sorted(d for d in os.listdir(out) if "=" in d or "_fold" in d) == ["batch=3"]
+    assert folders() == (["batch=3"], ["upto=2", "upto=3"])
+    fold_updates(spark, out, ["k"], 3)                                # nothing new
     assert sorted(map(tuple, read_updates(spark, out, ["k"]).collect())) == want
 
 
