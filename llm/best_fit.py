@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.shared import bounded_batches, stored, text_of
-from llm.wordbpe import ID, encoder, slices
+from llm.wordbpe import column_slices, encoder, ended
 
 CAPACITY = 4096
 GROUP_ITEMS = 50_000      # items of one group, about
@@ -35,20 +35,24 @@ BIN_SCHEMA = f"{PIECE_SCHEMA}, bin long, offset long, free long"
 
 
 def _pieces(batches, path: str, end_id: int, capacity: int):
-    enc, end = encoder(path), np.asarray([end_id], ID).tobytes()
+    enc = encoder(path)
     for batch in batches:
-        keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for a, b in slices(texts):
-            rows = [(k, p, at // 4, len(cut) // 4, zlib.crc32(cut))
-                    for k, ids in zip(keys[a:b], enc.encode(texts[a:b]))
-                    for whole in (ids + end,)
-                    for p, at in enumerate(range(0, len(whole), 4 * capacity))
-                    for cut in (whole[at:at + 4 * capacity],)]
-            cols = list(zip(*rows))
+        keys, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
+        missing = batch.column(0).is_null().to_numpy(zero_copy_only=False)
+        keys = np.where(missing, 0, keys).astype(np.int64)
+        for a, b in column_slices(texts):
+            ids, ends = ended(*enc.column(texts.slice(a, b - a)), end_id)
+            begin = np.concatenate([[0], ends[:-1]])
+            pieces = -((begin - ends) // capacity)                   # of each document
+            doc = np.repeat(np.arange(b - a), pieces)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            start = piece * capacity
+            length = np.minimum(capacity, (ends - begin)[doc] - start)
+            data, at = memoryview(ids.tobytes()), 4 * (begin[doc] + start)
+            crc = [zlib.crc32(data[x:y]) for x, y in zip(at.tolist(), (at + 4 * length).tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
-                 *(pa.array(c, pa.int64()) for c in cols[2:])],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                [pa.array(keys[a:b][doc], mask=missing[a:b][doc]), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length),
+                 pa.array(crc, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
     enc.rest()
 
 

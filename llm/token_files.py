@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from llm.shared import bounded_batches, text_of
-from llm.wordbpe import ID, encoder, slices
+from llm.wordbpe import ID, column_slices, encoder, ended
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
@@ -46,21 +46,18 @@ PARTS_SCHEMA = "part int, base long, tokens long"
 
 
 def _encode(batches, path: str, end_id: int):
-    enc, end = encoder(path), np.asarray([end_id], ID).tobytes()
-    part, at = TaskContext.get().partitionId(), 0
+    enc, part, at = encoder(path), TaskContext.get().partitionId(), 0
     schema = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("part_start", pa.int64()),
                         ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
     for batch in batches:
-        keys, texts = batch.column(0), batch.column(1).to_pylist()
-        for a, b in slices(texts):
-            ids = [x + end for x in enc.encode(texts[a:b])]
-            n = np.asarray([len(x) // 4 for x in ids], np.int64)
-            ends = np.cumsum(n)
-            flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))])
-            offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+        keys, texts = batch.column(0), batch.column(1)
+        for a, b in column_slices(texts):
+            ids, ends = ended(*enc.column(texts.slice(a, b - a)), end_id)
+            starts = np.concatenate([[0], ends[:-1]])
+            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, ends[-1]).astype(np.int32)), pa.array(ids.view(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [keys.slice(a, b - a), pa.array(np.full(b - a, part, np.int32)), pa.array(at + ends - n),
-                 pa.array(n), pa.ListArray.from_arrays(offsets, flat)], schema=schema)
+                [keys.slice(a, b - a), pa.array(np.full(b - a, part, np.int32)), pa.array(at + starts),
+                 pa.array(ends - starts), lists], schema=schema)
             at += int(ends[-1])
     enc.rest()
 

@@ -29,14 +29,20 @@ def test_remembered_chunks_give_the_library_ids(words):
 
 
 def test_full_memories_are_thinned_and_stay_right(words, monkeypatch):
-    monkeypatch.setattr("llm.wordbpe.KEEP_CHUNKS", 50)
-    monkeypatch.setattr("llm.wordbpe.KEEP_PIECES", 30)
+    monkeypatch.setattr("llm.wordbpe.KEEP_UNITS", 40)
     enc = WordEncoder(WORD_BPE)
     for k in range(20):
         texts = [f"alpha beta{k} gamma{i} delta, {'y' * 60}{k}" for i in range(10)]
         assert enc.encode(texts) == [enc.whole(t) for t in texts]
-        assert len(enc.chunks) <= 50 and len(enc.pieces) <= 30
-        assert max(map(len, enc.chunks)) <= 48
+        assert len(enc.known) <= 40 and max(map(len, enc.known)) <= 48
+
+
+def test_random_texts_in_one_column_give_the_library_ids(words):
+    """Texts lie side by side in a column: none may be cut or joined by its neighbours."""
+    rnd = random.Random(8)
+    parts = [*"aAbZz09 '\n\t.,;!?-<|>imé\u00c9ßÖ×÷ÿÀø", "'s", "'re", "<|im_end|>", "<|", "\u0301", "中文", "\xa0", "\x00", "\U0001f642", "\r", "ı", "İ", "\u212a", "don't"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randrange(0, 14))) for _ in range(6000)]
+    assert [t for t, ids in zip(texts, words.encode(texts)) if ids != words.whole(t)] == []
 
 
 def expected_rows(words, rows):
