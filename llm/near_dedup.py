@@ -3,7 +3,8 @@
 A document is the set of its distinct five-word shingles; two are linked if ``100 * shared >= 75 * all``.
 
 1. One pass over the texts gives each document its set's size and key and 32 band keys of 4 hashes each.  Equal
-   sets are one class, represented by its smallest id; a pair at the threshold shares a band but for 5 in a million.
+   sets are one class, a node with a number of its own, read from the rows of its smallest id; a pair at the threshold
+   shares a band but for 5 in a million.
 2. Buckets of two classes or more name the candidates; only these are read again, for whole signatures and sets.
 3. In each bucket every class is compared with the bucket's hub (the class that meets most others), not with all.
    A pair's signatures are compared 32 hashes at a time, and the pair is dropped as soon as the posterior
@@ -17,8 +18,8 @@ No pairs of a group are listed that their hub settles, texts are never collected
 from is a table in the shared folder.
 
 Defined cases: a null text, or one without words, has an empty set and no link; fewer than five words are one
-shingle; repeated rows, and rows that share an id, are one document; rows with a null id are linked with nothing
-and kept; an empty table gives no rows; other columns are not read, and ``dedup_filter`` keeps them.
+shingle; repeated rows are one document; rows that share an id but not a set are judged by their own texts, so
+none goes without a copy that stays; rows with a null id are linked with nothing and kept; an empty table gives no rows; other columns are not read, and ``dedup_filter`` keeps them.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ BATCH = 32                     # hashes compared at a time
 SMALL = 8                      # rows of a bucket whose open pairs are listed
 BLOCK_ROWS, BLOCK_SHINGLES = 2000, 2_000_000    # of one block of a large bucket
 BROADCAST_DROPPED = 4_000_000  # ids left out that are broadcast (about 100 MB); more are joined by shuffle
-BROADCAST_IDS = 1_000_000      # candidate ids that are broadcast (about 16 MB); more are joined by shuffle
+BROADCAST_IDS = 500_000        # candidates that are broadcast (about 70 bytes each); more are joined by shuffle
 
 _rng = np.random.Generator(np.random.PCG64(75))
 _MIX = _rng.integers(0, 1 << 63, (2, BANDS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -94,12 +95,18 @@ def _digest(batches):
 
 
 def _sets(batches):
+    """Signature and set of each node, from rows of its smallest id: those that hold its set, and of a task the first."""
+    seen = set()
     for batch in batches:
-        sets = [shingle_set(t) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-             pa.array(list(map(signature, sets)), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-            names=["id", "n", "sig", "shingles"])
+        rows = []
+        for text, node, key in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            found = None if node in seen else shingle_set(text)
+            if found is not None and set_key(found) == key:
+                seen.add(node)
+                rows.append((node, len(found), signature(found), found.tobytes()))
+        cols = list(zip(*rows)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary()),
+                                          pa.array(cols[3], pa.binary())], names=["id", "n", "sig", "shingles"])
 
 
 # --- pairs --------------------------------------------------------------------------------------
@@ -184,26 +191,30 @@ def _ordered(a, b):
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
-def near_duplicate_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``(members, links)``: ``id, n, class_id`` of each row, and links between class ids that settle the components."""
+def near_duplicate_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(members, classes, links)``: ``id, n, set_key, node, class_id`` of each row; ``node, class_id`` of each different set; and
+    links between nodes that settle the components."""
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = text_of(docs, key, text)
     digests = stored(rows.mapInArrow(_digest, "id long, n long, set_key binary, bands array<long>"), "digests")
     classes = stored(digests.filter("set_key is not null and id is not null").groupBy("set_key")
-                     .agg(F.min("id").alias("class_id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
-    members = digests.select("id", "n", "set_key").join(classes.select("set_key", "class_id"), "set_key", "left").drop("set_key")
+                     .agg(F.min("id").alias("class_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+                     .withColumn("node", F.monotonically_increasing_id()), "classes")
+    members = digests.select("id", "n", "set_key").join(classes.select("set_key", "class_id", "node"), "set_key", "left")
+    # a row without an id is linked with nothing, whatever other rows hold its set
+    members = members.select("id", "n", "set_key", *[F.when(F.col("id").isNotNull(), F.col(c)).alias(c) for c in ("node", "class_id")])
 
     # buckets that two classes or more share
-    each = classes.select(F.col("class_id").alias("id"), "n", F.explode("bands").alias("bucket")).distinct()
+    each = classes.select(F.col("node").alias("id"), "n", F.explode("bands").alias("bucket")).distinct()
     w = Window.partitionBy("bucket")
     buckets = stored(each.withColumn("size", F.count(F.lit(1)).over(w)).withColumn("weight", F.sum("n").over(w))
                      .filter("size > 1"), "buckets")
     ids = stored(buckets.groupBy("id").agg(F.sum("size").alias("meets")), "candidates")
     few = ids.count() <= BROADCAST_IDS
-    only = ids.select(F.col("id").alias("_id"))
-    cands = stored(rows.join(F.broadcast(only) if few else only, "_id", "left_semi").select("_id", "_text")
-                   .mapInArrow(_sets, "id long, n long, sig binary, shingles binary"), "sets")
+    only = ids.select("id").join(classes.select(F.col("node").alias("id"), "class_id", "set_key"), "id")
+    cands = stored(rows.join(F.broadcast(only) if few else only, F.col("_id") == F.col("class_id")).select("_text", "id", "set_key")
+                   .mapInArrow(_sets, "id long, n long, sig binary, shingles binary").dropDuplicates(["id"]), "sets")
 
     # each class and its bucket's hub
     hubs = (buckets.join(ids, "id").groupBy("bucket").agg(F.max(F.struct("meets", -F.col("id"), "n")).alias("h"))
@@ -232,26 +243,35 @@ def near_duplicate_links(docs: DataFrame, key: str = "doc_id", text: str = "text
              .select("bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "id", "component"))
     third = stored(large.join(cands, "id").groupBy("bucket", "i", "j")
                    .applyInPandas(_open_block, "a long, b long").distinct(), "block-links")
-    return members, first.union(second).union(third)
+    return members, classes.select("node", "class_id"), first.union(second).union(third)
+
+
+def _labelled(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``members`` with ``component_id``, the smallest id of the component, and ``head``: whether the row's set and id are its
+    component's one to keep (null for rows that are linked with nothing)."""
+    members, classes, links = near_duplicate_links(docs, key, text)
+    label = components(links)
+    nodes = label.join(classes, label["id"] == classes["node"]).select("node", "class_id", "component")
+    heads = nodes.groupBy("component").agg(F.min(F.struct("class_id", "node")).alias("first"))
+    nodes = nodes.join(heads, "component").select(F.col("node").alias("_node"), F.col("first.class_id").alias("least"), F.col("first.node").alias("kept"))
+    head = (F.col("node") == F.coalesce("kept", "node")) & (F.col("id") == F.col("class_id"))
+    return members.join(nodes, F.col("node") == F.col("_node"), "left").select(
+        "id", "n", "set_key", F.coalesce("least", "class_id", "id").alias("component_id"), head.alias("head"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_shingles, component_id, kept`` of every row."""
-    members, links = near_duplicate_links(docs, key, text)
-    label = components(links)
-    out = members.join(label, members["class_id"] == label["id"], "left").select(
-        members["id"].alias(key), F.col("n").alias("n_shingles"),
-        F.coalesce("component", "class_id", members["id"]).alias("component_id"))
+    out = _labelled(docs, key, text).select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id")
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
 
 
 def dedup_filter(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component, with all its columns.  The ids to leave out are broadcast to one scan of the
     documents, up to ``BROADCAST_DROPPED`` (counted); more are joined by shuffle.  Only ids that occur in several rows
-    have their rows shuffled whole (the first in the order of the text stays)."""
-    found = near_duplicates(docs, key, text).select(F.col(key).cast("long").alias("_id"), "kept")
-    aside = stored(found.filter("_id is not null").groupBy("_id")
-                   .agg(F.max("kept").alias("_kept"), (F.count(F.lit(1)) > 1).alias("_again"))
+    have their rows shuffled whole: they are judged row by row, and of rows with one id and set the first in the order
+    of the text stays."""
+    rows = stored(_labelled(docs, key, text).filter("id is not null").select("id", "set_key", F.coalesce("head", F.lit(True)).alias("stays")), "judged")
+    aside = stored(rows.groupBy(F.col("id").alias("_id")).agg(F.max("stays").alias("_kept"), (F.count(F.lit(1)) > 1).alias("_again"))
                    .filter("not _kept or _again"), "aside")
     few = aside.count() <= BROADCAST_DROPPED
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{key}`").cast("long").alias("_id"))
@@ -259,7 +279,13 @@ def dedup_filter(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     out = row.join(F.broadcast(ids) if few else ids, "_id", "left_anti").select("_row")
     again = aside.filter("_kept and _again").select("_id")
     if not again.isEmpty():
-        first = (row.join(F.broadcast(again) if few else again, "_id", "left_semi").groupBy("_id")
-                 .agg(F.min_by("_row", F.struct(F.col(f"_row.`{text}`"))).alias("_row")))
-        out = out.unionByName(first.select("_row"))
+        mine = (row.join(F.broadcast(again) if few else again, "_id", "left_semi")
+                .withColumn("_text", F.col(f"_row.`{text}`").cast("string")).withColumn("_hash", F.xxhash64("_text")))
+        keys = (mine.select("_hash", "_text").mapInArrow(_digest, "id long, n long, set_key binary, bands array<long>")
+                .groupBy(F.col("id").alias("_h")).agg(F.first("set_key").alias("_set")))
+        keepers = rows.filter("stays and set_key is not null").select(F.col("id").alias("_i"), F.col("set_key").alias("_k")).distinct()
+        mine = mine.join(keys, F.col("_hash") == F.col("_h"))
+        one = (mine.join(keepers, (F.col("_id") == F.col("_i")) & (F.col("_set") == F.col("_k"))).groupBy("_id", "_set")
+               .agg(F.min_by("_row", F.struct("_text")).alias("_row")))
+        out = out.unionByName(mine.filter("_set is null").select("_row")).unionByName(one.select("_row"))
     return out.select("_row.*")
