@@ -50,7 +50,7 @@ FROM least LEFT JOIN sizes ON sizes.id = least.id
 """
 
 
-def _op5(text: str = "host || path") -> str:
+def _op5() -> str:
     order, rows = urls.ORDER, sorted(urls.RULES, key=lambda r: (-len(r[1]), r[1]))
 
     def case(value: int) -> str:
@@ -60,7 +60,7 @@ def _op5(text: str = "host || path") -> str:
             fits.append(f"WHEN (host = '{host}' OR host LIKE '%.{host}') AND starts_with(path, '/{path}') THEN '{r[value]}'")
         return "CASE " + " ".join(fits) + " END"
 
-    pages = "" if text == "host || path" else " JOIN pages USING (page_id)"
+    text = "coalesce(url, '')"
     levels = []
     for k in range(order + 1):
         low = (f"JOIN l{k - 1} ON l{k - 1}.g = substring(x.g, 2, {k})" if k else "")
@@ -78,7 +78,7 @@ WITH cut_url AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substring(
                    'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM cut_url),
   ruled AS (SELECT *, {case(1)} AS rule, {case(0)} AS said FROM parts),
   places AS (SELECT page_id, said, substring(repeat(chr(2), {order}) || {text} || chr(3), i, {order + 1}) AS gram
-             FROM (SELECT *, unnest(range(1, length({text}) + 2)) AS i FROM ruled{pages})),
+             FROM (SELECT *, unnest(range(1, length({text}) + 2)) AS i FROM ruled JOIN pages USING (page_id))),
   grams AS (SELECT gram, count(*) FILTER (said = 'allow') AS a, count(*) FILTER (said = 'block') AS b FROM places GROUP BY gram),
   {"".join(levels).strip()}
   ratios AS (SELECT g AS gram, CAST(round((ln(pa) - ln(pb)) * {urls.MICRO}) AS BIGINT) AS micro FROM l{order}),
@@ -207,4 +207,4 @@ ORACLE = {
     "op8_token_rollups": OP8,
     "op10_adaptive_rules": _op10(),
 }
-MORE = {"op5_whole_url": _op5("coalesce(url, '')")}
+MORE = {"op5_whole_url": ORACLE["op5_url_model"]}

@@ -28,6 +28,7 @@ RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 ORDER = 4                     # characters of the longest context
 START, END = "\u0002", "\u0003"
 MICRO, MILLI = 1_000_000, 1_000
+URLS_A_TASK = 20_000
 BROADCAST_GRAMS = 500_000     # grams whose numbers are broadcast (about 40 MB); more are joined by shuffle
 
 
@@ -96,24 +97,25 @@ def best_cut(decided: DataFrame) -> DataFrame:
     return best.select(F.coalesce(F.col("m.milli"), F.lit(0)).cast("long").alias("cut"))
 
 
-def judge_urls(pages: DataFrame, key: str = "page_id", url: str = "url", rules=RULES, whole: bool = True) -> DataFrame:
+def judge_urls(pages: DataFrame, key: str = "page_id", url: str = "url", rules=RULES) -> DataFrame:
     """``key, host, path, rule, verdict, score_milli`` of every row (the score in thousandths of a nat per character).
-    The model reads the whole URL; with ``whole=False`` the host and path alone."""
+    The model reads the whole URL (null: empty)."""
     given = F.col(f"`{url}`").cast("string")
     host, path = host_and_path(given)
-    text = F.coalesce(given, F.lit("")) if whole else F.concat(host, path)
-    rows = pages.select(F.col(f"`{key}`").alias("key"), host.alias("host"), path.alias("path"), text.alias("text"))
+    rows = pages.select(F.col(f"`{key}`").alias("key"), host.alias("host"), path.alias("path"), F.coalesce(given, F.lit("")).alias("text"))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     rows = stored(rows.withColumn("rule", rule).withColumn("said", verdict), "urls")
 
-    urls = rows.groupBy("text", "said").agg(F.count(F.lit(1)).alias("rows"))
+    # URLs are short and their grams many: the number of rows, not their bytes, sets the tasks that spell them out
+    tasks = max(pages.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // URLS_A_TASK))
+    urls = rows.groupBy("text", "said").agg(F.count(F.lit(1)).alias("rows")).repartition(tasks, "text")
     every = urls.select("rows", "said", F.explode(grams_of(F.col("text"))).alias("gram"))
     a, b = (F.coalesce(F.sum(F.when(F.col("said") == s, F.col("rows"))), F.lit(0)) for s in ("allow", "block"))
     counts = stored(every.groupBy("gram").agg(a.alias("a"), b.alias("b")), "grams")
     ratios = stored(gram_ratios(counts), "ratios")
     known = F.broadcast(ratios) if ratios.count() <= BROADCAST_GRAMS else ratios
 
-    texts = rows.select("text").distinct()
+    texts = rows.select("text").distinct().repartition(tasks, "text")
     scores = stored(texts.select("text", F.explode(grams_of(F.col("text"))).alias("gram")).join(known, "gram")
                     .groupBy("text").agg(F.sum("micro").alias("total"), F.count(F.lit(1)).alias("n"))
                     .select("text", F.floor(F.col("total") / F.col("n") / (MICRO // MILLI)).alias("milli")), "scores")

@@ -9,7 +9,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from llm.rank_bpe import RankQueue, decode_ids, encode_texts, encoder as byte_encoder, merge, round_trip
+from llm.rank_bpe import RankQueue, decode_ids, encode_texts, encoder as byte_encoder, merge, merge_all, round_trip
 from llm.token_files import read_ids, read_places, token_digests, write_tokens
 from llm.wordbpe import WordEncoder
 from tests.llm.helpers import BYTE_BPE, LONG, ODD, WORD_BPE, awkward_documents, empty_like
@@ -133,8 +133,12 @@ def test_merge_order_with_any_ranks():
         else:
             runs = [piece]
         queue = RankQueue(64)
-        assert merge(piece, ranks, queue) == [ranks[r] for r in runs]
+        alone = merge(piece, ranks, queue)
+        assert alone == [ranks[r] for r in runs]
         assert not queue.buckets and not any(queue.low) and not any(queue.mid)
+        others = [bytes(rnd.choice(b"abc") for _ in range(rnd.randint(1, 12))) for _ in range(20)]
+        beside = merge_all([*others, piece, *others], ranks, queue)
+        assert beside == [*(merge(o, ranks, RankQueue(64)) for o in others), alone, *(merge(o, ranks, RankQueue(64)) for o in others)]
 
 
 def test_round_trip_of_awkward_rows(spark, bytes_and_reference):
