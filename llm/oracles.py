@@ -8,6 +8,7 @@ from llm import quality_rules as rules
 from llm import url_model as urls
 from llm.rotation_codes import COSINE
 from llm.shingles import SHINGLE
+from llm.substrings import WINDOW as SUBSTRING
 from llm.textstats import WINDOW
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -199,6 +200,65 @@ WITH live AS (SELECT * FROM documents WHERE doc_id % 7 <> 0),
 SELECT source, lang, version, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens FROM counts GROUP BY source, lang, version
 """
 
+OP11 = f"""
+WITH cut AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+  words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM cut),
+  windows AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + {SUBSTRING - 1}), ' ') AS s
+              FROM (SELECT doc_id, w, unnest(range(1, len(w) - {SUBSTRING - 2})) AS i FROM cut WHERE len(w) >= {SUBSTRING})),
+  firsts AS (SELECT s, min(doc_id) AS f FROM windows GROUP BY s),
+  gone AS (SELECT DISTINCT doc_id, i + k AS i FROM windows JOIN firsts USING (s), (SELECT unnest(range({SUBSTRING})) AS k) WHERE f < doc_id),
+  kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT cut.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM cut LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _op13() -> str:
+    def field(column: str) -> str:
+        return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+    def leaf(count: str) -> str:
+        return "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", count, "text"))) + ")"
+
+    def levels(name: str, nodes: str) -> str:
+        return f"""{name}(tree, level, place, digest, size) AS ({nodes}
+    UNION ALL SELECT tree, level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place)), (size + 1) // 2
+    FROM {name} WHERE size > 1 GROUP BY tree, level, place // 2, size)"""
+
+    bits = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))"
+    crc = f"xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: ord(d)::BIGINT)), lambda c, b: {bits}), 4294967295)"
+    return f"""
+WITH RECURSIVE
+  leaves AS (SELECT doc_id, coalesce('.' || lang, '') AS tree, {leaf('n_chars')} AS leaf,
+                    CASE WHEN {crc} % 7 = 0 THEN {leaf('(n_chars + 1)')} ELSE {leaf('n_chars')} END AS seen FROM documents),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank, count(*) OVER (PARTITION BY tree) AS size
+             FROM leaves),
+  {levels("low", "SELECT tree, 0, rank, leaf, size FROM ranked")},
+  subroots AS (SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS rank, count(*) OVER () AS size FROM low WHERE size = 1),
+  {levels("high", "SELECT '', 0, rank, subroot, size FROM subroots")},
+  heights AS (SELECT tree, max(level) AS height FROM low GROUP BY tree),
+  steps AS (
+    SELECT r.tree, r.rank, n.level AS step, (r.rank >> n.level) & 1 AS side, n.digest
+    FROM ranked r LEFT JOIN low n ON n.tree = r.tree AND n.size > 1 AND n.place = xor(r.rank >> n.level, 1) WHERE n.level IS NOT NULL
+    UNION ALL
+    SELECT r.tree, r.rank, height + n.level, (s.rank >> n.level) & 1, n.digest
+    FROM ranked r JOIN subroots s ON s.tree = r.tree JOIN heights h ON h.tree = r.tree
+    JOIN high n ON n.size > 1 AND n.place = xor(s.rank >> n.level, 1)),
+  tall AS (SELECT h.tree, height, height + (SELECT max(level) FROM high) AS whole FROM heights h),
+  fold(tree, rank, step, node) AS (
+    SELECT tree, rank, 0, seen FROM ranked
+    UNION ALL
+    SELECT f.tree, f.rank, f.step + 1,
+           sha256(CASE WHEN s.digest IS NULL THEN node WHEN s.side = 0 THEN node || s.digest ELSE s.digest || node END)
+    FROM fold f JOIN tall t ON t.tree = f.tree AND f.step < t.whole LEFT JOIN steps s ON s.tree = f.tree AND s.rank = f.rank AND s.step = f.step),
+  proofs AS (SELECT tree, rank, string_agg(digest, '' ORDER BY step) AS proof FROM steps GROUP BY tree, rank)
+SELECT r.doc_id, r.leaf, s.subroot, root.digest AS root, sha256(coalesce(proof, '')) AS proof_sha256, f.node AS folded_root, f.node = root.digest AS verified
+FROM ranked r JOIN subroots s ON s.tree = r.tree JOIN tall t ON t.tree = r.tree JOIN fold f ON f.tree = r.tree AND f.rank = r.rank AND f.step = t.whole
+LEFT JOIN proofs p ON p.tree = r.tree AND p.rank = r.rank CROSS JOIN (SELECT digest FROM high WHERE size = 1) root
+"""
+
+
 ORACLE = {
     "op3_rotation_codes": OP3,
     "op4_minhash_bayes": OP4,
@@ -206,5 +266,7 @@ ORACLE = {
     "op6_chat_windows": _op6(),
     "op8_token_rollups": OP8,
     "op10_adaptive_rules": _op10(),
+    "op11_suffix_automata": OP11,
+    "op13_merkle_descent": _op13(),
 }
 MORE = {"op5_whole_url": ORACLE["op5_url_model"]}

@@ -18,7 +18,7 @@ from tools.oracle_check import FAMILY, TABLES, rows_of
 
 
 def test_names():
-    assert [f"op{n}_" for n in range(1, 11)] == [q[:q.index("_") + 1] for q in QUERIES]
+    assert [f"op{n}_" for n in range(1, 14)] == [q[:q.index("_") + 1] for q in QUERIES]
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE) <= set(oracle_sql())
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "quality_classifier", "minhash_near_dedup", "best_fit_packing"]
 
