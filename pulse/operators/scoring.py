@@ -30,6 +30,7 @@ TOKEN_PATTERN = "[^a-z]+"       # token separator after lower-casing
 HUNDREDTHS = 100                 # lexicon values are integer hundredths in [-100, 100]
 # ------------------------------------------------------------------------------
 
+BROADCAST_TEXTS = 500_000        # different texts whose scores are broadcast (about 100 bytes each)
 BROADCAST_MAX_ROWS = 2_000_000   # ~2 M words x ~40 bytes stays well under 100 MB
 
 
@@ -151,6 +152,21 @@ def score_texts(df: DataFrame, lexicon: DataFrame, text: str = "text", rule: str
     return attach_scores(rows, scores.drop("hits", "polarity_sum"), on="_digest").drop("_digest")
 
 
+def score_placed_texts(df: DataFrame, lexicon: DataFrame, text: str = "text", rule: str = "strict",
+                       broadcast_max_rows: int = BROADCAST_MAX_ROWS, broadcast: bool | None = None) -> DataFrame:
+    """``score_texts`` for rows that keep their places between passes (a persisted micro-batch, a stored table), where no text
+    crosses a shuffle: digests and places alone are grouped, the first row of each digest is tokenized where
+    it lies, and scores go back by digest.  Up to ``BROADCAST_TEXTS`` different texts (counted) the places and the scores
+    are broadcast; more are joined by shuffle."""
+    rows = df.withColumn("_digest", F.coalesce(F.sha2(F.col(text), 256), F.lit("null"))).withColumn("_place", F.monotonically_increasing_id())
+    first = rows.groupBy("_digest").agg(F.min("_place").alias("_first"))
+    few = first.count() <= BROADCAST_TEXTS
+    places = first.select("_first")
+    texts = rows.join(F.broadcast(places) if few else places, F.col("_place") == F.col("_first"), "left_semi").select("_digest", text)
+    scores = score_documents(texts, lexicon, rule, "_digest", text, broadcast_max_rows, broadcast)
+    return attach_scores(rows, scores.drop("hits", "polarity_sum"), on="_digest", broadcast_scores=few).drop("_digest", "_place")
+
+
 def lexicon_scorer(entries: Iterable[tuple[str, int]]) -> Callable[[str], float]:
     """A ``str -> float`` scorer with the same result as ``lexicon_polarity`` (same
     tokens, same mean of hundredths), for ``with_scorer`` / streams, where the

@@ -465,6 +465,8 @@ ORACLE |= {
     "store_distribution_5m": ORACLE["distribution_5m"],
     "store_recent_posts_7d": ORACLE["recent_posts_7d"],
     "stream_scored_once": ORACLE["stream_scored_posts"],
+    "dashboard_windows_native": _with(*_POST_CTES, _scored("wide"), _windowed("w", "scored_wide", 10, 5))
+    + f"""SELECT window_start, window_end, sentiment_label, tweet_count, {r6("avg_sentiment")} AS avg_sentiment FROM w""",
     "batch_scorer": ORACLE["plugin_scorer"],
     "windowed_sentiment_newest_first": ORACLE["windowed_sentiment"],
     "stream_rows_watermark": _with(_POSTS)

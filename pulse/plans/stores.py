@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pulse.operators import views
-from pulse.operators.scoring import lexicon_frame, lexicon_scorer, score_texts, with_batch_scorer
+from pulse.operators.scoring import lexicon_frame, lexicon_scorer, score_placed_texts, with_batch_scorer
 from pulse.operators.terms import search_terms, term_matches
 from pulse.operators.windows import windowed_sentiment
 from pulse.plans.inputs import TEST_LEXICON, scored_posts
@@ -66,7 +66,7 @@ def _store(spark, sf, name):
     q = _quarters(spark, sf)
     lexicon = lexicon_frame(spark, TEST_LEXICON)
     _drained(spark, sf, root, [f"({q[2]}) OR ({q[3]})", f"({q[0]}) OR ({q[1]})"], lambda: [store_batches(
-        post_stream(spark, f"{root}/lines"), f"{root}/store", query, score=lambda batch: score_texts(batch, lexicon, rule="wide", broadcast=True),
+        post_stream(spark, f"{root}/lines"), f"{root}/store", query, score=lambda batch: score_placed_texts(batch, lexicon, rule="wide", broadcast=True),
         trigger=_once(), checkpoint=f"{root}/checkpoint")])
     return SpanStore(spark, f"{root}/store")
 
@@ -129,6 +129,20 @@ def _stream_scored_once(spark, sf):
     return spark.read.parquet(f"{root}/scored").select("id", "polarity", "sentiment_label", "sentiment_score")
 
 
+@_register("dashboard_windows_native")
+def _dashboard_windows_native(spark, sf):
+    """The dashboard's two queries with the lexicon as scorer and a store for its views; its windows are those of
+    ``dashboard`` bands."""
+    from pulse.streaming import start_dashboard
+
+    root, name = _stream_root(spark, "dashboard")
+    _write_lines(spark, sf, root)
+    for q in start_dashboard(spark, f"{root}/lines", lexicon_frame(spark, TEST_LEXICON), root, name=name, trigger=_once(), store=True):
+        _finish(q)
+    out = read_updates(spark, f"{root}/windowed_aggregates", ["window_start", "window_end", "sentiment_label"])
+    return out.select("window_start", "window_end", "sentiment_label", "tweet_count", _r6("avg_sentiment").alias("avg_sentiment"))
+
+
 @_register("batch_scorer")
 def _batch_scorer(spark, sf):
     """A model that takes whole batches of texts, loaded once in each worker."""

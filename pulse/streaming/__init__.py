@@ -1,7 +1,7 @@
 """Structured Streaming: post streams, scored streams, windowed and dedup state,
 sinks, triggers and the lifecycle of named queries."""
 
-from pulse.streaming.memo import score_batches_once  # noqa: F401
+from pulse.streaming.memo import BatchModel, score_batches_once  # noqa: F401
 from pulse.streaming.panes import SpanStore, store_batches  # noqa: F401
 from pulse.streaming.queries import (  # noqa: F401
     dedup_stream, dedup_tables, kept_posts, post_stream, score_batches, scored_stream, scored_windows, since_id_stream, start_dashboard,

@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulse.operators.scoring import attach_scores, with_bands
+from pulse.operators.scoring import BROADCAST_TEXTS, attach_scores, with_bands, with_batch_scorer
 from pulse.streaming.sinks import _finished, checkpoint_for, write_batches
 
-BROADCAST_TEXTS = 500_000        # a batch with at most so many different texts has their scores broadcast (about 50 bytes each)
+class BatchModel:
+    """A model for ``start_dashboard`` that takes whole batches of texts; ``load`` as in ``with_batch_scorer``."""
+
+    def __init__(self, load):
+        self.load = load
+
+    def score(self, texts: DataFrame) -> DataFrame:
+        return with_batch_scorer(texts, self.load)
 
 
 def score_batches_once(posts: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, memo: str, name: str, rule: str = "strict",

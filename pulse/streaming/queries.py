@@ -20,7 +20,7 @@ from pyspark.sql.types import (
 )
 
 from pulse.operators.ingest import DEDUP_TTL, ID_NUMBER, dedup_key
-from pulse.operators.scoring import lexicon_fits, score_texts, with_scorer
+from pulse.operators.scoring import lexicon_fits, score_placed_texts, with_scorer
 from pulse.sources.lines import parse_posts, read_lines
 from pulse.streaming.sinks import TRIGGER_DASHBOARD, checkpoint_for, write_batches
 
@@ -63,7 +63,7 @@ def score_batches(posts: DataFrame, lexicon: DataFrame, path: str, name: str, ru
     fits = lexicon_fits(lexicon)  # decided once for the life of the query
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        scored = score_texts(batch, lexicon, text=text, rule=rule, broadcast=fits)
+        scored = score_placed_texts(batch, lexicon, text=text, rule=rule, broadcast=fits)
         scored.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
     return write_batches(posts, run, name, trigger=trigger,
                          checkpoint=checkpoint or checkpoint_for(posts.sparkSession, name))
@@ -229,7 +229,7 @@ def kept_posts(spark: SparkSession, root: str) -> DataFrame:
 def start_dashboard(spark: SparkSession, source: str, scorer, out_root: str, rule: str = "wide",
                     watermark: str = WATERMARK_DASHBOARD, size: str = "10 seconds", slide: str = "5 seconds",
                     late: str = "keep", trigger: dict | None = None, fmt: str = "text",
-                    max_files_per_trigger: int | None = None, name: str = "dashboard", **source_options):
+                    max_files_per_trigger: int | None = None, name: str = "dashboard", store: bool = False, **source_options):
     """Start the dashboard's two named queries:
 
     - ``<name>_rows``: every post, parsed and scored once, appended to ``out_root/raw_tweets``;
@@ -238,22 +238,44 @@ def start_dashboard(spark: SparkSession, source: str, scorer, out_root: str, rul
       ``read_updates(..., ["window_start", "window_end", "sentiment_label"])``) and drops nothing;
       ``late="drop"`` appends finished windows and drops rows behind the watermark, with bounded state.
 
+    ``scorer`` is a lexicon (a DataFrame: the native join, each text of a batch once), a ``BatchModel`` (each different text once
+    in the life of the query, remembered under ``out_root/scores``), or a function ``str -> float`` (a call for each post).
+    ``store=True`` keeps the rows by the hour with their panes instead, in ``out_root/store``, where
+    ``SpanStore`` gives the dashboard views their span without the history; it needs one of the first two.
+
     Each query has its own checkpoint under the shared checkpoint folder, so both
     resume after a restart.  The dashboard views (``pulse.operators.views``) then
     run as batch queries over the two tables.  With an ``availableNow`` trigger the rows are drained
     before the windows start.  Returns the started queries.
     """
+    from pulse.streaming.memo import BatchModel, score_batches_once
+    from pulse.streaming.panes import store_batches
     from pulse.streaming.sinks import to_table, trigger_options, write_updates
 
     if late not in ("keep", "drop"):
         raise ValueError("late must be 'keep' or 'drop'")
     trigger = trigger or trigger_options(TRIGGER_DASHBOARD)
     posts = post_stream(spark, source, fmt=fmt, max_files_per_trigger=max_files_per_trigger, **source_options)
-    scored = scored_stream(posts, scorer, rule=rule)
-    rows = to_table(scored, f"{name}_rows", "append", trigger, fmt="parquet", path=f"{out_root}/raw_tweets")
+    schema = scored_stream(posts, float, rule=rule).schema       # scored rows look alike, whoever scores them
+    raw = f"{out_root}/raw_tweets"
+    if isinstance(scorer, DataFrame):
+        fits = lexicon_fits(scorer)
+        if store:
+            rows = store_batches(posts, f"{out_root}/store", f"{name}_rows", trigger=trigger,
+                                 score=lambda batch: score_placed_texts(batch, scorer, rule=rule, broadcast=fits))
+        else:
+            rows = score_batches(posts, scorer, raw, f"{name}_rows", rule=rule, trigger=trigger)
+    elif isinstance(scorer, BatchModel):
+        if store:
+            raise ValueError("a store is filled by a lexicon; store scored rows with store_batches")
+        rows = score_batches_once(posts, scorer.score, raw, f"{out_root}/scores", f"{name}_rows", rule=rule, trigger=trigger)
+    else:
+        if store:
+            raise ValueError("a store is filled by a lexicon; store scored rows with store_batches")
+        rows = to_table(scored_stream(posts, scorer, rule=rule), f"{name}_rows", "append", trigger, fmt="parquet", path=raw)
     if "availableNow" in trigger:
         rows.awaitTermination()
-    windows = scored_windows(spark, f"{out_root}/raw_tweets", scored.schema, size, slide, watermark if late == "drop" else None)
+    windows = scored_windows(spark, f"{out_root}/store/rows" if store else raw, schema, size, slide, watermark if late == "drop" else None)
     if late == "drop":
         win = to_table(windows, f"{name}_windows", "append", trigger, fmt="parquet", path=f"{out_root}/windowed_aggregates")
     else:

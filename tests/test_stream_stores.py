@@ -118,3 +118,30 @@ def test_model_sees_each_text_once(spark, scratch):
     assert sorted(asked) == [f"text {i}" for i in range(4)]
     got = spark.read.parquet(out).groupBy("text").agg(F.count("*").alias("n"), F.max("polarity").alias("p"), F.max("unscored").alias("u")).collect()
     assert sorted(((r.text or "", r.n, r.p, r.u) for r in got)) == [("", 2, 0.0, True)] + [(f"text {i}", 12, 0.6 if i < 4 else 0.0, i == 4) for i in range(5)]
+
+
+def test_dashboard_with_a_lexicon_a_model_and_a_function(spark, scratch):
+    """The same windows whoever scores; with a store the views read panes."""
+    from pulse.operators.scoring import lexicon_frame, lexicon_scorer
+    from pulse.streaming import BatchModel, start_dashboard
+
+    words = [("text", 80), ("4", -100)]
+    src = os.path.join(scratch, "in")
+    write_batches(src, [_posts(40), _posts(40, start=40) + [{"id": "n", "text": None, "timestamp": "2024-01-01T00:00:00Z"}]])
+
+    def load():
+        one = lexicon_scorer(words)
+        return lambda texts: texts.map(one)
+
+    got = []
+    for k, (scorer, more) in enumerate([(lexicon_scorer(words), {}), (BatchModel(load), {}), (lexicon_frame(spark, words), {}),
+                                        (lexicon_frame(spark, words), {"store": True})]):
+        root = os.path.join(scratch, f"out{k}")
+        for q in start_dashboard(spark, src, scorer, root, trigger=ONCE, name=f"dash{k}", **more):
+            _run(q)
+        out = read_updates(spark, f"{root}/windowed_aggregates", ["window_start", "window_end", "sentiment_label"])
+        got.append(sorted((str(r.window_start), r.sentiment_label, r.tweet_count, round(r.avg_sentiment, 9)) for r in out.collect()))
+    assert got[0] == got[1] == got[2] == got[3] and len(got[0]) > 80
+    assert SpanStore(spark, os.path.join(scratch, "out3", "store")).weights("30 days").agg(F.sum("n")).first()[0] == 81
+    with pytest.raises(ValueError):
+        start_dashboard(spark, src, len, scratch, store=True)
