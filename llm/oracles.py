@@ -136,7 +136,7 @@ def _op10() -> str:
     from llm.textstats import STATS
 
     share = {"symbols": "1000 * n_symbols // greatest(word_chars, 1)", "dup_lines": "1000 * n_dup_lines // greatest(n_lines, 1)",
-             "repeats": "1000 * n_repeat_words // greatest(n_words, 1)", "adjacent": "1000 * n_adjacent // greatest(n_words, 1)",
+             "adjacent": "1000 * n_adjacent // greatest(n_words, 1)",
              "unique": "1000 * n_unique // greatest(n_words, 1)", "word_length": "100 * word_chars // greatest(n_words, 1)"}
     each = "\n  UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, {e} AS v FROM judged WHERE NOT base_failed" for m, e in share.items())
     shift = f"greatest(length(bin(v)) - {rules.BUCKET_BITS}, 0)"
@@ -144,21 +144,21 @@ def _op10() -> str:
     def bounds(name: str, keys: str) -> str:
         by = f"{keys}, " if keys else ""
         parts = []
-        for m, (side, spread) in rules.MEASURES.items():
+        for m, (side, reach, unit) in rules.MEASURES.items():
             if side != "high":
-                parts.append(f"max(q2 - {rules.REACH} * greatest(q2 - q1, {spread})) FILTER (measure = '{m}') AS lo_{m}")
+                parts.append(f"max(q1 - {reach} * greatest(q4 - q1, {unit})) FILTER (measure = '{m}') AS lo_{m}")
             if side != "low":
-                parts.append(f"max(q2 + {rules.REACH} * greatest(q3 - q2, {spread})) FILTER (measure = '{m}') AS hi_{m}")
+                parts.append(f"max(q7 + {reach} * greatest(q7 - q4, {unit})) FILTER (measure = '{m}') AS hi_{m}")
         group = f"GROUP BY {keys}" if keys else ""
         return f"""
   {name}_run AS (SELECT *, sum(n) OVER (PARTITION BY {by}measure ORDER BY bucket) AS cum, sum(n) OVER (PARTITION BY {by}measure) AS docs
                  FROM (SELECT {by}measure, bucket, sum(n) AS n FROM sketch GROUP BY {by}measure, bucket)),
-  {name}_q AS (SELECT {by}measure, max(docs) AS docs, {", ".join(f"min(bucket) FILTER (4 * cum >= {k} * docs) AS q{k}" for k in (1, 2, 3))}
+  {name}_q AS (SELECT {by}measure, max(docs) AS docs, {", ".join(f"min(bucket) FILTER (8 * cum >= {k} * docs) AS q{k}" for k in (1, 4, 7))}
                FROM {name}_run GROUP BY {by}measure),
   {name} AS (SELECT {by}max(docs) AS docs, {", ".join(parts)} FROM {name}_q {group}),"""
 
     inside = []
-    for m, (side, _) in rules.MEASURES.items():
+    for m, (side, _, _) in rules.MEASURES.items():
         for s, op in (("lo", ">="), ("hi", "<=")):
             if side != {"lo": "high", "hi": "low"}[s]:
                 limit = " ".join(f"WHEN {t}.docs >= {rules.LEAST_DOCS} THEN {t}.{s}_{m}" for t in ("own", "of_lang"))

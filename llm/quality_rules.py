@@ -1,10 +1,12 @@
 """Operator 10: quality rules whose cut-offs follow the data.
 
-Each text gets its counts (``llm.textstats``).  Six whole-number measures of the documents that pass the base
+Each text gets its counts (``llm.textstats``).  Five whole-number measures of the documents that pass the base
 rule go into quantile sketches, one for each (language, source, measure): a sketch is a table of bucket counts
-with six significant bits a bucket, so sketches merge by adding counts, in any order, with one result.  A
-measure's limits are the median and ``reach`` times its distance to the quartile (at least ``spread``) on the
-side in question.  A (language, source) with fewer than ``least`` documents takes its language's merged sketch, and a
+with eight significant bits a bucket, so sketches merge by adding counts, in any order, with one result.  A
+measure's limit is the group's outer octile on the side in question (seven eighths, or one eighth, of its documents lie
+inside) and from there ``reach`` times the distance between median and octile.  So a group's habit and its spread set
+the limit, and up to an eighth of junk does not move it.  The distance counts as one ``unit`` at least, which matters only
+where nearly all documents of a group have one value, such as no symbol at all.  A (language, source) with fewer than ``least`` documents takes its language's merged sketch, and a
 language with fewer takes the one of all.  The limits are joined back and the documents outside them fail.
 
 Base rule: fewer than 20 words, or over 30 % of the words in repeated 8-word windows.
@@ -25,11 +27,10 @@ from llm.textstats import STATS, text_stats
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 LEAST_DOCS = 100          # documents of a group that has limits of its own
-REACH = 8                 # distances between median and quartile
-#: measure -> (side that fails, least distance): per mille, but word_length in hundredths of a character
-MEASURES = {"symbols": ("high", 8), "dup_lines": ("high", 50), "repeats": ("high", 50), "adjacent": ("high", 15),
-            "unique": ("low", 50), "word_length": ("both", 35)}
-BUCKET_BITS = 6
+#: measure -> (side that fails, reach, unit): per mille, but word_length in hundredths of a character
+MEASURES = {"symbols": ("high", 8, 4), "dup_lines": ("high", 8, 45), "adjacent": ("high", 12, 2), "unique": ("low", 5, 5),
+            "word_length": ("both", 8, 2)}
+BUCKET_BITS = 8
 BROADCAST_GROUPS = 100_000    # groups whose limits are broadcast (about 100 bytes each); more are joined by shuffle
 STATS_TYPE = "struct<" + ", ".join(f"{s}: bigint" for s in STATS) + ">"
 
@@ -63,7 +64,7 @@ def _share(part: str, whole: str, scale: int = 1000) -> Column:
 def measures(q: str) -> Column:
     """Map of a document's measures."""
     at = {"symbols": ("n_symbols", "word_chars"), "dup_lines": ("n_dup_lines", "n_lines"),
-          "repeats": ("n_repeat_words", "n_words"), "adjacent": ("n_adjacent", "n_words"),
+          "adjacent": ("n_adjacent", "n_words"),
           "unique": ("n_unique", "n_words")}
     cols = {m: _share(f"`{q}`.{a}", f"`{q}`.{b}") for m, (a, b) in at.items()}
     cols["word_length"] = _share(f"`{q}`.word_chars", f"`{q}`.n_words", 100)
@@ -86,27 +87,27 @@ def merge(sketch: DataFrame, keys: list[str]) -> DataFrame:
     return sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys, measure, docs, q1, q2, q3``: the first buckets that reach each quarter of the documents."""
+def octiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, measure, docs, low, middle, high``: the first buckets that reach one, four and seven eighths of the documents."""
     w = Window.partitionBy(*keys, "measure")
     run = (sketch.withColumn("_cum", F.sum("n").over(w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)))
            .withColumn("_all", F.sum("n").over(w)))
     return run.groupBy(*keys, "measure").agg(
         F.max("_all").alias("docs"),
-        *[F.min(F.when(4 * F.col("_cum") >= k * F.col("_all"), F.col("bucket"))).alias(f"q{k}") for k in (1, 2, 3)])
+        *[F.min(F.when(8 * F.col("_cum") >= k * F.col("_all"), F.col("bucket"))).alias(c) for c, k in (("low", 1), ("middle", 4), ("high", 7))])
 
 
-def limits(sketch: DataFrame, lang: str, source: str, least: int = LEAST_DOCS, reach: int = REACH) -> DataFrame:
+def limits(sketch: DataFrame, lang: str, source: str, least: int = LEAST_DOCS) -> DataFrame:
     """``lang, source`` and ``lo_<measure>, hi_<measure>`` of every group in the sketch."""
     def bounds(by: DataFrame, keys: list[str], tag: str) -> DataFrame:
         cols = []
-        for m, (side, spread) in MEASURES.items():
+        for m, (side, reach, unit) in MEASURES.items():
             is_m = F.col("measure") == m
-            low = F.col("q2") - reach * F.greatest(F.col("q2") - F.col("q1"), F.lit(spread))
-            high = F.col("q2") + reach * F.greatest(F.col("q3") - F.col("q2"), F.lit(spread))
+            low = F.col("low") - reach * F.greatest(F.col("middle") - F.col("low"), F.lit(unit))
+            high = F.col("high") + reach * F.greatest(F.col("high") - F.col("middle"), F.lit(unit))
             cols.append(F.max(F.when(is_m, low if side != "high" else F.lit(None).cast("long"))).alias(f"lo_{m}"))
             cols.append(F.max(F.when(is_m, high if side != "low" else F.lit(None).cast("long"))).alias(f"hi_{m}"))
-        return quartiles(by, keys).groupBy(*keys).agg(F.max("docs").alias("docs"), *cols).select(
+        return octiles(by, keys).groupBy(*keys).agg(F.max("docs").alias("docs"), *cols).select(
             *keys, F.col("docs").alias(f"{tag}_docs"), F.struct(*[f"{s}_{m}" for m in MEASURES for s in ("lo", "hi")]).alias(tag))
 
     own = bounds(sketch, [lang, source], "own")
@@ -140,7 +141,7 @@ def _inside(q: str, name: str) -> Column:
 
 
 def judge_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-                    source: str = "source", least: int = LEAST_DOCS, reach: int = REACH) -> DataFrame:
+                    source: str = "source", least: int = LEAST_DOCS) -> DataFrame:
     """``key``, the counts, ``base_failed`` and ``kept`` of every document.  The texts are read once; the narrow
     counts are a table in the shared folder, read for the sketches and again for the verdicts."""
     bounded_batches(docs.sparkSession)
@@ -148,21 +149,21 @@ def judge_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", la
                        F.col(f"`{source}`").alias("source"), _stats(F.col(f"`{text}`")).alias("q"))
     rows = stored(rows, "text-stats")
     sketch = stored(quantile_sketch(rows, ["lang", "source"], "q"), "sketch")
-    lim = stored(limits(sketch, "lang", "source", least, reach), "limits")
+    lim = stored(limits(sketch, "lang", "source", least), "limits")
     joined, name = _join_limits(rows, lim, "lang", "source")
     return joined.select(F.col("_key").alias(key), *[f"q.{s}" for s in STATS], base_failed("q").alias("base_failed"),
                          (~base_failed("q") & _inside("q", name)).alias("kept"))
 
 
 def quality_filter(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
-                   least: int = LEAST_DOCS, reach: int = REACH) -> DataFrame:
+                   least: int = LEAST_DOCS) -> DataFrame:
     """The documents that pass, with all their columns.  Two passes over the texts: one for the sketches and
     one for the verdicts, so that nothing but whole rows that stay is written."""
     bounded_batches(docs.sparkSession)
     only = docs.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{source}`").alias("source"),
                        _stats(F.col(f"`{text}`")).alias("q"))
     sketch = stored(quantile_sketch(only, ["lang", "source"], "q"), "sketch")
-    lim = stored(limits(sketch, "lang", "source", least, reach), "limits")
+    lim = stored(limits(sketch, "lang", "source", least), "limits")
     q = _new_name(docs, "_q")
     joined, name = _join_limits(docs.withColumn(q, _stats(F.col(f"`{text}`"))),
                                 lim.withColumnsRenamed({"lang": lang, "source": source}), lang, source)

@@ -47,7 +47,7 @@ def test_limits_follow_the_group_and_small_groups_take_merged_ones(spark):
     rows = []
     for i in range(900):
         source = ("code", "news", "tiny")[min(i % 3, 1) if i >= 12 else i % 3]
-        mark = 6 if source == "code" else 0
+        mark = rng.integers(2, 12) if source == "code" else 0
         rows.append((i, " ".join(word() + ("#" * 2 if w < mark else "") for w in range(60)), "en", source))
     heavy = " ".join(word() + "##" for _ in range(60))
     some = " ".join(word() + ("##" if w < 14 else "") for w in range(60))
@@ -60,8 +60,44 @@ def test_limits_follow_the_group_and_small_groups_take_merged_ones(spark):
     assert ids == {i for i, k in kept.items() if k}
 
 
+def test_every_limit_follows_the_habit_of_its_source(spark):
+    """Two sources that differ in every measure get different limits for every one; and 39 % of duplicate lines fail where there are none."""
+    rng = np.random.Generator(np.random.PCG64(9))
+    word = lambda n: "".join(rng.choice(list("abcdefghij"), n))
+
+    def document(rough):
+        lines = [" ".join(word(rng.integers(4, 8) + 3 * rough) + ("#" * int(rng.integers(0, 3)) if rough else "") for _ in range(6)) for _ in range(14)]
+        if rough:
+            lines = [line + " " + " ".join([word(3)] * int(rng.integers(1, 4))) for line in lines]
+            lines += ["so it is"] * int(rng.integers(1, 5))
+        return "\n".join(lines)
+
+    rows = [(i, document(i % 2), "en", ("plain", "rough")[i % 2]) for i in range(600)]
+    between = [" ".join(word(5) for _ in range(8)) for _ in range(10)]
+    rows += [(1000, "\n".join(x for line in between[:8] for x in (line, "read more")) + "\n" + "\n".join(between[8:]), "en", "plain")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    from llm.quality_rules import _stats
+
+    sketch = quantile_sketch(docs.select("lang", "source", _stats(F.col("text")).alias("q")), ["lang", "source"], "q")
+    by = {r.source: r.asDict() for r in limits(sketch, "lang", "source").collect()}
+    for m, (side, _, _) in MEASURES.items():
+        for s in ("lo", "hi"):
+            if side != {"lo": "high", "hi": "low"}[s]:
+                assert by["plain"][f"{s}_{m}"] != by["rough"][f"{s}_{m}"], m
+    judged = {r.doc_id: r for r in judge_documents(docs).collect()}
+    assert judged[1000].n_dup_lines == 7 and not judged[1000].base_failed and not judged[1000].kept
+    assert all(judged[i].kept for i in range(600))
+
+
+def test_good_documents_stay(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    judged = judge_documents(docs).join(labels, "doc_id")
+    assert judged.filter("quality = 1 AND NOT base_failed AND NOT kept").count() == 0
+    assert judged.filter("quality = 0 AND kept").count() <= 0.02 * judged.filter("quality = 0").count()
+
+
 def test_merged_sketches_equal_the_sketch_of_all(spark):
-    from llm.quality_rules import _stats, merge, quartiles
+    from llm.quality_rules import _stats, merge, octiles
 
     docs = spark.range(3000).select(F.expr("repeat(concat('word', id % 97, ' '), 25 + id % 400)").alias("text"), (F.col("id") % 5).cast("string").alias("lang"))
     rows = docs.select("lang", F.lit("s").alias("source"), _stats(F.col("text")).alias("q")).withColumn(
@@ -69,7 +105,7 @@ def test_merged_sketches_equal_the_sketch_of_all(spark):
     whole = sorted(map(tuple, quantile_sketch(rows, [], "q").collect()))
     parts = quantile_sketch(rows, ["lang", "source"], "q")
     assert sorted(map(tuple, merge(parts, []).collect())) == whole
-    q2 = {r.measure: r.q2 for r in quartiles(parts, []).collect() for r in [r]}
+    q2 = {r.measure: r.middle for r in octiles(parts, []).collect()}
     assert set(q2) == set(MEASURES)
     assert limits(parts, "lang", "source").count() == 5
     assert len(STATS) == 8
