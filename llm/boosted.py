@@ -7,7 +7,8 @@ grows each tree level by level from histograms of gradients and second derivativ
 flat arrays with a row per tree; scoring walks all trees of a batch of documents at once in numpy,
 ``DEPTH`` steps each.
 
-Defined cases: null and empty texts have features (zeros) and so a score; repeated rows score alike; labels
+Defined cases: null and empty texts have features (zeros) and so a score; repeated rows score alike; an id in several
+rows trains with one of them (the least hash of its text); labels
 with a null id or label are left out, and an id labelled twice takes the mean, at least one half being 1;
 with no labels, or labels of one kind only, every score is the smoothed share of label 1; an empty table gives
 no rows; other columns are not read, and ``classifier_filter`` keeps them.
@@ -113,7 +114,7 @@ def held_out(key: str) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
         most: int = MAX_TRAIN) -> Forest:
     """Train on at most ``most`` labelled documents that are not held out.  Only the ids of the sample (a bounded
-    number, broadcast) reach the scan of the documents, and only features and labels reach the driver."""
+    number, broadcast) reach the scan of the documents, and only features and labels reach the driver, a row an id."""
     spark = docs.sparkSession
     bounded_batches(spark)
     known = (labels.filter(F.col(f"`{key}`").isNotNull() & F.col(f"`{label}`").isNotNull() & ~held_out(key))
@@ -122,8 +123,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     sample = known.orderBy(F.xxhash64("_k"), "_k").limit(most)      # at most ``most`` narrow rows
     vector = F.pandas_udf(lambda s: pd.Series(list(feature_matrix(s))), "array<double>")
     rows = (docs.select(F.col(f"`{key}`").cast("long").alias("_k"), F.col(f"`{text}`").cast("string").alias("_t"))
-            .join(F.broadcast(sample), "_k").select("_k", "_y", vector("_t").alias("_x"), F.crc32("_t").alias("_c")))
-    found = sorted(rows.collect(), key=lambda r: (r["_k"], r["_c"] or 0))
+            .join(F.broadcast(sample), "_k").select("_k", "_y", vector("_t").alias("_x"), F.xxhash64("_t").alias("_h")))
+    # one row an id, however many rows of the table repeat it
+    one = rows.groupBy("_k").agg(F.min_by(F.struct("_y", "_x"), "_h").alias("_one")).select("_k", "_one.*")
+    found = sorted(one.collect(), key=lambda r: r["_k"])
     x = np.asarray([r["_x"] for r in found], np.float64) if found else feature_matrix([])
     return train(x, np.asarray([r["_y"] for r in found], np.float64))
 

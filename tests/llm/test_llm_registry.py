@@ -2,18 +2,21 @@
 operators put together by hand."""
 
 import zlib
+from hashlib import sha256
 
 import duckdb
 import numpy as np
 import pytest
 
 import corpus_pipeline
+import public_tokenizers
 from __spark_entry__ import oracle_sql, queries
+from llm import boosted
 from llm.best_fit import token_pieces
 from llm.boosted import feature_matrix, fit
 from llm.queries import ORACLE, QUERIES, table
 from llm.wordbpe import WordEncoder
-from tests.llm.helpers import SF, WORD_BPE, brute_force_duplicates
+from tests.llm.helpers import BYTE_BPE, SF, WORD_BPE, brute_force_duplicates
 from tools.oracle_check import FAMILY, TABLES, rows_of
 
 
@@ -51,6 +54,52 @@ def test_token_queries(spark):
     assert len({r.sequence_id for r in packed}) <= -(-start // 4096) + 2
 
 
+def test_byte_tokens_equal_the_library(spark):
+    import tiktoken
+    from llm.rank_bpe import encoder
+
+    ranks = encoder(BYTE_BPE, public_tokenizers.PATTERN).ranks
+    ref = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = []
+    for r in table(spark, SF, "documents").collect():
+        ids = np.asarray(ref.encode_ordinary(r.text or ""), "<u4")
+        want.append((r.doc_id, len(ids), sha256(ids.tobytes()).hexdigest(), sha256((r.text or "").encode()).hexdigest()))
+    assert sorted(map(tuple, QUERIES["op2_rank_bpe"](spark, SF).collect())) == sorted(want)
+
+
+def test_scores_equal_walking_each_tree(spark):
+    docs = table(spark, SF, "documents")
+    forest = fit(docs, table(spark, SF, "labels"))
+    got = {r.doc_id: r for r in QUERIES["op9_boosted_quality"](spark, SF).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        x, raw = feature_matrix([r.text])[0], forest.base
+        for feature, cut, value in zip(forest.feature, forest.cut, forest.value):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + 1 + int(x[feature[node]] > cut[node])
+            raw += value[node - len(feature)]
+        score = 1 / (1 + np.exp(-raw))
+        assert abs(got[r.doc_id].score - score) < 1e-9 and got[r.doc_id].predicted == int(score >= 0.3)
+        assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+
+
+def test_a_hot_id_trains_with_one_row(spark):
+    docs, labels = table(spark, SF, "documents").select("doc_id", "text"), table(spark, SF, "labels")
+    first = labels.orderBy("doc_id").first().doc_id
+    more = docs.limit(150).selectExpr(f"cast({first} as bigint) as doc_id", "text")
+    sent = []
+    real = boosted.train
+    boosted.train = lambda x, y, **how: sent.append(len(y)) or real(x, y, **how)
+    try:
+        fit(docs.unionByName(more), labels)
+        fit(docs, labels)
+    finally:
+        boosted.train = real
+    assert sent[0] == sent[1]
+
+
 def test_pipeline_equals_its_parts(spark):
     docs = {r.doc_id: r for r in table(spark, SF, "documents").collect()}
     kept = {r.doc_id for r in QUERIES["op10_adaptive_rules"](spark, SF).filter("kept").collect()}
