@@ -6,11 +6,12 @@ vector, turned alike and rounded to four bits a component, bit counts of ANDs gi
 product and its standard error.  A pair is recomputed exactly, in double precision, only if the estimate's upper
 confidence bound reaches the threshold.
 
-1. Equal vectors are one class with a number of members.
+1. Equal vectors are one class with a number of members.  Codes, factors and rounded forms are a table, made once a class.
 2. Candidates: sign bits under further rotations, ``r`` to a band.  ``r`` is the logarithm of the number of classes and four, so
    chance meetings in a band stay a fixed share at every size, and there are as many bands as a pair at the
    threshold needs to meet but for ``MISS``.
-3. Buckets of two classes or more are compared inside tasks, large ones in pairs of blocks of bounded size.  A link is
+3. Buckets of two classes or more are compared inside tasks, large ones in pairs of blocks of bounded size: first by the
+   stored codes alone, then, where a bound reaches the threshold, once more with the vectors.  A link is
    counted in the first band where its two vectors meet.  A task returns for each vector its number of links and one
    link to its group there: as many rows as vectors, however many pairs are linked.
 4. Counts are summed, and components made of the links returned.
@@ -60,19 +61,38 @@ def _packed(bits: np.ndarray) -> np.ndarray:
 
 
 class Codes:
-    """Codes and rounded forms of some unit vectors."""
-
-    def __init__(self, unit: np.ndarray):
-        self.dim = unit.shape[1]
-        turned = unit @ rotations(self.dim, self.dim)[:self.dim].T
-        self.code = _packed(turned > 0)
-        self.count = np.bitwise_count(self.code).sum(axis=1).astype(np.float64)
-        self.factor = np.abs(turned).sum(axis=1) / np.sqrt(self.dim)          # <code, vector>
-        self.low = turned.min(axis=1)
-        self.step = np.maximum((turned.max(axis=1) - self.low) / (2 ** PLANES - 1), 1e-12)
-        rounded = np.rint((turned - self.low[:, None]) / self.step[:, None]).astype(np.uint8)
-        self.planes = [_packed((rounded >> p) & 1) for p in range(PLANES)]
-        self.total = rounded.sum(axis=1).astype(np.float64)
+    """Codes and rounded forms of some unit vectors of one length, made once and stored."""
+
+    COLUMNS = "dim int, code binary, planes binary, factor double, low double, step double"
+
+    def __init__(self, dim: int, code: np.ndarray, planes: list[np.ndarray], factor: np.ndarray, low: np.ndarray, step: np.ndarray):
+        self.dim, self.code, self.planes, self.factor, self.low, self.step = dim, code, planes, factor, low, step
+        self.count = np.bitwise_count(code).sum(axis=1).astype(np.float64)
+        self.total = sum((1 << p) * np.bitwise_count(plane).sum(axis=1).astype(np.float64) for p, plane in enumerate(planes))
+
+    @classmethod
+    def of(cls, unit: np.ndarray) -> "Codes":
+        dim = unit.shape[1]
+        turned = unit @ rotations(dim, dim)[:dim].T
+        low = turned.min(axis=1)
+        step = np.maximum((turned.max(axis=1) - low) / (2 ** PLANES - 1), 1e-12)
+        rounded = np.rint((turned - low[:, None]) / step[:, None]).astype(np.uint8)
+        return cls(dim, _packed(turned > 0), [_packed((rounded >> p) & 1) for p in range(PLANES)],
+                   np.abs(turned).sum(axis=1) / np.sqrt(dim), low, step)                          # factor: <code, vector>
+
+    @classmethod
+    def read(cls, rows: pd.DataFrame) -> "Codes":
+        """From stored columns of vectors of one length."""
+        dim = int(rows["dim"].iloc[0])
+        words = -(-dim // 64)
+        planes = np.frombuffer(b"".join(rows["planes"]), "<u8").reshape(-1, PLANES, words)
+        return cls(dim, np.frombuffer(b"".join(rows["code"]), "<u8").reshape(-1, words), [planes[:, p] for p in range(PLANES)],
+                   *(rows[c].to_numpy() for c in ("factor", "low", "step")))
+
+    def columns(self) -> list[pa.Array]:
+        planes = np.stack(self.planes, axis=1)
+        return [pa.array(np.full(len(self.code), self.dim, np.int32)), pa.array([c.tobytes() for c in self.code], pa.binary()),
+                pa.array([p.tobytes() for p in planes], pa.binary()), *map(pa.array, (self.factor, self.low, self.step))]
 
     def upper(self, x: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Upper confidence bounds of the inner products of rows ``x`` (by code) and ``q`` (rounded)."""
@@ -124,6 +144,18 @@ def _vectors(batches):
         yield pa.RecordBatch.from_arrays([ids, pa.array(keys, pa.int64()), pa.array(vecs, pa.binary())], names=["id", "node", "unit"])
 
 
+def _codes(batches):
+    """``node, members`` and the code of each class."""
+    for batch in batches:
+        units = batch.column(2).to_pylist()
+        dims = np.asarray([len(u) // 8 for u in units])
+        for dim in np.unique(dims).tolist():
+            at = np.flatnonzero(dims == dim)
+            codes = Codes.of(np.frombuffer(b"".join(units[i] for i in at), "<f8").reshape(-1, dim))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), *codes.columns()],
+                                             names=["node", "members", "dim", "code", "planes", "factor", "low", "step"])
+
+
 def _bands(batches, bits: int, bands: int):
     for batch in batches:
         nodes, units = batch.column(0).to_numpy(), batch.column(1).to_pylist()
@@ -167,21 +199,40 @@ def _joined(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
             root = root[root]
 
 
-def compare(rows: pd.DataFrame, cosine: float, bits: int, bands: int) -> pd.DataFrame:
-    """Whole groups of rows (sorted by group): ``node, links, root`` of the rows with links."""
-    found = []
-    dims = rows["unit"].map(len).to_numpy() // 8
-    for dim in np.unique(dims).tolist():
-        part = rows[dims == dim].reset_index(drop=True)
-        unit = np.frombuffer(b"".join(part["unit"]), "<f8").reshape(-1, dim)
-        codes, keys = Codes(unit), band_keys(unit, bits, bands)
-        group = part[["bucket", "i", "j"]].to_numpy()
+GROUP = ["bucket", "i", "j"]
+
+
+def _by_length(rows: pd.DataFrame):
+    """Per vector length: the rows, their codes, and the pairs of each group whose bound may reach the threshold."""
+    for dim in np.unique(rows["dim"].to_numpy()).tolist():
+        part = rows[rows["dim"] == dim].reset_index(drop=True)
+        group = part[GROUP].to_numpy()
         first = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]).any(axis=1)]))
         size = np.diff(np.append(first, len(part)))
-        across = (part["i"] != part["j"]).to_numpy()
+        yield part, Codes.read(part), _group_pairs(first, size, part["block"].to_numpy(), (part["i"] != part["j"]).to_numpy())
+
+
+def sift(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
+    """Of whole groups of rows (sorted by group, with codes): those that have a pair whose bound reaches the threshold."""
+    found = []
+    for part, codes, pairs in _by_length(rows):
+        wanted = np.zeros(len(part), bool)
+        for x, y in pairs:
+            near = codes.upper(x, y) >= cosine
+            wanted[x[near]] = wanted[y[near]] = True
+        found.append(part[wanted][[*GROUP, "block", "band", "node"]])
+    return pd.concat(found, ignore_index=True)
+
+
+def compare(rows: pd.DataFrame, cosine: float, bits: int, bands: int) -> pd.DataFrame:
+    """Whole groups of rows (sorted by group, with codes and vectors): ``node, links, root`` of the rows with links."""
+    found = []
+    for part, codes, pairs in _by_length(rows):
+        unit = np.frombuffer(b"".join(part["unit"]), "<f8").reshape(-1, codes.dim)
+        keys = band_keys(unit, bits, bands)
         links, root = np.zeros(len(part), np.int64), np.arange(len(part))
         members, band = part["members"].to_numpy(), part["band"].to_numpy()
-        for x, y in _group_pairs(first, size, part["block"].to_numpy(), across):
+        for x, y in pairs:
             near = codes.upper(x, y) >= cosine
             x, y = x[near], y[near]
             exact = np.einsum("ij,ij->i", unit[x], unit[y]) >= cosine
@@ -198,21 +249,21 @@ def compare(rows: pd.DataFrame, cosine: float, bits: int, bands: int) -> pd.Data
     return pd.concat(found, ignore_index=True)
 
 
-def _compare_stream(frames, cosine: float, bits: int, bands: int):
-    """Cuts the sorted rows of a partition between groups, so that a task holds a few blocks at a time."""
+def _stream(frames, each):
+    """``each`` of the sorted rows of a partition, cut between groups, so that a task holds a few blocks at a time."""
     held: list[pd.DataFrame] = []
     for frame in frames:
         held.append(frame)
         if sum(map(len, held)) >= STREAM_ROWS:
             rows = pd.concat(held, ignore_index=True)
-            last = rows[["bucket", "i", "j"]].iloc[-1]
+            last = rows[GROUP].iloc[-1]
             open_ = ((rows["bucket"] == last["bucket"]) & (rows["i"] == last["i"]) & (rows["j"] == last["j"])).to_numpy()
             if not open_.all():
-                yield compare(rows[~open_], cosine, bits, bands)
+                yield each(rows[~open_].reset_index(drop=True))
             held = [rows[open_].reset_index(drop=True)]
     held = [f for f in held if len(f)]
     if held:
-        yield compare(pd.concat(held, ignore_index=True), cosine, bits, bands)
+        yield each(pd.concat(held, ignore_index=True))
 
 
 def near_embeddings(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding", cosine: float = COSINE) -> DataFrame:
@@ -231,8 +282,16 @@ def near_embeddings(vectors: DataFrame, key: str = "vec_id", embedding: str = "e
                    .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
                    .select("bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
                            "block", "band", "node"), "meetings")
-    found = stored(dealt.join(classes, "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
-                   .mapInPandas(lambda it: _compare_stream(it, cosine, bits, bands), "node long, links long, root long"), "found")
+    codes = stored(classes.select("node", "members", "unit").mapInArrow(_codes, f"node long, members long, {Codes.COLUMNS}"), "codes")
+
+    def grouped(rows):
+        return rows.repartition(*GROUP).sortWithinPartitions(*GROUP, "node")
+
+    # codes alone go to the meetings; vectors follow where a bound reaches the threshold
+    near = stored(grouped(dealt.join(codes.drop("members"), "node"))
+                  .mapInPandas(lambda it: _stream(it, lambda rows: sift(rows, cosine)), "bucket long, i int, j int, block int, band int, node long"), "near")
+    found = stored(grouped(near.join(codes, "node").join(classes.select("node", "unit"), "node"))
+                   .mapInPandas(lambda it: _stream(it, lambda rows: compare(rows, cosine, bits, bands)), "node long, links long, root long"), "found")
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     label = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())

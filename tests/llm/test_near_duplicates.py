@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,8 +174,11 @@ def test_estimates_are_unbiased_and_bounds_hold():
     rng = np.random.Generator(np.random.PCG64(2))
     x = rng.standard_normal((600, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    codes = Codes(x)
+    codes = Codes.of(x)
+    names = ["dim", "code", "planes", "factor", "low", "step"]
+    stored = Codes.read(pd.DataFrame({n: c.to_pylist() for n, c in zip(names, codes.columns())}))
     a, b = np.triu_indices(600, 1)
+    assert (stored.upper(a, b) == codes.upper(a, b)).all()            # codes read back are the codes
     exact = np.einsum("ij,ij->i", x[a], x[b])
     upper = codes.upper(a, b)
     assert (upper >= exact).mean() > 0.9999
