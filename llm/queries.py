@@ -15,7 +15,7 @@ from llm.oracles import ORACLE  # noqa: F401
 from llm.quality_rules import judge_documents
 from llm.rank_bpe import round_trip
 from llm.repair import damaged, repair_report
-from llm.rollups import Rollup, changes, quarter_tokens, word_tokens
+from llm.rollups import Rollup, changes, model_tokens, quarter_tokens, word_tokens
 from llm.rotation_codes import near_embeddings
 from llm.shared import fresh_path, stored
 from llm.substrings import remove_repeats
@@ -88,6 +88,23 @@ def op8_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.totals()
 
 
+def op8_model_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by the two tokenizer files: all documents in two batches, then the German ones recounted with their source moved, and
+    every seventh deleted."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    counts = stored(model_tokens(docs, WORD_BPE, BYTE_BPE, public_tokenizers.PATTERN), "counts")
+    store = Rollup(spark, fresh_path(spark, "model-rollup"))
+
+    def both(rows: DataFrame, **how) -> DataFrame:
+        return changes(rows, "word_bpe", F.col("word_bpe"), **how).unionByName(changes(rows, "byte_bpe", F.col("byte_bpe"), **how))
+
+    for batch in (0, 1):
+        store.apply(batch, both(counts.filter(f"doc_id % 2 = {batch}")))
+    store.apply(2, both(counts.filter("lang = 'de'"), source=F.concat(F.lit("moved-"), "source")))
+    store.apply(3, both(counts.filter("doc_id % 7 = 0"), delete=True))
+    return store.totals()
+
+
 def op9_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
@@ -130,5 +147,5 @@ QUERIES = {
     "op13_merkle_descent": op13_merkle_descent,
 }
 
-#: a name that earlier rounds registered for the same query
-MORE = {"op5_whole_url": op5_url_model}
+#: a further job of operator 8, and a name that earlier rounds registered for operator 5
+MORE = {"op5_whole_url": op5_url_model, "op8_model_tokens": op8_model_tokens}

@@ -102,7 +102,7 @@ def test_signed_batches_keep_totals(spark, scratch):
     assert not store.apply(2, second) and not store.apply(1, second) and totals(store) == want
     assert store.apply(3, empty_like(second)) and totals(store) == want
     # an insert after a delete, and what an attempt without a commit left behind
-    store._read("ledger", "doc_id long").limit(1).drop("batch").write.parquet(f"{scratch}/r/ledger/batch=4")
+    store._read("ledger", "doc_id long").limit(1).selectExpr("doc_id", "0 as bucket").write.partitionBy("bucket").parquet(f"{scratch}/r/ledger/batch=4")
     put(spark, (1, "v", "zz", "en", 1, False, 0)).select("source", "lang", "version").write.parquet(f"{scratch}/r/deltas/batch=4")
     assert totals(store) == want
     assert store.apply(4, put(spark, (3, "v", "a", "en", 2, False, 0), (1, None, "a", "en", 0, True, 0)))
@@ -124,3 +124,43 @@ def test_totals_equal_a_recount(spark, scratch):
     got = totals(store)
     assert len(got) == 2 * len(want)
     assert all(got[r.source, r.lang, "words"] == (r.n, r.w) and got[r.source, r.lang, "quarters"] == (r.n, r.q) for r in want)
+
+
+def test_a_small_batch_reads_its_buckets_only(spark, scratch):
+    """A hundredth of the ids touches under a tenth of the ledger's files, and the totals equal a recount."""
+    store = Rollup(spark, f"{scratch}/r")
+    rows = spark.range(100_000).selectExpr("id as doc_id", "cast(id % 3 as string) as source", "'en' as lang", "id % 50 as n")
+    store.apply(0, changes(rows, "v", F.col("n")))
+    some = rows.filter("doc_id between 40000 and 40999").withColumn("n", F.lit(7))
+    read = []
+    real = Rollup.ledger
+    try:
+        Rollup.ledger = lambda self, buckets=None: read.append(real(self, buckets)) or read[-1]
+        store.apply(1, changes(some, "v", F.col("n")))
+    finally:
+        Rollup.ledger = real
+    files = len(spark.read.parquet(f"{scratch}/r/ledger/batch=0").inputFiles())
+    paths = {r[0] for r in read[0].filter("batch = 0").select(F.input_file_name()).distinct().collect()}
+    assert 0 < len(paths) < files / 10
+    want = rows.withColumn("n", F.when(F.col("doc_id").between(40000, 40999), 7).otherwise(F.col("n"))).groupBy("source").agg(F.sum("n")).collect()
+    assert {(s, t) for (s, _, _), (_, t) in totals(store).items()} == {tuple(r) for r in want}
+
+
+def test_tokens_of_the_two_tokenizer_files(spark):
+    from collections import Counter
+
+    import public_tokenizers
+    from llm.queries import MORE
+    from llm.rank_bpe import encoder
+    from llm.wordbpe import WordEncoder
+    from tests.llm.helpers import BYTE_BPE, WORD_BPE
+
+    words, pieces, docs, tokens = WordEncoder(WORD_BPE), encoder(BYTE_BPE, public_tokenizers.PATTERN), Counter(), Counter()
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        source = f"moved-{r.source}" if r.lang == "de" else r.source
+        for version, n in (("word_bpe", len(words.whole(r.text or "")) // 4), ("byte_bpe", len(pieces.encode(r.text)) // 4)):
+            if r.doc_id % 7:
+                docs[source, r.lang, version] += 1
+                tokens[source, r.lang, version] += n
+    got = {(r.source, r.lang, r.version): (r.docs, r.tokens) for r in MORE["op8_model_tokens"](spark, SF).collect()}
+    assert got == {k: (docs[k], tokens[k]) for k in docs}
