@@ -471,6 +471,8 @@ ORACLE |= {
     "windowed_sentiment_newest_first": ORACLE["windowed_sentiment"],
     "stream_rows_watermark": _with(_POSTS)
     + """SELECT p.id, "timestamp", CAST(length(text) AS BIGINT) AS n_chars FROM posts p LEFT JOIN documents d ON p.doc_id = d.doc_id""",
+    "ingest_stamp": f"""SELECT CAST(event_id AS VARCHAR) AS id, {ASOF} AS fetched_at,
+       CAST(floor(epoch_us({ASOF}) / 1e6) - floor(epoch_us(ts) / 1e6) AS BIGINT) AS seconds FROM events""",
     "term_matches": f"""WITH t AS (SELECT lang, {_TOKENS} AS t FROM documents),
 terms AS (SELECT DISTINCT term FROM (SELECT t[3] AS term FROM t UNION ALL SELECT concat_ws(' ', t[4], t[5]) FROM t WHERE lang = 'fr') WHERE length(term) > 1)
 SELECT doc_id, count(*) AS terms FROM documents, terms

@@ -6,12 +6,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pulse.operators import views
+from pulse.operators.ingest import stamp_ingest
 from pulse.operators.scoring import lexicon_frame, lexicon_scorer, score_placed_texts, with_batch_scorer
 from pulse.operators.terms import search_terms, term_matches
 from pulse.operators.windows import windowed_sentiment
-from pulse.plans.inputs import TEST_LEXICON, scored_posts
+from pulse.plans.inputs import TEST_LEXICON, newest_event, scored_posts
 from pulse.plans.registry import _drained, _finish, _quarters, _r6, _register, _scoring, _stream_root, _windowed_out, _write_lines
-from pulse.sources.tables import attach_text, posts_view, read_table
+from pulse.sources.tables import posts_view, read_table
 from pulse.streaming import (
     SpanStore, latest_stream, post_stream, read_complete, read_updates, sample_rows, score_batches_once, store_batches, trigger_options,
     window_samples_stream, write_updates,
@@ -172,6 +173,14 @@ def _stream_rows_watermark(spark, sf):
     return spark.read.parquet(f"{root}/out")
 
 
+@_register("ingest_stamp")
+def _ingest_stamp(spark, sf):
+    """Posts stamped with a time of ingest (here the newest event, so that the rows can be compared), and how long after their own."""
+    rows = stamp_ingest(posts_view(spark, sf), now=newest_event(spark, sf).cast("timestamp"))
+    seconds = F.unix_seconds("fetched_at") - F.unix_seconds(F.col("timestamp").cast("timestamp"))
+    return rows.select("id", "fetched_at", seconds.alias("seconds"))
+
+
 def _terms(spark, sf):
     """Terms that the documents themselves give: the third word of every document, and the fourth and fifth of the French ones."""
     docs = read_table(spark, sf, "documents", "doc_id", "text", "lang")
