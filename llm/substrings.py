@@ -485,8 +485,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hot
     hits = stored(known.select("row", "text").mapInArrow(lambda it: _send_marks(it, buckets), "k long, packed binary")
                   .groupBy("k").applyInArrow(lambda group: _meet(group, buckets, limit), "row long, mark long"), "repeated", compression="zstd")
     shards = max(1, -(-hits.count() // SHARD_ROWS))
-    frequent = hits.filter("row IS NULL").select("mark").collect()                          # at most HOT_MARKS
-    hot_marks = np.sort(np.asarray([r[0] for r in frequent], np.int64).view(np.uint64))
+    frequent = hits.filter("row IS NULL").select("mark").toArrow()                          # at most HOT_MARKS, 8 bytes each
+    hot_marks = np.sort(frequent.column("mark").to_numpy().view(np.uint64))
 
     by_row = hits.filter("row IS NOT NULL").groupBy("row").agg(F.collect_list("mark").alias("marks"))
     passages = (rows.join(by_row, "row").select("id", "row", "text", "marks")      # no row without an id has marks
