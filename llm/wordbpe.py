@@ -21,7 +21,7 @@ ID = "<u4"                        # ids as little-endian unsigned 32-bit integer
 KEEP_UNITS = 1_000_000            # entries of the memory in a task (about 200 bytes each)
 REST_UNITS = 250_000              # and between tasks, as a pool may hold more workers than run
 KEEP_SHARE, LONGEST = 0.4, 48     # share that stays when it is full, bytes of an entry
-SLICE_BYTES = 8 << 20             # bytes of text encoded at once (one text at least)
+SLICE_BYTES = 4 << 20             # bytes of text encoded at once (one text at least)
 
 # --- fixed values: the file's pre-token pattern for lower-case Latin text without white space ---
 LETTERS = "a-zß-öø-ÿ"
@@ -88,7 +88,7 @@ def units(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     inner = np.flatnonzero(turn & word & ~fresh)
     inner = inner[~strange[np.searchsorted(start, inner, "right") - 1]]
     begin = np.sort(np.concatenate([start, inner]), kind="stable")
-    before = np.cumsum(word) - word                                     # bytes kept before each
+    before = np.cumsum(word, dtype=np.int32) - word                     # bytes kept before each
     size = np.diff(np.append(before[start], before[-1] + word[-1]))
     kept = np.where(np.repeat(strange, size), data[word], low[word])
     return kept, before[begin], np.searchsorted(begin, ends)
