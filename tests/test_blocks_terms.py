@@ -119,3 +119,15 @@ def test_fifty_thousand_terms(spark):
     assert sorted(r.id for r in found.collect()) == want
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "w00002|" not in plan and len(plan) < 100_000
+
+
+def test_plain_terms_look_at_no_text_again(spark):
+    """Terms that begin and end with a token are found by n-grams alone, blanks and punctuation between the tokens included; where
+    each text holds many of them, a pattern for each would be quadratic in its length."""
+    texts = ["a-b c", "a b  c", "!a b, c.", "ab c", "a b", None, "x a-b"]
+    terms = ["a b", "a-b", "b  c", "b, c", "a b, c", "c", "a-b c"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = term_matches(rows, spark.createDataFrame([(t,) for t in terms], "term string"))
+    assert sorted(map(tuple, found.collect())) == sorted((i, t) for i, x in enumerate(texts) for t in terms if _holds(x, t))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan and "collect_set" not in plan
