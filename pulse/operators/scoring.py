@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from pulse.functions.sentiment import label, score
 from pulse.schema import LEXICON_SCHEMA
+from pulse.session import stored
 
 # --- fixed values --------------------------------------------------------------
 TOKEN_PATTERN = "[^a-z]+"       # token separator after lower-casing
@@ -159,9 +160,8 @@ def score_placed_texts(df: DataFrame, lexicon: DataFrame, text: str = "text", ru
     it lies, and scores go back by digest.  Up to ``BROADCAST_TEXTS`` different texts (counted) the places and the scores
     are broadcast; more are joined by shuffle."""
     rows = df.withColumn("_digest", F.coalesce(F.sha2(F.col(text), 256), F.lit("null"))).withColumn("_place", F.monotonically_increasing_id())
-    first = rows.groupBy("_digest").agg(F.min("_place").alias("_first"))
-    few = first.count() <= BROADCAST_TEXTS
-    places = first.select("_first")
+    places = stored(rows.groupBy("_digest").agg(F.min("_place").alias("_first")).select("_first"), "text-places")
+    few = places.count() <= BROADCAST_TEXTS
     texts = rows.join(F.broadcast(places) if few else places, F.col("_place") == F.col("_first"), "left_semi").select("_digest", text)
     scores = score_documents(texts, lexicon, rule, "_digest", text, broadcast_max_rows, broadcast)
     return attach_scores(rows, scores.drop("hits", "polarity_sum"), on="_digest", broadcast_scores=few).drop("_digest", "_place")

@@ -165,11 +165,26 @@ def _finish(q):
         q.stop()
 
 
+LINES_PER_FILE = 10_000          # a compressed file is read by one task
+FILES_PER_BATCH = 50             # of queries that score: half a million texts a batch, so places and scores fit a broadcast
+
+
+def _put_lines(lines, root, per_file=LINES_PER_FILE):
+    """Append lines to ``root/lines``, compressed."""
+    lines.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", per_file).text(f"{root}/lines")
+
+
 def _write_lines(spark, sf, root, posts=None):
-    """The posts as JSON lines, in files of about an eighth of them (more files where more tasks write)."""
+    """The posts as JSON lines, in files of an eighth of them or ``LINES_PER_FILE`` (more files where more tasks write)."""
     posts = posts_view(spark, sf, with_text=True) if posts is None else posts
-    per_file = (read_table(spark, sf, "events", "event_id").count() + 7) // 8 or 1
-    to_lines(posts).write.option("maxRecordsPerFile", per_file).text(f"{root}/lines")
+    eighth = (read_table(spark, sf, "events", "event_id").count() + 7) // 8 or 1
+    _put_lines(to_lines(posts), root, min(eighth, LINES_PER_FILE))
+
+
+def _files_of_quarter(spark, sf):
+    """How many files of ``_write_lines`` make a quarter of the posts, two at least and ``FILES_PER_BATCH`` at most."""
+    n = read_table(spark, sf, "events", "event_id").count()
+    return min(max(2, n // (4 * min((n + 7) // 8 or 1, LINES_PER_FILE))), FILES_PER_BATCH)
 
 
 def _scored_table(spark, sf, root, name):
@@ -177,9 +192,9 @@ def _scored_table(spark, sf, root, name):
     from pulse.operators.scoring import lexicon_frame
     from pulse.streaming import post_stream, score_batches, trigger_options
 
-    posts = post_stream(spark, f"{root}/lines", max_files_per_trigger=2)
+    posts = post_stream(spark, f"{root}/lines", max_files_per_trigger=_files_of_quarter(spark, sf))
     _finish(score_batches(posts, lexicon_frame(spark, TEST_LEXICON), f"{root}/scored", f"{name}_rows", rule="strict",
-                          trigger=trigger_options(available_now=True), checkpoint=f"{root}/checkpoint-rows"))
+                          trigger=trigger_options(available_now=True), checkpoint=f"{root}/checkpoint-rows", placed=True))
     return spark.read.parquet(f"{root}/scored")
 
 
@@ -217,9 +232,9 @@ def _stream_scored_posts(spark, sf):
 def _drained(spark, sf, root, parts, start, posts=None):
     """Write each part (a filter on the posts) as JSON lines by many tasks and drain it with the queries of ``start()``, so that a
     stream reads the parts one after the other."""
-    posts = posts_view(spark, sf) if posts is None else posts
+    whole = posts_view(spark, sf, with_text=True) if posts is None else attach_text(spark, sf, posts)
     for part in parts:
-        to_lines(attach_text(spark, sf, posts.filter(part))).write.mode("append").text(f"{root}/lines")
+        _put_lines(to_lines(whole.filter(part)), root)
         for query in start():
             _finish(query)
 
@@ -229,8 +244,9 @@ def _scoring(spark, root, name):
     from pulse.operators.scoring import lexicon_frame
     from pulse.streaming import post_stream, score_batches, trigger_options
 
-    return score_batches(post_stream(spark, f"{root}/lines"), lexicon_frame(spark, TEST_LEXICON), f"{root}/scored", f"{name}_rows", rule="strict",
-                         trigger=trigger_options(available_now=True), checkpoint=f"{root}/checkpoint-rows")
+    return score_batches(post_stream(spark, f"{root}/lines", max_files_per_trigger=FILES_PER_BATCH), lexicon_frame(spark, TEST_LEXICON),
+                         f"{root}/scored", f"{name}_rows", rule="strict", trigger=trigger_options(available_now=True),
+                         checkpoint=f"{root}/checkpoint-rows", placed=True)
 
 
 def _quarters(spark, sf):
@@ -248,7 +264,7 @@ def _stream_since_id(spark, sf):
     q = _quarters(spark, sf)
     _drained(spark, sf, root, [q[1], q[0], q[3], q[2]], lambda: [since_id_stream(
         post_stream(spark, f"{root}/lines"), f"{root}/out", f"{root}/marks", name, trigger=trigger_options(available_now=True),
-        checkpoint=f"{root}/checkpoint")])
+        checkpoint=f"{root}/checkpoint", placed=True)])
     return spark.read.parquet(f"{root}/out").select("id", "timestamp")
 
 
@@ -261,7 +277,7 @@ def _stream_dedup(spark, sf):
     root, name = _stream_root(spark, "stream_dedup")
     q = _quarters(spark, sf)
     _drained(spark, sf, root, [q[0], f"({q[0]}) OR ({q[1]})", f"({q[1]}) OR ({q[2]})", f"({q[2]}) OR ({q[3]})", q[3]], lambda: [to_table(
-        dedup_stream(post_stream(spark, f"{root}/lines"), ttl="60 days"), name, "append", trigger_options(available_now=True),
+        dedup_stream(post_stream(spark, f"{root}/lines"), ttl="60 days", columns=["id", "username", "timestamp"]), name, "append", trigger_options(available_now=True),
         checkpoint=f"{root}/checkpoint", fmt="parquet", path=f"{root}/out")])
     return spark.read.parquet(f"{root}/out").select("id", "username", "timestamp")
 
@@ -288,10 +304,10 @@ def _stream_dedup_hour(spark, sf):
                 .withColumn("timestamp", F.expr("timestamp + make_dt_interval(0, 0, copy.minutes)")))
         text = F.coalesce("text", F.lit(""))
         sent = attach_text(spark, sf, sent).withColumn("text", F.when(F.col("copy.minutes") == 5, F.concat(F.lit("edited "), text)).otherwise(text))
-        to_lines(sent, ["id", "text", "username", "timestamp"]).write.mode("append").text(f"{root}/lines")
+        _put_lines(to_lines(sent, ["id", "text", "username", "timestamp"]), root)
         for query in dedup_tables(post_stream(spark, f"{root}/lines"), root, name, trigger=trigger_options(available_now=True)):
             _finish(query)
-    return kept_posts(spark, root).select("id", "username", "timestamp", F.md5("text").alias("text_md5"))
+    return kept_posts(spark, root, ["id", "username", "timestamp", F.md5("text").alias("text_md5")])
 
 
 @_register("stream_restart")

@@ -11,7 +11,9 @@ from pulse.operators.scoring import lexicon_frame, lexicon_scorer, score_placed_
 from pulse.operators.terms import search_terms, term_matches
 from pulse.operators.windows import windowed_sentiment
 from pulse.plans.inputs import TEST_LEXICON, newest_event, scored_posts
-from pulse.plans.registry import _drained, _finish, _quarters, _r6, _register, _scoring, _stream_root, _windowed_out, _write_lines
+from pulse.plans.registry import (
+    FILES_PER_BATCH, _drained, _files_of_quarter, _finish, _quarters, _r6, _register, _scoring, _stream_root, _windowed_out, _write_lines,
+)
 from pulse.sources.tables import posts_view, read_table
 from pulse.streaming import (
     SpanStore, latest_stream, post_stream, read_complete, read_updates, sample_rows, score_batches_once, store_batches, trigger_options,
@@ -47,7 +49,8 @@ def _stream_latest_n(spark, sf):
     root, name = _stream_root(spark, "stream_latest")
     q = _quarters(spark, sf)
     _drained(spark, sf, root, [q[2], q[3], f"({q[0]}) OR ({q[3]})", q[1]], lambda: [latest_stream(
-        post_stream(spark, f"{root}/lines"), f"{root}/held", name, 1000, trigger=_once(), checkpoint=f"{root}/checkpoint")])
+        post_stream(spark, f"{root}/lines"), f"{root}/held", name, 1000, trigger=_once(), checkpoint=f"{root}/checkpoint",
+        placed=True)])
     return read_complete(spark, f"{root}/held").select("id", "timestamp")
 
 
@@ -57,7 +60,8 @@ def _stream_recent(spark, sf):
     root, name = _stream_root(spark, "stream_recent")
     q = _quarters(spark, sf)
     _drained(spark, sf, root, [f"({q[1]}) OR ({q[3]})", f"({q[0]}) OR ({q[2]})"], lambda: [latest_stream(
-        post_stream(spark, f"{root}/lines"), f"{root}/held", name, 50, trigger=_once(), checkpoint=f"{root}/checkpoint")])
+        post_stream(spark, f"{root}/lines"), f"{root}/held", name, 50, trigger=_once(), checkpoint=f"{root}/checkpoint",
+        placed=True)])
     return read_complete(spark, f"{root}/held").select("id", "timestamp").orderBy("timestamp", "id")
 
 
@@ -67,8 +71,8 @@ def _store(spark, sf, name):
     q = _quarters(spark, sf)
     lexicon = lexicon_frame(spark, TEST_LEXICON)
     _drained(spark, sf, root, [f"({q[2]}) OR ({q[3]})", f"({q[0]}) OR ({q[1]})"], lambda: [store_batches(
-        post_stream(spark, f"{root}/lines"), f"{root}/store", query, score=lambda batch: score_placed_texts(batch, lexicon, rule="wide", broadcast=True),
-        trigger=_once(), checkpoint=f"{root}/checkpoint")])
+        post_stream(spark, f"{root}/lines", max_files_per_trigger=FILES_PER_BATCH), f"{root}/store", query, score=lambda batch: score_placed_texts(batch, lexicon, rule="wide", broadcast=True),
+        trigger=_once(), checkpoint=f"{root}/checkpoint", placed=True)])
     return SpanStore(spark, f"{root}/store")
 
 
@@ -124,9 +128,9 @@ def _stream_scored_once(spark, sf):
         one = lexicon_scorer(TEST_LEXICON)
         return lambda texts: texts.map(one)
 
-    posts = post_stream(spark, f"{root}/lines", max_files_per_trigger=2)
+    posts = post_stream(spark, f"{root}/lines", max_files_per_trigger=_files_of_quarter(spark, sf))
     _finish(score_batches_once(posts, lambda new: with_batch_scorer(new, load), f"{root}/scored", f"{root}/memo", name, trigger=_once(),
-                               checkpoint=f"{root}/checkpoint"))
+                               checkpoint=f"{root}/checkpoint", placed=True))
     return spark.read.parquet(f"{root}/scored").select("id", "polarity", "sentiment_label", "sentiment_score")
 
 
@@ -138,7 +142,8 @@ def _dashboard_windows_native(spark, sf):
 
     root, name = _stream_root(spark, "dashboard")
     _write_lines(spark, sf, root)
-    for q in start_dashboard(spark, f"{root}/lines", lexicon_frame(spark, TEST_LEXICON), root, name=name, trigger=_once(), store=True):
+    for q in start_dashboard(spark, f"{root}/lines", lexicon_frame(spark, TEST_LEXICON), root, name=name, trigger=_once(), store=True,
+                             max_files_per_trigger=FILES_PER_BATCH):
         _finish(q)
     out = read_updates(spark, f"{root}/windowed_aggregates", ["window_start", "window_end", "sentiment_label"])
     return out.select("window_start", "window_end", "sentiment_label", "tweet_count", _r6("avg_sentiment").alias("avg_sentiment"))

@@ -44,18 +44,19 @@ def posts_view(spark: SparkSession, sf_dir: str, with_text: bool = False,
     """
     events = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", *extra)
     docs = read_table(spark, sf_dir, "documents", "doc_id")
-    posts = events.select(
+    events = events.withColumn("doc_id", F.col("event_id") % doc_count(docs))
+    if with_text:           # joined before ids, times and names become text, so the events cross the shuffle as they are stored
+        events = attach_text(spark, sf_dir, events)
+    return events.select(
         F.col("event_id").cast("string").alias("id"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("username"),
         F.col("ts").alias("timestamp"),
         F.col("event_id"),
-        (F.col("event_id") % doc_count(docs)).alias("doc_id"),
+        F.col("doc_id"),
         *[F.col(c) for c in extra],
+        *(["text"] if with_text else []),
     )
-    if with_text:
-        posts = attach_text(spark, sf_dir, posts)
-    return posts
 
 
 def attach_text(spark: SparkSession, sf_dir: str, df: DataFrame, on: str = "doc_id",

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse.operators.windows import interval_seconds
-from pulse.streaming.sinks import _delete, _finished, _fs, checkpoint_for, write_batches
+from pulse.streaming.sinks import TEXT_TABLE, _delete, _finished, _fs, checkpoint_for, write_batches
 
 PANE = "1 minute"
 HOUR = "yyyy-MM-dd-HH"
@@ -30,13 +30,13 @@ def _pane(ts: str, pane: str) -> Column:
 
 
 def store_batches(scored: DataFrame, root: str, name: str, score=None, ts: str = "timestamp", pane: str = PANE, trigger: dict | None = None,
-                  checkpoint: str | None = None):
+                  checkpoint: str | None = None, placed: bool = False):
     """Append a stream of posts to the store.  ``score``: a function from a batch to its scored rows (e.g. the lexicon join), where
-    the stream itself is not scored."""
+    the stream itself is not scored.  ``placed`` as in ``write_batches``."""
     spark = scored.sparkSession
 
     def put(df: DataFrame, part: str) -> None:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("hour", "batch").parquet(f"{root}/{part}"))
+        (df.write.mode("overwrite").options(partitionOverwriteMode="dynamic", **TEXT_TABLE).partitionBy("hour", "batch").parquet(f"{root}/{part}"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
         rows = score(batch) if score else batch
@@ -55,7 +55,7 @@ def store_batches(scored: DataFrame, root: str, name: str, score=None, ts: str =
         edge.coalesce(1).write.mode("overwrite").parquet(f"{root}/edges/batch={batch_id}")
         for b in old[:-1]:
             _delete(spark, f"{root}/edges/batch={b}")
-    return write_batches(scored, run, name, trigger=trigger, checkpoint=checkpoint or checkpoint_for(spark, name))
+    return write_batches(scored, run, name, trigger=trigger, checkpoint=checkpoint or checkpoint_for(spark, name), placed=placed)
 
 
 class SpanStore:

@@ -22,7 +22,8 @@ from pyspark.sql.types import (
 from pulse.operators.ingest import DEDUP_TTL, ID_NUMBER, dedup_key
 from pulse.operators.scoring import lexicon_fits, score_placed_texts, with_scorer
 from pulse.sources.lines import parse_posts, read_lines
-from pulse.streaming.sinks import TRIGGER_DASHBOARD, checkpoint_for, write_batches
+from pulse.sources.tables import BROADCAST_KEYS
+from pulse.streaming.sinks import TEXT_TABLE, TRIGGER_DASHBOARD, checkpoint_for, write_batches
 
 # --- fixed values (must equal the reference) ---------------------------------
 WATERMARK_WINDOWED = "30 seconds"
@@ -55,18 +56,18 @@ def scored_stream(posts: DataFrame, scorer, rule: str = "strict") -> DataFrame:
 
 
 def score_batches(posts: DataFrame, lexicon: DataFrame, path: str, name: str, rule: str = "strict",
-                  text: str = "text", trigger: dict | None = None, checkpoint: str | None = None):
+                  text: str = "text", trigger: dict | None = None, checkpoint: str | None = None, placed: bool = False):
     """Lexicon scoring of each micro-batch (a join + aggregate, which would be
     stateful inside the stream), written to ``path/batch=<id>`` so a replayed
     batch overwrites its own folder.  Scores belong to texts, not ids: rows that share an id keep
-    their own, and ``unscored`` flags null texts."""
+    their own, and ``unscored`` flags null texts.  ``placed`` as in ``write_batches``."""
     fits = lexicon_fits(lexicon)  # decided once for the life of the query
 
     def run(batch: DataFrame, batch_id: int) -> None:
         scored = score_placed_texts(batch, lexicon, text=text, rule=rule, broadcast=fits)
-        scored.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        scored.write.mode("overwrite").options(**TEXT_TABLE).parquet(f"{path}/batch={batch_id}")
     return write_batches(posts, run, name, trigger=trigger,
-                         checkpoint=checkpoint or checkpoint_for(posts.sparkSession, name))
+                         checkpoint=checkpoint or checkpoint_for(posts.sparkSession, name), placed=placed)
 
 
 def windowed_stream(scored: DataFrame, size: str = "10 seconds", slide: str = "5 seconds",
@@ -212,7 +213,7 @@ def dedup_tables(posts: DataFrame, root: str, name: str, ttl: str = DEDUP_TTL, k
     spark = posts.sparkSession
     k = dedup_key() if key is None else (F.col(key) if isinstance(key, str) else key)
     whole = posts.withColumn("dedup_key", k).withColumn("row_id", F.expr("uuid()"))
-    first = to_table(whole, f"{name}_posts", "append", trigger, f"{root}/checkpoint-posts", fmt="parquet", path=f"{root}/posts")
+    first = to_table(whole, f"{name}_posts", "append", trigger, f"{root}/checkpoint-posts", fmt="parquet", path=f"{root}/posts", options=TEXT_TABLE)
     if "availableNow" in (trigger or {}):
         first.awaitTermination()
     narrow = spark.readStream.schema(whole.schema).parquet(f"{root}/posts").select("row_id", "dedup_key", ts)
@@ -220,10 +221,14 @@ def dedup_tables(posts: DataFrame, root: str, name: str, ttl: str = DEDUP_TTL, k
     return [first, to_table(kept, f"{name}_kept", "append", trigger, f"{root}/checkpoint-kept", fmt="parquet", path=f"{root}/kept")]
 
 
-def kept_posts(spark: SparkSession, root: str) -> DataFrame:
-    """The posts that ``dedup_tables`` kept."""
-    kept = spark.read.parquet(f"{root}/kept").select("row_id")
-    return spark.read.parquet(f"{root}/posts").join(kept, "row_id", "left_semi").drop("row_id", "dedup_key")
+def kept_posts(spark: SparkSession, root: str, columns: list | None = None) -> DataFrame:
+    """The posts that ``dedup_tables`` kept.  ``columns``: names and expressions of the result, taken where the posts lie,
+    so that a text that is only counted or digested does not cross the join's shuffle."""
+    kept = spark.read.parquet(f"{root}/kept").select(F.col("row_id").alias("_kept"))
+    posts = spark.read.parquet(f"{root}/posts")
+    columns = [c for c in posts.columns if c not in ("row_id", "dedup_key")] if columns is None else columns
+    rows = posts.select(F.col("row_id").alias("_row_id"), *columns)
+    return rows.join(kept, F.col("_row_id") == F.col("_kept"), "left_semi").drop("_row_id")
 
 
 def start_dashboard(spark: SparkSession, source: str, scorer, out_root: str, rule: str = "wide",
@@ -261,14 +266,14 @@ def start_dashboard(spark: SparkSession, source: str, scorer, out_root: str, rul
     if isinstance(scorer, DataFrame):
         fits = lexicon_fits(scorer)
         if store:
-            rows = store_batches(posts, f"{out_root}/store", f"{name}_rows", trigger=trigger,
+            rows = store_batches(posts, f"{out_root}/store", f"{name}_rows", trigger=trigger, placed=True,
                                  score=lambda batch: score_placed_texts(batch, scorer, rule=rule, broadcast=fits))
         else:
-            rows = score_batches(posts, scorer, raw, f"{name}_rows", rule=rule, trigger=trigger)
+            rows = score_batches(posts, scorer, raw, f"{name}_rows", rule=rule, trigger=trigger, placed=True)
     elif isinstance(scorer, BatchModel):
         if store:
             raise ValueError("a store is filled by a lexicon; store scored rows with store_batches")
-        rows = score_batches_once(posts, scorer.score, raw, f"{out_root}/scores", f"{name}_rows", rule=rule, trigger=trigger)
+        rows = score_batches_once(posts, scorer.score, raw, f"{out_root}/scores", f"{name}_rows", rule=rule, trigger=trigger, placed=True)
     else:
         if store:
             raise ValueError("a store is filled by a lexicon; store scored rows with store_batches")
@@ -296,7 +301,7 @@ def scored_windows(spark: SparkSession, path: str, schema, size: str = "10 secon
 
 def since_id_stream(posts: DataFrame, out_path: str, marks_path: str, name: str, start_mark: int | None = None,
                     id_col: str = "id", trigger: dict | None = None, checkpoint: str | None = None,
-                    dedup_in_batch: bool = True):
+                    dedup_in_batch: bool = True, placed: bool = False):
     """Keep only posts whose id is above the high-water mark of all earlier
     batches (ids compared as numbers), and move the mark.
 
@@ -306,7 +311,9 @@ def since_id_stream(posts: DataFrame, out_path: str, marks_path: str, name: str,
     the same mark and overwrites its own folders, so output stays exactly-once.
     The reference's mark moved only after a whole response, so repeats inside
     one response got through; ``dedup_in_batch`` (default) keeps one row per id
-    within a micro-batch instead (``dedup_in_batch=False`` keeps them all).
+    within a micro-batch instead (``dedup_in_batch=False`` keeps them all).  Only rows whose id comes more
+    than once in the batch are compared whole, through a shuffle; up to ``BROADCAST_KEYS`` such ids (counted) are
+    broadcast, and all other rows stay where they lie.  ``placed`` as in ``write_batches``.
     """
     from pulse.operators.ingest import high_water, since_id
 
@@ -324,10 +331,16 @@ def since_id_stream(posts: DataFrame, out_path: str, marks_path: str, name: str,
         kept = since_id(batch, prev, id_col)
         if dedup_in_batch:      # the same row on every replay: the least in the order of all columns
             row = F.struct(*kept.columns)
-            kept = kept.groupBy(F.col(id_col).alias("_id")).agg(F.min(row).alias("_row")).select("_row.*")
-        kept.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+            many = kept.groupBy(F.col(id_col).alias("_many")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_many")
+            n = many.count()
+            if n:
+                many = F.broadcast(many) if n <= BROADCAST_KEYS else many
+                same = F.col(id_col).eqNullSafe(F.col("_many"))
+                least = kept.join(many, same, "left_semi").groupBy(F.col(id_col).alias("_id")).agg(F.min(row).alias("_row")).select("_row.*")
+                kept = kept.join(many, same, "left_anti").unionByName(least)
+        kept.write.mode("overwrite").options(**TEXT_TABLE).parquet(f"{out_path}/batch={batch_id}")
         high_water(batch, prev, id_col).write.mode("overwrite").parquet(f"{marks_path}/batch={batch_id}")
         for b in before[:-1]:
             _delete(spark, f"{marks_path}/batch={b}")
     return write_batches(posts, run, name, trigger=trigger,
-                         checkpoint=checkpoint or checkpoint_for(spark, name))
+                         checkpoint=checkpoint or checkpoint_for(spark, name), placed=placed)

@@ -10,6 +10,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from pulse.operators.ingest import LATEST_KEEP, latest_n
 from pulse.operators.windows import SAMPLE_TEXTS, WINDOW_SIZE, WINDOW_SLIDE
+from pulse.sources.tables import BROADCAST_KEYS
 from pulse.streaming.queries import keyed_state
 from pulse.streaming.sinks import _delete, _finished, checkpoint_for, write_batches
 
@@ -85,29 +86,39 @@ def _thinned(frames, n: int):
 def sample_rows(samples: DataFrame, rows: DataFrame, columns: list[str], tie: str = "id") -> DataFrame:
     """One row for each sample, with ``sample_rank`` and ``columns`` of the stored row of that id."""
     flat = samples.select("window_start", "window_end", "sentiment_label", F.posexplode("samples").alias("_p", "_s"))
+    keys = flat.select(F.col("_s.id").alias("_ki"), F.col("_s.at").alias("_ka")).distinct()
+    keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
     wanted = rows.select(F.coalesce(F.col(tie).cast("string"), F.lit("")).alias("_id"), F.unix_micros(F.col("timestamp").cast("timestamp")).alias("_at"), *columns)
+    wanted = wanted.join(keys, (F.col("_id") == F.col("_ki")) & (F.col("_at") == F.col("_ka")), "left_semi")     # texts of samples alone leave the scan
     on = (F.col("_s.id") == F.col("_id")) & (F.col("_s.at") == F.col("_at"))
     return flat.join(wanted.dropDuplicates(["_id", "_at"]), on, "left").select(
         "window_start", "window_end", "sentiment_label", (F.col("_p") + 1).cast("long").alias("sample_rank"), F.col("_s.id").alias("id"), *columns)
 
 
 def latest_stream(posts: DataFrame, path: str, name: str, n: int = LATEST_KEEP, ts: str = "timestamp", tie: str = "id",
-                  trigger: dict | None = None, checkpoint: str | None = None):
+                  trigger: dict | None = None, checkpoint: str | None = None, placed: bool = False):
     """The newest ``n`` posts held so far, as a versioned table (``read_complete`` reads the newest version): each batch merges its own
     newest ``n`` with the last version's.  A post sent again (same time and ``tie``) counts once, late posts take their
-    place, and a replayed batch starts from the version before it.  The last two versions are kept."""
+    place, and a replayed batch starts from the version before it.  The last two versions are kept.  Times and ``tie`` alone are
+    sorted; whole posts are taken, and compared where one was sent again, only of the newest ``n``.  ``placed`` as in
+    ``write_batches``."""
     spark = posts.sparkSession
 
     def once(df: DataFrame) -> DataFrame:
         row = F.struct(*[F.col(f"`{c}`") for c in posts.columns])
         return df.groupBy(F.col(ts).alias("_t"), F.col(tie).alias("_i")).agg(F.min(row).alias("_row")).select("_row.*")
 
+    def newest(df: DataFrame) -> DataFrame:
+        keys = latest_n(df.select(F.col(ts).alias("_kt"), F.col(tie).alias("_ki")).distinct(), n, "_kt", "_ki")
+        keys = F.broadcast(keys) if n <= BROADCAST_KEYS else keys
+        return once(df.join(keys, F.col(ts).eqNullSafe(F.col("_kt")) & F.col(tie).eqNullSafe(F.col("_ki")), "left_semi"))
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        held = latest_n(once(batch), n, ts, tie)
+        held = batch
         old = [v for v in _finished(spark, path, "version") if v < batch_id]
         if old:
-            held = latest_n(once(held.unionByName(spark.read.schema(posts.schema).parquet(f"{path}/version={old[-1]}"))), n, ts, tie)
-        held.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+            held = held.unionByName(spark.read.schema(posts.schema).parquet(f"{path}/version={old[-1]}"))
+        newest(held).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
         for v in old[:-1]:
             _delete(spark, f"{path}/version={v}")
-    return write_batches(posts, run, name, trigger=trigger, checkpoint=checkpoint or checkpoint_for(spark, name))
+    return write_batches(posts, run, name, trigger=trigger, checkpoint=checkpoint or checkpoint_for(spark, name), placed=placed)

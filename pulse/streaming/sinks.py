@@ -24,6 +24,7 @@ TRIGGER_ROWS = "10 seconds"      # row printer
 TRIGGER_WINDOWS = "5 seconds"    # windowed script
 TRIGGER_DASHBOARD = "2 seconds"  # dashboard
 # ------------------------------------------------------------------------------
+TEXT_TABLE = {"compression": "zstd"}     # of stored tables that hold whole texts
 
 
 def checkpoint_for(spark: SparkSession, name: str) -> str:
@@ -49,27 +50,31 @@ def _writer(df: DataFrame, name: str, mode: str, trigger: dict | None, checkpoin
 
 def write_batches(df: DataFrame, fn: Callable[[DataFrame, int], None], name: str,
                   mode: str = "append", trigger: dict | None = None,
-                  checkpoint: str | None = None) -> StreamingQuery:
+                  checkpoint: str | None = None, placed: bool = False) -> StreamingQuery:
     """Run ``fn(batch_df, batch_id)`` for each non-empty micro-batch.
 
     Emptiness is checked with ``isEmpty()`` (one row looked at), never ``count()``;
     ``fn`` should write a table keyed by ``batch_id`` so a replayed batch
     overwrites instead of duplicating.  The batch is persisted while ``fn`` runs, so
     several actions on it parse (and score) its rows once; lost blocks are recomputed.
+    ``placed=True``: the stream only reads and maps files or offsets (``post_stream``), so a batch read again has the same rows in the
+    same places.  Then it is not persisted, each action parses it again, and its texts take no disk.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        if not placed:
+            batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not batch.isEmpty():
                 fn(batch, batch_id)
         finally:
-            batch.unpersist()
+            if not placed:
+                batch.unpersist()
     return _writer(df, name, mode, trigger, checkpoint).foreachBatch(run).start()
 
 
 def to_table(df: DataFrame, name: str, mode: str = "append", trigger: dict | None = None,
              checkpoint: str | None = None, *, fmt: str, path: str | None = None,
-             partition_by: Iterable[str] | None = None) -> StreamingQuery:
+             partition_by: Iterable[str] | None = None, options: dict | None = None) -> StreamingQuery:
     """A named, queryable result in a format that has to be named.
 
     ``fmt="parquet"`` (or any file format) appends to ``path``, which it needs;
@@ -79,7 +84,7 @@ def to_table(df: DataFrame, name: str, mode: str = "append", trigger: dict | Non
     """
     if fmt not in ("table", "memory") and not path:
         raise ValueError(f"a {fmt} table needs a path")
-    w = _writer(df, name, mode, trigger, checkpoint)
+    w = _writer(df, name, mode, trigger, checkpoint).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "table":
