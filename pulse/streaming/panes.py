@@ -1,12 +1,13 @@
 """A store of scored posts by the hour, with pane aggregates: dashboard views that read their span and nothing else.
 
-``root/rows/hour=<h>/batch=<b>``   the posts
+``root/posts/batch=<b>``           the whole posts, in files as the batch's tasks hold them, each with its ``place`` in the batch
+``root/rows/hour=<h>/batch=<b>``   the posts by the hour: every column but the texts, which are found by ``batch`` and ``place``
 ``root/panes/hour=<h>/batch=<b>``  per pane (a minute) and band: ``pane, sentiment_label, sentiment_score, n``
 ``root/edges/batch=<b>``           one row: oldest and newest time of the batches up to ``b``
 
 A view takes the panes that lie inside its span, and the posts of the cut pane at the span's edge.  It opens the folders of the
-span's hours by name, so a view of five minutes lists and reads two hours at most, however long the history.  A replayed batch
-overwrites its own folders.
+span's hours by name, so a view of five minutes lists and reads two hours at most, however long the history.  Texts cross no
+shuffle on their way into the store, and leave it only for the posts that a view shows.  A replayed batch overwrites its own folders.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pulse.streaming.sinks import TEXT_TABLE, _delete, _finished, _fs, checkpoin
 PANE = "1 minute"
 HOUR = "yyyy-MM-dd-HH"
 NO_HOUR = "none"                     # the folder of posts without a time
+TEXT_COLUMNS = ("text",)             # kept in ``posts`` alone
+BROADCAST_ROWS = 100_000             # rows without texts (about 200 bytes each) that are broadcast
 
 
 def _pane(ts: str, pane: str) -> Column:
@@ -39,11 +42,13 @@ def store_batches(scored: DataFrame, root: str, name: str, score=None, ts: str =
         (df.write.mode("overwrite").options(partitionOverwriteMode="dynamic", **TEXT_TABLE).partitionBy("hour", "batch").parquet(f"{root}/{part}"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        rows = score(batch) if score else batch
+        whole = (score(batch) if score else batch).withColumn("place", F.monotonically_increasing_id())
+        whole.write.mode("overwrite").options(**TEXT_TABLE).parquet(f"{root}/posts/batch={batch_id}")
         at = F.col(ts).cast("timestamp")
-        rows = (rows.withColumn("hour", F.coalesce(F.date_format(at, HOUR), F.lit(NO_HOUR))).withColumn("batch", F.lit(batch_id)))
-        put(rows.repartition("hour"), "rows")
-        written = spark.read.schema(rows.schema).parquet(f"{root}/rows").filter(F.col("batch") == batch_id)    # scored once
+        # scored once: everything else reads the stored posts, so that places hold whatever the batch does when read again
+        written = spark.read.schema(whole.schema).parquet(f"{root}/posts/batch={batch_id}").drop(*TEXT_COLUMNS)
+        written = (written.withColumn("hour", F.coalesce(F.date_format(at, HOUR), F.lit(NO_HOUR))).withColumn("batch", F.lit(batch_id)))
+        put(written.repartition("hour"), "rows")
         panes = (written.filter(F.col(ts).isNotNull()).groupBy("hour", "batch", _pane(ts, pane).alias("pane"), "sentiment_label", "sentiment_score")
                  .agg(F.count(F.lit(1)).alias("n")))
         put(panes.repartition("hour"), "panes")
@@ -103,7 +108,19 @@ class SpanStore:
     def rows(self, span: str) -> DataFrame:
         """The posts of the span."""
         low = self._from(span)
-        return self._read("rows", low, self.newest).filter(F.unix_micros(F.col(self.ts).cast("timestamp")) >= low)
+        return self.with_texts(self._read("rows", low, self.newest).filter(F.unix_micros(F.col(self.ts).cast("timestamp")) >= low))
+
+    def with_texts(self, rows: DataFrame, bounded_rows: int | None = None) -> DataFrame:
+        """Rows of the store with the texts of their posts.  ``bounded_rows``: the caller's bound on them; up to ``BROADCAST_ROWS``
+        are broadcast to the posts' scan, so texts of those rows alone leave it.  More are joined by shuffle."""
+        posts = self.spark.read.option("basePath", f"{self.root}/posts").parquet(f"{self.root}/posts")
+        texts = [c for c in TEXT_COLUMNS if c in posts.columns]
+        if not texts:
+            return rows
+        posts = posts.select(F.col("batch").alias("_tb"), F.col("place").alias("_tp"), *texts)
+        on = (F.col("batch") == F.col("_tb")) & (F.col("place") == F.col("_tp"))       # every row has its post
+        rows = F.broadcast(rows) if bounded_rows is not None and bounded_rows <= BROADCAST_ROWS else rows
+        return posts.join(rows, on).drop("_tb", "_tp")
 
     def weights(self, span: str) -> DataFrame:
         """The span as ``sentiment_label, sentiment_score, n``: whole panes, and the posts of the pane that the span's start cuts.
@@ -119,12 +136,14 @@ class SpanStore:
     def newest_rows(self, limit: int, span: str) -> DataFrame:
         """Rows among which are the span's newest ``limit``: panes say how far back they reach, so older hours are not opened."""
         low = self._from(span)
-        back = 3_600_000_000
+        back, width = 3_600_000_000, interval_seconds(self.pane) * 1_000_000
+        pane = F.unix_micros("pane")
         while True:
             at = max(low, self.newest - back)
-            held = self._read("panes", at, self.newest).filter(F.unix_micros("pane") >= at).agg(F.sum("n")).first()[0] or 0
-            if held >= limit or at == low:
+            held, most = self._read("panes", at, self.newest).agg(     # without and with the pane that ``at`` cuts
+                F.sum(F.when(pane >= at, F.col("n"))), F.sum(F.when(pane > at - width, F.col("n")))).first()
+            if (held or 0) >= limit or at == low:
                 break
             back *= 4
         us = F.unix_micros(F.col(self.ts).cast("timestamp"))
-        return self._read("rows", at, self.newest).filter(us >= max(low, at))
+        return self.with_texts(self._read("rows", at, self.newest).filter(us >= max(low, at)), most or 0)

@@ -245,7 +245,7 @@ def start_dashboard(spark: SparkSession, source: str, scorer, out_root: str, rul
 
     ``scorer`` is a lexicon (a DataFrame: the native join, each text of a batch once), a ``BatchModel`` (each different text once
     in the life of the query, remembered under ``out_root/scores``), or a function ``str -> float`` (a call for each post).
-    ``store=True`` keeps the rows by the hour with their panes instead, in ``out_root/store``, where
+    ``store=True`` keeps the rows by the hour with their panes instead, and their texts beside them, in ``out_root/store``, where
     ``SpanStore`` gives the dashboard views their span without the history; it needs one of the first two.
 
     Each query has its own checkpoint under the shared checkpoint folder, so both

@@ -6,7 +6,9 @@ import os
 from pyspark.sql import functions as F
 
 from pulse.plans.registry import _put_lines
-from pulse.streaming import kept_posts, latest_stream, post_stream, read_complete, sample_rows, since_id_stream, trigger_options
+from pulse.streaming import (
+    SpanStore, kept_posts, latest_stream, post_stream, read_complete, sample_rows, since_id_stream, store_batches, trigger_options,
+)
 from pulse.streaming.sinks import write_batches
 
 ONCE = trigger_options(available_now=True)
@@ -64,3 +66,17 @@ def test_kept_columns_are_taken_before_the_join(spark, scratch):
     assert kept_posts(spark, scratch).columns == ["id", "text"]
     out = kept_posts(spark, scratch, ["id", F.length("text").alias("n")])
     assert [tuple(r) for r in out.collect()] == [("1", 4)]
+
+
+def test_store_shuffles_no_text(spark, scratch):
+    """Rows by the hour hold no text; whole posts lie once beside them, and views of either size get each post its own text."""
+    path, root = _lines(spark, [_post(i, f"text {i % 4}", i) for i in range(9)] + ['{"id": "none"}'], scratch), f"{scratch}/store"
+    scored = post_stream(spark, path, max_files_per_trigger=2).withColumn("sentiment_label", F.lit("a")).withColumn("sentiment_score", F.lit(0.5))
+    store_batches(scored, root, "narrow", trigger=ONCE, checkpoint=os.path.join(scratch, "c"), placed=True).awaitTermination()
+    assert "text" not in spark.read.parquet(f"{root}/rows").columns and spark.read.parquet(f"{root}/posts").count() == 10
+    store = SpanStore(spark, root)
+    every = [(str(i), f"text {i % 4}", "u") for i in range(9)]
+    assert sorted((r.id, r.text, r.username) for r in store.rows("1 hour").collect()) == every
+    newest = store.newest_rows(3, "3 minutes")
+    assert "Broadcast" in newest._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.id, r.text, r.username) for r in newest.collect()) == every[5:]
