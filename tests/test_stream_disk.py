@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from pulse.plans import registry
 from pulse.plans.registry import _put_lines
 from pulse.streaming import (
     SpanStore, kept_posts, latest_stream, post_stream, read_complete, sample_rows, since_id_stream, store_batches, trigger_options,
@@ -80,3 +81,17 @@ def test_store_shuffles_no_text(spark, scratch):
     newest = store.newest_rows(3, "3 minutes")
     assert "Broadcast" in newest._jdf.queryExecution().executedPlan().toString()
     assert sorted((r.id, r.text, r.username) for r in newest.collect()) == every[5:]
+
+
+def test_many_parts_join_texts_once(spark, scratch, monkeypatch):
+    """Three parts of a stream: every line is there, and no part joins the texts anew."""
+    sf, plans, put = "/root/testdata/sf0.001", [], registry._put_lines
+
+    def spy(lines, root):
+        plans.append(lines._jdf.queryExecution().optimizedPlan().toString())
+        put(lines, root)
+    monkeypatch.setattr(registry, "_put_lines", spy)
+    registry._drained(spark, sf, scratch, ["event_id % 3 = 0", "event_id % 3 = 1", "event_id % 3 = 2"], list)
+    assert len(plans) == 3 and not [p for p in plans if "Join" in p]
+    want = registry.to_lines(registry.posts_view(spark, sf, with_text=True))
+    assert sorted(r.value for r in spark.read.text(f"{scratch}/lines").collect()) == sorted(r.value for r in want.collect())
