@@ -245,14 +245,14 @@ def _drained(spark, sf, root, parts, start, posts=None):
             _finish(query)
 
 
-def _scoring(spark, root, name):
-    """A query that scores new lines by the lexicon join into ``root/scored``."""
+def _scoring(spark, root, name, columns=None):
+    """A query that scores new lines by the lexicon join into ``root/scored`` (all columns, unless some are named)."""
     from pulse.operators.scoring import lexicon_frame
     from pulse.streaming import post_stream, score_batches, trigger_options
 
     return score_batches(post_stream(spark, f"{root}/lines", max_files_per_trigger=FILES_PER_BATCH), lexicon_frame(spark, TEST_LEXICON),
                          f"{root}/scored", f"{name}_rows", rule="strict", trigger=trigger_options(available_now=True),
-                         checkpoint=f"{root}/checkpoint-rows", placed=True)
+                         checkpoint=f"{root}/checkpoint-rows", placed=True, columns=columns)
 
 
 def _quarters(spark, sf):

@@ -14,6 +14,7 @@ from pulse.plans.inputs import TEST_LEXICON, newest_event, scored_posts
 from pulse.plans.registry import (
     FILES_PER_BATCH, _drained, _files_of_quarter, _finish, _quarters, _r6, _register, _scoring, _stream_root, _windowed_out, _write_lines,
 )
+from pulse.sources.lines import parse_posts, read_lines
 from pulse.sources.tables import posts_view, read_table
 from pulse.streaming import (
     SpanStore, latest_stream, post_stream, read_complete, read_updates, sample_rows, score_batches_once, store_batches, trigger_options,
@@ -28,19 +29,20 @@ def _once():
 @_register("stream_window_samples")
 def _stream_window_samples(spark, sf):
     """A2 in a stream: the newest 3 texts of each 1 h / 30 min window x band.  The later half of the posts comes first and the
-    newest quarter twice; state holds three times and ids a window, and texts come from the stored rows."""
+    newest quarter twice; state holds three times and ids a window.  Scored rows are stored without their texts, which lie in the
+    lines and are read there for the samples alone."""
     root, name = _stream_root(spark, "stream_samples")
     q = _quarters(spark, sf)
 
     def start():
-        yield _scoring(spark, root, name)
+        yield _scoring(spark, root, name, ["id", "timestamp", "sentiment_label"])
         stored_rows = spark.readStream.schema(spark.read.parquet(f"{root}/scored").schema).parquet(f"{root}/scored")
         yield write_updates(window_samples_stream(stored_rows, "1 hour", "30 minutes", 3), f"{root}/samples", f"{name}_samples", _once(),
                             checkpoint=f"{root}/checkpoint-samples")
 
     _drained(spark, sf, root, [f"({q[2]}) OR ({q[3]})", f"({q[0]}) OR ({q[1]}) OR ({q[3]})"], start)
     samples = read_updates(spark, f"{root}/samples", ["window_start", "window_end", "sentiment_label"])
-    return sample_rows(samples, spark.read.parquet(f"{root}/scored"), ["text"])
+    return sample_rows(samples, parse_posts(read_lines(spark, f"{root}/lines", stream=False)), ["text"])
 
 
 @_register("stream_latest_n")

@@ -56,15 +56,17 @@ def scored_stream(posts: DataFrame, scorer, rule: str = "strict") -> DataFrame:
 
 
 def score_batches(posts: DataFrame, lexicon: DataFrame, path: str, name: str, rule: str = "strict",
-                  text: str = "text", trigger: dict | None = None, checkpoint: str | None = None, placed: bool = False):
+                  text: str = "text", trigger: dict | None = None, checkpoint: str | None = None, placed: bool = False,
+                  columns: list[str] | None = None):
     """Lexicon scoring of each micro-batch (a join + aggregate, which would be
     stateful inside the stream), written to ``path/batch=<id>`` so a replayed
     batch overwrites its own folder.  Scores belong to texts, not ids: rows that share an id keep
-    their own, and ``unscored`` flags null texts.  ``placed`` as in ``write_batches``."""
+    their own, and ``unscored`` flags null texts.  ``placed`` as in ``write_batches``.  ``columns``: those stored, all unless given;
+    where the lines stay, texts need not be stored again."""
     fits = lexicon_fits(lexicon)  # decided once for the life of the query
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        scored = score_placed_texts(batch, lexicon, text=text, rule=rule, broadcast=fits)
+        scored = score_placed_texts(batch, lexicon, text=text, rule=rule, broadcast=fits).select(*(columns or ["*"]))
         scored.write.mode("overwrite").options(**TEXT_TABLE).parquet(f"{path}/batch={batch_id}")
     return write_batches(posts, run, name, trigger=trigger,
                          checkpoint=checkpoint or checkpoint_for(posts.sparkSession, name), placed=placed)

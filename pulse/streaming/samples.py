@@ -58,7 +58,7 @@ def window_samples_stream(scored: DataFrame, size: str = WINDOW_SIZE, slide: str
     """The newest ``n`` rows of each sliding window and band of a stream: ``window_start, window_end, sentiment_label, samples``
     (an array of ``at``, ``id``, newest first), in update mode (``write_updates`` keeps the last of each window).
 
-    State is at most ``n`` times and ids a window, never a text: texts are joined from the stored rows by ``sample_rows``.
+    State is at most ``n`` times and ids a window, never a text: texts are joined from the stored rows, or lines, by ``sample_rows``.
     Each Arrow batch sends only its own newest ``n`` of a window, so a hot window is thinned before the
     shuffle.  Without a watermark all windows are kept and late rows count; with one, rows behind it are
     dropped and a window's state goes when the watermark passes its end."""
@@ -84,7 +84,7 @@ def _thinned(frames, n: int):
 
 
 def sample_rows(samples: DataFrame, rows: DataFrame, columns: list[str], tie: str = "id") -> DataFrame:
-    """One row for each sample, with ``sample_rank`` and ``columns`` of the stored row of that id."""
+    """One row for each sample, with ``sample_rank`` and ``columns`` of the stored row, or parsed line, of that id."""
     flat = samples.select("window_start", "window_end", "sentiment_label", F.posexplode("samples").alias("_p", "_s"))
     keys = flat.select(F.col("_s.id").alias("_ki"), F.col("_s.at").alias("_ka")).distinct()
     keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys

@@ -5,8 +5,9 @@ import os
 
 from pyspark.sql import functions as F
 
-from pulse.plans import registry
+from pulse.plans import QUERIES, registry
 from pulse.plans.registry import _put_lines
+from pulse.session import checkpoint_root
 from pulse.streaming import (
     SpanStore, kept_posts, latest_stream, post_stream, read_complete, sample_rows, since_id_stream, store_batches, trigger_options,
 )
@@ -95,3 +96,14 @@ def test_many_parts_join_texts_once(spark, scratch, monkeypatch):
     assert len(plans) == 3 and not [p for p in plans if "Join" in p]
     want = registry.to_lines(registry.posts_view(spark, sf, with_text=True))
     assert sorted(r.value for r in spark.read.text(f"{scratch}/lines").collect()) == sorted(r.value for r in want.collect())
+
+
+def test_scored_samples_store_no_text(spark):
+    """The scored rows of the samples hold no text; each sample has the text of its post all the same."""
+    sf, there = "/root/testdata/sf0.001", f"{checkpoint_root(spark)}/registry/stream_samples-*"
+    seen = set(glob.glob(there))
+    got = QUERIES["stream_window_samples"](spark, sf).collect()
+    root, = set(glob.glob(there)) - seen
+    assert set(spark.read.parquet(f"{root}/scored").columns) == {"id", "timestamp", "sentiment_label", "batch"}
+    text = {r.id: r.text for r in registry.posts_view(spark, sf, with_text=True).collect()}
+    assert got and all(r.text == text[r.id] for r in got)
