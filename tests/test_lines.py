@@ -1,8 +1,11 @@
 import datetime as dt
 import json
 
+from pyspark.sql import functions as F
+
 from pulse.operators.ingest import normalize_posts
 from pulse.sources.lines import parse_posts, to_lines, unwrap_envelope
+from tests.conftest import SF_SMALL
 
 
 def _lines(spark, docs):
@@ -99,3 +102,27 @@ def test_reject_lines(spark):
     lines = _lines(spark, [{"id": "1"}, "not json", "", "{}", '{"id": 2', "[1, 2]"])
     bad = sorted(r.value for r in reject_lines(lines).collect())
     assert bad == sorted(["not json", "", '{"id": 2', "[1, 2]"])  # an array is not a post either
+
+
+def test_packed_texts_make_the_same_pages(spark):
+    """Texts that go to their page deflated: the same lines, whatever the text; the queries join them so and build JSON on the page."""
+    from pulse.plans import QUERIES
+    from pulse.plans.fixtures import api_lines
+    from pulse.sources.tables import pack_text, posts_view
+
+    texts = [None, "", "plain", "ünï \U0001f600  ", 'q"\\/\n\t\x00', "long " * 5000]
+    kinds = ["view", "click", "signup", "purchase", "error"]
+    rows = [(i, str(i), f"u{i}", texts[i % 6], kinds[i % 5]) for i in range(60)]
+    posts = spark.createDataFrame(rows, "event_id long, id string, username string, text string, event_type string").withColumn(
+        "timestamp", F.expr("timestamp_ntz'2024-01-01 00:00:00.000001' + make_dt_interval(0, 0, event_id)"))
+    posts = posts.withColumn("text", F.when(F.col("event_id") == 7, F.expr("cast(x'61ff62' as string)")).otherwise(F.col("text")))   # no UTF-8
+    raw = F.col("value").cast("binary").alias("value")
+    want = api_lines(posts).select("page", raw).collect()
+    got = api_lines(posts.withColumn("text", pack_text(F.col("text")))).select("page", raw).collect()
+    assert len(want) == 3 and sorted(map(tuple, got)) == sorted(map(tuple, want))
+    for name in ("unwrap_envelope", "rejected_posts"):
+        above, below = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString().split("partial_collect_list", 1)
+        assert "_inflated" in above and "_deflated" in below and "StructsToJson" not in below
+    view = posts_view(spark, SF_SMALL, with_text=True, extra=("event_type",))
+    small = api_lines(posts_view(spark, SF_SMALL, with_text=True, extra=("event_type",), packed=True))
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, api_lines(view).collect()))
