@@ -169,9 +169,9 @@ LINES_PER_FILE = 10_000          # a compressed file is read by one task
 FILES_PER_BATCH = 50             # of queries that score: half a million texts a batch, so places and scores fit a broadcast
 
 
-def _put_lines(lines, root, per_file=LINES_PER_FILE):
-    """Append lines to ``root/lines``, compressed."""
-    lines.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", per_file).text(f"{root}/lines")
+def _put_lines(lines, root, per_file=LINES_PER_FILE, level="DEFAULT_COMPRESSION"):
+    """Append lines to ``root/lines``, compressed.  ``level``: of zlib; ``BEST_SPEED`` takes a third to half of the time, and 14 to 34 % more bytes."""
+    lines.write.mode("append").option("compression", "gzip").option("zlib.compress.level", level).option("maxRecordsPerFile", per_file).text(f"{root}/lines")
 
 
 def _write_lines(spark, sf, root, posts=None):
@@ -229,10 +229,10 @@ def _stream_scored_posts(spark, sf):
     return _scored_table(spark, sf, root, name).select("id", "polarity", "sentiment_label", "sentiment_score")
 
 
-def _drained(spark, sf, root, parts, start, posts=None):
+def _drained(spark, sf, root, parts, start, posts=None, **lines):
     """Write each part (a filter on the posts) as JSON lines by many tasks and drain it with the queries of ``start()``, so that a
     stream reads the parts one after the other.  More than two parts take the posts from a stored table, so that texts are joined,
-    and shuffled, once and not for each part."""
+    and shuffled, once and not for each part.  ``lines`` as in ``_put_lines``."""
     from pulse.streaming.sinks import TEXT_TABLE
 
     whole = posts_view(spark, sf, with_text=True) if posts is None else attach_text(spark, sf, posts)
@@ -240,7 +240,7 @@ def _drained(spark, sf, root, parts, start, posts=None):
         whole.write.options(**TEXT_TABLE).parquet(f"{root}/whole")
         whole = spark.read.schema(whole.schema).parquet(f"{root}/whole")
     for part in parts:
-        _put_lines(to_lines(whole.filter(part)), root)
+        _put_lines(to_lines(whole.filter(part)), root, **lines)
         for query in start():
             _finish(query)
 
@@ -284,7 +284,7 @@ def _stream_dedup(spark, sf):
     q = _quarters(spark, sf)
     _drained(spark, sf, root, [q[0], f"({q[0]}) OR ({q[1]})", f"({q[1]}) OR ({q[2]})", f"({q[2]}) OR ({q[3]})", q[3]], lambda: [to_table(
         dedup_stream(post_stream(spark, f"{root}/lines"), ttl="60 days", columns=["id", "username", "timestamp"]), name, "append", trigger_options(available_now=True),
-        checkpoint=f"{root}/checkpoint", fmt="parquet", path=f"{root}/out")])
+        checkpoint=f"{root}/checkpoint", fmt="parquet", path=f"{root}/out")], level="BEST_SPEED")
     return spark.read.parquet(f"{root}/out").select("id", "username", "timestamp")
 
 

@@ -12,6 +12,8 @@ advance still counts).
 
 from __future__ import annotations
 
+from struct import Struct
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -30,6 +32,9 @@ WATERMARK_WINDOWED = "30 seconds"
 WATERMARK_DASHBOARD = "15 seconds"
 # ------------------------------------------------------------------------------
 DEDUP_LATENESS = "1 hour"        # posts this far behind the newest still find every copy of the last TTL
+DEDUP_BUCKETS = 1 << 12          # groups of keys whose state is read and written at once
+MOST_ITEMS = 64                  # of a bucket's list; when there would be more, they are packed into one
+COPY = Struct("<16sqq")          # digest of the key, time, when it is forgotten
 NO_TIME = -(1 << 62)
 
 
@@ -101,13 +106,15 @@ def output_mode(late: str) -> str:
 
 
 def dedup_stream(posts: DataFrame, ttl: str = DEDUP_TTL, key=None, ts: str = "timestamp",
-                 lateness: str = DEDUP_LATENESS, columns: list[str] | None = None) -> DataFrame:
+                 lateness: str = DEDUP_LATENESS, columns: list[str] | None = None, buckets: int = DEDUP_BUCKETS) -> DataFrame:
     """Drop a post if a copy *kept* of its key lies less than ``ttl`` of event time from it, before or after.
     Default key: ``dedup_key(id, text)``.  No other post is dropped, however late it comes.
 
-    Each key has state of its own: the times of its kept copies, each until the watermark (``lateness`` behind the newest
-    post) passes the copy's time + ``ttl``, when a timer of the key forgets it.  So a batch reads and writes the state of its own
-    keys and of those that expire, whatever else is remembered, and repeats that come up to ``lateness`` behind the newest post are
+    The state holds the times of each key's kept copies, each until the watermark (``lateness`` behind the newest
+    post) passes the copy's time + ``ttl``, when a timer forgets it.  Keys (by a digest of 128 bits) lie in ``buckets`` by their hash, each with a
+    list and a timer: Python asks for a bucket's state once a batch, and adds to it once, not for each key.  So a batch reads the buckets
+    of its own keys, writes its own copies, and sees to the buckets where some expire, whatever else is remembered; ``buckets`` stays the same
+    in the life of a checkpoint.  Repeats that come up to ``lateness`` behind the newest post are
     all found.  A post further behind is kept unless its key is still remembered, and is then remembered until the
     watermark has moved on by ``ttl``; only a repeat that comes later than that gets through a second time.
     A copy without a time is kept if nothing is remembered of its key, and hides no copy with a time (as in ``dedup_posts``).
@@ -115,7 +122,7 @@ def dedup_stream(posts: DataFrame, ttl: str = DEDUP_TTL, key=None, ts: str = "ti
     ``columns`` (default: all) are those of the result; no others leave the JVM.  ``dedup_tables`` passes a row id alone.
     Append mode; keyed state needs the RocksDB state store, which ``keyed_state`` sets for the session.  Times of the output carry no
     watermark: windows over it are a query of their own over the stored rows, as in ``start_dashboard``.  All copies of a
-    key in a batch go to one task, which holds those that no earlier batch covers, one for each time.
+    bucket in a batch go to one task, which holds those that no earlier batch covers, one for each key and time.
     """
     k = dedup_key() if key is None else (F.col(key) if isinstance(key, str) else key)
     spark = posts.sparkSession
@@ -136,13 +143,15 @@ def dedup_stream(posts: DataFrame, ttl: str = DEDUP_TTL, key=None, ts: str = "ti
     # which goes no further; the row itself has no time there, and so is never late.
     at = F.col(f"`{ts}`").cast("timestamp")
     none = F.lit(None).cast("timestamp")
+    digest = F.unhex(F.left(F.sha2(F.coalesce(F.concat(F.lit("="), F.col("dedup_key").cast("string")), F.lit("")).cast("binary"), 256), F.lit(32)))
     rows = (posts.select(
-        *[packed(f).alias(f.name) for f in fields], F.coalesce(F.concat(F.lit("="), F.col("dedup_key").cast("string")), F.lit("")).alias("_key"),
+        *[packed(f).alias(f.name) for f in fields], digest.alias("_key"),
         F.coalesce(F.unix_micros(at), F.lit(NO_TIME)).alias("_at"),
         F.explode(F.when(at.isNull(), F.array(none)).otherwise(F.array(none, at))).alias("_clock"))
-        .withWatermark("_clock", lateness).filter("_clock IS NULL"))
+        .withWatermark("_clock", lateness).filter("_clock IS NULL")
+        .withColumn("_bucket", F.pmod(F.xxhash64("_key"), F.lit(buckets)).cast("int")))
     out = StructType([StructField(f.name, StringType() if f.name in as_text else f.dataType) for f in fields])
-    kept = rows.groupBy("_key").transformWithState(FirstCopies(_micros(spark, ttl), out.names), out, "append", "EventTime")
+    kept = rows.groupBy("_bucket").transformWithState(FirstCopies(_micros(spark, ttl), out.names), out, "append", "EventTime")
     return kept.select(*[unpacked(f).alias(f.name) for f in fields])
 
 
@@ -157,53 +166,76 @@ def _micros(spark: SparkSession, interval: str) -> int:
 
 
 class FirstCopies(StatefulProcessor):
-    """State of ``dedup_stream`` for a key: ``at``, the time of a kept copy, and ``until``, when it is forgotten (0: not said yet, as
-    the watermark has not started)."""
+    """State of ``dedup_stream`` for a bucket of keys: a list of packed copies, each with the digest of its key, its time, and when it is
+    forgotten (0: not said yet, as the watermark has not started).  ``upto``: copies due before then are forgotten, though still
+    in the list; it is packed anew once half of it is such copies, or at ``MOST_ITEMS`` items.  One timer a bucket waits for its next copy that is due."""
 
     def __init__(self, ttl_us: int, columns: list[str]):
         self.ttl, self.columns = ttl_us, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.copies = handle.getListState("copies", "at long, until long")
+        self.copies = handle.getListState("copies", "packed binary, upto long")
+
+    def _held(self) -> tuple[list[tuple[bytes, int, int]], int, int]:
+        """The copies remembered, how many there are in the list, forgotten ones too, and how many items it has."""
+        items = list(self.copies.get())
+        upto = max((u for _, u in items), default=0)
+        every = [c for packed, _ in items for c in COPY.iter_unpack(packed)]
+        return [c for c in every if not c[2] or c[2] >= upto], len(every), len(items)
 
-    def _covered(self, copies, t: int) -> bool:
-        return any(abs(t - k) < self.ttl for k, _ in copies) or (t == NO_TIME and len(copies) > 0)
+    def _covered(self, times, t: int) -> bool:
+        return any(abs(t - k) < self.ttl for k in times) or (t == NO_TIME and len(times) > 0)
 
     def handleInputRows(self, key, rows, timerValues):
         now = max(timerValues.getCurrentWatermarkInMs(), 0) * 1000
-        copies = [(c[0], c[1]) for c in self.copies.get()] if self.copies.exists() else []
-        first: dict[int, Row] = {}
+        held, _, items = self._held()
+        times: dict[bytes, list[int]] = {}
+        for k, t, _ in held:
+            times.setdefault(k, []).append(t)
+        first: dict[tuple[bytes, int], Row] = {}
         for row in rows:
-            if row["_at"] not in first and not self._covered(copies, row["_at"]):
-                first[row["_at"]] = row
-        for t in sorted(first):
-            if not self._covered(copies, t):
+            copy = bytes(row["_key"]), row["_at"]
+            if copy not in first and not self._covered(times.get(copy[0], ()), copy[1]):
+                first[copy] = row
+        kept, new = [], []
+        for k, t in sorted(first):
+            if not self._covered(times.setdefault(k, []), t):
                 since = max(t, now)             # a post without a time, or behind the watermark, counts from now
-                until = since + self.ttl if since > 0 else 0
-                copies.append((t, until))
-                self.copies.appendValue((t, until))
-                self.handle.registerTimer(max(until, now) // 1000 + 1)
-                yield Row(*self.columns)(*[first[t][c] for c in self.columns])
+                times[k].append(t)
+                new.append((k, t, since + self.ttl if since > 0 else 0))
+                kept.append(first[k, t])
+        if new:
+            if items + len(new) <= MOST_ITEMS:
+                self.copies.appendList([(COPY.pack(*c), 0) for c in new])
+            else:
+                self.copies.put([(_packed(held + new), 0)])
+            due = min(until for _, _, until in new)
+            if not held or due < min(until for _, _, until in held):    # else the timer that waits comes first, and sets the next
+                self.handle.registerTimer(max(due, now) // 1000 + 1)
+        result = Row(*self.columns)
+        for row in kept:
+            yield result(*[row[c] for c in self.columns])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        left, again = [], []
-        for t, until in (list(self.copies.get()) if self.copies.exists() else []):
-            if not until:
-                until = now + self.ttl
-                again.append(until)
-            if until > now:
-                left.append((t, until))
-        if left:
-            self.copies.put(left)
-        else:
+        held, n, items = self._held()
+        left = [(k, t, until or now + self.ttl) for k, t, until in held if not until or until >= now]
+        if not left:
             self.copies.clear()
-        for until in again:
-            self.handle.registerTimer(until // 1000 + 1)
+        elif 2 * len(left) <= n + items or any(not until for _, _, until in held):
+            self.copies.put([(_packed(left), 0)])
+        elif len(left) < len(held):
+            self.copies.appendValue((b"", now))
+        if left:
+            self.handle.registerTimer(min(until for _, _, until in left) // 1000 + 1)
         return iter([])
 
 
+def _packed(copies: list[tuple[bytes, int, int]]) -> bytes:
+    return b"".join(COPY.pack(*c) for c in copies)
+
+
 def dedup_tables(posts: DataFrame, root: str, name: str, ttl: str = DEDUP_TTL, key=None, ts: str = "timestamp",
                  lateness: str = DEDUP_LATENESS, trigger: dict | None = None):
     """``dedup_stream`` for whole posts at scale: ``<name>_posts`` appends every post once, with a ``row_id``, to ``root/posts``, and
