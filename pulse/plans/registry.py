@@ -310,7 +310,7 @@ def _stream_dedup_hour(spark, sf):
                 .withColumn("timestamp", F.expr("timestamp + make_dt_interval(0, 0, copy.minutes)")))
         text = F.coalesce("text", F.lit(""))
         sent = attach_text(spark, sf, sent).withColumn("text", F.when(F.col("copy.minutes") == 5, F.concat(F.lit("edited "), text)).otherwise(text))
-        _put_lines(to_lines(sent, ["id", "text", "username", "timestamp"]), root)
+        _put_lines(to_lines(sent, ["id", "text", "username", "timestamp"]), root, level="BEST_SPEED")
         for query in dedup_tables(post_stream(spark, f"{root}/lines"), root, name, trigger=trigger_options(available_now=True)):
             _finish(query)
     return kept_posts(spark, root, ["id", "username", "timestamp", F.md5("text").alias("text_md5")])

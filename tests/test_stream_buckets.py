@@ -5,7 +5,7 @@ import json
 import os
 import random
 
-from pulse.streaming import dedup_stream, post_stream, to_table, trigger_options
+from pulse.streaming import dedup_stream, dedup_tables, kept_posts, post_stream, to_table, trigger_options
 
 T0 = dt.datetime(2024, 1, 1, tzinfo=dt.UTC)
 HOUR = 60
@@ -48,3 +48,20 @@ def test_keys_that_share_a_bucket_are_kept_apart(spark, scratch):
     got = sorted((r.id, r.username) for r in spark.read.schema("id string, username string").parquet(out).collect())
     assert got == sorted((k, str(t)) for k, t in _kept(batches))
     assert 0 < max(timers) <= 2 * 3            # not one for each of some hundred copies
+
+
+def test_tables_set_a_timer_for_a_bucket_not_for_each_copy(spark, scratch):
+    """Twenty keys with thirty hourly copies each, all kept; a repeat of each is dropped, and what has expired goes at once."""
+    src, root, seen = f"{scratch}/in", f"{scratch}/tables", []
+    os.makedirs(src)
+    hourly = [(f"k{k}", 60 * h) for k in range(20) for h in range(30)]
+    for i, rows in enumerate((hourly, [(f"k{k}", 60 * 29 + 30) for k in range(20)])):
+        lines = [{"id": k, "text": "x", "username": str(t), "timestamp": (T0 + dt.timedelta(minutes=t)).isoformat()} for k, t in rows]
+        with open(f"{src}/{i}.json", "w") as f:
+            f.write("\n".join(map(json.dumps, lines)) + "\n")
+        queries = dedup_tables(post_stream(spark, src), root, "timers", trigger=trigger_options(available_now=True))
+        for q in queries:
+            q.awaitTermination(120)
+        seen += [op["customMetrics"]["numRegisteredTimers"] for p in queries[1].recentProgress for op in p["stateOperators"]]
+    assert sorted((r.id, r.username) for r in kept_posts(spark, root, ["id", "username"]).collect()) == sorted((k, str(t)) for k, t in hourly)
+    assert 0 < max(seen) <= 20                  # not 600
