@@ -156,9 +156,11 @@ def dedup_stream(posts: DataFrame, ttl: str = DEDUP_TTL, key=None, ts: str = "ti
 
 
 def keyed_state(spark: SparkSession) -> None:
-    """State of each key apart, in RocksDB; a checkpoint gets the changes of a batch, not the whole store."""
+    """State of each key apart, in RocksDB; a checkpoint gets the changes of a batch, not the whole store.  A store takes no disk
+    ahead of what it writes (4 MB for each partition and start of a query, otherwise)."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
 
 
 def _micros(spark: SparkSession, interval: str) -> int:

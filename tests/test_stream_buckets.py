@@ -6,6 +6,7 @@ import os
 import random
 
 from pulse.streaming import dedup_stream, dedup_tables, kept_posts, post_stream, to_table, trigger_options
+from pulse.streaming.queries import keyed_state
 
 T0 = dt.datetime(2024, 1, 1, tzinfo=dt.UTC)
 HOUR = 60
@@ -65,3 +66,8 @@ def test_tables_set_a_timer_for_a_bucket_not_for_each_copy(spark, scratch):
         seen += [op["customMetrics"]["numRegisteredTimers"] for p in queries[1].recentProgress for op in p["stateOperators"]]
     assert sorted((r.id, r.username) for r in kept_posts(spark, root, ["id", "username"]).collect()) == sorted((k, str(t)) for k, t in hourly)
     assert 0 < max(seen) <= 20                  # not 600
+
+
+def test_state_stores_take_no_disk_ahead(spark):
+    keyed_state(spark)
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.allowFAllocate") == "false"
